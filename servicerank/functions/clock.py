@@ -6,7 +6,7 @@ session time zone (date_trunc and timestampdiff would, around DST changes).
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 # Two-digit years from here on belong to the 1900s.
 CENTURY_PIVOT = "69"
 
+_YEAR_ONE = datetime(1, 1, 1)
+
 
 def ntz(value: datetime) -> Column:
     """Literal date-time without a zone."""
@@ -38,6 +40,30 @@ def format_snapshot_time(ts: Column) -> Column:
     return F.translate(F.substring(ts.cast("timestamp_ntz").cast("string"), 3, 17), "-", "/")
 
 
+def snapshot_time_between(text: Column, lo: datetime, hi: datetime) -> Column:
+    """Whether well-formed time text lies in [lo, hi), without parsing it.
+
+    The text sorts by time within a century, so this is a comparison of the raw
+    column (of two ranges if 2000 lies between), which reaches a Parquet scan.
+    """
+    first, end = datetime(1969, 1, 1), datetime(2069, 1, 1)
+    lo, hi = max(_whole_second(lo), first), min(_whole_second(hi), end)
+    if lo >= hi:
+        return F.lit(False)
+    from_lo = text >= _raw(lo)
+    to_hi = text < (CENTURY_PIVOT if hi == end else _raw(hi))
+    return (from_lo | to_hi) if lo.year < 2000 <= hi.year else (from_lo & to_hi)
+
+
+def _raw(value: datetime) -> str:
+    return value.strftime("%y/%m/%d %H:%M:%S")
+
+
+def _whole_second(value: datetime) -> datetime:
+    """The first whole second not before `value`."""
+    return (value + timedelta(microseconds=999_999)).replace(microsecond=0)
+
+
 def utc_now() -> Column:
     """Start of the query or micro-batch as a UTC date-time, to the second."""
     return from_epoch_seconds(F.unix_timestamp(F.current_timestamp()))
@@ -56,7 +82,7 @@ def from_epoch_nanos(nanos: Column) -> Column:
 
 
 def minute_floor(ts: Column) -> Column:
-    return ts - F.make_dt_interval(secs=F.extract(F.lit("SECOND"), ts))
+    return add_minutes(_YEAR_ONE, whole_minutes_since(_YEAR_ONE, ts))
 
 
 def day_floor(ts: Column) -> Column:

@@ -9,7 +9,7 @@ forms remain for dimensions that were edited by hand.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,15 @@ class Calendar:
     minutes: int = 10_000_000
     weekend: tuple[int, ...] = (1, 6)
 
+    @property
+    def end(self) -> datetime:
+        """The first minute past the last row."""
+        return self.origin + timedelta(minutes=self.minutes)
+
+    def time_id(self, ts: Column) -> Column:
+        """Id of the minute of `ts`; meaningful within the calendar only."""
+        return whole_minutes_since(self.origin, ts) + 1
+
     def columns(self, full_date: Column) -> list[Column]:
         """Attributes of a minute, in table order."""
         day = full_date.cast("date")
@@ -59,9 +68,8 @@ def attach_time_id(
     df: DataFrame, ts: str, calendar: Calendar = DEFAULT_CALENDAR, time_id: str = "time_id"
 ) -> DataFrame:
     """Add the id of the minute of `ts`; rows outside the calendar are dropped."""
-    inside = df.filter(F.col(ts) >= ntz(calendar.origin))
-    keyed = inside.withColumn(time_id, whole_minutes_since(calendar.origin, F.col(ts)) + 1)
-    return keyed.filter(F.col(time_id) <= calendar.minutes)
+    inside = df.filter((F.col(ts) >= ntz(calendar.origin)) & (F.col(ts) < ntz(calendar.end)))
+    return inside.withColumn(time_id, calendar.time_id(F.col(ts)))
 
 
 def attach_calendar(

@@ -59,11 +59,12 @@ def normalize_criteria(
     divide = F.try_divide if safe else Column.__truediv__
 
     def scaled(name: str) -> Column:
-        value, bound = F.col(name).cast("double"), extreme.getField(name).cast("double")
+        value, bound = F.col(name).cast("double"), F.col("_extremes").getField(name).cast("double")
         return divide(bound, value) if criteria[name] == "cost" else divide(value, bound)
 
     others = [c for c in df.columns if c not in criteria]
-    return df.select(*others, *[scaled(c).alias(prefix + c) for c in criteria])
+    # As a column of its own the subquery is planned once, not once per criterion.
+    return df.withColumn("_extremes", extreme).select(*others, *[scaled(c).alias(prefix + c) for c in criteria])
 
 
 def weigh_criteria(df: DataFrame, weights: dict[str, tuple[str, float]], score: str = "performance_score") -> DataFrame:

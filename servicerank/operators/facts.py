@@ -7,26 +7,32 @@ from datetime import date, datetime, time, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from servicerank.functions.clock import add_minutes, from_epoch_nanos, ntz, parse_snapshot_time
+from servicerank.functions.clock import (
+    add_minutes, from_epoch_nanos, ntz, parse_snapshot_time, snapshot_time_between,
+)
 from servicerank.operators.calendar import DEFAULT_CALENDAR, Calendar, attach_time_id
 from servicerank.operators.numbering import ordered_row_ids
 from servicerank.operators.staging import queue_spec, stage_typed
 from servicerank.schemas import ENTITY, queue_fact_schema, reviews_fact_schema
 
 
-def snapshot_window(lake: DataFrame, lo: date | datetime, hi: date | datetime, pushdown: bool = False) -> DataFrame:
+def snapshot_window(
+    lake: DataFrame, lo: date | datetime, hi: date | datetime, pushdown: bool | None = None
+) -> DataFrame:
     """Raw snapshots taken in [lo, hi).
 
-    A lake partitioned by ingest_date is pruned to the days needed. `pushdown`
-    adds the same range on the raw text, which reaches the Parquet scan because
-    the text sorts by time within a century; text that is not in the fixed-width
-    form is then skipped instead of failing the load.
+    A lake partitioned by ingest_date is pruned to the days needed. With
+    `pushdown` the raw time text is compared, which reaches the Parquet scan;
+    otherwise every row's text is parsed, and text that is not a time fails the
+    load. The default compares text only in a lake with an ingest_date, which is
+    written with well-formed times.
     """
     lo, hi = _midnight(lo), _midnight(hi)
-    if "ingest_date" in lake.columns:
+    stamped = "ingest_date" in lake.columns
+    if stamped:
         lake = lake.filter(F.col("ingest_date").between(lo.date(), hi.date()))
-    if pushdown:
-        lake = lake.filter((F.col("time") >= _raw(lo)) & (F.col("time") < _raw(hi)))
+    if pushdown or (pushdown is None and stamped):
+        return lake.filter(snapshot_time_between(F.col("time"), lo, hi))
     taken = parse_snapshot_time(F.col("time"))
     return lake.filter((taken >= ntz(lo)) & (taken < ntz(hi)))
 
@@ -38,15 +44,18 @@ def queue_fact(
     calendar: Calendar = DEFAULT_CALENDAR,
     entity: str = ENTITY,
     source_id: str = "id",
-    pushdown: bool = False,
+    pushdown: bool | None = None,
 ) -> DataFrame:
     """Typed queue rows of [lo, hi), keyed by minute: one narrow pass, no shuffle.
 
-    Snapshots of one point in the same minute are all kept; the key audit
-    reports them.
+    The range is cut to the calendar, so every row has a time id. Snapshots of
+    one point in the same minute are all kept; the key audit reports them.
     """
-    typed = stage_typed(snapshot_window(lake, lo, hi, pushdown), queue_spec(entity, source_id))
-    return attach_time_id(typed, "time_format", calendar).select(queue_fact_schema(entity).names)
+    lo, hi = max(_midnight(lo), calendar.origin), min(_midnight(hi), calendar.end)
+    spec = {**queue_spec(entity, source_id), "time_format": ("time", "time")}
+    typed = stage_typed(snapshot_window(lake, lo, hi, pushdown), spec)
+    keyed = typed.withColumn("time_id", calendar.time_id(F.col("time_format")))
+    return keyed.select(queue_fact_schema(entity).names)
 
 
 def queue_fact_of_day(lake: DataFrame, as_of: date, **options) -> DataFrame:
@@ -85,7 +94,3 @@ def reviews_fact(
 
 def _midnight(value: date | datetime) -> datetime:
     return value if isinstance(value, datetime) else datetime.combine(value, time())
-
-
-def _raw(value: datetime) -> str:
-    return value.strftime("%y/%m/%d %H:%M:%S")

@@ -28,40 +28,27 @@ def group_means(df: DataFrame, value: str, by: str, scale: float = 1) -> DataFra
     return df.groupBy(by).agg((F.avg(value) / scale).alias("group_mean"))
 
 
-def lookup_means(
-    df: DataFrame,
-    means: DataFrame,
-    key: str,
-    by: str,
-    needed: Column,
-    dense_keys: int = DENSE_KEYS,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Add `group_mean` where `needed`, matching df[key] with means[by], NULL included.
-
-    `needed` must never be NULL. Rows that do not need a mean may get one.
-    """
-    means = means.select(F.col(by).alias("_key"), "group_mean")
+def split_rows(df: DataFrame, key: str, needed: Column, dense_keys: int = DENSE_KEYS) -> tuple[DataFrame, DataFrame]:
+    """Rows for add_near_means and rows for add_far_means; `needed` must never be NULL."""
     dense = _dense(df, key, dense_keys)
-    near_means = means.filter(_dense(means, "_key", dense_keys)) if dense is not None else None
-
-    if dense is None:
-        near, far = df.filter(~needed), df.filter(needed)
-        far_means = means
-        near = near.withColumn("group_mean", F.lit(None).cast(means.schema["group_mean"].dataType))
-    else:
-        near, far = df.filter(~needed | dense), df.filter(needed & ~dense)
-        far_means = means.filter(~_dense(means, "_key", dense_keys))
-        near = near.join(F.broadcast(near_means), F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
-
-    salted = far.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-    salted_means = far_means.withColumn("_mean_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
-    matched = salted.join(
-        salted_means,
-        F.col(key).eqNullSafe(F.col("_key")) & (F.col("_salt") == F.col("_mean_salt")),
-        "left",
-    )
-    return near.unionByName(matched.select(*df.columns, "group_mean"))
+    return df.filter(~needed | dense), df.filter(needed & ~dense)
+
+
+def add_near_means(df: DataFrame, means: DataFrame, key: str, by: str, dense_keys: int = DENSE_KEYS) -> DataFrame:
+    """Add `group_mean` for dense keys, by broadcast; NULL for other keys."""
+    near = _keyed(means, by).filter(_dense(means, by, dense_keys, "_key"))
+    return df.join(F.broadcast(near), F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+
+
+def add_far_means(
+    df: DataFrame, means: DataFrame, key: str, by: str, dense_keys: int = DENSE_KEYS, salts: int = SALTS
+) -> DataFrame:
+    """Add `group_mean` for keys that are not dense, by a salted shuffle."""
+    far = _keyed(means, by).filter(~_dense(means, by, dense_keys, "_key"))
+    copies = F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_salt") == F.col("_mean_salt"))
+    return salted.join(far.withColumn("_mean_salt", F.explode(copies)), same, "left").select(*df.columns, "group_mean")
 
 
 def impute_group_mean(
@@ -76,15 +63,24 @@ def impute_group_mean(
     """Add `output` = value/scale, or the mean of it over the rows with the same `by`.
 
     Filter the rows first: every row of `df` takes part in the means. Rows whose
-    group has no known value stay NULL; NULL is a group of its own.
+    group has no known value stay NULL; NULL is a group of its own. Salting
+    hashes the columns of `df`, so select those that are needed.
     """
     means = group_means(df, value, by, scale)
-    looked_up = lookup_means(df, means, by, by, F.col(value).isNull(), dense_keys, salts)
+    near, far = split_rows(df, by, F.col(value).isNull(), dense_keys)
+    looked_up = add_near_means(near, means, by, by, dense_keys).unionByName(
+        add_far_means(far, means, by, by, dense_keys, salts)
+    )
     return looked_up.select(*df.columns, F.coalesce(F.col(value) / scale, "group_mean").alias(output))
 
 
-def _dense(df: DataFrame, key: str, dense_keys: int) -> Column | None:
-    """Whether a key is in the bounded range; None if its type has no such range."""
+def _keyed(means: DataFrame, by: str) -> DataFrame:
+    return means.select(F.col(by).alias("_key"), "group_mean")
+
+
+def _dense(df: DataFrame, key: str, dense_keys: int, name: str | None = None) -> Column:
+    """Whether a key (called `name` by now) is in the bounded range, which only whole numbers have."""
+    column = F.col(name or key)
     if not isinstance(df.schema[key].dataType, T.IntegralType):
-        return None
-    return F.col(key).isNull() | F.col(key).between(0, dense_keys - 1)
+        return column.isNull()
+    return column.isNull() | column.between(0, dense_keys - 1)

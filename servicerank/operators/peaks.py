@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from servicerank.operators.imputation import DENSE_KEYS, SALTS, group_means, lookup_means
+from servicerank.operators.imputation import (
+    DENSE_KEYS, SALTS, add_far_means, add_near_means, group_means, split_rows,
+)
 
 
 def daily_max(df: DataFrame, keys: list[str], day: str, metric: str, output: str) -> DataFrame:
@@ -98,12 +100,17 @@ def rush_wait(
     """
     keys = [entity, period, bucket]
     missing = F.col(wait).isNull()
-    # Known waits share one cell per hour, missing ones have one per load.
-    cells = df.groupBy(
-        *keys, day, missing.alias("_missing"), F.when(missing, F.col(load)).alias("_missing_load")
-    ).agg(F.max(load).alias("_load"), F.max(wait).alias("_wait"))
-    filled = lookup_means(
-        cells, group_means(df, wait, load), "_missing_load", load, F.col("_missing"), dense_keys, salts
+    means = group_means(df, wait, load)
+
+    def cells(rows: DataFrame) -> DataFrame:
+        # Known waits share one cell per hour, missing ones have one per load.
+        return rows.groupBy(
+            *keys, day, missing.alias("_missing"), F.when(missing, F.col(load)).alias("_missing_load")
+        ).agg(F.max(load).alias("_load"), F.max(wait).alias("_wait"))
+
+    near, far = (cells(rows) for rows in split_rows(df, load, missing, dense_keys))
+    filled = add_near_means(near, means, "_missing_load", load, dense_keys).unionByName(
+        add_far_means(far, means, "_missing_load", load, dense_keys, salts)
     )
     cell_wait = F.when(F.col("_missing"), F.col("group_mean")).otherwise(F.col("_wait").cast("double"))
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from servicerank.functions.clock import format_snapshot_time, whole_minutes_since
-from servicerank.operators.calendar import Calendar
+from servicerank.functions.text import safe_bool
+from servicerank.operators.calendar import DEFAULT_CALENDAR, Calendar
 from servicerank.operators.facts import queue_fact, reviews_fact
 from servicerank.schemas import ENTITY
 from servicerank.sources.snapshots import to_lake_rows
@@ -23,9 +24,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _k() -> Column:
+    """The number in `{"k": 12}`."""
+    return F.substring_index(F.substring_index("props", ": ", -1), "}", 1).cast("bigint")
+
+
 def feed(events: DataFrame) -> DataFrame:
     """An event as one service point's snapshot, with texts as unclean as the real feed's."""
-    k = F.get_json_object("props", "$.k").cast("bigint")
+    k = _k()
     return events.select(
         F.col("user_id").alias("id"),
         F.concat(F.lit("Point "), F.col("user_id")).alias("name"),
@@ -55,11 +61,24 @@ def lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_lake_rows(feed(table(spark, sf_dir, "events")), F.col("time"))
 
 
-def queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Queue fact over all days of the events."""
+def queue_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queue fact over all days of the events, by way of their text."""
     return queue_fact(lake(spark, sf_dir), FIRST_DAY, END_DAY)
 
 
+def queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same fact from the events' numbers."""
+    k = _k()
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").alias(ENTITY),
+        DEFAULT_CALENDAR.time_id(F.col("ts")).alias("time_id"),
+        F.when((k < 97) & (k % 10 != 3), k).alias("customers_currently_waiting"),
+        F.when(F.col("event_type") != "error", F.floor(F.col("value") * 60)).alias("expected_wait_time"),
+        (k % 5).alias("active_counters"),
+        safe_bool(_is_open(k)).alias("is_open"),
+    )
+
+
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as reviews; their times end in half a second, some scores and votes are missing."""
     key = F.col("o_orderkey")

@@ -116,7 +116,7 @@ def queue_time_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_queue_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return b.queue(spark, sf_dir)
+    return b.queue_from_lake(spark, sf_dir)
 
 
 def fact_queue_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +128,7 @@ def fact_queue_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake_path, fact_path = new_work_path(spark, "lake"), new_work_path(spark, "queue")
     append_lake(b.lake(spark, sf_dir), lake_path)
     lake = read_lake(spark, lake_path)
-    load_queue_fact(lake, fact_path, b.FIRST_DAY, b.END_DAY, pushdown=True)
+    load_queue_fact(lake, fact_path, b.FIRST_DAY, b.END_DAY)
     load_day(lake, fact_path, as_of=date(2024, 1, 16))
     return read_queue_fact(spark, fact_path).drop("fact_date")
 
@@ -166,7 +166,7 @@ def rush_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _filled_and_peaks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    opened = _open(spark, sf_dir)
+    opened = _open(spark, sf_dir).select(ENTITY, *PEAK.values(), LOAD, WAIT)
     return impute_group_mean(opened, WAIT, LOAD, "wait", scale=1), peak_bucket(opened, ENTITY, **PEAK, metric=LOAD)
 
 

@@ -32,10 +32,8 @@ def imputed_wait(
     queue: DataFrame, calendar: Calendar = DEFAULT_CALENDAR, entity: str = ENTITY, **options
 ) -> DataFrame:
     """Open queue rows with their wait in minutes, missing waits imputed."""
-    filled = impute_group_mean(
-        open_queue(queue, calendar), WAIT, LOAD, "expected_wait_time_imputed", scale=60, **options
-    )
-    return filled.select(entity, "cday", "day_of_week", "hour", LOAD, "expected_wait_time_imputed")
+    rows = open_queue(queue, calendar).select(entity, "cday", "day_of_week", "hour", LOAD, WAIT)
+    return impute_group_mean(rows, WAIT, LOAD, "expected_wait_time_imputed", scale=60, **options).drop(WAIT)
 
 
 def rush_hour_waits(
