@@ -1,0 +1,67 @@
+from datetime import datetime
+
+import pytest
+from helpers import plan, rows
+from pyspark.sql import functions as F
+
+from servicerank.operators.calendar import (
+    DEFAULT_CALENDAR, Calendar, attach_calendar, attach_time_id, join_calendar, join_time_id, time_dimension,
+)
+from servicerank.schemas import time_dimension_schema
+
+WEEK = Calendar(origin=datetime(2024, 3, 1), minutes=7 * 1440)  # 1 March 2024 was a Friday
+
+
+def test_schema_and_size(spark):
+    dim = time_dimension(spark)
+    assert [(f.name, f.dataType) for f in dim.schema] == [(f.name, f.dataType) for f in time_dimension_schema()]
+    assert dim.count() == 10_000_000
+    first, last = dim.agg(F.min("full_date").cast("string"), F.max("full_date").cast("string")).first()
+    assert (first, last) == ("2017-01-01 00:00:00", "2036-01-06 10:39:00")
+    assert DEFAULT_CALENDAR.end == datetime(2036, 1, 6, 10, 40)
+
+
+def test_ids_number_the_minutes_in_order(spark):
+    dim = time_dimension(spark, WEEK)
+    ids = [r.time_id for r in dim.orderBy("full_date").collect()]
+    assert ids == list(range(1, WEEK.minutes + 1))
+
+
+def test_weekend_default_is_sunday_and_friday(spark):
+    def flags(calendar):
+        dim = time_dimension(spark, calendar).filter("hour = 0 AND minute(full_date) = 0")
+        return {r.day_of_week: r.weekday_flag for r in dim.collect()}
+
+    assert flags(WEEK) == {1: False, 2: True, 3: True, 4: True, 5: True, 6: False, 7: True}
+    usual = flags(Calendar(WEEK.origin, WEEK.minutes, weekend=(1, 7)))
+    assert [d for d, flag in usual.items() if not flag] in ([1, 7], [7, 1])
+
+
+def test_holiday_flag_is_always_false(spark):
+    assert rows(time_dimension(spark, WEEK).select("holiday_flag").distinct()) == [(False,)]
+
+
+def test_time_key_at_the_edges(spark):
+    texts = ["2024-02-29 23:59:59", "2024-03-01 00:00:00", "2024-03-07 23:59:59", "2024-03-08 00:00:00", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(F.col("t").cast("timestamp_ntz").alias("ts"))
+    assert [r.time_id for r in attach_time_id(df, "ts", WEEK).orderBy("time_id").collect()] == [1, WEEK.minutes]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Lisbon"])
+def test_arithmetic_equals_join(spark, time_zone, zone):
+    time_zone(zone)
+    dim = time_dimension(spark, WEEK)
+    df = spark.range(0, 20_000, 7).select(
+        F.col("id"), F.expr("timestamp_ntz'2024-02-28 00:00:00' + make_dt_interval(0, 0, int(id))").alias("ts")
+    )
+    keyed, joined = attach_time_id(df, "ts", WEEK), join_time_id(df, "ts", dim)
+    assert rows(keyed.select("id", "time_id")) == rows(joined.select("id", "time_id"))
+    facts = df.select("id", (F.col("id") - 500).alias("time_id"))
+    columns = ["id", *time_dimension_schema().names]
+    assert rows(attach_calendar(facts, WEEK).select(columns)) == rows(join_calendar(facts, dim).select(columns))
+
+
+def test_no_shuffle(spark):
+    df = spark.range(10).select(F.col("id").alias("time_id"))
+    assert "Exchange" not in plan(time_dimension(spark))
+    assert "Exchange" not in plan(attach_calendar(df))
