@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR names the tables (default sf0.1), BENCH_CPUS the local cores,
 BENCH_QUERIES a comma-separated choice. Each query runs BENCH_RUNS times
-(default 2), whole results going to a no-op sink; the best run counts.
+(default 3), whole results going to a no-op sink; the best run counts.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(QUERIES)
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = get_session(
         "bench",
         f"local[{cpus}]",

@@ -30,7 +30,8 @@ def snapshot_window(
     lo, hi = _midnight(lo), _midnight(hi)
     stamped = "ingest_date" in lake.columns
     if stamped:
-        lake = lake.filter(F.col("ingest_date").between(lo.date(), hi.date()))
+        last = hi - timedelta(microseconds=1)
+        lake = lake.filter(F.col("ingest_date").between(lo.date(), last.date()))
     if pushdown or (pushdown is None and stamped):
         return lake.filter(snapshot_time_between(F.col("time"), lo, hi))
     taken = parse_snapshot_time(F.col("time"))

@@ -20,8 +20,8 @@ def ordered_row_ids(
 ) -> DataFrame:
     """Number the rows 1..N by `order_by`, then by the remaining columns.
 
-    The ids depend on the rows alone, not on files or partitions. Range
-    partitions are sorted and numbered locally, written once, and shifted by the
+    The ids depend on the rows alone, not on files or partitions. Runs a job when
+    called: range partitions are sorted and numbered locally, written once, and shifted by the
     row counts of the partitions before them (at most `partitions` counts, the
     only thing broadcast). Equal rows get a copy number first: so a range
     boundary can fall between them, however many there are.
@@ -32,7 +32,7 @@ def ordered_row_ids(
     order = [*order_by, *rest, "_copy"]
 
     ranged = (
-        _numbered_copies(df, copies_per_task)
+        _numbered_copies(df, partitions, copies_per_task)
         .repartitionByRange(partitions, *order)
         .sortWithinPartitions(*order)
         # Partition number in the upper bits, position in the lower 33.
@@ -53,11 +53,12 @@ def ordered_row_ids(
     )
 
 
-def _numbered_copies(df: DataFrame, copies_per_task: int) -> DataFrame:
+def _numbered_copies(df: DataFrame, partitions: int, copies_per_task: int) -> DataFrame:
     """The rows of `df`, equal ones told apart by `_copy` = 1, 2, ...
 
     Counting first shrinks a hot group of copies on the map side; groups above
-    `copies_per_task` are expanded in chunks that are spread over the tasks.
+    `copies_per_task` are expanded in chunks that are spread over the tasks (of a
+    fixed number: AQE would merge the chunks, which are small until expanded).
     """
     groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
     few = groups.filter(F.col("_n") <= copies_per_task)
@@ -65,7 +66,7 @@ def _numbered_copies(df: DataFrame, copies_per_task: int) -> DataFrame:
 
     chunks = many.withColumn(
         "_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / copies_per_task).cast("bigint")))
-    ).repartition(*df.columns, "_chunk")
+    ).repartition(partitions, *df.columns, "_chunk")
     first = F.col("_chunk") * copies_per_task + 1
     last = F.least(F.col("_n"), first + (copies_per_task - 1))
     return (

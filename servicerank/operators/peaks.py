@@ -94,27 +94,23 @@ def rush_wait(
     Same result as impute_group_mean, peak_bucket and metric_in_peak, without
     reading the rows again to restrict them to the peaks: each bucket carries the
     sum and count of its daily maxima, the peak's are picked with it, and an
-    entity's mean is their total sum over their total count. Missing waits are
-    looked up after the hourly maxima, once per distinct load. `scale` divides
+    entity's mean is their total sum over their total count. `scale` divides
     last, so sums of whole waits are exact.
     """
     keys = [entity, period, bucket]
-    missing = F.col(wait).isNull()
-    means = group_means(df, wait, load)
-
-    def cells(rows: DataFrame) -> DataFrame:
-        # Known waits share one cell per hour, missing ones have one per load.
-        return rows.groupBy(
-            *keys, day, missing.alias("_missing"), F.when(missing, F.col(load)).alias("_missing_load")
-        ).agg(F.max(load).alias("_load"), F.max(wait).alias("_wait"))
-
-    near, far = (cells(rows) for rows in split_rows(df, load, missing, dense_keys))
-    filled = add_near_means(near, means, "_missing_load", load, dense_keys).unionByName(
-        add_far_means(far, means, "_missing_load", load, dense_keys, salts)
+    rows = df.select(*keys, day, load, wait)
+    means = group_means(rows, wait, load)
+    near, far = split_rows(rows, load, F.col(wait).isNull(), dense_keys)
+    near = add_near_means(near, means, load, load, dense_keys)
+    # Rows that go through a shuffle to get their mean go once per hour and load.
+    far = add_far_means(far.distinct(), means, load, load, dense_keys, salts)
+    filled = F.coalesce(F.col(wait).cast("double"), F.col("group_mean"))
+
+    hours = (
+        near.unionByName(far)
+        .groupBy(*keys, day)
+        .agg(F.max(load).alias("_load"), F.max(filled).alias("_wait"))
     )
-    cell_wait = F.when(F.col("_missing"), F.col("group_mean")).otherwise(F.col("_wait").cast("double"))
-
-    hours = filled.groupBy(*keys, day).agg(F.max("_load").alias("_load"), F.max(cell_wait).alias("_wait"))
     buckets = hours.groupBy(*keys).agg(
         F.avg("_load").alias("_avg"),
         F.struct(F.sum("_wait").alias("sum"), F.count("_wait").alias("n")).alias("_waits"),

@@ -61,9 +61,13 @@ def lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_lake_rows(feed(table(spark, sf_dir, "events")), F.col("time"))
 
 
+def unpartitioned_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lake(spark, sf_dir).drop("ingest_date")
+
+
 def queue_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Queue fact over all days of the events, by way of their text."""
-    return queue_fact(lake(spark, sf_dir), FIRST_DAY, END_DAY)
+    return queue_fact(unpartitioned_lake(spark, sf_dir), FIRST_DAY, END_DAY, pushdown=True)
 
 
 def queue(spark: SparkSession, sf_dir: str) -> DataFrame:

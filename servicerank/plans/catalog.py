@@ -120,7 +120,7 @@ def fact_queue_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_queue_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return queue_fact_of_day(b.lake(spark, sf_dir), date(2024, 1, 16))
+    return queue_fact_of_day(b.unpartitioned_lake(spark, sf_dir), date(2024, 1, 16))
 
 
 def fact_queue_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,6 +200,16 @@ def decision_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return service_point_matrix(*_facts(spark, sf_dir))
 
 
+def decision_matrix_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matrix and its names through SQL on the registered views."""
+    register_views(*_facts(spark, sf_dir), time=time_dimension(spark, _events_calendar(spark, sf_dir)))
+    return spark.sql(f"""
+        SELECT {ENTITY}, p.name, m.{MATRIX_CRITERIA[0]}, m.{MATRIX_CRITERIA[3]}
+        FROM view_decision_matrix m JOIN dim_service_point p USING ({ENTITY})
+        ORDER BY {ENTITY}
+    """)
+
+
 def normalized_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     matrix = normalize_criteria(service_point_matrix(*_facts(spark, sf_dir)))
     return _rounded(matrix, *["normalized_" + c for c in MATRIX_CRITERIA])
@@ -277,6 +287,7 @@ QUERIES: dict[str, Query] = {
     "rush_wait": rush_wait,
     "weighted_rating": weighted_rating,
     "decision_matrix": decision_matrix,
+    "decision_matrix_view": decision_matrix_view,
     "normalized_matrix": normalized_matrix,
     "ranked_report": report,
     "warehouse_report": warehouse_report,

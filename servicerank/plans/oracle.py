@@ -214,6 +214,10 @@ SELECT service_point_id, CAST(rating AS DOUBLE) AS weighted_average_review_score
 WITH {_MATRIX}
 SELECT service_point_id, {", ".join(f"{x} AS {n}" for x, n in zip(["rush_wait", "open_hours", "stops", "rating"], MATRIX_CRITERIA))}
 FROM matrix""",
+    "decision_matrix_view": f"""
+WITH {_MATRIX}
+SELECT service_point_id, name, rush_wait AS {MATRIX_CRITERIA[0]}, rating AS {MATRIX_CRITERIA[3]}
+FROM matrix JOIN points USING (service_point_id)""",
     "normalized_matrix": f"""
 WITH {_SCALED}
 SELECT service_point_id, {", ".join(f"round({x}, 6) AS normalized_{n}" for x, n in zip("abcd", MATRIX_CRITERIA))}
