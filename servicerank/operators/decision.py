@@ -48,7 +48,8 @@ def normalize_criteria(
     """Scale criteria to at most 1: x/max for a 'benefit', min/x for a 'cost'.
 
     The extremes are one aggregated row, read as a scalar subquery; no window
-    over the whole table. A division by zero fails the query, or gives NULL
+    over the whole table. `df` is read twice, so give a stored table if it is
+    costly to compute. A division by zero fails the query, or gives NULL
     with `safe`. Columns outside `criteria` are kept.
     """
     unknown = set(criteria.values()) - {"cost", "benefit"}

@@ -24,7 +24,7 @@ from servicerank.plans.report import (
     rush_hour_waits, service_point_matrix,
 )
 from servicerank.schemas import ENTITY, MATRIX_CRITERIA, REPORT_CRITERIA, SNAPSHOT_COLUMNS
-from servicerank.session import new_work_path
+from servicerank.session import materialize, new_work_path
 from servicerank.sources.lake import append_lake, count_table, ingest_snapshots, read_lake
 from servicerank.sources.snapshots import feed_schema, ingest_time, to_lake_rows
 from servicerank.sources.warehouse import (
@@ -211,8 +211,8 @@ def decision_matrix_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalized_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    matrix = normalize_criteria(service_point_matrix(*_facts(spark, sf_dir)))
-    return _rounded(matrix, *["normalized_" + c for c in MATRIX_CRITERIA])
+    matrix = materialize(service_point_matrix(*_facts(spark, sf_dir)), "matrix")
+    return _rounded(normalize_criteria(matrix), *["normalized_" + c for c in MATRIX_CRITERIA])
 
 
 def _rounded_report(report: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""From the facts to the ranked report. Everything is lazy."""
+"""From the facts to the ranked report."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from servicerank.operators.imputation import impute_group_mean
 from servicerank.operators.peaks import rush_wait
 from servicerank.operators.ratings import weighted_rating
 from servicerank.schemas import ENTITY
+from servicerank.session import materialize
 from servicerank.sources.warehouse import create_views
 
 LOAD = "customers_currently_waiting"
@@ -72,8 +73,13 @@ def ranked_report(
     label_pattern: str | None = None,
     safe: bool = False,
 ) -> DataFrame:
-    """Service points by weighted score, best first."""
-    matrix = service_point_matrix(queue, reviews, points, calendar, entity)
+    """Service points by weighted score, best first.
+
+    Runs the matrix when called and stores its one row per point: the report
+    reads it twice, for the rows and for the extremes, and Spark would otherwise
+    go through the facts for each.
+    """
+    matrix = materialize(service_point_matrix(queue, reviews, points, calendar, entity), "matrix")
     return weighted_sum_rank(matrix, points, entity, weights, label_pattern, safe)
 
 
