@@ -38,6 +38,14 @@ class Calendar:
         """Id of the minute of `ts`; meaningful within the calendar only."""
         return whole_minutes_since(self.origin, ts) + 1
 
+    def hour_number(self, time_id: Column) -> Column:
+        """Hours from the hour of the origin to the hour of an id."""
+        return F.floor((time_id - 1 + self.origin.minute) / 60)
+
+    def hour_start(self, hour_number: Column) -> Column:
+        first = self.origin.replace(minute=0, second=0, microsecond=0)
+        return ntz(first) + F.make_dt_interval(hours=hour_number.cast("int"))
+
     def columns(self, full_date: Column) -> list[Column]:
         """Attributes of a minute, in table order."""
         day = full_date.cast("date")

@@ -34,20 +34,25 @@ def split_rows(df: DataFrame, key: str, needed: Column, dense_keys: int = DENSE_
     return df.filter(~needed | dense), df.filter(needed & ~dense)
 
 
-def add_near_means(df: DataFrame, means: DataFrame, key: str, by: str, dense_keys: int = DENSE_KEYS) -> DataFrame:
-    """Add `group_mean` for dense keys, by broadcast; NULL for other keys."""
-    near = _keyed(means, by).filter(_dense(means, by, dense_keys, "_key"))
-    return df.join(F.broadcast(near), F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+def add_near_means(
+    df: DataFrame, means: DataFrame, key: str, by: str, needed: Column, dense_keys: int = DENSE_KEYS
+) -> DataFrame:
+    """Add `group_mean` where it is `needed`, by broadcast; `df` is the first part of split_rows."""
+    dense = means.filter(_dense(means, by, dense_keys))
+    # One whole number per key, NULL included, makes the broadcast an array to look up in.
+    near = dense.select(_code(dense, by).alias("_code"), "group_mean")
+    coded = df.withColumn("_key_code", F.when(needed, _code(df, key)))
+    return coded.join(F.broadcast(near), F.col("_key_code") == F.col("_code"), "left").drop("_key_code", "_code")
 
 
 def add_far_means(
     df: DataFrame, means: DataFrame, key: str, by: str, dense_keys: int = DENSE_KEYS, salts: int = SALTS
 ) -> DataFrame:
-    """Add `group_mean` for keys that are not dense, by a salted shuffle."""
-    far = _keyed(means, by).filter(~_dense(means, by, dense_keys, "_key"))
+    """Add `group_mean` by a salted shuffle; `df` is the second part of split_rows."""
+    far = means.filter(~_dense(means, by, dense_keys)).select(F.col(by).alias("_key"), "group_mean")
     copies = F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_salt") == F.col("_mean_salt"))
+    same = (F.col(key) == F.col("_key")) & (F.col("_salt") == F.col("_mean_salt"))
     return salted.join(far.withColumn("_mean_salt", F.explode(copies)), same, "left").select(*df.columns, "group_mean")
 
 
@@ -66,21 +71,27 @@ def impute_group_mean(
     group has no known value stay NULL; NULL is a group of its own. Salting
     hashes the columns of `df`, so select those that are needed.
     """
+    missing = F.col(value).isNull()
     means = group_means(df, value, by, scale)
-    near, far = split_rows(df, by, F.col(value).isNull(), dense_keys)
-    looked_up = add_near_means(near, means, by, by, dense_keys).unionByName(
+    near, far = split_rows(df, by, missing, dense_keys)
+    looked_up = add_near_means(near, means, by, by, missing, dense_keys).unionByName(
         add_far_means(far, means, by, by, dense_keys, salts)
     )
     return looked_up.select(*df.columns, F.coalesce(F.col(value) / scale, "group_mean").alias(output))
 
 
-def _keyed(means: DataFrame, by: str) -> DataFrame:
-    return means.select(F.col(by).alias("_key"), "group_mean")
+def _dense(df: DataFrame, key: str, dense_keys: int) -> Column:
+    """Whether a key is in the bounded range; of keys that are not whole numbers only NULL is."""
+    if not _is_whole(df, key):
+        return F.col(key).isNull()
+    return F.col(key).isNull() | F.col(key).between(0, dense_keys - 1)
+
+
+def _code(df: DataFrame, key: str) -> Column:
+    """A dense key as a whole number; NULL is -1."""
+    whole = F.col(key).cast("bigint") if _is_whole(df, key) else F.lit(None).cast("bigint")
+    return F.coalesce(whole, F.lit(-1).cast("bigint"))
 
 
-def _dense(df: DataFrame, key: str, dense_keys: int, name: str | None = None) -> Column:
-    """Whether a key (called `name` by now) is in the bounded range, which only whole numbers have."""
-    column = F.col(name or key)
-    if not isinstance(df.schema[key].dataType, T.IntegralType):
-        return column.isNull()
-    return column.isNull() | column.between(0, dense_keys - 1)
+def _is_whole(df: DataFrame, key: str) -> bool:
+    return isinstance(df.schema[key].dataType, T.IntegralType)

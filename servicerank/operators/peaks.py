@@ -79,9 +79,9 @@ def metric_in_peak(
 def rush_wait(
     df: DataFrame,
     entity: str,
-    period: str,
-    bucket: str,
-    day: str,
+    slot: str,
+    period: Column,
+    bucket: Column,
     load: str,
     wait: str,
     output: str,
@@ -91,31 +91,36 @@ def rush_wait(
 ) -> DataFrame:
     """Imputation, peaks and the wait in them as one chain of aggregations.
 
+    `slot` numbers the buckets of all days (hours since some time); `period` and
+    `bucket` are its day of week and hour, computed once per slot, not per row.
+
     Same result as impute_group_mean, peak_bucket and metric_in_peak, without
     reading the rows again to restrict them to the peaks: each bucket carries the
     sum and count of its daily maxima, the peak's are picked with it, and an
     entity's mean is their total sum over their total count. `scale` divides
     last, so sums of whole waits are exact.
     """
-    keys = [entity, period, bucket]
-    rows = df.select(*keys, day, load, wait)
+    rows = df.select(entity, slot, load, wait)
+    missing = F.col(wait).isNull()
     means = group_means(rows, wait, load)
-    near, far = split_rows(rows, load, F.col(wait).isNull(), dense_keys)
-    near = add_near_means(near, means, load, load, dense_keys)
-    # Rows that go through a shuffle to get their mean go once per hour and load.
+    near, far = split_rows(rows, load, missing, dense_keys)
+    near = add_near_means(near, means, load, load, missing, dense_keys)
+    # Rows that go through a shuffle to get their mean go once per slot and load.
     far = add_far_means(far.distinct(), means, load, load, dense_keys, salts)
     filled = F.coalesce(F.col(wait).cast("double"), F.col("group_mean"))
 
-    hours = (
-        near.unionByName(far)
-        .groupBy(*keys, day)
-        .agg(F.max(load).alias("_load"), F.max(filled).alias("_wait"))
+    slots = near.unionByName(far).groupBy(entity, slot).agg(F.max(load).alias("_load"), F.max(filled).alias("_wait"))
+    buckets = (
+        slots.select(entity, period.alias("_period"), bucket.alias("_bucket"), "_load", "_wait")
+        .groupBy(entity, "_period", "_bucket")
+        .agg(
+            F.avg("_load").alias("_avg"),
+            F.struct(F.sum("_wait").alias("sum"), F.count("_wait").alias("n")).alias("_waits"),
+        )
     )
-    buckets = hours.groupBy(*keys).agg(
-        F.avg("_load").alias("_avg"),
-        F.struct(F.sum("_wait").alias("sum"), F.count("_wait").alias("n")).alias("_waits"),
+    peaks = buckets.groupBy(entity, "_period").agg(
+        F.max_by("_waits", _peak_order("_avg", "_bucket")).alias("_waits")
     )
-    peaks = buckets.groupBy(entity, period).agg(F.max_by("_waits", _peak_order("_avg", bucket)).alias("_waits"))
     mean = F.sum("_waits.sum") / (F.nullif(F.sum("_waits.n"), F.lit(0)) * scale)
     return peaks.groupBy(entity).agg(F.ceil(mean).cast("bigint").alias(output))
 

@@ -25,8 +25,11 @@ PEAK = {"period": "day_of_week", "bucket": "hour", "day": "cday"}
 
 def open_queue(queue: DataFrame, calendar: Calendar = DEFAULT_CALENDAR) -> DataFrame:
     """Queue rows of open points (NULL counts as closed) with day and calendar attributes."""
-    opened = queue.filter(F.col("is_open").eqNullSafe(True))
-    return attach_calendar(opened, calendar).withColumn("cday", day_floor(F.col("full_date")))
+    return attach_calendar(_open_known(queue, calendar), calendar).withColumn("cday", day_floor(F.col("full_date")))
+
+
+def _open_known(queue: DataFrame, calendar: Calendar) -> DataFrame:
+    return queue.filter(F.col("is_open").eqNullSafe(True) & F.col("time_id").between(1, calendar.minutes))
 
 
 def imputed_wait(
@@ -41,8 +44,10 @@ def rush_hour_waits(
     queue: DataFrame, calendar: Calendar = DEFAULT_CALENDAR, entity: str = ENTITY, **options
 ) -> DataFrame:
     """Mean rush-hour wait in minutes per service point."""
+    slots = _open_known(queue, calendar).withColumn("slot", calendar.hour_number(F.col("time_id")))
+    start = calendar.hour_start(F.col("slot"))
     return rush_wait(
-        open_queue(queue, calendar), entity, **PEAK, load=LOAD, wait=WAIT, output=RUSH_WAIT, scale=60, **options
+        slots, entity, "slot", F.dayofweek(start.cast("date")), F.hour(start), LOAD, WAIT, RUSH_WAIT, 60, **options
     )
 
 

@@ -80,7 +80,10 @@ def steps(df, **options):
 
 
 def fused(df, **options):
-    return rush_wait(df, **BY, load="load", wait="wait", output="out", **options)
+    # Hours numbered as day, day of week and hour, one digit and two digits.
+    slots = df.withColumn("slot", (F.col("day") * 10 + F.col("dow")) * 100 + F.col("hour"))
+    period, bucket = F.floor(F.col("slot") / 100) % 10, F.col("slot") % 100
+    return rush_wait(slots, "id", "slot", period, bucket, "load", "wait", "out", **options)
 
 
 def test_equal_hours_go_to_the_smaller(spark):
