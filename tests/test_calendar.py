@@ -61,6 +61,14 @@ def test_arithmetic_equals_join(spark, time_zone, zone):
     assert rows(attach_calendar(facts, WEEK).select(columns)) == rows(join_calendar(facts, dim).select(columns))
 
 
+@pytest.mark.parametrize("origin", [datetime(2024, 3, 1), datetime(2024, 3, 1, 22, 37)])
+def test_hour_numbers_start_on_the_hour(spark, origin):
+    calendar = Calendar(origin, 3 * 1440)
+    start = calendar.hour_start(calendar.hour_number(F.col("time_id")))
+    off = time_dimension(spark, calendar).filter(start != F.date_trunc("HOUR", "full_date").cast("timestamp_ntz"))
+    assert off.count() == 0
+
+
 def test_no_shuffle(spark):
     df = spark.range(10).select(F.col("id").alias("time_id"))
     assert "Exchange" not in plan(time_dimension(spark))

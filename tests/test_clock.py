@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pytest
 from helpers import at
@@ -67,8 +67,6 @@ def test_sunday_week_equals_strftime(spark):
 def test_utc_now_ignores_the_zone(spark, time_zone):
     time_zone("Asia/Tokyo")
     got = at(one(spark, clock.utc_now()))
-    from datetime import timezone
-
     assert abs((datetime.now(timezone.utc).replace(tzinfo=None) - got).total_seconds()) < 60
 
 

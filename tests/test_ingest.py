@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -65,8 +66,6 @@ def test_unknown_columns_are_refused(spark):
 def test_stamps(spark, tmp_path, time_zone):
     time_zone("Asia/Tokyo")
     land(tmp_path / "src", "a.json", point(1))
-    import os
-
     os.utime(tmp_path / "src" / "a.json", (1_709_546_400, 1_709_546_400))  # 2024-03-04 10:00:00 UTC
     feed = read_snapshots(spark, str(tmp_path / "src"))
     assert to_lake_rows(feed, ingest_time("file")).first()["time"] == "24/03/04 10:00:00"
@@ -92,3 +91,14 @@ def test_stream_reads_each_file_once(spark, tmp_path):
     run()
     ingest_snapshots(spark, src, str(tmp_path / "batch"), batch_time=STAMP)
     assert rows(read_lake(spark, lake)) == rows(read_lake(spark, str(tmp_path / "batch")))
+
+
+def test_stream_stamps_each_file(spark, tmp_path):
+    for name, key, second in (("a.json", 1, 0), ("b.json", 2, 60)):
+        land(tmp_path / "src", name, point(key))
+        os.utime(tmp_path / "src" / name, (1_709_546_400 + second,) * 2)
+    stream_snapshots(
+        spark, str(tmp_path / "src"), str(tmp_path / "lake"), str(tmp_path / "checkpoint"), stamp="file"
+    ).awaitTermination()
+    got = read_lake(spark, str(tmp_path / "lake")).select("id", "time")
+    assert rows(got) == [("1", "24/03/04 10:00:00"), ("2", "24/03/04 10:01:00")]
