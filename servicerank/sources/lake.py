@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,18 +19,42 @@ def stored_lake_schema() -> T.StructType:
 
 
 def append_lake(rows: DataFrame, lake: str) -> None:
-    """Append rows of to_lake_rows."""
+    """Append rows of to_lake_rows to a folder that no stream writes to."""
+    if written_by_stream(rows.sparkSession, lake):
+        raise ValueError(f"{lake} is written by a stream, whose log would hide appended files; use another folder")
     rows.write.mode("append").partitionBy("ingest_date").parquet(lake)
 
 
-def read_lake(spark: SparkSession, lake: str) -> DataFrame:
-    """Raw rows and their `ingest_date`, on which readers prune."""
-    return spark.read.schema(stored_lake_schema()).parquet(lake)
+def read_lake(spark: SparkSession, *lakes: str) -> DataFrame:
+    """Raw rows and their `ingest_date`, on which readers prune.
+
+    Several folders, such as a streamed and an appended one, are read as one lake.
+    """
+    reader = spark.read.schema(stored_lake_schema())
+    return reduce(DataFrame.unionAll, [reader.parquet(lake) for lake in lakes])
+
+
+def written_by_stream(spark: SparkSession, lake: str) -> bool:
+    """Whether a folder has a stream's log of committed files; readers of it see those files only."""
+    return _has_files(spark, f"{lake}/_spark_metadata")
+
+
+def written_by_batch(spark: SparkSession, lake: str) -> bool:
+    return not written_by_stream(spark, lake) and _has_files(spark, lake)
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    try:
+        return bool(spark.read.text(path).inputFiles())
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
-def load_summary(spark: SparkSession, lake: str) -> DataFrame:
+def load_summary(spark: SparkSession, *lakes: str) -> DataFrame:
     """Row and column count of the whole lake."""
-    return count_table(read_lake(spark, lake).select(SNAPSHOT_COLUMNS))
+    return count_table(read_lake(spark, *lakes).select(SNAPSHOT_COLUMNS))
 
 
 def count_table(df: DataFrame) -> DataFrame:

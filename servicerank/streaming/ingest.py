@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from servicerank.sources.lake import written_by_batch
 from servicerank.sources.snapshots import feed_schema, ingest_time, json_options, to_lake_rows
 
 
@@ -27,8 +28,12 @@ def stream_snapshots(
 
     By default the query reads what has landed since the last run and stops; a
     `trigger` such as {"processingTime": "1 minute"} keeps it running. Stateless:
-    every snapshot is kept, so there is nothing to wait for or to expire.
+    every snapshot is kept, so there is nothing to wait for or to expire. The
+    lake is a folder of its own: the log by which each file counts once would
+    hide files that something else appends.
     """
+    if written_by_batch(spark, lake):
+        raise ValueError(f"{lake} holds appended files, which a stream's log would hide; use another folder")
     options = json_options(multi_line)
     if files_per_batch:
         options["maxFilesPerTrigger"] = str(files_per_batch)

@@ -102,3 +102,15 @@ def test_stream_stamps_each_file(spark, tmp_path):
     ).awaitTermination()
     got = read_lake(spark, str(tmp_path / "lake")).select("id", "time")
     assert rows(got) == [("1", "24/03/04 10:00:00"), ("2", "24/03/04 10:01:00")]
+
+
+def test_streamed_and_appended_folders_do_not_mix(spark, tmp_path):
+    land(tmp_path / "src", "a.json", point(1))
+    src, streamed, appended = (str(tmp_path / n) for n in ("src", "streamed", "appended"))
+    ingest_snapshots(spark, src, appended, batch_time=STAMP)
+    stream_snapshots(spark, src, streamed, str(tmp_path / "c1"), batch_time=STAMP).awaitTermination()
+    with pytest.raises(ValueError, match="written by a stream"):
+        ingest_snapshots(spark, src, streamed)
+    with pytest.raises(ValueError, match="appended files"):
+        stream_snapshots(spark, src, appended, str(tmp_path / "c2"))
+    assert read_lake(spark, streamed, appended).count() == 2
