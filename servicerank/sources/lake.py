@@ -36,19 +36,20 @@ def read_lake(spark: SparkSession, *lakes: str) -> DataFrame:
 
 def written_by_stream(spark: SparkSession, lake: str) -> bool:
     """Whether a folder has a stream's log of committed files; readers of it see those files only."""
-    return _has_files(spark, f"{lake}/_spark_metadata")
+    return _files(spark, f"{lake}/_spark_metadata") is not None
 
 
 def written_by_batch(spark: SparkSession, lake: str) -> bool:
-    return not written_by_stream(spark, lake) and _has_files(spark, lake)
+    return not written_by_stream(spark, lake) and bool(_files(spark, lake))
 
 
-def _has_files(spark: SparkSession, path: str) -> bool:
+def _files(spark: SparkSession, path: str) -> list[str] | None:
+    """Data files under a path, None if there is no such path."""
     try:
-        return bool(spark.read.text(path).inputFiles())
+        return spark.read.text(path).inputFiles()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return False
+            return None
         raise
 
 
