@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from servicerank.operators.calendar import DEFAULT_CALENDAR, Calendar
@@ -17,7 +17,7 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
 
 def null_keys(df: DataFrame, key: list[str]) -> DataFrame:
     """Rows whose key has a NULL part."""
-    return df.filter(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in key]))
+    return df.filter(_any_null(key))
 
 
 def orphan_keys(fact: DataFrame, foreign_key: list[str], dim: DataFrame, key: list[str]) -> DataFrame:
@@ -44,21 +44,29 @@ def audit_keys(
 
     `foreign_keys` maps a column to (dimension, its key column).
     """
-    checks = {
-        "duplicate primary key": duplicate_keys(df, primary_key),
-        "null primary key": _key_counts(null_keys(df, primary_key), primary_key),
-    }
+    counts = _key_counts(df, primary_key)
+    own = {"duplicate primary key": F.col("n_rows") > 1, "null primary key": _any_null(primary_key)}
+    audits = [_totals(counts, own)]
     for column, (dim, key) in (foreign_keys or {}).items():
-        checks[f"orphan {column}"] = orphan_keys(df, [column], dim, [key])
-    totals = [
-        bad.agg(
+        audits.append(_totals(orphan_keys(df, [column], dim, [key]), {f"orphan {column}": F.lit(True)}))
+    return reduce(DataFrame.unionAll, audits)
+
+
+def _totals(counts: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    """Keys and rows that meet each condition, in one pass."""
+    bad = [
+        F.struct(
             F.lit(name).alias("check_name"),
-            F.count(F.lit(1)).alias("bad_keys"),
-            F.coalesce(F.sum("n_rows"), F.lit(0)).alias("bad_rows"),
+            F.count_if(condition).alias("bad_keys"),
+            F.coalesce(F.sum(F.when(condition, F.col("n_rows"))), F.lit(0)).alias("bad_rows"),
         )
-        for name, bad in checks.items()
+        for name, condition in checks.items()
     ]
-    return reduce(DataFrame.unionAll, totals)
+    return counts.agg(F.array(*bad).alias("checks")).select(F.inline("checks"))
+
+
+def _any_null(key: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in key])
 
 
 def _key_counts(df: DataFrame, key: list[str]) -> DataFrame:

@@ -30,6 +30,9 @@ def read_snapshots(
 ) -> DataFrame:
     """Snapshot files, each a JSON array of objects (or JSON lines).
 
+    An array is read by one task, as one poll's worth should be; large files are
+    better landed as lines, which split.
+
     Text columns keep the JSON text of numbers, booleans and lists; declare
     other types in `schema` to have them spelled by to_lake_rows.
     """
