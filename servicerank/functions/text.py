@@ -13,8 +13,12 @@ def strict_long(text: Column) -> Column:
 
 
 def safe_long(text: Column) -> Column:
-    """Integer text as a long; other text ('12.0', 'None') is NULL."""
-    return text.try_cast("bigint")
+    """Integer text as a long; other text ('12.0', 'None') is NULL.
+
+    The pattern keeps the usual 'None' from the cast, where every failure costs
+    an exception; integers out of range are left to it.
+    """
+    return F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), text.try_cast("bigint"))
 
 
 def safe_bool(text: Column) -> Column:

@@ -90,7 +90,10 @@ def attach_calendar(
 
 
 def join_time_id(df: DataFrame, ts: str, dim: DataFrame) -> DataFrame:
-    """Join form of attach_time_id, for a `dim` that is not a plain minute series."""
+    """Join form of attach_time_id, for a `dim` that is not a plain minute series.
+
+    Shuffles the rows by minute unless `dim` is small; AQE splits a hot minute.
+    """
     keys = dim.select("time_id", F.col("full_date").alias(ts))
     return df.join(keys, ts, "inner")
 

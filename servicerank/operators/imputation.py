@@ -7,7 +7,9 @@ looked up:
 * keys that are NULL or in [0, dense_keys) have at most dense_keys + 1 means,
   whatever the data, so those are broadcast;
 * the remaining keys are joined by shuffle, and only for rows that miss a value,
-  with every key spread over `salts` partitions.
+  with every key spread over `salts` partitions, which AQE splits further if they
+  are still large. Each of these means is sent `salts` times: set it to 1 for
+  keys that are many and even.
 
 Both filters reach a Parquet scan, which skips the row groups the second part
 does not need - usually all of them.
