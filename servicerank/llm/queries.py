@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from servicerank.llm import quality
 from servicerank.llm.bpe import encode_decode
 from servicerank.llm.exact_dedup import exact_groups
+from servicerank.llm.token_counts import EDITS, count_tokens
 
 
 def tokenizer_path() -> str:
@@ -30,9 +33,37 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), tokenizer_path(), outputs)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "n_passages",
+    )
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text before and after three edits: words put into upper case, a cut, an appended line."""
+    docs = table(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit(""))
+    third, size = F.floor(F.length(text) / 3), F.length(text)
+    edits = F.array(
+        F.struct(third.alias("start"), (third + 40).alias("stop"), F.upper(text.substr(third + 1, F.lit(40))).alias("replacement")),
+        F.struct((2 * third).alias("start"), (2 * third + 25).alias("stop"), F.lit("").alias("replacement")),
+        F.struct(size.cast("bigint").alias("start"), size.cast("bigint").alias("stop"), F.lit("\nRead more.").alias("replacement")),
+    ).cast(EDITS)
+    counted = count_tokens(docs, tokenizer_path(), edits)
+    return counted.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op5_bpe": op5_bpe,
+    "op6_quality": op6_quality,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE_SQL = {
