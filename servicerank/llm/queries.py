@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from servicerank.llm import quality
 from servicerank.llm.bpe import encode_decode
 from servicerank.llm.exact_dedup import exact_groups
+from servicerank.llm.ngram_join import ShingleJoin
 from servicerank.llm.token_counts import EDITS, count_tokens
 
 
@@ -24,6 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ShingleJoin(table(spark, sf_dir, "documents")).groups()
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -60,6 +65,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_bpe": op5_bpe,
     "op6_quality": op6_quality,
