@@ -11,6 +11,7 @@ from servicerank.llm import quality
 from servicerank.llm.bpe import encode_decode
 from servicerank.llm.exact_dedup import exact_groups
 from servicerank.llm.ngram_join import ShingleJoin
+from servicerank.llm.suffix_dedup import remove_repeats
 from servicerank.llm.token_counts import EDITS, count_tokens
 
 
@@ -29,6 +30,10 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ShingleJoin(table(spark, sf_dir, "documents")).groups()
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -66,6 +71,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_bpe": op5_bpe,
     "op6_quality": op6_quality,
