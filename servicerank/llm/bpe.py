@@ -11,9 +11,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +21,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from servicerank.llm import arrays
+
 #: Fixed value: the published pattern that cuts text before byte-level merges.
 PRE_TOKENS = regex.compile(
     r"'(?:[stmd]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -44,7 +46,7 @@ PRE_TOKENS_RECENT = regex.compile(
     .replace(r"\p{N}+", rf"(?:(?![{_RECENT}])\p{{N}})+")
 )
 #: Pre-tokens remembered by a worker; beyond it the memory starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
 OUTPUTS = {
     "n_tokens": T.LongType(),
     "ids": T.ArrayType(T.IntegerType()),
@@ -84,8 +86,12 @@ class ByteBpe:
         for rank, pair in enumerate(model["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
             self.merges.setdefault((vocabulary[left], vocabulary[right]), (rank, vocabulary[left + right]))
-        self._size = size
+        self._size, self._no_rank = size, len(model["merges"])
+        self._rank_of = {pair: rank for pair, (rank, _) in self.merges.items()}
+        self._made_by = {rank: whole for rank, whole in self.merges.values()}
         self._tables()
+        self.pieces = Spelling(self.bytes_of)
+        self.numerals = Spelling([b"%d," % i for i in range(size)])
         self.forget()
 
     def _tables(self) -> None:
@@ -130,24 +136,22 @@ class ByteBpe:
         # A token that its own bytes do not merge to can't be proposed.
         own = [t for t in made if self.merge(self.bytes_of[t]) != [t]] if len(made) else []
         self._proposed = {self.bytes_of[t]: t for t in tokens if t not in set(own)}
-        self._longest: dict[bytes, int] = {}
-        for token in self._proposed:
-            for head in {token[:1], token[:2]}:
-                self._longest[head] = max(self._longest.get(head, 1), len(token))
+        # All beginnings of proposable tokens: the token, or -1 where only longer ones go on.
+        self._begins = {t[:n]: -1 for t in self._proposed for n in range(1, len(t))} | self._proposed
 
     def merge(self, word: bytes) -> list[int]:
         """Exact merging: the lowest-ranked pair first, leftmost first."""
         symbols = [self.byte_id[b] for b in word]
-        merges = self.merges
-        while len(symbols) > 1:
-            best, at = None, -1
-            for i in range(len(symbols) - 1):
-                found = merges.get((symbols[i], symbols[i + 1]))
-                if found is not None and (best is None or found[0] < best[0]):
-                    best, at = found, i
-            if best is None:
-                break
-            symbols[at : at + 2] = [best[1]]
+        rank_of, none = self._rank_of.get, self._no_rank
+        ranks = [rank_of(pair, none) for pair in pairwise(symbols)]
+        while ranks and (best := min(ranks)) != none:
+            at = ranks.index(best)
+            symbols[at : at + 2] = [self._made_by[best]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank_of((symbols[at - 1], symbols[at]), none)
+            if at < len(ranks):
+                ranks[at] = rank_of((symbols[at], symbols[at + 1]), none)
         return symbols
 
     def merge_long(self, word: bytes) -> list[int]:
@@ -180,14 +184,15 @@ class ByteBpe:
     def propose(self, word: bytes) -> list[int]:
         """Greedy longest match."""
         out, at, end = [], 0, len(word)
-        proposed, longest = self._proposed, self._longest
+        find = self._begins.get
         while at < end:
-            head = word[at : at + 2]
-            length = min(longest.get(head, 1), end - at)
-            while (token := proposed.get(word[at : at + length])) is None:
-                length -= 1
+            token, size, tried = self.byte_id[word[at]], 1, 2
+            while at + tried <= end and (found := find(word[at : at + tried])) is not None:
+                if found >= 0:
+                    token, size = found, tried
+                tried += 1
             out.append(token)
-            at += length
+            at += size
         return out
 
     def compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -231,14 +236,17 @@ class ByteBpe:
             proposals[i] = self.merge(word) if len(word) < 64 else self.merge_long(word)
         return proposals
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
     def forget(self) -> None:
-        self.ids_of: dict[str, tuple[int, ...]] = {t: (i,) for t, i in self.special.items()}
-        self.spelled: dict[str, str] = {t: str(i) for t, i in self.special.items()}
-        self.restored: dict[str, bytes] = {t: t.encode() for t in self.special}
-        self.counts: dict[str, int] = dict.fromkeys(self.special, 1)
+        """Drop the remembered pre-tokens; only special tokens stay."""
+        self.index = {t: i for i, t in enumerate(self.special)}
+        numbers = [*self.special.values()]
+        self._ids, self._used = np.zeros(1 << 12, np.int32), len(numbers)
+        self._ids[: len(numbers)] = numbers
+        self._begin, self._count = np.zeros(1 << 12, np.int64), np.ones(1 << 12, np.int32)
+        self._begin[: len(numbers)] = np.arange(len(numbers))
 
     def cut(self, text: str) -> list[str]:
         """Pre-tokens of a text; special tokens are cut out first."""
@@ -252,19 +260,60 @@ class ByteBpe:
             at = found.end()
         return out + pattern.findall(text, at)
 
-    def learn(self, words: list[list[str]]) -> None:
+    def learn(self, words: Iterable[list[str]]) -> None:
         """Encode the pre-tokens that aren't remembered yet."""
-        if len(self.counts) > REMEMBERED:
+        if len(self.index) > REMEMBERED:
             self.forget()
-        new = set().union(*words).difference(self.counts)
+        new = list(set().union(*words).difference(self.index))
         if not new:
             return
-        listed = list(new)
-        for word, ids in zip(listed, self.encode_words([w.encode() for w in listed]), strict=True):
-            self.ids_of[word] = tuple(ids)
-            self.spelled[word] = ",".join(map(str, ids))
-            self.restored[word] = self.decode(ids)
-            self.counts[word] = len(ids)
+        found = self.encode_words([w.encode() for w in new])
+        sizes = np.fromiter(map(len, found), np.int32, len(found))
+        first, total = len(self.index), int(sizes.sum())
+        self._ids = _grown(self._ids, self._used + total)
+        self._begin, self._count = _grown(self._begin, first + len(new)), _grown(self._count, first + len(new))
+        self._ids[self._used : self._used + total] = np.fromiter(chain.from_iterable(found), np.int32, total)
+        self._count[first : first + len(new)] = sizes
+        self._begin[first : first + len(new)] = self._used + np.cumsum(sizes) - sizes
+        self._used += total
+        self.index.update(zip(new, range(first, first + len(new)), strict=True))
+
+    def _places(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+
+    def counts(self, words: list[str]) -> np.ndarray:
+        """Number of tokens of each learned pre-token."""
+        return self._count[self._places(words)]
+
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of learned pre-tokens, one after the other, and how many each has."""
+        places = self._places(words)
+        sizes = self._count[places].astype(np.int64)
+        return self._ids[arrays.ragged(self._begin[places], sizes)], sizes
+
+
+def _grown(array: np.ndarray, size: int) -> np.ndarray:
+    if size <= len(array):
+        return array
+    out = np.zeros(max(size, 2 * len(array)), array.dtype)
+    out[: len(array)] = array
+    return out
+
+
+class Spelling:
+    """Byte strings of all ids, joined for whole arrays of ids at once."""
+
+    def __init__(self, strings: list[bytes]) -> None:
+        self.size = np.fromiter(map(len, strings), np.int64, len(strings))
+        self.begin = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(strings), np.uint8)
+
+    def join(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The strings of `ids` one after the other, and where each begins and the last ends."""
+        sizes = self.size[ids]
+        ends = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(sizes, out=ends[1:])
+        return self.data[arrays.ragged(self.begin[ids], sizes)].tobytes(), ends
 
 
 @lru_cache(maxsize=4)
@@ -307,21 +356,16 @@ def encode_decode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        make = {
-            "n_tokens": lambda words: sum(map(bpe.counts.__getitem__, words)),
-            "ids": lambda words: list(chain.from_iterable(map(bpe.ids_of.__getitem__, words))),
-            "decoded": lambda words: b"".join(map(bpe.restored.__getitem__, words)).decode("utf-8", "replace"),
-            "ids_sha256": lambda words: hashlib.sha256(",".join(map(bpe.spelled.__getitem__, words)).encode()).hexdigest(),
-            "decoded_sha256": lambda words: hashlib.sha256(
-                b"".join(map(bpe.restored.__getitem__, words)).decode("utf-8", "replace").encode()
-            ).hexdigest(),
-        }
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for first, last in slices(texts):
                 words = [bpe.cut(t) for t in texts[first:last]]
                 bpe.learn(words)
-                columns = [pa.array([make[o](w) for w in words], OUTPUT_ARROW[o]) for o in outputs]
+                ids, sizes = bpe.ids(list(chain.from_iterable(words)))
+                word_ends = np.cumsum([0, *map(len, words)])
+                ends = np.append(0, np.cumsum(sizes))[word_ends]
+                spans = list(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True))
+                columns = [_output(o, bpe, ids, spans) for o in outputs]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, last - first), *columns], [id_column, *outputs]
                 )
@@ -329,10 +373,16 @@ def encode_decode(
     return docs.select(id_column, text_column).mapInArrow(run, schema)
 
 
-OUTPUT_ARROW = {
-    "n_tokens": pa.int64(),
-    "ids": pa.list_(pa.int32()),
-    "decoded": pa.string(),
-    "ids_sha256": pa.string(),
-    "decoded_sha256": pa.string(),
-}
+def _output(name: str, bpe: ByteBpe, ids: np.ndarray, spans: list[tuple[int, int]]) -> pa.Array:
+    if name == "n_tokens":
+        return pa.array([b - a for a, b in spans], pa.int64())
+    if name == "ids":
+        return pa.array([ids[a:b] for a, b in spans], pa.list_(pa.int32()))
+    joined, ends = (bpe.numerals if name == "ids_sha256" else bpe.pieces).join(ids)
+    cut = [joined[ends[a] : ends[b]] for a, b in spans]
+    if name == "ids_sha256":
+        return pa.array([hashlib.sha256(c[:-1]).hexdigest() for c in cut], pa.string())
+    texts = [c.decode("utf-8", "replace") for c in cut]
+    if name == "decoded":
+        return pa.array(texts, pa.string())
+    return pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from servicerank.llm.bpe import PRE_TOKENS, PRE_TOKENS_RECENT, RECENT, ByteBpe, load
+from servicerank.llm.bpe import PRE_TOKENS, PRE_TOKENS_RECENT, RECENT, ByteBpe, load, slices
 
 #: Pre-tokens in a block.
 BLOCK = 32
@@ -32,55 +32,51 @@ EDITS = T.ArrayType(
 
 
 class CountedText:
-    """A text, its token count, and the tree that keeps the count right under edits."""
+    """A text and the tree that keeps its token count right under edits.
 
-    def __init__(self, bpe: ByteBpe, text: str) -> None:
+    Counts of re-encoded blocks are looked up by `settle`, for many texts at once.
+    """
+
+    def __init__(self, bpe: ByteBpe, text: str, pieces: list[str]) -> None:
+        """`pieces`: the pre-tokens of `text`, learned already."""
         self.bpe, self.text = bpe, text
         self.encoded = 0
-        # A pre-token depends on the text before the end of a special token, or a contraction, after it.
+        # A pre-token depends on the text behind it: the end of a special token, or of a contraction.
         self.context = max([3, *map(len, bpe.special)])
-        self._build(*self._blocks(text))
+        self.pending: dict[int, list[str]] = {}
+        cuts = range(0, len(pieces), BLOCK)
+        counts = np.add.reduceat(bpe.counts(pieces), [*cuts]).tolist() if pieces else []
+        self._build([sum(map(len, pieces[i : i + BLOCK])) for i in cuts], counts)
 
     @property
     def n_tokens(self) -> int:
-        return int(self.tokens[1])
-
-    def _blocks(self, text: str) -> tuple[list[int], list[int]]:
-        pieces = self.bpe.cut(text)
-        self.bpe.learn([pieces])
-        counts = self.bpe.counts
-        groups = [pieces[i : i + BLOCK] for i in range(0, len(pieces), BLOCK)]
-        return [sum(map(len, g)) for g in groups], [sum(map(counts.__getitem__, g)) for g in groups]
+        assert not self.pending, "settle first"
+        return self.tokens[1]
 
     def _build(self, lengths: list[int], tokens: list[int]) -> None:
         """Heap-ordered trees: node i has children 2i and 2i + 1, leaves come last."""
         self.leaves = 1 << max(0, len(lengths) - 1).bit_length()
-        self.lengths = np.zeros(2 * self.leaves, np.int64)
-        self.tokens = np.zeros(2 * self.leaves, np.int64)
-        for tree, values in ((self.lengths, lengths), (self.tokens, tokens)):
-            tree[self.leaves : self.leaves + len(values)] = values
-            level = self.leaves
-            while level > 1:
-                tree[level // 2 : level] = tree[level : 2 * level : 2] + tree[level + 1 : 2 * level : 2]
-                level //= 2
+        self.lengths, self.tokens = ([0] * self.leaves + v + [0] * (self.leaves - len(v)) for v in (lengths, tokens))
+        for tree in (self.lengths, self.tokens):
+            for node in range(self.leaves - 1, 0, -1):
+                tree[node] = tree[2 * node] + tree[2 * node + 1]
 
     def _leaf_at(self, position: int) -> tuple[int, int]:
         """The block that holds a position, and where the block starts."""
-        node, start = 1, 0
+        node, start, lengths = 1, 0, self.lengths
         while node < self.leaves:
             node *= 2
-            if position >= start + self.lengths[node]:
-                start += int(self.lengths[node])
+            if position >= start + lengths[node]:
+                start += lengths[node]
                 node += 1
         return node - self.leaves, start
 
-    def _set(self, leaf: int, length: int, tokens: int) -> None:
+    def _set(self, tree: list[int], leaf: int, value: int) -> None:
         node = leaf + self.leaves
-        self.lengths[node], self.tokens[node] = length, tokens
-        while node > 1:
+        change = value - tree[node]
+        while change and node:
+            tree[node] += change
             node //= 2
-            self.lengths[node] = self.lengths[2 * node] + self.lengths[2 * node + 1]
-            self.tokens[node] = self.tokens[2 * node] + self.tokens[2 * node + 1]
 
     def edit(self, start: int, stop: int, replacement: str) -> None:
         """Replace text[start:stop]; positions beyond the text mean its end."""
@@ -90,16 +86,17 @@ class CountedText:
         if start == stop and not replacement:
             return
         first, begin = self._leaf_at(max(0, min(start, size - 1) - self.context)) if size else (0, 0)
-        # The unchanged blocks after the edit, by where they start in the old text.
+        # The first block behind the edit, by where it starts in the old text.
         leaf, at = self._leaf_at(min(stop, size - 1)) if size else (0, 0)
+        at += self.lengths[self.leaves + leaf]
+        leaf += 1
         self.text = self.text[:start] + replacement + self.text[stop:]
         shift = len(self.text) - size
-        leaf, at = leaf + 1, at + int(self.lengths[self.leaves + leaf])
 
-        count, position, gathered = 0, begin, []
+        position, gathered = begin, []
         for piece, end in self._pieces(begin):
             while at + shift < end and leaf < self.leaves:
-                at += int(self.lengths[self.leaves + leaf])
+                at += self.lengths[self.leaves + leaf]
                 leaf += 1
             gathered.append(piece)
             position = end
@@ -107,26 +104,36 @@ class CountedText:
                 break
         else:
             leaf = self.leaves
-        self.bpe.learn([gathered])
-        count = sum(map(self.bpe.counts.__getitem__, gathered))
         self.encoded += position - begin
         for other in range(first + 1, leaf):
-            if self.lengths[self.leaves + other] or self.tokens[self.leaves + other]:
-                self._set(other, 0, 0)
-        self._set(first, position - begin, count)
-        if self.lengths[self.leaves + first] > 64 * BLOCK * 8:
-            self._split(first, gathered)
-
-    def _split(self, leaf: int, pieces: list[str]) -> None:
-        """Cut a block that edits made too long, so that later edits stay local."""
-        counts = self.bpe.counts
-        groups = [pieces[i : i + BLOCK] for i in range(0, len(pieces), BLOCK)]
-        at = self.leaves
-        lengths, tokens = list(self.lengths[at:]), list(self.tokens[at:])
-        lengths[leaf : leaf + 1] = [sum(map(len, g)) for g in groups]
-        tokens[leaf : leaf + 1] = [sum(map(counts.__getitem__, g)) for g in groups]
-        used = [i for i, n in enumerate(lengths) if n]
-        self._build([lengths[i] for i in used], [tokens[i] for i in used])
+            self.pending.pop(other, None)
+            self._set(self.lengths, other, 0)
+            self._set(self.tokens, other, 0)
+        self._set(self.lengths, first, position - begin)
+        self.pending[first] = gathered
+
+    def settle(self) -> None:
+        """Count the tokens of re-encoded blocks; their pre-tokens are learned already.
+
+        A block that edits made long is cut up, so that later edits stay local.
+        """
+        for leaf, pieces in self.pending.items():
+            self._set(self.tokens, leaf, int(self.bpe.counts(pieces).sum()) if pieces else 0)
+        long = {i: p for i, p in self.pending.items() if len(p) > 8 * BLOCK}
+        self.pending = {}
+        if long:
+            lengths, tokens = [], []
+            for i in range(self.leaves):
+                pieces = long.get(i)
+                if pieces is None:
+                    lengths.append(self.lengths[self.leaves + i])
+                    tokens.append(self.tokens[self.leaves + i])
+                    continue
+                for at in range(0, len(pieces), BLOCK):
+                    lengths.append(sum(map(len, pieces[at : at + BLOCK])))
+                    tokens.append(int(self.bpe.counts(pieces[at : at + BLOCK]).sum()))
+            used = [i for i, n in enumerate(lengths) if n]
+            self._build([lengths[i] for i in used], [tokens[i] for i in used])
 
     def _pieces(self, begin: int) -> Iterator[tuple[str, int]]:
         """Pre-tokens of the text from a border on, and where each ends."""
@@ -199,20 +206,27 @@ def count_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                part = batch.slice(first, 256)
-                out = []
-                for text, changes in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
-                    counted = CountedText(bpe, text or "")
-                    before = counted.n_tokens
-                    changes = [c for c in changes or [] if c is not None]
-                    for c in changes:
-                        counted.edit(c["start"] or 0, c["stop"] or 0, c["replacement"] or "")
-                    out.append((before, counted.n_tokens, len(changes), counted.encoded, counted.text))
-                columns = list(zip(*out, strict=True))
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], schema.names
+            for first, last in slices([t or "" for t in batch.column(1).to_pylist()]):
+                part = batch.slice(first, last - first)
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                changes = [[c for c in e or [] if c is not None] for e in part.column(2).to_pylist()]
+                pieces = [bpe.cut(t) for t in texts]
+                bpe.learn(pieces)
+                trees = [CountedText(bpe, t, p) for t, p in zip(texts, pieces, strict=True)]
+                before = [t.n_tokens for t in trees]
+                for tree, edits in zip(trees, changes, strict=True):
+                    for c in edits:
+                        tree.edit(c["start"] or 0, c["stop"] or 0, c["replacement"] or "")
+                bpe.learn(p for t in trees for p in t.pending.values())
+                for tree in trees:
+                    tree.settle()
+                columns = (
+                    (before, pa.int64()),
+                    ([t.n_tokens for t in trees], pa.int64()),
+                    ([len(c) for c in changes], pa.int32()),
+                    ([t.encoded for t in trees], pa.int64()),
+                    ([t.text for t in trees], pa.string()),
                 )
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, k) for c, k in columns)], schema.names)
 
     return rows.mapInArrow(run, schema)
