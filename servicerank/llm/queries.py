@@ -11,6 +11,7 @@ from servicerank.llm import quality
 from servicerank.llm.bpe import encode_decode
 from servicerank.llm.exact_dedup import exact_groups
 from servicerank.llm.ngram_join import ShingleJoin
+from servicerank.llm.substring_dedup import remove_repeated_words
 from servicerank.llm.suffix_dedup import remove_repeats
 from servicerank.llm.token_counts import EDITS, count_tokens
 
@@ -55,6 +56,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_words(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text before and after three edits: words put into upper case, a cut, an appended line."""
     docs = table(spark, sf_dir, "documents")
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op5_bpe": op5_bpe,
     "op6_quality": op6_quality,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
 }
 
