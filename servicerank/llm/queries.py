@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from servicerank.llm import quality
 from servicerank.llm.bpe import encode_decode
+from servicerank.llm.decontaminate import report
 from servicerank.llm.exact_dedup import exact_groups
 from servicerank.llm.ngram_join import ShingleJoin
 from servicerank.llm.substring_dedup import remove_repeated_words
@@ -56,6 +57,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_words(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op5_bpe": op5_bpe,
     "op6_quality": op6_quality,
+    "op8_decontaminate": op8_decontaminate,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
 }
@@ -97,4 +103,42 @@ ORACLE_SQL = {
                doc_id = first_value(doc_id) OVER (PARTITION BY content ORDER BY n DESC, doc_id) AS kept,
                sha256(content) AS text_sha256
         FROM squeezed""",
+    "op8_decontaminate": r"""
+        WITH cut AS (
+            SELECT 'd' AS kind, doc_id AS id, text FROM documents
+            UNION ALL SELECT 'i', item_id, text FROM benchmark
+        ), words AS (
+            SELECT kind, id, list_filter(
+                regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+            FROM cut
+        ), counted AS (
+            SELECT kind, id, w, CASE WHEN len(w) = 0 THEN 0 ELSE greatest(len(w) - 4, 1) END AS n FROM words
+        ), shingles AS (
+            SELECT kind, id, n, p, array_to_string(w[p + 1:p + 5], ' ') AS s
+            FROM (SELECT *, unnest(range(n)) AS p FROM counted)
+        ), items AS (
+            SELECT id AS item_id, n AS m, s, count(*) AS in_item FROM shingles WHERE kind = 'i' GROUP BY ALL
+        ), hits AS (
+            SELECT d.id AS doc_id, d.n, d.p, i.item_id, i.m
+            FROM shingles d JOIN items i USING (s) WHERE d.kind = 'd'
+        ), starts AS (
+            SELECT DISTINCT doc_id, n, item_id, m,
+                   unnest(range(greatest(p - m + 1, 0), least(p, greatest(n - m, 0)) + 1)) AS start
+            FROM hits
+        ), held AS (
+            SELECT t.doc_id, t.item_id, t.m, t.start, d.s, count(*) AS in_window
+            FROM starts t JOIN shingles d ON d.kind = 'd' AND d.id = t.doc_id AND d.p BETWEEN t.start AND t.start + t.m - 1
+            GROUP BY ALL
+        ), compared AS (
+            SELECT h.doc_id, h.item_id, h.m, h.start, sum(h.in_window) AS n,
+                   sum(least(h.in_window, coalesce(i.in_item, 0))) AS shared
+            FROM held h LEFT JOIN items i ON i.item_id = h.item_id AND i.s = h.s GROUP BY ALL
+        ), found AS (
+            SELECT doc_id, item_id, max(shared / (n + m - shared)) AS similarity
+            FROM compared WHERE 100 * shared >= 80 * (n + m - shared) GROUP BY ALL
+        )
+        SELECT doc_id, count(item_id) > 0 AS contaminated, count(item_id) AS n_items,
+               coalesce(string_agg(item_id, ',' ORDER BY item_id), '') AS item_ids,
+               coalesce(max(similarity), 0.0) AS similarity
+        FROM documents LEFT JOIN found USING (doc_id) GROUP BY doc_id""",
 }
