@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from servicerank.llm import quality
+from servicerank.llm import html_extract, quality
 from servicerank.llm.bpe import encode_decode
 from servicerank.llm.decontaminate import report
 from servicerank.llm.exact_dedup import exact_groups
@@ -40,6 +40,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.train(pages))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     outputs = ("n_tokens", "ids_sha256", "decoded_sha256")
     return encode_decode(table(spark, sf_dir, "documents"), tokenizer_path(), outputs)
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_html_extract": op4_html_extract,
     "op5_bpe": op5_bpe,
     "op6_quality": op6_quality,
     "op8_decontaminate": op8_decontaminate,
