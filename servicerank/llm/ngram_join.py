@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from servicerank.llm import arrays
@@ -23,9 +23,15 @@ from servicerank.llm.components import components
 from servicerank.session import materialize
 
 #: Coordinates of a point, and groups whose counts order shingles from rare to common.
-GROUPS, RARITY_BITS = 64, 16
+GROUPS, RARITY_BITS = 256, 16
+#: Largest coordinate of a point; the bounds add what a set holds beyond it.
+MOST = 65_535
 #: Points in a leaf of the tree.
 LEAF = 64
+#: Shingle groups this many times as full as the mean may hold a hot shingle, which is looked up by partial aggregates.
+HOT = 4
+#: Texts below one shingle from which several of them, not one, are compared with all first; and how many.
+CROWD, PIVOTS = 16, 4
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -126,7 +132,7 @@ class ShingleJoin:
                         pa.array(sizes),
                         pa.array(digests, pa.binary()),
                         pa.array(np.frombuffer(b"".join(d[:8] for d in digests), np.int64)),
-                        pa.array([p.tobytes() for p in points.astype(np.uint32)], pa.binary()),
+                        pa.array([p.tobytes() for p in np.minimum(points, MOST).astype(np.uint16)], pa.binary()),
                     ],
                     ["doc", "n", "digest", "node", "point"],
                 )
@@ -134,8 +140,13 @@ class ShingleJoin:
         return self.docs.mapInArrow(run, "doc long, n long, digest binary, node long, point binary")
 
     def signatures(self, rarity: np.ndarray) -> DataFrame:
-        """(shingle, node): the rarest shingles of each set, so many that linked sets share one."""
+        """(shingle, node, hot): the rarest shingles of each set, so many that linked sets share one.
+
+        A shingle that isn't hot stands in at most HOT times as many texts as a
+        group of shingles has members on average.
+        """
         size, percent = self.size, self.percent
+        limit = HOT * rarity.mean()
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for _, hashes, begins in _sets(batches, size):
@@ -149,21 +160,17 @@ class ShingleJoin:
                 kept = sizes + 1 + (-percent * sizes // 100)
                 place = np.arange(len(hashes)) - begins[:-1][of]
                 rare = order[place < kept[of]]
+                hot = rarity[(hashes[rare] >> np.uint64(64 - RARITY_BITS)).astype(np.int64)] > limit
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[rare].view(np.int64)), pa.array(nodes[of[rare]])], ["shingle", "node"]
+                    [pa.array(hashes[rare].view(np.int64)), pa.array(nodes[of[rare]]), pa.array(hot)],
+                    ["shingle", "node", "hot"],
                 )
 
-        return self.docs.mapInArrow(run, "shingle long, node long")
+        return self.docs.mapInArrow(run, "shingle long, node long, hot boolean")
 
     def links(self, points: DataFrame) -> DataFrame:
         """(a, b, shared): pairs of classes, by smallest document, that link; enough of them to connect all that do."""
-        rare = self.signatures(self.rarity())
-        buckets = rare.groupBy("shingle").agg(
-            F.min("node").alias("pivot"), F.max("node").alias("other"), F.count(F.lit(1)).alias("k")
-        ).filter("pivot != other")
-        members = materialize(
-            rare.join(buckets.select("shingle", "pivot", "k"), "shingle").distinct(), "shingle-members"
-        )
+        members = materialize(self._members(self.signatures(self.rarity())), "shingle-members")
         # One point for each set; the document with the smallest id stands for its copies.
         classes = materialize(
             points.filter("n > 0")
@@ -172,8 +179,7 @@ class ShingleJoin:
             .drop("digest"),
             "shingle-classes",
         )
-        star = members.filter("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-        star = materialize(self._bounded(star, classes), "shingle-star")
+        star = materialize(self._bounded(_star(members), classes), "shingle-star")
 
         crowded = members.filter("k > 2")
         wanted = star.select(F.col("a").alias("doc")).unionAll(star.select(F.col("b").alias("doc")))
@@ -187,6 +193,20 @@ class ShingleJoin:
         second = second.join(star.select("a", "b"), ["a", "b"], "left_anti")
         return first.unionAll(materialize(self._verified(second, texts), "shingle-links"))
 
+    @staticmethod
+    def _members(rare: DataFrame) -> DataFrame:
+        """(shingle, node, k) of the shingles that k > 1 nodes share."""
+        below = Window.partitionBy("shingle")
+        cold = (
+            rare.filter("NOT hot")
+            .select("shingle", "node", F.min("node").over(below).alias("low"), F.max("node").over(below).alias("high"), F.count("node").over(below).alias("k"))
+            .filter("low != high")
+            .select("shingle", "node", "k")
+        )
+        hot = rare.filter("hot").select("shingle", "node").distinct()
+        counted = hot.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+        return cold.distinct().unionAll(hot.join(counted, "shingle"))
+
     def _bounded(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
         """Of pairs of nodes, the documents of those whose points allow the similarity."""
         percent = self.percent
@@ -201,7 +221,8 @@ class ShingleJoin:
                 if not batch.num_rows:
                     continue
                 a, b, a_n, b_n = (np.asarray(batch.column(i)) for i in range(4))
-                bound = np.minimum(_matrix(batch.column(4)), _matrix(batch.column(5))).sum(1)
+                one, two = _matrix(batch.column(4).to_pylist()), _matrix(batch.column(5).to_pylist())
+                bound = _shared(one, two) + np.minimum(a_n - _total(one), b_n - _total(two))
                 fits = (bound >= _needed(a_n + b_n, percent)) & (a != b)
                 a, b = np.maximum(a, b)[fits], np.minimum(a, b)[fits]
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
@@ -302,35 +323,59 @@ class ShingleJoin:
         )
 
 
+def _star(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) that compare every node with one below the same shingle, or with several in a crowd."""
+    pivots = members.groupBy("shingle").agg(
+        *(F.min_by("node", F.xxhash64("node", "shingle", F.lit(j))).alias(f"_{j}") for j in range(PIVOTS))
+    )
+    chosen = F.array(*(f"_{j}" for j in range(PIVOTS)))
+    return (
+        members.join(pivots, "shingle")
+        .select(F.col("node").alias("a"), F.explode(F.when(F.col("k") < CROWD, F.slice(chosen, 1, 1)).otherwise(chosen)).alias("b"))
+        .filter("a != b")
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        .distinct()
+    )
+
+
 def _digest(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, GROUPS).astype(np.int64)
+def _matrix(points: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(points), np.uint16).reshape(-1, GROUPS)
+
+
+def _total(points: np.ndarray) -> np.ndarray:
+    return points.sum(-1, dtype=np.int64)
+
+
+def _shared(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Most that two sets can share, by the minima of their coordinates."""
+    return np.minimum(one, two).sum(-1, dtype=np.int64)
 
 
 def _leaf_pairs(one: list[dict], two: list[dict], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of points of two leaves that no bound rules out; whole leaves first, then points against boxes."""
-    (n1, c1, d1, p1), (n2, c2, d2, p2) = (
-        (
-            *(np.array([p[k] for p in points]) for k in ("n", "component", "doc")),
-            np.frombuffer(b"".join(p["point"] for p in points), np.uint32).reshape(-1, GROUPS).astype(np.int64),
-        )
-        for points in (one, two)
-    )
+    """Pairs of points of two leaves that no bound rules out: boxes first, then points against boxes, then points."""
+    leaves = []
+    for points in (one, two):
+        n, component, doc = (np.array([p[k] for p in points]) for k in ("n", "component", "doc"))
+        point = _matrix([p["point"] for p in points])
+        leaves.append((n, component, doc, point, n - _total(point)))
+    corners = [(leaf[3].max(0), leaf[4].max()) for leaf in leaves]
     nothing = np.empty(0, np.int64), np.empty(0, np.int64)
-    if np.minimum(p1.max(0), p2.max(0)).sum() < _needed(n1.min() + n2.min(), percent):
-        return nothing
-    near1 = np.minimum(p1, p2.max(0)).sum(1) >= _needed(n1 + n2.min(), percent)
-    near2 = np.minimum(p2, p1.max(0)).sum(1) >= _needed(n2 + n1.min(), percent)
-    if not near1.any() or not near2.any():
-        return nothing
-    n1, c1, d1, p1 = n1[near1], c1[near1], d1[near1], p1[near1]
-    n2, c2, d2, p2 = n2[near2], c2[near2], d2[near2], p2[near2]
+    for i in (0, 1):
+        n, _, _, point, rest = leaves[i]
+        corner, beyond = corners[1 - i]
+        near = _shared(point, corner) + np.minimum(rest, beyond) >= _needed(n + leaves[1 - i][0].min(), percent)
+        if not near.any():
+            return nothing
+        leaves[i] = tuple(values[near] for values in leaves[i])
+    (n1, c1, d1, p1, r1), (n2, c2, d2, p2, r2) = leaves
     fits = np.zeros((len(n1), len(n2)), bool)
     for i in range(len(n1)):
-        bound = np.minimum(p1[i], p2).sum(1)
-        fits[i] = (bound >= _needed(n1[i] + n2, percent)) & (c1[i] != c2)
+        apart = np.flatnonzero(c1[i] != c2)
+        bound = _shared(p1[i], p2[apart]) + np.minimum(r1[i], r2[apart])
+        fits[i, apart] = bound >= _needed(n1[i] + n2[apart], percent)
     i, j = np.nonzero(fits)
     return np.maximum(d1[i], d2[j]), np.minimum(d1[i], d2[j])
