@@ -97,6 +97,6 @@ def _winners(rows: DataFrame, salts: int) -> DataFrame:
 
 
 def drop_exact(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", salts: int = 16) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns. Rows without an id go."""
+    """The rows of `docs` that stay, with all their columns; of repeated rows one. Rows without an id go."""
     keep = exact_groups(docs, id_column, text_column, salts).filter("kept").select(id_column).distinct()
-    return docs.join(keep, id_column, "left_semi")
+    return docs.join(keep, id_column, "left_semi").dropDuplicates([id_column])

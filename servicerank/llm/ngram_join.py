@@ -323,6 +323,13 @@ class ShingleJoin:
         )
 
 
+def drop_near(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options: int) -> DataFrame:
+    """The rows of `docs` with the smallest id of their component, with all their columns. Rows without an id go."""
+    groups = ShingleJoin(docs, id_column, text_column, **options).groups()
+    keep = groups.filter(F.col(id_column) == F.col("component_id")).select(id_column).distinct()
+    return docs.join(keep, id_column, "left_semi")
+
+
 def _star(members: DataFrame) -> DataFrame:
     """Pairs (a, b) that compare every node with one below the same shingle, or with several in a crowd."""
     pivots = members.groupBy("shingle").agg(

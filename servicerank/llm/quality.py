@@ -214,6 +214,27 @@ def train(
     return fit(bags, np.array([r._label for r in found], float))
 
 
+def _scores(model: QualityModel, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """First and last text, scores and numbers of passages of the parts of a text column."""
+    data, offsets = arrays.utf8(column)
+    for first, last in arrays.chunks(offsets):
+        part = data[offsets[first] : offsets[last]]
+        x, text_of = passages(part, offsets[first : last + 1] - offsets[first])
+        yield first, last, model.score(x, text_of, last - first), np.bincount(text_of, minlength=last - first)
+
+
+def keep_good(docs: DataFrame, model: QualityModel, text_column: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of `docs` whose text scores `least` or more, with all their columns. No shuffle."""
+    place = docs.columns.index(text_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, found, _ in _scores(model, batch.column(place)):
+                yield batch.slice(first, last - first).filter(pa.array(found >= least))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score(
     docs: DataFrame, model: QualityModel, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -233,14 +254,8 @@ def score(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = arrays.utf8(batch.column(1))
-            for first, last in arrays.chunks(offsets):
-                part = data[offsets[first] : offsets[last]]
-                x, text_of = passages(part, offsets[first : last + 1] - offsets[first])
-                found = model.score(x, text_of, last - first)
-                counted = np.bincount(text_of, minlength=last - first)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, last - first), pa.array(found), pa.array(counted)], schema.names
-                )
+            for first, last, found, counted in _scores(model, batch.column(1)):
+                ids = batch.column(0).slice(first, last - first)
+                yield pa.RecordBatch.from_arrays([ids, pa.array(found), pa.array(counted)], schema.names)
 
     return docs.select(id_column, text_column).mapInArrow(run, schema)

@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from servicerank.llm import html_extract, quality
+from servicerank.llm import html_extract, lm, quality
 from servicerank.llm.bpe import encode_decode
 from servicerank.llm.decontaminate import report
 from servicerank.llm.exact_dedup import exact_groups
 from servicerank.llm.ngram_join import ShingleJoin
+from servicerank.llm.shipping import ship
 from servicerank.llm.substring_dedup import remove_repeated_words
 from servicerank.llm.suffix_dedup import remove_repeats
 from servicerank.llm.token_counts import EDITS, count_tokens
@@ -25,6 +26,7 @@ def tokenizer_path() -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -62,6 +64,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -91,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_html_extract": op4_html_extract,
     "op5_bpe": op5_bpe,
     "op6_quality": op6_quality,
+    "op7_lm_score": op7_lm_score,
     "op8_decontaminate": op8_decontaminate,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
