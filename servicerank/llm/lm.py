@@ -457,6 +457,8 @@ def score(
         known.end,
     )
     divisor = n + 0.5 * (v + 1)
+    end = counts.filter(F.col("word") == int(END.view(np.int64)[0])).first()
+    ends = end.c if end else 0
     shared = docs.sparkSession.sparkContext.broadcast((model, words, known_counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -465,7 +467,6 @@ def score(
         context = TaskContext.get()
         number = (context.partitionId() if context else 0) << 33
         logs = np.log10((known_counts + 0.5) / divisor)
-        unseen = np.log10(0.5 / divisor)
 
         def lookup(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             if not len(words):
@@ -480,9 +481,8 @@ def score(
                 value = np.where(hit, logs[at] if len(logs) else 0, 0)[chunk.inverse]
                 base = np.bincount(chunk.owner, value, size)
                 seen = np.bincount(chunk.owner, hit[chunk.inverse], size).astype(np.int64)
-                end_at, end_hit = lookup(END)
-                base += logs[end_at[0]] if end_hit[0] else unseen
-                seen += int(end_hit[0])
+                base += np.log10((ends + 0.5) / divisor)
+                seen += int(ends > 0)
                 tokens = np.bincount(chunk.owner, minlength=size) + 1
                 scores = model.score_texts(chunk, known)
                 key = number + np.arange(size)
