@@ -11,31 +11,27 @@ from servicerank.session import materialize
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of `links` (a, b): the smallest node it can reach.
 
-    Each round a node takes the smallest label among its own and its neighbours',
-    then the label of that label; labels are written out between rounds. The
-    number of rounds grows with the logarithm of the longest shortest path. A
-    hub with many links is aggregated on the map side, and its join is one that
-    adaptive execution splits. Nulls and self-links are dropped.
+    Each round gives a node the smallest of itself and its neighbours and
+    contracts the links to the labels, dropping those within one label; labels
+    and links are written out between rounds. A hub with many links is
+    aggregated on the map side. Nulls and self-links are dropped.
     """
-    links = links.select(F.col("a").cast("bigint"), F.col("b").cast("bigint")).dropna().filter("a != b")
-    both = materialize(links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("component")), "labels")
-    while True:
-        near = (
-            both.join(labels.select(F.col("node").alias("b"), "component"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("component").alias("near"))
-        )
-        hooked = labels.join(near, "node").select(
-            "node", F.col("component").alias("before"), F.least("component", "near").alias("component")
-        )
-        onward = labels.select(F.col("node").alias("component"), F.col("component").alias("onward"))
-        moved = materialize(
-            hooked.join(onward, "component", "left").select(
-                "node", F.coalesce(F.least("component", "onward"), "component").alias("component"), "before"
-            ),
-            "labels",
-        )
-        labels = moved.select("node", "component")
-        if moved.filter("component != before").isEmpty():
-            return labels
+    links = links.select(F.greatest("a", "b").cast("bigint").alias("a"), F.least("a", "b").cast("bigint").alias("b"))
+    links = materialize(links.dropna().filter("a != b").distinct(), "links")
+    steps = []
+    while not links.isEmpty():
+        ends = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        step = ends.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label"))
+        step = materialize(step, "labels")
+        steps.append(step)
+        one = step.select(F.col("node").alias("a"), F.col("label").alias("one"))
+        two = step.select(F.col("node").alias("b"), F.col("label").alias("two"))
+        links = links.join(one, "a").join(two, "b").filter("one != two")
+        links = materialize(links.select(F.greatest("one", "two").alias("a"), F.least("one", "two").alias("b")).distinct(), "links")
+    if not steps:
+        return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    found = steps[0].withColumnRenamed("label", "component")
+    for step in steps[1:]:
+        onward = step.select(F.col("node").alias("component"), F.col("label").alias("onward"))
+        found = found.join(onward, "component", "left").select("node", F.coalesce("onward", "component").alias("component"))
+    return found

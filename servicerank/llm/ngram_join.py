@@ -31,7 +31,7 @@ LEAF = 64
 #: Shingle groups this many times as full as the mean may hold a hot shingle, which is looked up by partial aggregates.
 HOT = 4
 #: Texts below one shingle from which several of them, not one, are compared with all first; and how many.
-CROWD, PIVOTS = 16, 4
+CROWD, PIVOTS = 16, 2
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -332,8 +332,10 @@ def drop_near(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
 
 def _star(members: DataFrame) -> DataFrame:
     """Pairs (a, b) that compare every node with one below the same shingle, or with several in a crowd."""
+    # The smallest node is the same below most shingles of a group, the others differ.
     pivots = members.groupBy("shingle").agg(
-        *(F.min_by("node", F.xxhash64("node", "shingle", F.lit(j))).alias(f"_{j}") for j in range(PIVOTS))
+        F.min("node").alias("_0"),
+        *(F.min_by("node", F.xxhash64("node", "shingle", F.lit(j))).alias(f"_{j}") for j in range(1, PIVOTS)),
     )
     chosen = F.array(*(f"_{j}" for j in range(PIVOTS)))
     return (
