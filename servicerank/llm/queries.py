@@ -35,7 +35,7 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return remove_repeats(table(spark, sf_dir, "documents"), texts=False)
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +73,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeated_words(table(spark, sf_dir, "documents")).drop("kept")
+    return remove_repeated_words(table(spark, sf_dir, "documents"), texts=False)
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

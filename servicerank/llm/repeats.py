@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from servicerank.llm import arrays
@@ -22,9 +22,8 @@ from servicerank.session import materialize
 
 #: Window starts handled at a time; their places fit the low bits of a rank.
 PLACES = 1 << 18
-#: Unequal stretches with one anchor that a task compares itself; the windows of larger groups are dealt out by hash.
+#: Stretches with one anchor up to which a task compares the unequal ones itself; windows of larger groups are dealt out by hash.
 TOGETHER = 512
-STRETCH = "anchor long, content long, doc long, start long, windows long, offset long"
 
 
 def sliding_minimum(values: np.ndarray, size: int) -> np.ndarray:
@@ -67,111 +66,216 @@ def stretches(symbols: np.ndarray, offsets: np.ndarray, window: int, gram: int)
         yield grams[place], content, text, begin - offsets[text], windows, place - begin
 
 
+#: Gives symbols and where each text begins among them, of a chunk of texts.
+Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+#: The comparison of stretches with common anchors: arrays and contexts in, spans (doc, begin, end) out.
+Compare = Callable[[dict[str, np.ndarray], list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
 @dataclass
-class Found:
-    """`spans`: (doc, begin, end) of removed units, overlapping; `texts`: (doc, text) of the documents that share a window."""
+class Plan:
+    """What an operator on bytes or words brings: its units, their contexts, the comparison, and the result of a text.
 
-    spans: DataFrame
-    texts: DataFrame
+    `contexts` cuts spans of units out of a text, `hashed` gives the symbols of
+    such a cut; `finish` makes a row of the `fields` (name, SQL type, Arrow
+    type) from a text and the disjoint spans that go.
+    """
 
+    units: Units
+    contexts: Callable[[bytes, np.ndarray, np.ndarray], list[bytes]]
+    hashed: Callable[[bytes], np.ndarray]
+    compare: Compare
+    finish: Callable[[bytes, np.ndarray, np.ndarray], tuple]
+    fields: list[tuple[str, str, pa.DataType]]
+    window: int
+    gram: int
+    #: Whether an earlier start in the same document counts as earlier.
+    within: bool
+
+
+def packed(start: np.ndarray, windows: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    return start << 24 | windows << 12 | offset
+
+
+def unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return place >> 24, place >> 12 & 4095, place & 4095
 
-#: Gives symbols and where each text begins among them, of a chunk of texts.
-Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
-#: Context bytes per symbol, and the comparison of a group of stretches: arrays in, spans out.
-Compare = Callable[[dict[str, np.ndarray], list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
+def _local_firsts(anchor: np.ndarray, content: np.ndarray, doc: np.ndarray, place: np.ndarray, within: bool) -> np.ndarray:
+    """Rows that no other row of the batch with the same anchor and content comes before."""
+    order = np.lexsort((place, doc, content, anchor))
+    new = np.ones(len(order), bool)
+    new[1:] = (anchor[order[1:]] != anchor[order[:-1]]) | (content[order[1:]] != content[order[:-1]])
+    first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    keep = doc[order] == doc[first]
+    if within:
+        keep &= place[order] >> 24 == place[first] >> 24
+    out = np.empty(len(order), bool)
+    out[order] = keep
+    return out
 
-def find(
-    docs: DataFrame,
-    units: Units,
-    contexts: Callable[[bytes, np.ndarray, np.ndarray], list[bytes]],
-    hashed: Callable[[bytes], np.ndarray],
-    compare: Compare,
-    window: int,
-    gram: int,
-    within: bool,
-) -> Found:
-    """Spans of `docs` (doc, text) covered by windows that come earlier as well.
+
+def find(docs: DataFrame, plan: Plan) -> DataFrame:
+    """(doc, *fields) of the `docs` (doc, text) that share a window with an earlier place, or are shared with.
 
     Earlier is a smaller doc, and with `within` also an earlier start in the
-    same one. Runs jobs when called.
+    same one. Stretches that come again within a batch are settled before the
+    shuffle, so a passage of a third of all documents reaches a task as a few
+    rows a batch; the window functions after it hold rows of numbers only and
+    can spill. Runs jobs when called.
     """
+    window, within = plan.window, plan.within
+    if window > 4095:
+        raise ValueError("windows hold 4095 units at most")
+    units, gram = plan.units, plan.gram
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = arrays.utf8(batch.column(1))
             ids = np.asarray(batch.column(0))
+            found = []
             for first, last in arrays.chunks(offsets):
                 part = data[offsets[first] : offsets[last]]
                 symbols, begins = units(part, offsets[first : last + 1] - offsets[first])
                 for anchor, content, text, start, count, offset in stretches(symbols, begins, window, gram):
-                    columns = (anchor.view(np.int64), content.view(np.int64), ids[first + text], start, count, offset)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c) for c in columns], ["anchor", "content", "doc", "start", "windows", "offset"]
-                    )
+                    found.append((anchor, content, ids[first + text], packed(start, count, offset)))
+            if not found:
+                continue
+            anchor, content, doc, place = (np.concatenate(c) for c in zip(*found, strict=True))
+            again = ~_local_firsts(anchor, content, doc, place, within)
+            # Settled rows only pass through the shuffle: spread evenly, they meet no other row.
+            anchor[again] = arrays.mixed(doc[again].astype(np.uint64) ^ arrays.mixed(place[again].astype(np.uint64)))
+            columns = (anchor.view(np.int64), content.view(np.int64), doc, place)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, mask=again if i == 1 else None) for i, c in enumerate(columns)],
+                ["anchor", "content", "doc", "place"],
+            )
 
     docs = docs.filter("doc IS NOT NULL")
-    rows = docs.mapInArrow(scan, STRETCH)
-    shared = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("anchor")
-    members = materialize(rows.join(shared, "anchor"), "repeat-members")
-
-    order: Column = F.struct("doc", "start") if within else F.struct("doc")
-    firsts = members.groupBy("anchor", "content").agg(F.min(order).alias("first"))
-    crowds = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1")
-    placed = members.join(firsts, ["anchor", "content"]).withColumn("settled", order != F.col("first"))
-    settled = placed.filter("settled").select(
-        "doc", F.struct("start", F.lit(None).cast("long").alias("anchor"), "windows", "offset", F.lit(0).cast("long").alias("contents")).alias("stretch")
+    rows = docs.mapInArrow(scan, "anchor long, content long, doc long, place long")
+    below = Window.partitionBy("anchor")
+    same = Window.partitionBy("anchor", "content").orderBy("doc", *([F.shiftright("place", 24)] if within else []))
+    shared = rows.select(
+        "*",
+        F.count("content").over(below).alias("members"),
+        F.min("content").over(below).alias("low"),
+        F.max("content").over(below).alias("high"),
+    ).filter("content IS NULL OR members > 1")
+    ranked = shared.select("*", F.rank().over(same).alias("rank")).select(
+        "doc",
+        "place",
+        "anchor",
+        "members",
+        F.when(F.col("content").isNull() | (F.col("rank") > 1), "settled")
+        .when(F.col("low") != F.col("high"), "open")
+        .alias("state"),
     )
-    doubtful = placed.filter("NOT settled").join(crowds, "anchor").select(
-        "doc", F.struct("start", "anchor", "windows", "offset", "contents").alias("stretch")
+    per_doc = (
+        ranked.filter("state IS NOT NULL")
+        .select(
+            "doc",
+            F.struct(
+                "place",
+                F.when(F.col("state") == "open", F.col("anchor")).alias("anchor"),
+                F.when(F.col("state") == "open", F.col("members")).alias("members"),
+            ).alias("stretch"),
+        )
+        .groupBy("doc")
+        .agg(F.collect_list("stretch").alias("stretches"))
+    )
+    names = ["doc", "text", "stretches", *(n for n, _, _ in plan.fields)]
+    kinds = [pa.int64(), pa.string(), STRETCHES, *(k for _, _, k in plan.fields)]
+    finish = plan.finish
+
+    def divide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Results of texts without open stretches, the others as they are."""
+        for batch in batches:
+            for i in range(batch.num_rows):
+                doc, text, found = (batch.column(c)[i] for c in range(3))
+                fields = found.values
+                start, count, _ = unpacked(np.asarray(fields.field("place")))
+                if fields.field("anchor").null_count == len(start):
+                    spans = merged(start, start + count + window - 1)
+                    row = [doc.as_py(), None, None, *finish((text.as_py() or "").encode(), *spans)]
+                else:
+                    row = [doc.as_py(), text.as_py(), found.as_py(), *(None for _ in plan_fields)]
+                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names)
+
+    plan_fields = plan.fields
+    schema = "doc long, text string, stretches array<struct<place:long,anchor:long,members:long>>, " + ", ".join(
+        f"{n} {k}" for n, k, _ in plan.fields
     )
-    per_doc = settled.unionAll(doubtful).groupBy("doc").agg(F.collect_list("stretch").alias("stretches"))
     # One row per id: a repeated id is one document.
-    texts = materialize(docs.join(per_doc, "doc").dropDuplicates(["doc"]), "repeat-texts")
+    joined = docs.join(per_doc, "doc").dropDuplicates(["doc"])
+    half = materialize(joined.select("doc", "text", "stretches").mapInArrow(divide, schema), "repeat-texts")
+    results = [n for n, _, _ in plan.fields]
+    done = half.filter("stretches IS NULL").select("doc", *results)
+
+    open_texts = half.filter("stretches IS NOT NULL").select("doc", "text", "stretches")
+    spans = _compared(open_texts, plan).groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
 
-    known = texts.select("doc", F.explode("stretches").alias("s")).filter("s.anchor IS NULL").select(
-        "doc", F.col("s.start").alias("begin"), (F.col("s.start") + F.col("s.windows") + (window - 1)).alias("end")
+    def complete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                doc, text, found, more = (batch.column(c)[i] for c in range(4))
+                start, count, _ = unpacked(np.asarray(found.values.field("place")))
+                known = np.asarray(found.values.field("anchor").is_null())
+                begin, end = start[known], (start + count + window - 1)[known]
+                if more.is_valid:
+                    begin = np.append(begin, np.asarray(more.values.field("begin")))
+                    end = np.append(end, np.asarray(more.values.field("end")))
+                row = [doc.as_py(), *finish((text.as_py() or "").encode(), *merged(begin, end))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([v], k) for v, k in zip(row, [kinds[0], *kinds[3:]], strict=True)], ["doc", *results]
+                )
+
+    rest = open_texts.join(spans, "doc", "left").mapInArrow(
+        complete, "doc long, " + ", ".join(f"{n} {k}" for n, k, _ in plan.fields)
     )
-    open_texts = texts.select("doc", "text", F.filter("stretches", lambda s: s.anchor.isNotNull()).alias("open")).filter(F.size("open") > 0)
-    compared = _compared(open_texts, contexts, hashed, compare, window)
-    return Found(known.unionAll(compared), texts.select("doc", "text"))
+    return done.unionAll(rest)
 
 
-CONTEXT = "anchor long, doc long, start long, windows long, offset long, contents long, context binary"
+STRETCHES = pa.list_(pa.struct([("place", pa.int64()), ("anchor", pa.int64()), ("members", pa.int64())]))
+CONTEXT = "anchor long, doc long, place long, members long, context binary"
 
 
-def _compared(open_texts: DataFrame, contexts: Callable, hashed: Callable, compare: Compare, window: int) -> DataFrame:
-    """Spans settled by comparing unequal stretches around one anchor."""
+def _compared(open_texts: DataFrame, plan: Plan) -> DataFrame:
+    """Spans (doc, begin, end) settled by comparing unequal stretches around one anchor."""
     names = [c.split()[0] for c in CONTEXT.split(", ")]
+    window, contexts, hashed, compare = plan.window, plan.contexts, plan.hashed, plan.compare
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                doc, text, stretches_ = (batch.column(c)[i] for c in range(3))
-                fields = stretches_.values
-                columns = [np.asarray(fields.field(k)) for k in ("anchor", "start", "windows", "offset", "contents")]
-                anchor, start, count, offset, contents = columns
-                found = contexts((text.as_py() or "").encode(), start, start + count + window - 1)
-                out = [anchor, np.full(len(anchor), doc.as_py()), start, count, offset, contents]
-                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in out), pa.array(found, pa.binary())], names)
+                doc, text, found = (batch.column(c)[i] for c in range(3))
+                fields = found.values.filter(found.values.field("anchor").is_valid())
+                anchor, place, members = (np.asarray(fields.field(k)) for k in ("anchor", "place", "members"))
+                start, count, _ = unpacked(place)
+                cuts = contexts((text.as_py() or "").encode(), start, start + count + window - 1)
+                out = [anchor, np.full(len(anchor), doc.as_py()), place, members]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in out), pa.array(cuts, pa.binary())], names)
 
     cuts = materialize(open_texts.mapInArrow(cut, CONTEXT), "repeat-contexts")
 
+    def opened(batch: pa.RecordBatch | pa.Table) -> dict[str, np.ndarray]:
+        fields = {k: np.asarray(batch[k]) for k in ("anchor", "doc", "place")}
+        fields["start"], fields["windows"], fields["offset"] = unpacked(fields["place"])
+        return fields
+
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "anchor", 4096):
-            fields = {k: np.asarray(table[k]) for k in names[:-1]}
-            spans = compare(fields, table["context"].to_pylist())
+            spans = compare(opened(table), table["context"].to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(s) for s in spans], ["doc", "begin", "end"])
 
-    few = cuts.filter(F.col("contents") <= TOGETHER)
-    near = few.repartition("anchor").sortWithinPartitions("anchor", "doc", "start").mapInArrow(settle, "doc long, begin long, end long")
+    few = cuts.filter(F.col("members") <= TOGETHER)
+    near = few.repartition("anchor").sortWithinPartitions("anchor", "doc", "place").mapInArrow(settle, "doc long, begin long, end long")
 
     def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                fields = {k: np.asarray(part.column(i)) for i, k in enumerate(names[:-1])}
-                hashes = [arrays.window_hashes(arrays.prefix_hashes(hashed(c)), window) for c in part.column(6).to_pylist()]
+                fields = opened(part)
+                hashes = [arrays.window_hashes(arrays.prefix_hashes(hashed(c)), window) for c in part["context"].to_pylist()]
                 sizes = np.fromiter(map(len, hashes), np.int64, len(hashes))
                 step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 yield pa.RecordBatch.from_arrays(
@@ -184,9 +288,8 @@ def _compared(open_texts: DataFrame, contexts: Callable, hashed: Callable, compa
                     ["anchor", "hash", "doc", "start"],
                 )
 
-    many = cuts.filter(F.col("contents") > TOGETHER).mapInArrow(single, "anchor long, hash long, doc long, start long")
-    within = getattr(compare, "within", False)
-    order: Column = F.struct("doc", "start") if within else F.struct("doc")
+    many = cuts.filter(F.col("members") > TOGETHER).mapInArrow(single, "anchor long, hash long, doc long, start long")
+    order: Column = F.struct("doc", "start") if plan.within else F.struct("doc")
     earliest = many.groupBy("anchor", "hash").agg(F.min(order).alias("first"))
     far = many.join(earliest, ["anchor", "hash"]).filter(order != F.col("first"))
     return near.unionAll(far.select("doc", F.col("start").alias("begin"), (F.col("start") + window).alias("end")))

@@ -108,19 +108,30 @@ def _compare(window: int):
         begin = begin + fields["start"][stretch]
         return fields["doc"][stretch], begin, begin + length
 
-    compare.within = False
     return compare
 
 
+def _finish(text: bytes, begin: np.ndarray, end: np.ndarray) -> tuple[int, str, str | None]:
+    # Bytes are split at the very white space that the words are defined by.
+    words = text.split()
+    edges = [0, *np.stack([begin, end], 1).ravel().tolist(), len(words)]
+    left = [w for a, b in zip(edges[::2], edges[1::2], strict=True) for w in words[a:b]]
+    kept = b" ".join(left)
+    return len(words) - len(left), hashlib.sha256(kept).hexdigest(), kept.decode() if len(begin) else None
+
+
+FIELDS = [("n_removed", "long", pa.int64()), ("kept_sha256", "string", pa.string()), ("kept", "string", pa.string())]
+
+
 def remove_repeated_words(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = 50
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = 50, texts: bool = True
 ) -> DataFrame:
     """Texts without the words covered by `window` words that also stand in a document with a smaller id.
 
     Words are `[^\\x20\\x09-\\x0D]+`, unchanged; all windows are judged on the
     input. One row per row of `docs`: the id, `n_words`, `n_removed`,
-    `kept_sha256` and `kept`: the words that stay, joined by one space (null
-    where nothing was removed).
+    `kept_sha256` and with `texts` also `kept`: the words that stay, joined by
+    one space (null where nothing was removed).
 
     Null texts have no words; texts shorter than the window lose nothing. Ids
     are taken to be unique: of rows that repeat an id one text is judged. Rows
@@ -128,29 +139,20 @@ def remove_repeated_words(
     gives an empty result. Runs jobs when called.
     """
     rows = docs.select(F.col(id_column).cast("bigint").alias("doc"), F.col(text_column).alias("text"))
-    found = repeats.find(rows, _words, _cut, _hashed, _compare(window), window, min(GRAM, window), within=False)
-    per_doc = found.spans.groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
-    changed = found.texts.join(per_doc, "doc")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                # Bytes are split at the very white space that the words are defined by.
-                words = (batch.column(1)[i].as_py() or "").encode().split()
-                fields = batch.column(2)[i].values
-                begin, end = repeats.merged(np.asarray(fields.field("begin")), np.asarray(fields.field("end")))
-                edges = [0, *np.stack([begin, end], 1).ravel().tolist(), len(words)]
-                left = [w for a, b in zip(edges[::2], edges[1::2], strict=True) for w in words[a:b]]
-                kept = b" ".join(left)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([batch.column(0)[i].as_py()], pa.int64()),
-                        pa.array([len(words) - len(left)], pa.int64()),
-                        pa.array([hashlib.sha256(kept).hexdigest()]),
-                        pa.array([kept.decode()]),
-                    ],
-                    ["doc", "n_removed", "kept_sha256", "kept"],
-                )
+    fields = FIELDS if texts else FIELDS[:2]
+    width = len(fields)
+    plan = repeats.Plan(
+        units=_words,
+        contexts=_cut,
+        hashed=_hashed,
+        compare=_compare(window),
+        finish=lambda text, begin, end: _finish(text, begin, end)[:width],
+        fields=fields,
+        window=window,
+        gram=min(GRAM, window),
+        within=False,
+    )
+    shorter = repeats.find(rows, plan)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,14 +165,11 @@ def remove_repeated_words(
                     ["doc", "n_words", "whole_sha256"],
                 )
 
-    shorter = changed.select("doc", "text", "spans").mapInArrow(
-        cut, "doc long, n_removed long, kept_sha256 string, kept string"
-    )
     every = rows.mapInArrow(whole, "doc long, n_words long, whole_sha256 string")
     return every.join(shorter, "doc", "left").select(
         F.col("doc").alias(id_column),
         "n_words",
         F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed"),
         F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"),
-        "kept",
+        *(["kept"] if texts else []),
     )

@@ -9,7 +9,6 @@ hashes call equal are checked byte by byte.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -139,7 +138,6 @@ def _compare(window: int):
         begin = fields["start"][owner[rows]] + step[rows]
         return fields["doc"][owner[rows]], begin, begin + window
 
-    compare.within = True
     return compare
 
 
@@ -155,15 +153,30 @@ def _hashed(context: bytes) -> np.ndarray:
     return arrays.symbols(np.frombuffer(context, np.uint8))
 
 
+def _finish(text: bytes, begin: np.ndarray, end: np.ndarray) -> tuple[int, int, str, bytes | None]:
+    edges = [0, *np.stack([begin, end], 1).ravel().tolist(), len(text)]
+    kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+    return len(text) - len(kept), len(begin), hashlib.sha256(kept).hexdigest(), kept if len(begin) else None
+
+
+FIELDS = [
+    ("n_removed", "long", pa.int64()),
+    ("n_spans", "long", pa.int64()),
+    ("kept_sha256", "string", pa.string()),
+    ("kept", "binary", pa.binary()),
+]
+
+
 def remove_repeats(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = 100
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = 100, texts: bool = True
 ) -> DataFrame:
     """Texts as UTF-8 bytes without those covered by a `window`-byte string that starts earlier as well.
 
     Earlier is in a document with a smaller id, or earlier in the same one;
     overlaps count, and all strings are judged on the input. One row per row of
     `docs`: the id, `n_bytes`, `n_removed`, `n_spans` (maximal removed runs),
-    `kept_sha256`, and `kept` (binary; null where nothing was removed).
+    `kept_sha256`, and with `texts` also `kept` (binary; null where nothing
+    was removed).
 
     Null texts are empty; texts shorter than the window lose nothing. Ids are
     taken to be unique: of rows that repeat an id one text is judged. Rows
@@ -171,26 +184,20 @@ def remove_repeats(
     gives an empty result. Runs jobs when called.
     """
     rows = docs.select(F.col(id_column).cast("bigint").alias("doc"), F.col(text_column).alias("text"))
-    found = repeats.find(rows, _bytes, _cut, _hashed, _compare(window), window, min(GRAM, window), within=True)
-    per_doc = found.spans.groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
-    changed = found.texts.join(per_doc, "doc")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc", "n_removed", "n_spans", "kept_sha256", "kept"]
-        for batch in batches:
-            for i in range(batch.num_rows):
-                text = (batch.column(1)[i].as_py() or "").encode()
-                fields = batch.column(2)[i].values
-                begin, end = repeats.merged(np.asarray(fields.field("begin")), np.asarray(fields.field("end")))
-                edges = [0, *np.stack([begin, end], 1).ravel().tolist(), len(text)]
-                kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                out = [[batch.column(0)[i].as_py()], [len(text) - len(kept)], [len(begin)], [hashlib.sha256(kept).hexdigest()], [kept]]
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds, strict=True)], names)
-
-    cut = changed.select("doc", "text", "spans").mapInArrow(
-        run, "doc long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    fields = FIELDS if texts else FIELDS[:3]
+    width = len(fields)
+    plan = repeats.Plan(
+        units=_bytes,
+        contexts=_cut,
+        hashed=_hashed,
+        compare=_compare(window),
+        finish=lambda text, begin, end: _finish(text, begin, end)[:width],
+        fields=fields,
+        window=window,
+        gram=min(GRAM, window),
+        within=True,
     )
+    cut = repeats.find(rows, plan)
     text = F.coalesce("text", F.lit(""))
     whole = rows.select("doc", F.octet_length(text).cast("bigint").alias("n_bytes"), F.sha2(text, 256).alias("whole_sha256"))
     return whole.join(cut, "doc", "left").select(
@@ -199,5 +206,5 @@ def remove_repeats(
         F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).cast("bigint").alias("n_spans"),
         F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"),
-        "kept",
+        *(["kept"] if texts else []),
     )
