@@ -270,25 +270,57 @@ def _compared(open_texts: DataFrame, plan: Plan) -> DataFrame:
     few = cuts.filter(F.col("members") <= TOGETHER)
     near = few.repartition("anchor").sortWithinPartitions("anchor", "doc", "place").mapInArrow(settle, "doc long, begin long, end long")
 
-    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # Of a large group, only stretches that share more than the anchor: a window reaches `half` units before its
+    # anchor, or far enough behind it, so it holds the longer left core or the longer right core.
+    half = (window - plan.gram) // 2 + 1
+    cores_of = [(-half, plan.gram), (0, window - half + 1)]
+
+    def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 fields = opened(part)
+                out = []
+                for i, context in enumerate(part["context"].to_pylist()):
+                    prefix = arrays.prefix_hashes(hashed(context))
+                    anchor, count = int(fields["offset"][i]), int(fields["windows"][i])
+                    for side, (before, behind) in enumerate(cores_of):
+                        if (anchor >= half) if side == 0 else (anchor - count + 1 < half):
+                            span = np.array([anchor + before]), np.array([anchor + behind])
+                            out.append((i, side, arrays.span_hashes(prefix, *span).view(np.int64)[0]))
+                rows = pa.array([r for r, _, _ in out], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(part[k].take(rows) for k in names),
+                        pa.array([side for _, side, _ in out], pa.int32()),
+                        pa.array([core for _, _, core in out], pa.int64()),
+                    ],
+                    [*names, "side", "core"],
+                )
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                fields, left = opened(part), np.asarray(part["side"]) == 0
                 hashes = [arrays.window_hashes(arrays.prefix_hashes(hashed(c)), window) for c in part["context"].to_pylist()]
-                sizes = np.fromiter(map(len, hashes), np.int64, len(hashes))
-                step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                cut = np.clip(fields["offset"] - half + 1, 0, fields["windows"])
+                first, last = np.where(left, 0, cut), np.where(left, cut, fields["windows"])
+                sizes = last - first
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.repeat(fields["anchor"], sizes)),
-                        pa.array(np.concatenate(hashes).view(np.int64)),
+                        pa.array(np.concatenate([h[a:b] for h, a, b in zip(hashes, first, last, strict=True)]).view(np.int64)),
                         pa.array(np.repeat(fields["doc"], sizes)),
-                        pa.array(np.repeat(fields["start"], sizes) + step),
+                        pa.array(arrays.ragged(fields["start"] + first, sizes)),
                     ],
                     ["anchor", "hash", "doc", "start"],
                 )
 
-    many = cuts.filter(F.col("members") > TOGETHER).mapInArrow(single, "anchor long, hash long, doc long, start long")
+    cores = cuts.filter(F.col("members") > TOGETHER).mapInArrow(sides, CONTEXT + ", side int, core long")
+    common = cores.groupBy("anchor", "side", "core").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    alike = cores.join(common, ["anchor", "side", "core"]).select(*names, "side")
+    many = alike.mapInArrow(single, "anchor long, hash long, doc long, start long")
     order: Column = F.struct("doc", "start") if plan.within else F.struct("doc")
     earliest = many.groupBy("anchor", "hash").agg(F.min(order).alias("first"))
     far = many.join(earliest, ["anchor", "hash"]).filter(order != F.col("first"))
