@@ -41,11 +41,32 @@ def spell(value: Column, data_type: T.DataType, null_text: str | None = "None")
             return F.coalesce(quoted, F.lit("None"))
 
         text = F.concat(F.lit("["), F.array_join(F.transform(value, item), ", "), F.lit("]"))
+    elif isinstance(data_type, (T.DoubleType, T.FloatType)):
+        text = _plain(value.cast("double"))
     else:
         text = value.cast("string")
     return text if null_text is None else F.coalesce(text, F.lit(null_text))
 
 
+def _plain(number: Column) -> Column:
+    """A double as Python spells it: without an exponent from 0.0001 up to below 1e16, otherwise with one like 1e-05."""
+    text, size = number.cast("string"), F.abs(number)
+    digits = F.rtrim(number.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
+    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
+    power = F.substring_index(text, "E", -1).try_cast("int")
+    exponent = F.concat(
+        F.when(power < 0, F.lit("-")).otherwise(F.lit("+")), F.lpad(F.abs(power).cast("string"), F.greatest(F.length(F.abs(power).cast("string")), F.lit(2)), F.lit("0"))
+    )
+    special = F.when(F.isnan(number), "nan").when(number == float("inf"), "inf").when(number == float("-inf"), "-inf")
+    return F.coalesce(
+        special,
+        F.when(~text.contains("E"), text)
+        .when((size >= 1e-4) & (size < 1e16), plain)
+        .otherwise(F.concat(mantissa, F.lit("e"), exponent)),
+    )
+
+
 def strip_pattern(text: Column, pattern: str) -> Column:
     """Remove every match of `pattern`."""
     return F.regexp_replace(text, pattern, "")

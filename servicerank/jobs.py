@@ -20,7 +20,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from servicerank.operators.calendar import DEFAULT_CALENDAR, Calendar  # noqa: E402
 from servicerank.plans.report import ranked_report  # noqa: E402
 from servicerank.schemas import ENTITY, reviews_schema, service_point_schema  # noqa: E402
-from servicerank.session import get_session  # noqa: E402
+from servicerank.session import discarding, get_session  # noqa: E402
 from servicerank.sources import lake, warehouse  # noqa: E402
 from servicerank.streaming.ingest import stream_snapshots  # noqa: E402
 
@@ -43,13 +43,14 @@ def time_dimension(spark: SparkSession, args: argparse.Namespace) -> None:
 def backfill(spark: SparkSession, args: argparse.Namespace) -> None:
     warehouse.load_queue_fact(
         lake.read_lake(spark, *args.lake.split(",")), args.table, args.lo, args.hi, _calendar(args), entity=args.entity,
-        rebalance=args.rebalance,
+        rebalance=args.rebalance, vouched=args.vouched,
     )
 
 
 def day(spark: SparkSession, args: argparse.Namespace) -> None:
     warehouse.load_day(
-        lake.read_lake(spark, *args.lake.split(",")), args.table, args.as_of, args.mode, _calendar(args), entity=args.entity
+        lake.read_lake(spark, *args.lake.split(",")), args.table, args.as_of, args.mode, _calendar(args),
+        entity=args.entity, vouched=args.vouched,
     )
 
 
@@ -59,16 +60,17 @@ def reviews(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
-    result = ranked_report(
-        warehouse.read_queue_fact(spark, args.queue, args.entity),
-        warehouse.read_reviews_fact(spark, args.reviews, args.entity),
-        spark.read.schema(service_point_schema(args.entity)).parquet(args.points),
-        _calendar(args),
-        args.entity,
-        label_pattern=args.label_pattern,
-        safe=args.safe,
-    )
-    warehouse.replace_table(result, args.table)
+    with discarding(spark):
+        result = ranked_report(
+            warehouse.read_queue_fact(spark, args.queue, args.entity),
+            warehouse.read_reviews_fact(spark, args.reviews, args.entity),
+            spark.read.schema(service_point_schema(args.entity)).parquet(args.points),
+            _calendar(args),
+            args.entity,
+            label_pattern=args.label_pattern,
+            safe=args.safe,
+        )
+        warehouse.replace_table(result, args.table)
 
 
 def _calendar(args: argparse.Namespace) -> Calendar:
@@ -98,9 +100,11 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("lo", type=date.fromisoformat)
     sub.add_argument("hi", type=date.fromisoformat)
     sub.add_argument("--rebalance", action="store_true")
+    sub.add_argument("--vouched", action="store_true", help="all times are well formed: prune and push down")
     sub = job(day, "lake", "table")
     sub.add_argument("--as-of", type=date.fromisoformat, help="load the day before; default today, UTC")
     sub.add_argument("--mode", choices=warehouse.DAY_MODES, default="replace")
+    sub.add_argument("--vouched", action="store_true", help="all times are well formed: prune and push down")
     job(reviews, "reviews", "table")
     sub = job(report, "queue", "reviews", "points", "table")
     sub.add_argument("--label-pattern")

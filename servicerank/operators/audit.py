@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from servicerank.functions.clock import ntz, parse_snapshot_time
 from servicerank.operators.calendar import DEFAULT_CALENDAR, Calendar
 
 
@@ -37,18 +38,39 @@ def orphan_time_ids(fact: DataFrame, calendar: Calendar = DEFAULT_CALENDAR, time
     return _key_counts(outside, [time_id])
 
 
+def rejected_times(lake: DataFrame, calendar: Calendar = DEFAULT_CALENDAR, time: str = "time") -> DataFrame:
+    """Raw time texts that a load refuses or leaves out: `reason`, `n_texts`, `n_rows`, one row for each reason.
+
+    Malformed texts (NULL among them) fail a load; well-formed ones outside the calendar are dropped by it.
+    """
+    taken = parse_snapshot_time(F.col(time), strict=False)
+    inside = (taken >= ntz(calendar.origin)) & (taken < ntz(calendar.end))
+    counts = _key_counts(lake.select(time), [time])
+    checks = {"malformed": taken.isNull(), "outside the calendar": F.coalesce(~inside, F.lit(False))}
+    found = _totals(counts, checks)
+    return found.select(
+        F.col("check_name").alias("reason"), F.col("bad_keys").alias("n_texts"), F.col("bad_rows").alias("n_rows")
+    )
+
+
 def audit_keys(
-    df: DataFrame, primary_key: list[str], foreign_keys: dict[str, tuple[DataFrame, str]] | None = None
+    df: DataFrame,
+    primary_key: list[str],
+    foreign_keys: dict[str, tuple[DataFrame, str]] | None = None,
+    time_ids: dict[str, Calendar] | None = None,
 ) -> DataFrame:
     """One row per check: `check_name`, `bad_keys`, `bad_rows`.
 
-    `foreign_keys` maps a column to (dimension, its key column).
+    `foreign_keys` maps a column to (dimension, its key column), `time_ids` a
+    column to the calendar it numbers minutes of.
     """
     counts = _key_counts(df, primary_key)
     own = {"duplicate primary key": F.col("n_rows") > 1, "null primary key": _any_null(primary_key)}
     audits = [_totals(counts, own)]
     for column, (dim, key) in (foreign_keys or {}).items():
         audits.append(_totals(orphan_keys(df, [column], dim, [key]), {f"orphan {column}": F.lit(True)}))
+    for column, calendar in (time_ids or {}).items():
+        audits.append(_totals(orphan_time_ids(df, calendar, column), {f"orphan {column}": F.lit(True)}))
     return reduce(DataFrame.unionAll, audits)
 
 

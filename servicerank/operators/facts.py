@@ -17,22 +17,21 @@ from servicerank.schemas import ENTITY, queue_fact_schema, reviews_fact_schema
 
 
 def snapshot_window(
-    lake: DataFrame, lo: date | datetime, hi: date | datetime, pushdown: bool | None = None
+    lake: DataFrame, lo: date | datetime, hi: date | datetime, vouched: bool = False
 ) -> DataFrame:
     """Raw snapshots taken in [lo, hi).
 
-    A lake partitioned by ingest_date is pruned to the days needed. With
-    `pushdown` the raw time text is compared, which reaches the Parquet scan;
-    otherwise every row's text is parsed, and text that is not a time fails the
-    load. The default compares text only in a lake with an ingest_date, which is
-    written with well-formed times.
+    Every row's time is parsed, and text that is not a time fails the load,
+    whatever the lake's layout. Who knows that all times are well formed, and an
+    `ingest_date` is their day, as to_lake_rows writes them, may vouch for it:
+    then days that aren't needed are pruned, and the raw text is compared, which
+    reaches the Parquet scan. `rejected_times` tells whether that holds.
     """
     lo, hi = _midnight(lo), _midnight(hi)
-    stamped = "ingest_date" in lake.columns
-    if stamped:
-        last = hi - timedelta(microseconds=1)
-        lake = lake.filter(F.col("ingest_date").between(lo.date(), last.date()))
-    if pushdown or (pushdown is None and stamped):
+    if vouched:
+        if "ingest_date" in lake.columns:
+            last = hi - timedelta(microseconds=1)
+            lake = lake.filter(F.col("ingest_date").between(lo.date(), last.date()))
         return lake.filter(snapshot_time_between(F.col("time"), lo, hi))
     taken = parse_snapshot_time(F.col("time"))
     return lake.filter((taken >= ntz(lo)) & (taken < ntz(hi)))
@@ -45,7 +44,7 @@ def queue_fact(
     calendar: Calendar = DEFAULT_CALENDAR,
     entity: str = ENTITY,
     source_id: str = "id",
-    pushdown: bool | None = None,
+    vouched: bool = False,
 ) -> DataFrame:
     """Typed queue rows of [lo, hi), keyed by minute: one narrow pass, no shuffle.
 
@@ -54,7 +53,7 @@ def queue_fact(
     """
     lo, hi = max(_midnight(lo), calendar.origin), min(_midnight(hi), calendar.end)
     spec = {**queue_spec(entity, source_id), "time_format": ("time", "time")}
-    typed = stage_typed(snapshot_window(lake, lo, hi, pushdown), spec)
+    typed = stage_typed(snapshot_window(lake, lo, hi, vouched), spec)
     keyed = typed.withColumn("time_id", calendar.time_id(F.col("time_format")))
     return keyed.select(queue_fact_schema(entity).names)
 

@@ -7,9 +7,9 @@ looked up:
 * keys that are NULL or in [0, dense_keys) have at most dense_keys + 1 means,
   whatever the data, so those are broadcast;
 * the remaining keys are joined by shuffle, and only for rows that miss a value,
-  with every key spread over `salts` partitions, which AQE splits further if they
-  are still large. Each of these means is sent `salts` times: set it to 1 for
-  keys that are many and even.
+  with the rows of a key spread over up to `salts` partitions, which AQE splits
+  further if they are still large. A mean is sent once for each salt that its
+  rows have, so a key with few rows has few copies.
 
 Both filters reach a Parquet scan, which skips the row groups the second part
 does not need - usually all of them.
@@ -52,10 +52,11 @@ def add_far_means(
 ) -> DataFrame:
     """Add `group_mean` by a salted shuffle; `df` is the second part of split_rows."""
     far = means.filter(~_dense(means, by, dense_keys)).select(F.col(by).alias("_key"), "group_mean")
-    copies = F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+    used = salted.select(F.col(key).alias("_key"), F.col("_salt").alias("_mean_salt")).distinct()
+    copies = used.join(far, "_key")
     same = (F.col(key) == F.col("_key")) & (F.col("_salt") == F.col("_mean_salt"))
-    return salted.join(far.withColumn("_mean_salt", F.explode(copies)), same, "left").select(*df.columns, "group_mean")
+    return salted.join(copies, same, "left").select(*df.columns, "group_mean")
 
 
 def impute_group_mean(

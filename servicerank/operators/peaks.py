@@ -11,10 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from servicerank.operators.imputation import (
-    DENSE_KEYS, SALTS, add_far_means, add_near_means, group_means, split_rows,
-)
-
 
 def daily_max(df: DataFrame, keys: list[str], day: str, metric: str, output: str) -> DataFrame:
     """Maximum of `metric` per day and key columns."""
@@ -48,11 +44,12 @@ def daily_max_in_peak(
     """Daily maximum of `metric` within the peak buckets.
 
     The maxima are taken before the join, which then meets one row per entity,
-    day and bucket; keeping the join keys among the grouping keys makes the two
-    orders equal. Peaks are unique per entity and period, so it is a semi join.
+    day and bucket. Peaks are unique per entity and period, so an inner join
+    repeats no row; a semi join would do as well, but the optimizer would push
+    it below the maxima, on to the raw rows.
     """
     keys = [entity, period, bucket]
-    return daily_max(df, keys, day, metric, output).join(peaks.select(keys), keys, "left_semi")
+    return daily_max(df, keys, day, metric, output).join(peaks.select(keys), keys, "inner")
 
 
 def metric_in_peak(
@@ -86,30 +83,33 @@ def rush_wait(
     wait: str,
     output: str,
     scale: float = 60,
-    dense_keys: int = DENSE_KEYS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Imputation, peaks and the wait in them as one chain of aggregations.
 
     `slot` numbers the buckets of all days (hours since some time); `period` and
     `bucket` are its day of week and hour, computed once per slot, not per row.
 
-    Same result as impute_group_mean, peak_bucket and metric_in_peak, without
-    reading the rows again to restrict them to the peaks: each bucket carries the
-    sum and count of its daily maxima, the peak's are picked with it, and an
-    entity's mean is their total sum over their total count. `scale` divides
-    last, so sums of whole waits are exact.
+    Same result as impute_group_mean, peak_bucket and metric_in_peak. The rows
+    are folded first, to one for each entity, slot and load; means are added up
+    from the folded rows, and only those are joined with them. Each bucket
+    carries the sum and count of its daily maxima, the peak's are picked with it,
+    and an entity's mean is their total sum over their total count. `scale`
+    divides last, so sums of whole waits are exact.
     """
-    rows = df.select(entity, slot, load, wait)
-    missing = F.col(wait).isNull()
-    means = group_means(rows, wait, load)
-    near, far = split_rows(rows, load, missing, dense_keys)
-    near = add_near_means(near, means, load, load, missing, dense_keys)
-    # Rows that go through a shuffle to get their mean go once per slot and load.
-    far = add_far_means(far.distinct(), means, load, load, dense_keys, salts)
-    filled = F.coalesce(F.col(wait).cast("double"), F.col("group_mean"))
-
-    slots = near.unionByName(far).groupBy(entity, slot).agg(F.max(load).alias("_load"), F.max(filled).alias("_wait"))
+    folded = df.groupBy(entity, slot, load).agg(
+        F.max(wait).alias("_most"),
+        F.sum(wait).alias("_sum"),
+        F.count(wait).alias("_known"),
+        F.count_if(F.col(wait).isNull()).alias("_missing"),
+    )
+    means = folded.groupBy(load).agg((F.sum("_sum") / F.nullif(F.sum("_known"), F.lit(0))).alias("group_mean"))
+    # Equal plans up to here, so the fold's shuffle serves both; a hot load is split by adaptive execution.
+    same = F.col("_key").eqNullSafe(F.col(load))
+    filled = folded.join(means.withColumnRenamed(load, "_key"), same, "left").withColumn(
+        "_filled", F.greatest(F.col("_most").cast("double"), F.when(F.col("_missing") > 0, F.col("group_mean")))
+    )
+
+    slots = filled.groupBy(entity, slot).agg(F.max(load).alias("_load"), F.max("_filled").alias("_wait"))
     buckets = (
         slots.select(entity, period.alias("_period"), bucket.alias("_bucket"), "_load", "_wait")
         .groupBy(entity, "_period", "_bucket")

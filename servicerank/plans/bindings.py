@@ -65,9 +65,21 @@ def unpartitioned_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake(spark, sf_dir).drop("ingest_date")
 
 
+def unclean_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unpartitioned lake with some times in another form, missing, or before the calendar."""
+    rows, k = unpartitioned_lake(spark, sf_dir), F.col("active_counters")
+    odd = (
+        F.when((k == "1") & (F.col("is_open") == "true"), F.translate("time", "/", "-"))
+        .when((k == "2") & (F.col("is_open") == "False"), "None")
+        .when(k == "3", F.concat(F.lit("10"), F.substring("time", 3, 20)))
+        .otherwise(F.col("time"))
+    )
+    return rows.withColumn("time", odd)
+
+
 def queue_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Queue fact over all days of the events, by way of their text."""
-    return queue_fact(unpartitioned_lake(spark, sf_dir), FIRST_DAY, END_DAY, pushdown=True)
+    return queue_fact(unpartitioned_lake(spark, sf_dir), FIRST_DAY, END_DAY)
 
 
 def queue(spark: SparkSession, sf_dir: str) -> DataFrame:

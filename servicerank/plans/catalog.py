@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from servicerank.operators.audit import audit_keys, duplicate_keys, orphan_keys, orphan_time_ids
-from servicerank.operators.calendar import Calendar, attach_calendar, join_calendar, join_time_id, time_dimension
+from servicerank.functions.text import spell
+from servicerank.operators.audit import audit_keys, duplicate_keys, orphan_keys, orphan_time_ids, rejected_times
+from servicerank.operators.calendar import DEFAULT_CALENDAR, Calendar, attach_calendar, time_dimension
 from servicerank.operators.decision import clean_labels, normalize_criteria
 from servicerank.operators.facts import queue_fact_of_day
 from servicerank.operators.imputation import impute_group_mean
@@ -36,7 +37,6 @@ from servicerank.streaming.ingest import stream_snapshots
 Query = Callable[[SparkSession, str], DataFrame]
 
 BATCH_TIME = datetime(2024, 3, 4, 10, 0, 0)
-SHORT_CALENDAR = Calendar(origin=datetime(2024, 1, 1), minutes=10 * 24 * 60)
 
 
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -105,11 +105,10 @@ def queue_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queue_time_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both join forms, against a dimension that lacks some of the days."""
-    dim = time_dimension(spark, SHORT_CALENDAR)
-    typed = stage_typed(b.lake(spark, sf_dir), queue_spec()).select(ENTITY, F.col("time_format").alias("minute"))
-    keyed = join_time_id(typed, "minute", dim).drop("minute")
-    return join_calendar(keyed, dim).select(ENTITY, "time_id", "full_date", "day_of_week", "hour", "weekday_flag")
+    """Key and attributes of all events by one join with the dimension of all 10 million minutes."""
+    typed = stage_typed(b.lake(spark, sf_dir), queue_spec()).select(ENTITY, F.col("time_format").alias("full_date"))
+    joined = typed.join(time_dimension(spark), "full_date")
+    return joined.select(ENTITY, "time_id", "full_date", "day_of_week", "hour", "weekday_flag")
 
 
 # Facts -------------------------------------------------------------------------
@@ -128,8 +127,9 @@ def fact_queue_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake_path, fact_path = new_work_path(spark, "lake"), new_work_path(spark, "queue")
     append_lake(b.lake(spark, sf_dir), lake_path)
     lake = read_lake(spark, lake_path)
-    load_queue_fact(lake, fact_path, b.FIRST_DAY, b.END_DAY)
-    load_day(lake, fact_path, as_of=date(2024, 1, 16))
+    span = _events_calendar(spark, sf_dir)
+    load_queue_fact(lake, fact_path, span.origin, span.end, vouched=True)
+    load_day(lake, fact_path, as_of=date(2024, 1, 16), vouched=True)
     return read_queue_fact(spark, fact_path).drop("fact_date")
 
 
@@ -204,7 +204,7 @@ def decision_matrix_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The matrix and its names through SQL on the registered views."""
     register_views(*_facts(spark, sf_dir), time=time_dimension(spark, _events_calendar(spark, sf_dir)))
     return spark.sql(f"""
-        SELECT {ENTITY}, p.name, m.{MATRIX_CRITERIA[0]}, m.{MATRIX_CRITERIA[3]}
+        SELECT {ENTITY}, p.name, {", ".join(f"m.{c}" for c in MATRIX_CRITERIA)}
         FROM view_decision_matrix m JOIN dim_service_point p USING ({ENTITY})
         ORDER BY {ENTITY}
     """)
@@ -227,10 +227,11 @@ def warehouse_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report over stored tables: feed, lake, facts and dimensions are written first."""
     paths = {n: new_work_path(spark, n) for n in ("lake", "queue", "reviews", "points", "time")}
     append_lake(b.lake(spark, sf_dir), paths["lake"])
-    load_queue_fact(read_lake(spark, paths["lake"]), paths["queue"], b.FIRST_DAY, b.END_DAY)
+    span = _events_calendar(spark, sf_dir)
+    load_queue_fact(read_lake(spark, paths["lake"]), paths["queue"], span.origin, span.end, vouched=True)
     load_reviews_fact(b.raw_reviews(spark, sf_dir), paths["reviews"], b.REVIEW_CALENDAR)
     replace_table(b.service_points(spark, sf_dir), paths["points"])
-    load_time_dimension(spark, paths["time"], _events_calendar(spark, sf_dir))
+    load_time_dimension(spark, paths["time"], span)
 
     queue, reviews = read_queue_fact(spark, paths["queue"]), read_reviews_fact(spark, paths["reviews"])
     points = spark.read.schema(b.service_points(spark, sf_dir).schema).parquet(paths["points"])
@@ -261,7 +262,33 @@ def time_fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def key_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = b.service_points(spark, sf_dir)
-    return audit_keys(b.queue(spark, sf_dir), [ENTITY, "time_id"], {ENTITY: (points, ENTITY)})
+    foreign = {ENTITY: (points, ENTITY)}
+    return audit_keys(b.queue(spark, sf_dir), [ENTITY, "time_id"], foreign, {"time_id": DEFAULT_CALENDAR})
+
+
+def reviews_key_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews against customers who are known, and a calendar that ends in 1998."""
+    customers = b.table(spark, sf_dir, "customer")
+    until = (datetime(1998, 1, 1) - b.REVIEW_CALENDAR.origin) // timedelta(minutes=1)
+    calendar = Calendar(origin=b.REVIEW_CALENDAR.origin, minutes=until)
+    return audit_keys(b.reviews(spark, sf_dir), ["review_id"], {ENTITY: (customers, "c_custkey")}, {"time_id": calendar})
+
+
+def time_key_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_keys(time_dimension_of_events(spark, sf_dir), ["time_id"])
+
+
+def rejected_snapshot_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rejected_times(b.unclean_lake(spark, sf_dir))
+
+
+def spelled_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Doubles from 0.0001 up to some billions as the extractor spells them."""
+    value = F.col("value")
+    numbers = {"small": 0.0001 + value / 1e6, "large": value * 1000003.5, "whole": F.floor(value).cast("double") * 1e7}
+    return b.table(spark, sf_dir, "events").select(
+        "event_id", *(spell(n, T.DoubleType()).alias(name) for name, n in numbers.items())
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -296,4 +323,8 @@ QUERIES: dict[str, Query] = {
     "fk_orphans": fk_orphans,
     "time_fk_orphans": time_fk_orphans,
     "key_audit": key_audit,
+    "reviews_key_audit": reviews_key_audit,
+    "time_key_audit": time_key_audit,
+    "rejected_times": rejected_snapshot_times,
+    "spelled_numbers": spelled_numbers,
 }

@@ -163,10 +163,10 @@ SELECT service_point_id, time_id, customers_currently_waiting, minute AS full_da
 FROM fact""",
     "queue_time_join": f"""
 WITH {_OBS}
-SELECT service_point_id, date_diff('minute', TIMESTAMP '2024-01-01', minute) + 1 AS time_id, minute AS full_date,
+SELECT service_point_id, time_id, minute AS full_date,
        CAST(dayofweek(minute) + 1 AS INTEGER) AS day_of_week, CAST(hour(minute) AS INTEGER) AS hour,
        dayofweek(minute) NOT IN (0, 5) AS weekday_flag
-FROM obs WHERE minute < TIMESTAMP '2024-01-11'""",
+FROM fact""",
     "fact_queue_backfill": _BACKFILL,
     "fact_queue_daily": f"""
 WITH {_OBS}
@@ -216,7 +216,8 @@ SELECT service_point_id, {", ".join(f"{x} AS {n}" for x, n in zip(["rush_wait",
 FROM matrix""",
     "decision_matrix_view": f"""
 WITH {_MATRIX}
-SELECT service_point_id, name, rush_wait AS {MATRIX_CRITERIA[0]}, rating AS {MATRIX_CRITERIA[3]}
+SELECT service_point_id, name,
+       {", ".join(f"matrix.{x} AS {n}" for x, n in zip(["rush_wait", "open_hours", "stops", "rating"], MATRIX_CRITERIA))}
 FROM matrix JOIN points USING (service_point_id)""",
     "normalized_matrix": f"""
 WITH {_SCALED}
@@ -245,5 +246,34 @@ lost AS (SELECT count(*) AS n FROM fact
          WHERE service_point_id NOT IN (SELECT s_suppkey FROM supplier) GROUP BY service_point_id)
 SELECT 'duplicate primary key' AS check_name, count(*) AS bad_keys, CAST(coalesce(sum(n), 0) AS BIGINT) AS bad_rows FROM twice
 UNION ALL SELECT 'null primary key', 0, 0
-UNION ALL SELECT 'orphan service_point_id', count(*), CAST(coalesce(sum(n), 0) AS BIGINT) FROM lost""",
+UNION ALL SELECT 'orphan service_point_id', count(*), CAST(coalesce(sum(n), 0) AS BIGINT) FROM lost
+UNION ALL SELECT 'orphan time_id', count(DISTINCT time_id), count(*) FROM fact WHERE time_id NOT BETWEEN 1 AND 10000000""",
+    "reviews_key_audit": """
+WITH raw AS (
+  SELECT o_custkey, o_orderkey, (epoch(o_orderdate)::BIGINT + o_orderkey % 86400 + 1) AS second FROM orders),
+lost AS (SELECT count(*) AS n FROM raw WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) GROUP BY o_custkey),
+late AS (SELECT count(*) AS n FROM raw WHERE second >= epoch(TIMESTAMP '1998-01-01')::BIGINT GROUP BY second // 60)
+SELECT 'duplicate primary key' AS check_name, CAST(0 AS BIGINT) AS bad_keys, CAST(0 AS BIGINT) AS bad_rows
+UNION ALL SELECT 'null primary key', 0, 0
+UNION ALL SELECT 'orphan service_point_id', count(*), CAST(coalesce(sum(n), 0) AS BIGINT) FROM lost
+UNION ALL SELECT 'orphan time_id', count(*), CAST(coalesce(sum(n), 0) AS BIGINT) FROM late""",
+    "time_key_audit": """
+SELECT unnest(['duplicate primary key', 'null primary key']) AS check_name,
+       CAST(0 AS BIGINT) AS bad_keys, CAST(0 AS BIGINT) AS bad_rows""",
+    "rejected_times": f"""
+WITH raw AS (WITH {_raw()}),
+texts AS (
+  SELECT CASE WHEN active_counters = '1' AND is_open = 'true' THEN replace(time, '/', '-')
+              WHEN active_counters = '2' AND is_open = 'False' THEN 'None'
+              WHEN active_counters = '3' THEN '10' || substr(time, 3) ELSE time END AS t
+  FROM raw),
+parsed AS (SELECT t, try_strptime(t, '%y/%m/%d %H:%M:%S') AS taken FROM texts)
+SELECT 'malformed' AS reason, count(DISTINCT t) AS n_texts, count(*) AS n_rows FROM parsed WHERE taken IS NULL
+UNION ALL
+SELECT 'outside the calendar', count(DISTINCT t), count(*) FROM parsed
+WHERE taken < TIMESTAMP '2017-01-01' OR taken >= TIMESTAMP '2036-01-06 10:40:00'""",
+    "spelled_numbers": """
+SELECT event_id, CAST(0.0001::DOUBLE + value / 1e6::DOUBLE AS VARCHAR) AS small,
+       CAST(value * 1000003.5::DOUBLE AS VARCHAR) AS large, CAST(floor(value) * 1e7::DOUBLE AS VARCHAR) AS whole
+FROM events""",
 }

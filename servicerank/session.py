@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,9 +47,28 @@ def shared_dir(spark: SparkSession) -> str:
     return local
 
 
+# Work paths made inside each open `discarding` block.
+_discarded: list[list[str]] = []
+
+
 def new_work_path(spark: SparkSession, label: str) -> str:
     """A fresh path for a work table under the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _discarded:
+        _discarded[-1].append(path)
+    return path
+
+
+@contextmanager
+def discarding(spark: SparkSession) -> Iterator[None]:
+    """Remove the work tables made inside the block when it ends; write what reads them before."""
+    _discarded.append([])
+    try:
+        yield
+    finally:
+        for made in _discarded.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(made)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,21 +35,26 @@ def read_lake(spark: SparkSession, *lakes: str) -> DataFrame:
 
 def written_by_stream(spark: SparkSession, lake: str) -> bool:
     """Whether a folder has a stream's log of committed files; readers of it see those files only."""
-    return _files(spark, f"{lake}/_spark_metadata") is not None
+    path, files = _folder(spark, f"{lake}/_spark_metadata")
+    return files.exists(path)
 
 
 def written_by_batch(spark: SparkSession, lake: str) -> bool:
-    return not written_by_stream(spark, lake) and bool(_files(spark, lake))
-
-
-def _files(spark: SparkSession, path: str) -> list[str] | None:
-    """Data files under a path, None if there is no such path."""
-    try:
-        return spark.read.text(path).inputFiles()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    """Whether a folder has data files and no stream's log; the listing ends at the first one."""
+    path, files = _folder(spark, lake)
+    if written_by_stream(spark, lake) or not files.exists(path):
+        return False
+    entries = files.listFiles(path, True)
+    while entries.hasNext():
+        if not entries.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
+def _folder(spark: SparkSession, path: str) -> tuple:
+    """A Hadoop path and its file system."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def load_summary(spark: SparkSession, *lakes: str) -> DataFrame:

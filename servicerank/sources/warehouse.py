@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from servicerank.operators.calendar import DEFAULT_CALENDAR, Calendar, time_dimension
 from servicerank.operators.facts import fact_date, queue_fact, queue_fact_of_day, reviews_fact
 from servicerank.schemas import ENTITY, queue_fact_schema, reviews_fact_schema, time_dimension_schema
+from servicerank.session import discarding
 
 DAY_MODES = ("replace", "append")
 
@@ -79,7 +80,8 @@ def read_queue_fact(spark: SparkSession, path: str, entity: str = ENTITY) -> Dat
 
 def load_reviews_fact(reviews: DataFrame, path: str, calendar: Calendar = DEFAULT_CALENDAR, **options) -> None:
     """Rebuild the reviews fact."""
-    replace_table(reviews_fact(reviews, calendar, **options), path)
+    with discarding(reviews.sparkSession):
+        replace_table(reviews_fact(reviews, calendar, **options), path)
 
 
 def read_reviews_fact(spark: SparkSession, path: str, entity: str = ENTITY) -> DataFrame:

@@ -3,7 +3,9 @@ from datetime import date, datetime
 import pytest
 from helpers import plan, rows
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
+from servicerank.operators.audit import rejected_times
 from servicerank.operators.calendar import Calendar, join_time_id, time_dimension
 from servicerank.operators.facts import queue_fact, queue_fact_of_day, reviews_fact
 from servicerank.operators.staging import queue_spec, stage_typed
@@ -35,9 +37,9 @@ def test_backfill_is_half_open_and_keeps_duplicates(spark):
     ]
 
 
-@pytest.mark.parametrize("pushdown", [True, False])
-def test_arithmetic_fact_equals_join(spark, pushdown):
-    got = queue_fact(lake(spark), date(2024, 3, 1), date(2024, 4, 1), MARCH, pushdown=pushdown)
+@pytest.mark.parametrize("vouched", [True, False])
+def test_arithmetic_fact_equals_join(spark, vouched):
+    got = queue_fact(lake(spark), date(2024, 3, 1), date(2024, 4, 1), MARCH, vouched=vouched)
     typed = stage_typed(lake(spark), queue_spec())
     want = join_time_id(typed, "time_format", time_dimension(spark, MARCH)).select(got.columns)
     assert rows(got) == rows(want)
@@ -61,10 +63,19 @@ def test_bad_id_or_time_fails_the_load(spark):
             queue_fact(lake(spark, [(*bad, "1", "1", "1", "True")]), date(2024, 3, 4), date(2024, 3, 5)).collect()
 
 
+def test_malformed_times_fail_in_every_layout(spark):
+    rows_ = lake(spark, [("1", t, "1", "1", "1", "True") for t in ("24/03/04 10:00:00", "garbage", "2024-03-04 10:00:00")])
+    for layout in (rows_, rows_.withColumn("ingest_date", F.lit(date(2024, 3, 4)))):
+        with pytest.raises(PySparkException):
+            queue_fact(layout, date(2024, 3, 4), date(2024, 3, 5)).collect()
+    got = {r.reason: (r.n_texts, r.n_rows) for r in rejected_times(rows_).collect()}
+    assert got == {"malformed": (2, 2), "outside the calendar": (0, 0)}
+
+
 def test_pushdown_reaches_the_scan_and_nothing_shuffles(spark, tmp_path):
     lake(spark).write.parquet(str(tmp_path / "lake"))
     stored = spark.read.schema(SCHEMA).parquet(str(tmp_path / "lake"))
-    shown = plan(queue_fact(stored, date(2024, 3, 4), date(2024, 3, 22), pushdown=True))
+    shown = plan(queue_fact(stored, date(2024, 3, 4), date(2024, 3, 22), vouched=True))
     assert "GreaterThanOrEqual(time,24/03/04 00:00:00)" in shown
     assert "LessThan(time,24/03/22 00:00:00)" in shown
     assert "Exchange" not in shown
@@ -88,3 +99,16 @@ def test_reviews(spark):
         (3, 8, 1, None, None, None),
         (4, 7, 2, 5, 0, "late"),
     ]
+
+
+def test_reviews_load_leaves_no_work_table(spark, tmp_path):
+    from pathlib import Path
+
+    from servicerank.session import shared_dir
+    from servicerank.sources.warehouse import load_reviews_fact, read_reviews_fact
+
+    raw = spark.createDataFrame([(7, 1, 5, 0, "a")], "id_bq long, Date long, Rating int, Helpful_count int, Review string")
+    before = {p.name for p in Path(shared_dir(spark)).iterdir()}
+    load_reviews_fact(raw, f"{tmp_path}/reviews", Calendar(origin=datetime(1970, 1, 1)))
+    assert read_reviews_fact(spark, f"{tmp_path}/reviews").count() == 1
+    assert {p.name for p in Path(shared_dir(spark)).iterdir()} == before

@@ -11,6 +11,7 @@ from servicerank.operators.imputation import impute_group_mean
 from servicerank.operators.peaks import (
     daily_max_in_peak, metric_in_peak, peak_bucket, ranked_buckets, rush_wait,
 )
+from servicerank.plans.catalog import QUERIES
 
 BY = {"entity": "id", "period": "dow", "bucket": "hour", "day": "day"}
 
@@ -79,11 +80,11 @@ def steps(df, **options):
     return metric_in_peak(filled, peak_bucket(df, **BY, metric="load"), **BY, metric="filled", output="out", scale=60)
 
 
-def fused(df, **options):
+def fused(df, **_):
     # Hours numbered as day, day of week and hour, one digit and two digits.
     slots = df.withColumn("slot", (F.col("day") * 10 + F.col("dow")) * 100 + F.col("hour"))
     period, bucket = F.floor(F.col("slot") / 100) % 10, F.col("slot") % 100
-    return rush_wait(slots, "id", "slot", period, bucket, "load", "wait", "out", **options)
+    return rush_wait(slots, "id", "slot", period, bucket, "load", "wait", "out")
 
 
 def test_equal_hours_go_to_the_smaller(spark):
@@ -157,3 +158,13 @@ def test_snapshots_are_folded_before_every_shuffle(spark, tmp_path):
     assert "Window" not in shown and "SinglePartition" not in shown and "Cartesian" not in shown
     peaks = plan(peak_bucket(spark.read.parquet(str(tmp_path / "t")), **BY, metric="load"))
     assert "partial_max" in peaks and "SinglePartition" not in peaks and "Join" not in peaks
+
+
+def test_peaks_join_above_the_maxima(spark, tables):
+    optimized = QUERIES["rush_wait_by_day"](spark, tables)._jdf.queryExecution().optimizedPlan().toString()
+    join = optimized.index("Join Inner")
+    assert "LeftSemi" not in optimized and optimized.index("Aggregate", join) > join
+
+
+def test_rush_chain_scans_the_fact_twice_at_most(spark, tables):    # The formatted plan names each scan in the tree and in the details.
+    assert plan(QUERIES["rush_wait"](spark, tables)).count("Scan parquet") <= 2 * 2

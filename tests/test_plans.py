@@ -6,7 +6,7 @@ from helpers import plan
 from servicerank.plans.catalog import QUERIES
 
 # Numbering offsets and the full ranking are windows by design; the first over one row per partition.
-WINDOWS = {"fact_reviews", "ranked_hours"}
+WINDOWS = {"fact_reviews", "reviews_key_audit", "ranked_hours"}
 NARROW = {
     "lake_snapshot_rows", "staged_queue", "time_dimension", "queue_calendar", "fact_queue_backfill",
     "fact_queue_daily", "cleaned_labels",

@@ -2,8 +2,9 @@ import pytest
 from helpers import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from servicerank.functions.text import safe_bool, safe_long, strict_long, strip_pattern
+from servicerank.functions.text import safe_bool, safe_long, spell, strict_long, strip_pattern
 from servicerank.operators.staging import stage_typed
 from servicerank.sources.snapshots import stringify
 
@@ -60,3 +61,10 @@ def test_stage_typed_kinds(spark):
     }
     got = stage_typed(df, spec).select("id", F.col("t").cast("string"), F.col("m").cast("string"), "st", "sm", "raw")
     assert rows(got) == [(7, "2024-03-04 10:20:59", "2024-03-04 10:20:00", None, None, "x")]
+
+
+def test_doubles_are_spelled_as_python_does(spark):
+    values = [0.0001, 12345678.5, 1e-05, 1.5e-7, 123456789012345.0, 1e16, 1.25e20, 0.0, -0.0001, -3.0, 0.1 + 0.2, 1e7, 100.0]
+    values += [float("nan"), float("inf"), float("-inf"), 0.00012345678901234567]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [r[0] for r in df.select(spell(F.col("x"), T.DoubleType())).collect()] == [str(v) for v in values]

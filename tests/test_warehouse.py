@@ -79,7 +79,7 @@ def test_backfill_replaces_the_table(spark, tmp_path, lake):
 def test_day_load_prunes_partitions_and_pushes_the_range(spark, lake):
     from servicerank.operators.facts import queue_fact_of_day
 
-    shown = plan(queue_fact_of_day(lake, date(2024, 3, 6), calendar=CALENDAR))
+    shown = plan(queue_fact_of_day(lake, date(2024, 3, 6), calendar=CALENDAR, vouched=True))
     assert "PartitionFilters: [isnotnull(ingest_date" in shown
     assert "GreaterThanOrEqual(time,24/03/05 00:00:00)" in shown
     assert "Exchange" not in shown
