@@ -29,7 +29,7 @@ MOST = 65_535
 #: Points in a leaf of the tree.
 LEAF = 64
 #: Shingle groups this many times as full as the mean may hold a hot shingle, which is looked up by partial aggregates.
-HOT = 4
+HOT, SALTS = 4, 64
 #: Texts below one shingle from which several of them, not one, are compared with all first; and how many.
 CROWD, PIVOTS = 16, 2
 
@@ -195,26 +195,36 @@ class ShingleJoin:
 
     @staticmethod
     def _members(rare: DataFrame) -> DataFrame:
-        """(shingle, node, k) of the shingles that k > 1 nodes share."""
-        below = Window.partitionBy("shingle")
-        cold = (
-            rare.filter("NOT hot")
-            .select("shingle", "node", F.min("node").over(below).alias("low"), F.max("node").over(below).alias("high"), F.count("node").over(below).alias("k"))
-            .filter("low != high")
-            .select("shingle", "node", "k")
+        """(shingle, node, k) of the shingles that k > 1 nodes share.
+
+        Hot shingles are spread over salts in the one large shuffle; what is
+        left after it is small, and there they are counted by partial aggregates.
+        """
+        salt = F.when(F.col("hot"), F.pmod(F.xxhash64("node"), F.lit(SALTS))).otherwise(0)
+        below = Window.partitionBy("shingle", "salt")
+        kept = (
+            rare.withColumn("salt", salt)
+            .select("shingle", "node", "hot", F.min("node").over(below).alias("low"), F.max("node").over(below).alias("high"), F.count("node").over(below).alias("k"))
+            .filter("hot OR low != high")
+            .select("shingle", "node", "hot", "k")
+            .distinct()
         )
-        hot = rare.filter("hot").select("shingle", "node").distinct()
+        kept = materialize(kept, "shingle-kept")
+        hot = kept.filter("hot").select("shingle", "node").distinct()
         counted = hot.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
-        return cold.distinct().unionAll(hot.join(counted, "shingle"))
+        return kept.filter("NOT hot").select("shingle", "node", "k").unionAll(hot.join(counted, "shingle"))
 
     def _bounded(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        """Of pairs of nodes, the documents of those whose points allow the similarity."""
+        """Of pairs of nodes, the documents of those whose sizes and then points allow the similarity."""
         percent = self.percent
-        left = classes.select(F.col("node").alias("a"), F.col("doc").alias("a_doc"), F.col("n").alias("a_n"), F.col("point").alias("a_point"))
-        right = classes.select(F.col("node").alias("b"), F.col("doc").alias("b_doc"), F.col("n").alias("b_n"), F.col("point").alias("b_point"))
-        sized = pairs.join(left, "a").join(right, "b").filter(
+
+        def of(side: str, *columns: str) -> DataFrame:
+            return classes.select(F.col("node").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in columns))
+
+        sized = pairs.join(of("a", "doc", "n"), "a").join(of("b", "doc", "n"), "b").filter(
             (F.col("a_n") * 100 >= F.col("b_n") * percent) & (F.col("b_n") * 100 >= F.col("a_n") * percent)
         )
+        sized = sized.join(of("a", "point"), "a").join(of("b", "point"), "b")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
