@@ -26,9 +26,10 @@ from servicerank.session import materialize
 #: Ids in a window, those it scores, and the width of their vectors.
 WINDOW, SCORED, WIDTH = 16, 12, 16
 #: Clusters of the commonest ids, of the other ones, and how many ids count as common.
-CLUSTERS, OTHERS, COMMON = 56, 8, 2048
-#: Training texts that the layer is fitted on: those with the smallest hash of their id. Counts cover all.
-SAMPLE = 2_000
+CLUSTERS, OTHERS, COMMON = 56, 8, 1024
+#: Training texts that the layer is fitted on, those with the smallest hash of their id, and how much of each: the
+#: bound of the fitting sample on the driver. Counts cover all texts, and whole texts are scored.
+SAMPLE, PREFIX = 1_200, 8_000
 #: Pairs of ids inside words, commonest first, that the model keeps counts of; shares of others come from single ids.
 PAIRS, BACK_OFF = 1 << 20, 10.0
 #: Commonest words, whose counts are broadcast; the others' are joined by a shuffle.
@@ -174,9 +175,19 @@ class AttentionModel:
         Windows are laid out from each text's own beginning, so a score does not
         depend on the texts around.
         """
+        text, number = self.numbered(sizes)
+        return self.cut(ids, sizes, begins, text, number)
+
+    @staticmethod
+    def numbered(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The text of each window, and its number in the text."""
         count = -(-sizes // SCORED)
         text = np.repeat(np.arange(len(sizes)), count)
-        number = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
+        return text, np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
+
+    def cut(
+        self, ids: np.ndarray, sizes: np.ndarray, begins: np.ndarray, text: np.ndarray, number: np.ndarray
+    ) -> tuple[np.ndarray, ...]:
         place = (number * SCORED)[:, None] + np.arange(SCORED - WINDOW, SCORED)
         exists = (place >= 0) & (place < sizes[text][:, None])
         at = np.where(exists, place + begins[text][:, None], 0)
@@ -201,14 +212,15 @@ class AttentionModel:
 
     def score(self, ids: np.ndarray, sizes: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """log10 of the probability of the clusters of each text's ids."""
-        inputs, exists, at = self.windows(ids, sizes, begins)
+        text, number = self.numbered(sizes)
         total = np.zeros(len(ids), np.float32)
         clusters_ = self.cluster[ids]
-        for first in range(0, len(inputs), 512):
+        for first in range(0, len(text), 512):
             part = slice(first, first + 512)
-            out = self.forward(inputs[part], exists[part])["out"]
+            inputs, exists, at = self.cut(ids, sizes, begins, text[part], number[part])
+            out = self.forward(inputs, exists)["out"]
             np.clip(out, -60, 60, out=out)
-            here, places = exists[part][:, WINDOW - SCORED :], at[part][:, WINDOW - SCORED :]
+            here, places = exists[:, WINDOW - SCORED :], at[:, WINDOW - SCORED :]
             chosen = np.take_along_axis(out, clusters_[places][:, :, None], 2)[:, :, 0]
             np.exp(out, out=out)
             found = chosen - np.log(out.sum(2))
@@ -281,27 +293,29 @@ def fit(
         "embed": rng.normal(0, 0.3, (size, WIDTH)).astype(np.float32), "place": rng.normal(0, 0.1, (WINDOW, WIDTH)).astype(np.float32),
         "query": normal(WIDTH, WIDTH), "key": normal(WIDTH, WIDTH), "value": normal(WIDTH, WIDTH),
         "keep": normal(WIDTH, 2 * WIDTH), "mix": normal(WIDTH, 2 * WIDTH), "bias": np.zeros(2 * WIDTH, np.float32),
-        "out": normal(2 * WIDTH, total), "out_bias": np.log(np.bincount(cluster, weight, total) / weight.sum()).astype(np.float32),
+        "out": normal(2 * WIDTH, total), "out_bias": np.log(np.bincount(cluster, weight, total) / weight.sum() + 1e-9).astype(np.float32),
     }
     model = AttentionModel(weights, cluster, shares, start)
     if not len(sizes):
         return model
-    inputs, exists, at = model.windows(ids, sizes, np.cumsum(sizes) - sizes)
+    begins = np.cumsum(sizes) - sizes
+    text, number = model.numbered(sizes)
     moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in weights.items()}
-    step, steps = 0, epochs * -(-len(inputs) // batch)
+    step, steps = 0, epochs * -(-len(text) // batch)
     for _ in range(epochs):
-        order = rng.permutation(len(inputs))
+        order = rng.permutation(len(text))
         for first in range(0, len(order), batch):
             rows = order[first : first + batch]
-            here = exists[rows][:, WINDOW - SCORED :]
-            targets = cluster[ids[at[rows][:, WINDOW - SCORED :]]]
-            gradients = _gradients(model, inputs[rows], exists[rows], targets, here)
+            inputs, exists, at = model.cut(ids, sizes, begins, text[rows], number[rows])
+            here = exists[:, WINDOW - SCORED :]
+            targets = cluster[ids[at[:, WINDOW - SCORED :]]]
+            gradients = _gradients(model, inputs, exists, targets, here)
             step += 1
             rate = np.float32(4e-3 * (1 - 0.95 * step / steps))
             fast, slow = np.float32(1 - 0.9**step), np.float32(1 - 0.99**step)
             for name, gradient in gradients.items():
                 m, v = moments[name]
-                touched = np.unique(inputs[rows]) if name == "embed" else slice(None)
+                touched = np.unique(inputs) if name == "embed" else slice(None)
                 g = gradient[touched]
                 m[touched] += np.float32(0.1) * (g - m[touched])
                 v[touched] += np.float32(0.01) * (g * g - v[touched])
@@ -409,6 +423,19 @@ def pair_counts(words: DataFrame, path: str) -> DataFrame:
     return materialize(rows.groupBy("pair").agg(F.sum("c").alias("c")), "pair-counts")
 
 
+def commonest(counts: DataFrame, limit: int) -> DataFrame:
+    """Rows with the largest `c`, at most `limit`: all above a bound that a histogram of at most some 1,000 bins gives."""
+    grade = F.floor(F.log2("c") * 16)
+    rows = counts.groupBy(grade.alias("grade")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("grade")).collect()
+    least, total = None, 0
+    for row in rows:
+        total += row.n
+        if total > limit:
+            break
+        least = row.grade
+    return counts.limit(0) if least is None else counts.filter(grade >= least)
+
+
 def score(
     docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE
 ) -> DataFrame:
@@ -435,14 +462,14 @@ def score(
     # As many rows as the vocabulary has ids, and as PAIRS says.
     for row in pairs.groupBy((F.col("pair") % known.size).alias("id")).agg(F.sum("c").alias("c")).collect():
         of_ids[row.id] = row.c
-    kept = pairs.orderBy(F.desc("c"), "pair").limit(PAIRS).toPandas().sort_values("pair")
-    frequent = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).toPandas()
-    order = np.argsort(frequent["word"].to_numpy(np.int64).view(np.uint64))
-    words = frequent["word"].to_numpy(np.int64).view(np.uint64)[order]
-    known_counts = frequent["c"].to_numpy(np.int64)[order]
+    kept = commonest(pairs, PAIRS).toArrow().sort_by("pair")
+    frequent = commonest(counts, FREQUENT).toArrow()
+    words, known_counts = np.asarray(frequent["word"], np.int64).view(np.uint64), np.asarray(frequent["c"], np.int64)
+    order = np.argsort(words)
+    words, known_counts = words[order], known_counts[order]
 
     ids = training.select("_id").distinct().orderBy(F.xxhash64("_id"), "_id").limit(sample)
-    texts = training.join(F.broadcast(ids), "_id").select("_id", F.substring("_text", 1, 20_000).alias("_text"))
+    texts = training.join(F.broadcast(ids), "_id").select("_id", F.substring("_text", 1, PREFIX).alias("_text"))
     chosen = sorted((r._text or "" for r in texts.dropDuplicates(["_id"]).collect()), key=lambda t: (len(t), t))
     np.random.default_rng(11).shuffle(chosen)
     sampled = pa.RecordBatch.from_arrays([pa.array(chosen, pa.string())], ["text"])
@@ -452,8 +479,8 @@ def score(
         np.concatenate([no, *(i for i, _ in found)]),
         np.concatenate([no, *(s for _, s in found)]),
         of_ids,
-        kept["pair"].to_numpy(np.int64),
-        kept["c"].to_numpy(np.int64),
+        np.asarray(kept["pair"], np.int64),
+        np.asarray(kept["c"], np.int64),
         known.end,
     )
     divisor = n + 0.5 * (v + 1)
@@ -479,7 +506,7 @@ def score(
                 size = part.num_rows
                 at, hit = lookup(chunk.hashes)
                 value = np.where(hit, logs[at] if len(logs) else 0, 0)[chunk.inverse]
-                base = np.bincount(chunk.owner, value, size)
+                base = np.bincount(chunk.owner, value, size).astype(np.float64)
                 seen = np.bincount(chunk.owner, hit[chunk.inverse], size).astype(np.int64)
                 base += np.log10((ends + 0.5) / divisor)
                 seen += int(ends > 0)

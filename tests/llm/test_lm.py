@@ -48,7 +48,7 @@ def _model():
     rng = np.random.default_rng(1)
     sizes = rng.integers(1, 60, 40)
     ids = rng.integers(0, 50, sizes.sum())
-    pairs = np.unique(np.append(ids[:-1] * 0 + 50, ids[:-1]) * 50 + np.append(ids[1:], ids))
+    pairs = np.unique(np.append(50 * 50 + ids, ids[:-1] * 50 + ids[1:]))
     return lm.fit(ids, sizes, np.bincount(ids, minlength=50), pairs, np.ones(len(pairs)), 49), ids, sizes
 
 
