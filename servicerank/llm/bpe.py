@@ -39,6 +39,19 @@ UNASSIGNED = (
 ).split()
 _RECENT = "".join("-".join(f"\\U{int(c, 16):08x}" for c in span.split("-")) for span in UNASSIGNED)
 RECENT = re.compile(f"[{_RECENT}]")
+
+
+def recent(text: str) -> bool:
+    """Whether a text holds one of them; none is in Latin-1, which is quick to tell."""
+    if text.isascii():
+        return False
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return RECENT.search(text) is not None
+    return False
+
+
 #: The same pattern for texts that hold such code points.
 PRE_TOKENS_RECENT = regex.compile(
     PRE_TOKENS.pattern.replace(r"[^\s\p{L}\p{N}]", rf"(?:[^\s\p{{L}}\p{{N}}]|[{_RECENT}])")
@@ -250,7 +263,7 @@ class ByteBpe:
 
     def cut(self, text: str) -> list[str]:
         """Pre-tokens of a text; special tokens are cut out first."""
-        pattern = PRE_TOKENS_RECENT if RECENT.search(text) else PRE_TOKENS
+        pattern = PRE_TOKENS_RECENT if recent(text) else PRE_TOKENS
         if not any(s in text for s in self.special):
             return pattern.findall(text)
         out, at = [], 0

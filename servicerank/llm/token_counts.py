@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from servicerank.llm.bpe import PRE_TOKENS, PRE_TOKENS_RECENT, RECENT, ByteBpe, load, slices
+from servicerank.llm.bpe import PRE_TOKENS, PRE_TOKENS_RECENT, ByteBpe, load, recent, slices
 
 #: Pre-tokens in a block.
 BLOCK = 32
@@ -41,6 +41,7 @@ class CountedText:
         """`pieces`: the pre-tokens of `text`, learned already."""
         self.bpe, self.text = bpe, text
         self.encoded = 0
+        self.recent = recent(text)
         # A pre-token depends on the text behind it: the end of a special token, or of a contraction.
         self.context = max([3, *map(len, bpe.special)])
         self.pending: dict[int, list[str]] = {}
@@ -92,6 +93,7 @@ class CountedText:
         leaf += 1
         self.text = self.text[:start] + replacement + self.text[stop:]
         shift = len(self.text) - size
+        self.recent = self.recent or recent(replacement)
 
         position, gathered = begin, []
         for piece, end in self._pieces(begin):
@@ -138,6 +140,7 @@ class CountedText:
     def _pieces(self, begin: int) -> Iterator[tuple[str, int]]:
         """Pre-tokens of the text from a border on, and where each ends."""
         text = self.text
+        pattern = PRE_TOKENS_RECENT if self.recent else PRE_TOKENS
         while begin < len(text):
             stop, special = len(text), ""
             for token in self.bpe.special:
@@ -145,16 +148,9 @@ class CountedText:
                 if 0 <= found < stop:
                     stop, special = found, token
             # Matching is lazy, so only what the caller takes is looked at.
-            window = text[begin : min(stop, begin + 4096) + 1]
-            pattern = PRE_TOKENS_RECENT if RECENT.search(window) else PRE_TOKENS
             for piece in pattern.finditer(text, begin, stop):
-                if pattern is PRE_TOKENS and RECENT.search(piece.group()):
-                    pattern = PRE_TOKENS_RECENT
-                    break
                 begin = piece.end()
                 yield piece.group(), begin
-                if pattern is PRE_TOKENS and begin + 64 < stop and RECENT.search(text, begin, min(stop, begin + 64)):
-                    break
             if begin == stop and special:
                 begin = stop + len(special)
                 yield special, begin
