@@ -114,7 +114,7 @@ class ByteBpe:
         it is merged together, each with the rank at which it is swallowed; the
         left spine likewise.
         """
-        never = np.int64(1) << 40
+        never = 1 << 30
         made: dict[int, tuple[int, int, int]] = {}
         for (left, right), (rank, whole) in self.merges.items():
             if whole not in made or rank < made[whole][0]:
@@ -125,7 +125,7 @@ class ByteBpe:
         self._keys, self._ranks = keys[order], ranks[order]
 
         def spine(number: int, side: int) -> list[tuple[int, int]]:
-            out, swallowed = [(number, int(never))], number
+            out, swallowed = [(number, never)], number
             while swallowed in made:
                 rank = made[swallowed][0]
                 swallowed = made[swallowed][side]
@@ -140,8 +140,8 @@ class ByteBpe:
             depth = max(depth, *(len(s) for s in spines[side].values()))
         self._spine, self._until = {}, {}
         for side, by_token in spines.items():
-            symbols = np.full((self._size, depth), -1, np.int64)
-            until = np.full((self._size, depth), -1, np.int64)
+            symbols = np.full((self._size, depth), -1, np.int32)
+            until = np.full((self._size, depth), -1, np.int32)
             for token, steps in by_token.items():
                 symbols[token, : len(steps)] = [s for s, _ in steps]
                 until[token, : len(steps)] = [r for _, r in steps]
@@ -226,9 +226,9 @@ class ByteBpe:
                 rows = rows_i[(left_spine[rows_i, j] >= 0) & fine[rows_i]]
                 if not len(rows):
                     break
-                wanted = right_spine[rows, i] * self._size + left_spine[rows, j]
+                wanted = right_spine[rows, i].astype(np.int64) * self._size + left_spine[rows, j]
                 at = np.minimum(np.searchsorted(self._keys, wanted), len(self._keys) - 1)
-                rank = np.where(self._keys[at] == wanted, self._ranks[at], np.int64(1) << 41)
+                rank = np.where(self._keys[at] == wanted, self._ranks[at], 1 << 31)
                 fine[rows] &= ~((rank < right_until[rows, i]) & (rank <= left_until[rows, j]))
         return fine
 

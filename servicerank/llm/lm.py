@@ -37,7 +37,7 @@ FREQUENT = 1 << 18
 #: Stands for the end of a text among the hashes of words.
 END = np.array([0x5E17_0F7E_97C0_FFEE], np.uint64)
 #: Words whose ids a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 800_000
 
 
 class Shares:
