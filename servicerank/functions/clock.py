@@ -11,6 +11,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from servicerank.schemas import SNAPSHOT_TIME_FORMAT
+
 # Two-digit years from here on belong to the 1900s.
 CENTURY_PIVOT = "69"
 
@@ -30,7 +32,7 @@ def parse_snapshot_time(text: Column, strict: bool = True) -> Column:
     century = F.when(F.substring(text, 1, 2) >= CENTURY_PIVOT, F.lit("19")).otherwise(F.lit("20"))
     full = F.concat(century, text)
     if strict:
-        return F.to_timestamp_ntz(full, F.lit("yyyy/MM/dd HH:mm:ss"))
+        return F.to_timestamp_ntz(full, F.lit("yy" + SNAPSHOT_TIME_FORMAT))
     well_formed = text.rlike(r"^\d\d/\d\d/\d\d \d\d:\d\d:\d\d$")
     return F.when(well_formed, F.translate(full, "/", "-").try_cast("timestamp_ntz"))
 

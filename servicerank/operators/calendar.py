@@ -29,6 +29,10 @@ class Calendar:
     minutes: int = 10_000_000
     weekend: tuple[int, ...] = (1, 6)
 
+    def __post_init__(self) -> None:
+        if self.origin.second or self.origin.microsecond:
+            raise ValueError(f"a calendar begins on a whole minute, not at {self.origin}")
+
     @property
     def end(self) -> datetime:
         """The first minute past the last row."""

@@ -13,6 +13,7 @@ def weighted_rating(
 
     A NULL score still adds its weight; NULL votes leave the review out.
     """
-    weight = F.col(votes) + 1
+    # Whole numbers of 64 bits, as 32 may not hold a product of score and votes.
+    weight = F.col(votes).cast("bigint") + 1
     mean = F.sum(F.col(score) * weight) / F.sum(weight)
     return df.groupBy(entity).agg(F.round(mean, digits).alias(output))

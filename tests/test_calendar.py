@@ -73,3 +73,8 @@ def test_no_shuffle(spark):
     df = spark.range(10).select(F.col("id").alias("time_id"))
     assert "Exchange" not in plan(time_dimension(spark))
     assert "Exchange" not in plan(attach_calendar(df))
+
+
+def test_origin_is_a_whole_minute():
+    with pytest.raises(ValueError):
+        Calendar(origin=datetime(2024, 1, 1, 0, 0, 30))

@@ -25,3 +25,8 @@ def test_halves_round_up(spark):
     data = [(1, 1, 38)] + [(1, 2, 160)]
     assert rate(spark, data) == [(1, 1.81)]
     assert rate(spark, data, digits=1) == [(1, 1.8)]
+
+
+def test_products_of_score_and_votes_beyond_32_bits(spark):
+    df = spark.createDataFrame([(1, 5, 2_000_000_000)], "id long, score int, votes int")
+    assert weighted_rating(df, "id", "score", "votes", "out").first().out == 5.0
