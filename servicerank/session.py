@@ -71,12 +71,12 @@ def discarding(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` as a work table and read it back.
+def materialize(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write `df` as a work table and read it back; `options` are the Parquet writer's, such as `compression`.
 
     Cuts lineage, so readers agree on the rows even if an executor is lost, and
     keeps them columnar, so a reader of one column reads one column.
     """
     path = new_work_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
