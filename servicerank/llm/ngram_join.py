@@ -185,7 +185,7 @@ class ShingleJoin:
         wanted = star.select(F.col("a").alias("doc")).unionAll(star.select(F.col("b").alias("doc")))
         in_crowds = crowded.select("node").distinct().join(classes.select("node", "doc"), "node").select("doc")
         wanted = wanted.unionAll(in_crowds).distinct()
-        texts = materialize(self.docs.join(wanted, "doc"), "shingle-texts")
+        texts = materialize(self.docs.join(wanted, "doc"), "shingle-texts", compression="zstd")
 
         first = materialize(self._verified(star, texts), "shingle-links")
         joined = components(first.select("a", "b"))

@@ -22,8 +22,6 @@ from servicerank.session import materialize
 
 #: Window starts handled at a time; their places fit the low bits of a rank.
 PLACES = 1 << 18
-#: Stretches with one anchor up to which a task compares the unequal ones itself; windows of larger groups are dealt out by hash.
-TOGETHER = 512
 
 
 def sliding_minimum(values: np.ndarray, size: int) -> np.ndarray:
@@ -89,6 +87,9 @@ class Plan:
     fields: list[tuple[str, str, pa.DataType]]
     window: int
     gram: int
+    #: Stretches with one anchor up to which a task compares the unequal ones itself; windows of larger groups are
+    #: dealt out by hash.
+    together: int
     #: Whether an earlier start in the same document counts as earlier.
     within: bool
 
@@ -207,7 +208,7 @@ def find(docs: DataFrame, plan: Plan) -> DataFrame:
     )
     # One row per id: a repeated id is one document.
     joined = docs.join(per_doc, "doc").dropDuplicates(["doc"])
-    half = materialize(joined.select("doc", "text", "stretches").mapInArrow(divide, schema), "repeat-texts")
+    half = materialize(joined.select("doc", "text", "stretches").mapInArrow(divide, schema), "repeat-texts", compression="zstd")
     results = [n for n, _, _ in plan.fields]
     done = half.filter("stretches IS NULL").select("doc", *results)
 
@@ -255,7 +256,7 @@ def _compared(open_texts: DataFrame, plan: Plan) -> DataFrame:
                 out = [anchor, np.full(len(anchor), doc.as_py()), place, members]
                 yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in out), pa.array(cuts, pa.binary())], names)
 
-    cuts = materialize(open_texts.mapInArrow(cut, CONTEXT), "repeat-contexts")
+    cuts = materialize(open_texts.mapInArrow(cut, CONTEXT), "repeat-contexts", compression="zstd")
 
     def opened(batch: pa.RecordBatch | pa.Table) -> dict[str, np.ndarray]:
         fields = {k: np.asarray(batch[k]) for k in ("anchor", "doc", "place")}
@@ -267,7 +268,7 @@ def _compared(open_texts: DataFrame, plan: Plan) -> DataFrame:
             spans = compare(opened(table), table["context"].to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(s) for s in spans], ["doc", "begin", "end"])
 
-    few = cuts.filter(F.col("members") <= TOGETHER)
+    few = cuts.filter(F.col("members") <= plan.together)
     near = few.repartition("anchor").sortWithinPartitions("anchor", "doc", "place").mapInArrow(settle, "doc long, begin long, end long")
 
     # Of a large group, only stretches that share more than the anchor: a window reaches `half` units before its
@@ -317,7 +318,7 @@ def _compared(open_texts: DataFrame, plan: Plan) -> DataFrame:
                     ["anchor", "hash", "doc", "start"],
                 )
 
-    cores = cuts.filter(F.col("members") > TOGETHER).mapInArrow(sides, CONTEXT + ", side int, core long")
+    cores = cuts.filter(F.col("members") > plan.together).mapInArrow(sides, CONTEXT + ", side int, core long")
     common = cores.groupBy("anchor", "side", "core").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
     alike = cores.join(common, ["anchor", "side", "core"]).select(*names, "side")
     many = alike.mapInArrow(single, "anchor long, hash long, doc long, start long")

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from servicerank.llm import arrays, repeats
 
-#: Words in a gram that anchors a window.
-GRAM = 8
+#: Words in a gram that anchors a window, and stretches around one that a task compares itself.
+GRAM, TOGETHER = 8, 512
 #: Hits that are extended at a time.
 HITS = 1 << 18
 
@@ -150,6 +150,7 @@ def remove_repeated_words(
         fields=fields,
         window=window,
         gram=min(GRAM, window),
+        together=TOGETHER,
         within=False,
     )
     shorter = repeats.find(rows, plan)

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from servicerank.llm import arrays, repeats
 
-#: Bytes in a gram that anchors a window.
-GRAM = 32
+#: Bytes in a gram that anchors a window, and stretches around one that a task sorts itself.
+GRAM, TOGETHER = 44, 8192
 
 
 class Suffixes:
@@ -195,6 +195,7 @@ def remove_repeats(
         fields=fields,
         window=window,
         gram=min(GRAM, window),
+        together=TOGETHER,
         within=True,
     )
     cut = repeats.find(rows, plan)

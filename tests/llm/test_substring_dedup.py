@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from servicerank.llm import repeats, substring_dedup
+from servicerank.llm import substring_dedup
 from servicerank.llm.substring_dedup import remove_repeated_words
 
 
@@ -38,7 +38,7 @@ def rows():
 
 @pytest.mark.parametrize("together, hits", [(512, 1 << 18), (512, 5), (1, 1 << 18)])
 def test_removal_equals_brute_force(make, rows, together, hits, monkeypatch):
-    monkeypatch.setattr(repeats, "TOGETHER", together)
+    monkeypatch.setattr(substring_dedup, "TOGETHER", together)
     monkeypatch.setattr(substring_dedup, "HITS", hits)
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in remove_repeated_words(make(rows)).collect()}
     assert got == brute(rows, 50)

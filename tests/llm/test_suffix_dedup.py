@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from servicerank.llm import arrays, repeats
+from servicerank.llm import arrays, repeats, suffix_dedup
 from servicerank.llm.suffix_dedup import Suffixes, remove_repeats
 
 
@@ -41,7 +41,7 @@ def rows():
 
 @pytest.mark.parametrize("together", [512, 1])
 def test_removal_equals_brute_force(make, rows, together, monkeypatch):
-    monkeypatch.setattr(repeats, "TOGETHER", together)
+    monkeypatch.setattr(suffix_dedup, "TOGETHER", together)
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in remove_repeats(make(rows)).collect()}
     assert got == brute(rows, 100)
 
