@@ -59,7 +59,7 @@ PRE_TOKENS_RECENT = regex.compile(
     .replace(r"\p{N}+", rf"(?:(?![{_RECENT}])\p{{N}})+")
 )
 #: Pre-tokens remembered by a worker; beyond it the memory starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 OUTPUTS = {
     "n_tokens": T.LongType(),
     "ids": T.ArrayType(T.IntegerType()),

@@ -12,11 +12,18 @@ from pyspark.sql import SparkSession
 import servicerank
 
 
+#: Rows of a batch that goes to a Python worker; whole texts make the default of 10,000 rows large.
+ROWS_PER_BATCH = 1_000
+
+
 def ship(spark: SparkSession) -> None:
-    """Add the package's sources to the session's Python files, once for each context.
+    """Add the package's sources to the session's Python files, once for each context, and bound its batches.
 
-    A cluster gets it anyway if it was submitted with `--py-files`.
+    A cluster gets the sources anyway if it was submitted with `--py-files`.
     """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= ROWS_PER_BATCH:
+        spark.conf.set(setting, str(ROWS_PER_BATCH))
     context = spark.sparkContext
     if getattr(context, "_servicerank_shipped", False):
         return
