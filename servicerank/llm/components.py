@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from servicerank.session import materialize
+from servicerank.llm.work import materialize
 
 
 def components(links: DataFrame) -> DataFrame:

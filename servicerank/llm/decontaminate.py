@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from servicerank.llm.exact_dedup import WHITE
-from servicerank.session import materialize
+from servicerank.llm.work import materialize
 
 #: Hamming distance up to which fingerprints count as near. At a similarity of 0.8 a bit
 #: differs with probability 0.15, so one fingerprint in some thousands is further off.

@@ -12,7 +12,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from servicerank.session import materialize
+from servicerank.llm.work import materialize
 
 WHITE = "[\\x20\\x09-\\x0D]+"
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from servicerank.llm import arrays
 from servicerank.llm.bpe import ByteBpe, load
-from servicerank.session import materialize
+from servicerank.llm.work import materialize
 
 #: Ids in a window, those it scores, and the width of their vectors.
 WINDOW, SCORED, WIDTH = 16, 12, 16

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from servicerank.llm import arrays
 from servicerank.llm.components import components
-from servicerank.session import materialize
+from servicerank.llm.work import materialize
 
 #: Coordinates of a point, and groups whose counts order shingles from rare to common.
 GROUPS, RARITY_BITS = 256, 16
@@ -140,10 +140,10 @@ class ShingleJoin:
         return self.docs.mapInArrow(run, "doc long, n long, digest binary, node long, point binary")
 
     def signatures(self, rarity: np.ndarray) -> DataFrame:
-        """(shingle, node, hot): the rarest shingles of each set, so many that linked sets share one.
+        """(shingle, node, salt): the rarest shingles of each set, so many that linked sets share one.
 
-        A shingle that isn't hot stands in at most HOT times as many texts as a
-        group of shingles has members on average.
+        The salt is 0 for a shingle that isn't hot, which stands in at most HOT
+        times as many texts as a group of shingles has members on average.
         """
         size, percent = self.size, self.percent
         limit = HOT * rarity.mean()
@@ -161,12 +161,13 @@ class ShingleJoin:
                 place = np.arange(len(hashes)) - begins[:-1][of]
                 rare = order[place < kept[of]]
                 hot = rarity[(hashes[rare] >> np.uint64(64 - RARITY_BITS)).astype(np.int64)] > limit
+                node = nodes[of[rare]]
+                salt = np.where(hot, 1 + node % SALTS, 0).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[rare].view(np.int64)), pa.array(nodes[of[rare]]), pa.array(hot)],
-                    ["shingle", "node", "hot"],
+                    [pa.array(hashes[rare].view(np.int64)), pa.array(node), pa.array(salt)], ["shingle", "node", "salt"]
                 )
 
-        return self.docs.mapInArrow(run, "shingle long, node long, hot boolean")
+        return self.docs.mapInArrow(run, "shingle long, node long, salt int")
 
     def links(self, points: DataFrame) -> DataFrame:
         """(a, b, shared): pairs of classes, by smallest document, that link; enough of them to connect all that do."""
@@ -200,13 +201,11 @@ class ShingleJoin:
         Hot shingles are spread over salts in the one large shuffle; what is
         left after it is small, and there they are counted by partial aggregates.
         """
-        salt = F.when(F.col("hot"), F.pmod(F.xxhash64("node"), F.lit(SALTS))).otherwise(0)
         below = Window.partitionBy("shingle", "salt")
         kept = (
-            rare.withColumn("salt", salt)
-            .select("shingle", "node", "hot", F.min("node").over(below).alias("low"), F.max("node").over(below).alias("high"), F.count("node").over(below).alias("k"))
-            .filter("hot OR low != high")
-            .select("shingle", "node", "hot", "k")
+            rare.select("shingle", "node", "salt", F.min("node").over(below).alias("low"), F.max("node").over(below).alias("high"), F.count("node").over(below).alias("k"))
+            .filter("salt > 0 OR low != high")
+            .select("shingle", "node", (F.col("salt") > 0).alias("hot"), "k")
             .distinct()
         )
         kept = materialize(kept, "shingle-kept")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from servicerank.llm import arrays
-from servicerank.session import materialize
+from servicerank.llm.work import materialize
 
 #: Window starts handled at a time; their places fit the low bits of a rank.
 PLACES = 1 << 18
