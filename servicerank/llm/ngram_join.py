@@ -23,9 +23,9 @@ from servicerank.llm.components import components
 from servicerank.llm.work import materialize
 
 #: Coordinates of a point, and groups whose counts order shingles from rare to common.
-GROUPS, RARITY_BITS = 256, 16
+GROUPS, RARITY_BITS = 128, 16
 #: Largest coordinate of a point; the bounds add what a set holds beyond it.
-MOST = 65_535
+MOST = 255
 #: Points in a leaf of the tree.
 LEAF = 64
 #: Shingle groups this many times as full as the mean may hold a hot shingle, which is looked up by partial aggregates.
@@ -132,7 +132,7 @@ class ShingleJoin:
                         pa.array(sizes),
                         pa.array(digests, pa.binary()),
                         pa.array(np.frombuffer(b"".join(d[:8] for d in digests), np.int64)),
-                        pa.array([p.tobytes() for p in np.minimum(points, MOST).astype(np.uint16)], pa.binary()),
+                        pa.array([p.tobytes() for p in np.minimum(points, MOST).astype(np.uint8)], pa.binary()),
                     ],
                     ["doc", "n", "digest", "node", "point"],
                 )
@@ -361,7 +361,7 @@ def _digest(hashes: np.ndarray) -> bytes:
 
 
 def _matrix(points: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(points), np.uint16).reshape(-1, GROUPS)
+    return np.frombuffer(b"".join(points), np.uint8).reshape(-1, GROUPS)
 
 
 def _total(points: np.ndarray) -> np.ndarray:
