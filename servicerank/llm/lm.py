@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +27,8 @@ from servicerank.llm.work import materialize
 WINDOW, SCORED, WIDTH = 16, 12, 16
 #: Clusters of the commonest ids, of the other ones, and how many ids count as common.
 CLUSTERS, OTHERS, COMMON = 56, 8, 1024
-#: Training texts that the layer is fitted on, those with the smallest hash of their id, and how much of each: the
-#: bound of the fitting sample on the driver. Counts cover all texts, and whole texts are scored.
-SAMPLE, PREFIX = 1_200, 8_000
+#: Rounds of the fit, each over its own share of the training texts, and windows in a step.
+ROUNDS, BATCH = 4, 96
 #: Pairs of ids inside words, commonest first, that the model keeps counts of; shares of others come from single ids.
 PAIRS, BACK_OFF = 1 << 20, 10.0
 #: Commonest words, whose counts are broadcast; the others' are joined by a shuffle.
@@ -165,7 +164,7 @@ class AttentionModel:
 
     weights: dict[str, np.ndarray]
     cluster: np.ndarray
-    shares: Shares
+    shares: Shares | None
     start: int
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
@@ -241,19 +240,48 @@ CAUSAL = np.where(
 )
 
 
-def clusters(ids: np.ndarray, size: int, seed: int = 3) -> np.ndarray:
+def common_ids(counts: np.ndarray) -> np.ndarray:
+    """The COMMON commonest ids that occur."""
+    common = np.argsort(-counts, kind="stable")[:COMMON]
+    return common[counts[common] > 0]
+
+
+def following(ids: np.ndarray, common: np.ndarray, size: int) -> np.ndarray:
+    """How often each common id follows each; the last row and column are those of all other ids."""
+    rank, n = np.full(size, len(common)), len(common) + 1
+    rank[common] = np.arange(len(common))
+    return np.bincount(rank[ids[:-1]] * n + rank[ids[1:]], minlength=n * n).reshape(n, n)
+
+
+def corpus_following(texts: DataFrame, path: str, common: np.ndarray) -> np.ndarray:
+    """`following` over all ids of the texts, whose first ids follow an end. Tasks add up, then groups of a row each."""
+    n = len(common) + 1
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, total = segments(path), np.zeros((n, n), np.int64)
+        for batch in batches:
+            for _, chunk in chunks(batch, 0, known):
+                total += following(np.append(known.end, streams(chunk, known)[0]), common, known.size)
+        rows = np.flatnonzero(total.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array([total[i].tobytes() for i in rows], pa.binary())], ["rank", "counts"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(b, np.int64) for b in table["counts"].to_pylist())
+        return pa.table({"rank": table["rank"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
+
+    out, schema = np.zeros((n, n), np.int64), "rank long, counts binary"
+    for row in texts.mapInArrow(count, schema).groupBy("rank").applyInArrow(add, schema).collect():
+        out[row["rank"]] = np.frombuffer(row["counts"], np.int64)
+    return out
+
+
+def clusters(pairs: np.ndarray, common: np.ndarray, size: int, seed: int = 3) -> np.ndarray:
     """A cluster for every id: common ids by what stands before and after them, the others by their number."""
     rng = np.random.default_rng(seed)
-    counts = np.bincount(ids, minlength=size)
-    common = np.argsort(-counts, kind="stable")[:COMMON]
-    common = common[counts[common] > 0]
     out = CLUSTERS + np.arange(size) % OTHERS
     if not len(common):
         return out
-    rank = np.full(size, len(common))
-    rank[common] = np.arange(len(common))
-    pairs = np.zeros((len(common) + 1, len(common) + 1), np.float32)
-    np.add.at(pairs, (rank[ids[:-1]], rank[ids[1:]]), 1)
+    pairs = pairs.astype(np.float32)
     near = np.concatenate([pairs[:-1], pairs.T[:-1]], 1)
     near = np.sqrt(near / np.maximum(near.sum(1, keepdims=True), 1))
     vectors = near @ rng.normal(0, 1, (near.shape[1], 96)).astype(np.float32)
@@ -268,23 +296,10 @@ def clusters(ids: np.ndarray, size: int, seed: int = 3) -> np.ndarray:
     return out
 
 
-def fit(
-    ids: np.ndarray,
-    sizes: np.ndarray,
-    counts: np.ndarray,
-    pairs: np.ndarray,
-    times: np.ndarray,
-    start: int,
-    epochs: int = 1,
-    batch: int = 96,
-    seed: int = 5,
-) -> AttentionModel:
-    """Fit the layer on texts' ids by Adam; counts of ids and pairs are those of the whole training corpus."""
-    rng = np.random.default_rng(seed)
+def untrained(cluster: np.ndarray, counts: np.ndarray, shares: Shares | None, start: int, rng: np.random.Generator) -> AttentionModel:
+    """A model with random weights, whose clusters have their shares of the counts."""
     size, total = len(counts), CLUSTERS + OTHERS
-    cluster = clusters(ids, size)
     weight = counts + 0.5
-    shares = Shares(cluster, counts, pairs, times)
 
     def normal(*shape: int, scale: float = 1.0) -> np.ndarray:
         return rng.normal(0, scale / np.sqrt(shape[0]), shape).astype(np.float32)
@@ -295,31 +310,119 @@ def fit(
         "keep": normal(WIDTH, 2 * WIDTH), "mix": normal(WIDTH, 2 * WIDTH), "bias": np.zeros(2 * WIDTH, np.float32),
         "out": normal(2 * WIDTH, total), "out_bias": np.log(np.bincount(cluster, weight, total) / weight.sum() + 1e-9).astype(np.float32),
     }
-    model = AttentionModel(weights, cluster, shares, start)
-    if not len(sizes):
-        return model
+    return AttentionModel(weights, cluster, shares, start)
+
+
+class Adam:
+    """Steps on a model's weights in place; how many windows it has seen, and how often each id in them."""
+
+    def __init__(self, model: AttentionModel) -> None:
+        self.model, self.step, self.windows = model, 0, 0
+        self.seen = np.zeros(len(model.weights["embed"]), np.int64)
+        self.moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in model.weights.items()}
+
+    def on(self, ids: np.ndarray, sizes: np.ndarray, begins: np.ndarray, text: np.ndarray, number: np.ndarray, rate: float) -> None:
+        """One step on the given windows of the texts."""
+        model, weights = self.model, self.model.weights
+        inputs, exists, at = model.cut(ids, sizes, begins, text, number)
+        here = exists[:, WINDOW - SCORED :]
+        targets = model.cluster[ids[at[:, WINDOW - SCORED :]]]
+        # Gradients of the embeddings are made for the ids of the windows only.
+        touched, within, times = np.unique(inputs, return_inverse=True, return_counts=True)
+        part = replace(model, weights=weights | {"embed": weights["embed"][touched]})
+        gradients = _gradients(part, within.reshape(inputs.shape), exists, targets, here)
+        self.step += 1
+        self.windows += len(text)
+        self.seen[touched] += times
+        fast, slow = np.float32(1 - 0.9**self.step), np.float32(1 - 0.99**self.step)
+        for name, g in gradients.items():
+            m, v = self.moments[name]
+            rows = touched if name == "embed" else slice(None)
+            m[rows] += np.float32(0.1) * (g - m[rows])
+            v[rows] += np.float32(0.01) * (g * g - v[rows])
+            weights[name][rows] -= np.float32(rate) * (m[rows] / fast) / (np.sqrt(v[rows] / slow) + np.float32(1e-8))
+
+
+def fit(
+    ids: np.ndarray,
+    sizes: np.ndarray,
+    counts: np.ndarray,
+    pairs: np.ndarray,
+    times: np.ndarray,
+    start: int,
+    epochs: int = 1,
+    batch: int = BATCH,
+    seed: int = 5,
+) -> AttentionModel:
+    """Fit the layer on texts' ids in this process; counts of ids and pairs are those of the whole training corpus."""
+    rng = np.random.default_rng(seed)
+    common = common_ids(np.bincount(ids, minlength=len(counts)))
+    cluster = clusters(following(ids, common, len(counts)), common, len(counts))
+    model = untrained(cluster, counts, Shares(cluster, counts, pairs, times), start, rng)
     begins = np.cumsum(sizes) - sizes
     text, number = model.numbered(sizes)
-    moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in weights.items()}
-    step, steps = 0, epochs * -(-len(text) // batch)
+    adam, steps = Adam(model), epochs * -(-len(text) // batch)
     for _ in range(epochs):
         order = rng.permutation(len(text))
         for first in range(0, len(order), batch):
             rows = order[first : first + batch]
-            inputs, exists, at = model.cut(ids, sizes, begins, text[rows], number[rows])
-            here = exists[:, WINDOW - SCORED :]
-            targets = cluster[ids[at[:, WINDOW - SCORED :]]]
-            gradients = _gradients(model, inputs, exists, targets, here)
-            step += 1
-            rate = np.float32(4e-3 * (1 - 0.95 * step / steps))
-            fast, slow = np.float32(1 - 0.9**step), np.float32(1 - 0.99**step)
-            for name, gradient in gradients.items():
-                m, v = moments[name]
-                touched = np.unique(inputs) if name == "embed" else slice(None)
-                g = gradient[touched]
-                m[touched] += np.float32(0.1) * (g - m[touched])
-                v[touched] += np.float32(0.01) * (g * g - v[touched])
-                weights[name][touched] -= rate * (m[touched] / fast) / (np.sqrt(v[touched] / slow) + np.float32(1e-8))
+            adam.on(ids, sizes, begins, text[rows], number[rows], 4e-3 * (1 - 0.95 * (adam.step + 1) / steps))
+    return model
+
+
+def corpus_fit(texts: DataFrame, path: str, model: AttentionModel, rounds: int = ROUNDS) -> AttentionModel:
+    """The model fitted on all of the texts, each read whole in one of the rounds.
+
+    In a round every partition steps through its texts from the same weights;
+    then each row of weights moves by the partitions' mean, weighted by the
+    windows they saw, or for an embedding by how often they saw the id. So what
+    comes back to the driver has the size of the weights, whatever the corpus.
+    """
+    names = list(model.weights)
+    size = len(model.weights["embed"])
+    # All weights as rows of WIDTH numbers: the embeddings, then the others.
+    ends = np.cumsum([model.weights[k].size // WIDTH for k in names])
+    columns = [f"_{j}" for j in range(WIDTH)]
+    sc = texts.sparkSession.sparkContext
+
+    def flat(weights: dict[str, np.ndarray]) -> np.ndarray:
+        return np.concatenate([weights[k].reshape(-1, WIDTH) for k in names])
+
+    for number in range(rounds):
+        shared, rate = sc.broadcast(model), 4e-3 * (1 - 0.95 * (number + 0.5) / rounds)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, rate=rate) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+            known, start = segments(path), shared.value
+            adam = Adam(replace(start, weights={k: v.copy() for k, v in start.weights.items()}))
+            rng = np.random.default_rng(5)
+            for batch in batches:
+                for _, chunk in chunks(batch, 0, known):
+                    ids, sizes, begins = streams(chunk, known)
+                    text, window = start.numbered(sizes)
+                    order = rng.permutation(len(text))
+                    for first in range(0, len(order), BATCH):
+                        rows = order[first : first + BATCH]
+                        adam.on(ids, sizes, begins, text[rows], window[rows], rate)
+            if not adam.windows:
+                return
+            weight = np.append(adam.seen, np.full(ends[-1] - size, adam.windows)).astype(np.float64)
+            rows = np.flatnonzero(weight)
+            weight = weight[rows]
+            moved = (flat(adam.model.weights)[rows] - flat(start.weights)[rows]) * weight[:, None]
+            for at in range(0, len(rows), 10_000):
+                some = slice(at, at + 10_000)
+                arrays_ = [pa.array(rows[some]), pa.array(weight[some]), *(pa.array(np.ascontiguousarray(c)) for c in moved[some].T)]
+                yield pa.RecordBatch.from_arrays(arrays_, ["row", "weight", *columns])
+
+        part = texts.filter(F.pmod(F.xxhash64(*texts.columns), F.lit(rounds)) == number).select("_text")
+        moves = part.mapInArrow(run, f"row long, weight double, {', '.join(f'{c} double' for c in columns)}")
+        total = moves.groupBy("row").agg(F.sum("weight").alias("weight"), *(F.sum(c).alias(c) for c in columns)).toArrow()
+        weights = flat(model.weights)
+        mean = np.stack([np.asarray(total[c], np.float64) for c in columns], 1) / np.asarray(total["weight"], np.float64)[:, None]
+        weights[np.asarray(total["row"], np.int64)] += mean.astype(np.float32)
+        parts = np.split(weights, ends[:-1])
+        model = replace(model, weights={k: p.reshape(model.weights[k].shape) for k, p in zip(names, parts, strict=True)})
+        shared.unpersist()
     return model
 
 
@@ -437,14 +540,16 @@ def commonest(counts: DataFrame, limit: int) -> DataFrame:
 
 
 def score(
-    docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE
+    docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", sample: int | None = None
 ) -> DataFrame:
     """One row per row of `docs`: id, `held_out`, `n_tokens`, `n_known`, `train_tokens`, `base_score`, `score`.
 
     Tokens are lower-case (A-Z) words and one end. `base_score` sums
     log10((c + 0.5) / (N + 0.5 (V + 1))) with counts over all training texts;
     `score` is the attention model's log10 probability of the text. Words are
-    counted by 64-bit hashes.
+    counted by 64-bit hashes. The model is fitted on all training texts; with
+    `sample`, on so many, those with the smallest hashes of their ids. How
+    partitions cut the table has a part in its weights.
 
     Null texts are empty and have one token, their end. Repeated rows are scored
     each. Rows without an id are training texts. Other columns are not looked
@@ -468,21 +573,14 @@ def score(
     order = np.argsort(words)
     words, known_counts = words[order], known_counts[order]
 
-    ids = training.select("_id").distinct().orderBy(F.xxhash64("_id"), "_id").limit(sample)
-    texts = training.join(F.broadcast(ids), "_id").select("_id", F.substring("_text", 1, PREFIX).alias("_text"))
-    chosen = sorted((r._text or "" for r in texts.dropDuplicates(["_id"]).collect()), key=lambda t: (len(t), t))
-    np.random.default_rng(11).shuffle(chosen)
-    sampled = pa.RecordBatch.from_arrays([pa.array(chosen, pa.string())], ["text"])
-    found = [streams(chunk, known)[:2] for _, chunk in chunks(sampled, 0, known)]
-    no = np.zeros(0, np.int64)
-    model = fit(
-        np.concatenate([no, *(i for i, _ in found)]),
-        np.concatenate([no, *(s for _, s in found)]),
-        of_ids,
-        np.asarray(kept["pair"], np.int64),
-        np.asarray(kept["c"], np.int64),
-        known.end,
-    )
+    texts = training.select("_id", "_text")
+    if sample is not None:
+        ids = training.select("_id").distinct().orderBy(F.xxhash64("_id"), "_id").limit(sample)
+        texts = texts.join(F.broadcast(ids), "_id").dropDuplicates(["_id"])
+    common = common_ids(of_ids)
+    cluster = clusters(corpus_following(texts.select("_text"), path, common), common, known.size)
+    model = corpus_fit(texts, path, untrained(cluster, of_ids, None, known.end, np.random.default_rng(5)))
+    model.shares = Shares(cluster, of_ids, np.asarray(kept["pair"], np.int64), np.asarray(kept["c"], np.int64))
     divisor = n + 0.5 * (v + 1)
     end = counts.filter(F.col("word") == int(END.view(np.int64)[0])).first()
     ends = end.c if end else 0

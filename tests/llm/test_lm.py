@@ -113,3 +113,36 @@ def test_learns_better_than_chance_on_held_out_text(spark):
     got = lm.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), PATH).filter("held_out").collect()
     per_token = sum(r.score for r in got) / sum(r.n_tokens for r in got)
     assert per_token > -4.6
+
+
+def _streams(texts):
+    known = lm.segments(PATH)
+    parts = [known.bpe.propose(b" " + w.encode()) if w else [known.end] for t in texts for w in tokens(t)]
+    return np.array([known.end, *(i for p in parts for i in p)]), known
+
+
+def test_the_layer_is_fitted_on_whole_texts_of_all_rows(spark):
+    """More texts than any sample had, and words that stand only behind 8,000 characters."""
+    texts = [f"word{i} other words" for i in range(1300)] + ["filler words " * 800 + "zebra quagga okapi"]
+    ids, known = _streams(texts)
+    counts = np.bincount(ids, minlength=known.size)
+    common = lm.common_ids(counts)
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "_id long, _text string").repartition(3)
+    pairs = lm.corpus_following(rows.select("_text"), PATH, common)
+    assert (pairs == lm.following(ids, common, known.size)).all()
+
+    cluster = lm.clusters(pairs, common, known.size)
+    start = lm.untrained(cluster, counts, None, known.end, np.random.default_rng(5))
+    fitted = lm.corpus_fit(rows, PATH, start)
+    moved = (fitted.weights["embed"] != start.weights["embed"]).any(1)
+    # The last id of a text is an end, which is the id before the first one.
+    assert set(np.flatnonzero(moved)) == set(ids.tolist())
+
+
+def test_score_fits_on_what_stands_late_in_texts(make, monkeypatch):
+    fitted = []
+    corpus_fit = lm.corpus_fit
+    monkeypatch.setattr(lm, "corpus_fit", lambda texts, *a: fitted.extend(texts.collect()) or corpus_fit(texts, *a))
+    rows = [(i, "filler words " * 800 + f"end{i}") for i in range(1300) if zlib.crc32(str(i).encode()) % 5 != 1]
+    lm.score(make(rows), PATH)
+    assert sorted((r._id, r._text) for r in fitted) == rows
