@@ -32,6 +32,8 @@ LEAF = 64
 HOT, SALTS = 4, 64
 #: Texts below one shingle from which several of them, not one, are compared with all first; and how many.
 CROWD, PIVOTS = 16, 2
+#: Shingles whose columns are laid out at a time when the overlaps of two blocks of sets are counted.
+COLUMNS = 1 << 13
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -171,6 +173,10 @@ class ShingleJoin:
 
     def links(self, points: DataFrame) -> DataFrame:
         """(a, b, shared): pairs of classes, by smallest document, that link; enough of them to connect all that do."""
+        return self._connecting(points)[0]
+
+    def _connecting(self, points: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """`links`, and (doc, text) of all documents in them and some others."""
         members = materialize(self._members(self.signatures(self.rarity())), "shingle-members")
         # One point for each set; the document with the smallest id stands for its copies.
         classes = materialize(
@@ -192,7 +198,7 @@ class ShingleJoin:
         joined = components(first.select("a", "b"))
         second = self._tree(crowded, classes, joined)
         second = second.join(star.select("a", "b"), ["a", "b"], "left_anti")
-        return first.unionAll(materialize(self._verified(second, texts), "shingle-links"))
+        return first.unionAll(materialize(self._verified(second, texts), "shingle-links")), texts
 
     @staticmethod
     def _members(rare: DataFrame) -> DataFrame:
@@ -308,33 +314,96 @@ class ShingleJoin:
 
         return rows.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long, shared long")
 
-    def groups(self) -> DataFrame:
-        """The id, `n_shingles`, `class_id`, `component_id` and `n_class` of every row of the table.
+    def _near(self, classes: DataFrame, linked: DataFrame, texts: DataFrame) -> DataFrame:
+        """(digest, n_near): how many rows of other classes each class links with.
+
+        All links lie within components, so there every two sets whose sizes
+        allow it are compared, in blocks of about LEAF sets of nearly one size.
+        A pair of blocks gives a partial sum for each class; copies only weigh.
+        """
+        size, percent = self.size, self.percent
+        at = classes.join(linked.withColumnRenamed("node", "class_id"), "class_id")
+        at = at.withColumn("grade", F.floor(F.log("n") / F.log(F.lit(1.1))).cast("int"))
+        counted = at.groupBy("component", "grade").agg(F.count(F.lit(1)).alias("k"))
+        salt = F.pmod(F.xxhash64("digest"), F.ceil(F.col("k") / LEAF)).alias("salt")
+        at = at.join(counted, ["component", "grade"]).withColumn("block", F.struct("grade", salt))
+        held = at.join(texts.withColumnRenamed("doc", "class_id"), "class_id").select("component", "block", "digest", "n", "n_class", "text")
+        held = materialize(held, "shingle-blocks", compression="zstd")
+        blocks = held.groupBy("component", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+        one, two = (blocks.select("component", *(F.col(c).alias(f"{c}_{i}") for c in ("block", "low", "high"))) for i in (1, 2))
+        pairs = one.join(two, "component").filter(
+            (F.col("block_1") <= F.col("block_2"))
+            & (F.col("low_1") * percent <= F.col("high_2") * 100)
+            & (F.col("low_2") * percent <= F.col("high_1") * 100)
+        )
+
+        def side(i: int) -> DataFrame:
+            of = pairs.select("component", F.col(f"block_{i}").alias("block"), "block_1", "block_2")
+            return held.join(of, ["component", "block"]).select(
+                "component", "block_1", "block_2", F.lit(i).alias("side"), "digest", "n_class", "text"
+            )
+
+        def run(table: pa.Table) -> pa.Table:
+            hashes, begins = shingle_sets(*arrays.utf8(pa.concat_arrays(table["text"].chunks)), size)
+            sides, weights, found = np.asarray(table["side"]), np.asarray(table["n_class"]), {}
+            for i, digest in enumerate(table["digest"].to_pylist()):
+                members = hashes[begins[i] : begins[i + 1]]
+                # A repeated id may have several texts, of which one is the class's.
+                if _digest(members) == digest:
+                    found[digest] = sides[i], members, weights[i]
+            one, two = ([d for d, f in found.items() if f[0] == i] for i in (1, 2))
+            same = not (sides == 2).any()
+            two = one if same else two
+            shared = overlaps([found[d][1] for d in one], [found[d][1] for d in two])
+            n_one, n_two = (np.array([len(found[d][1]) for d in ds], np.int64) for ds in (one, two))
+            w_one, w_two = (np.array([found[d][2] for d in ds], np.int64) for ds in (one, two))
+            links = (100 * shared >= percent * (n_one[:, None] + n_two - shared)).astype(np.int64)
+            if same:
+                np.fill_diagonal(links, 0)
+            near = [links @ w_two] if same else [links @ w_two, w_one @ links]
+            digests = one if same else one + two
+            return pa.table({"digest": pa.array(digests, pa.binary()), "near": pa.array(np.concatenate(near), pa.int64())})
+
+        compared = side(1).unionAll(side(2).filter("block_1 != block_2")).groupBy("component", "block_1", "block_2")
+        return compared.applyInArrow(run, "digest binary, near long").groupBy("digest").agg(F.sum("near").alias("n_near"))
+
+    def groups(self, count_links: bool = True) -> DataFrame:
+        """The id, `n_shingles`, `class_id`, `component_id`, `n_class` and `n_links` of every row of the table.
 
         `class_id` is the smallest id with an equal set, `component_id` the
-        smallest that links reach, `n_class` the number of rows in the class.
+        smallest that links reach, `n_class` the number of rows in the class,
+        `n_links` that of all other rows that reach the similarity with this
+        one, in its class or not; without `count_links` it is left out.
         Null texts and texts without words have no shingles and link with
         nothing. Repeated rows are classed together; rows without an id link
         with nothing and keep a null. Other columns are not looked at. An empty
         table gives an empty result. Runs jobs when called.
         """
         points = materialize(self.points(), "shingle-points")
-        linked = components(self.links(points).select("a", "b"))
-        classes = points.filter("n > 0").groupBy("digest").agg(F.min("doc").alias("class_id"), F.count(F.lit(1)).alias("n_class"))
-        classed = points.join(classes, "digest").join(linked.withColumnRenamed("node", "class_id"), "class_id", "left")
+        links, texts = self._connecting(points)
+        linked = components(links.select("a", "b"))
+        classes = points.filter("n > 0").groupBy("digest").agg(F.min("doc").alias("class_id"), F.count(F.lit(1)).alias("n_class"), F.first("n").alias("n"))
+        classed = points.join(classes.drop("n"), "digest").join(linked.withColumnRenamed("node", "class_id"), "class_id", "left")
         empty = points.filter("n = 0").select("doc", "n", F.col("doc").alias("class_id"), F.col("doc").alias("component"), F.lit(1).cast("long").alias("n_class"))
-        return classed.select("doc", "n", "class_id", F.coalesce("component", "class_id").alias("component"), "n_class").unionAll(empty).select(
+        counted = []
+        if count_links:
+            classed = classed.join(self._near(classes, linked, texts), "digest", "left")
+            classed = classed.withColumn("n_links", F.col("n_class") - 1 + F.coalesce("n_near", F.lit(0)))
+            empty = empty.withColumn("n_links", F.lit(0).cast("long"))
+            counted = ["n_links"]
+        return classed.select("doc", "n", "class_id", F.coalesce("component", "class_id").alias("component"), "n_class", *counted).unionAll(empty).select(
             F.col("doc").alias(self.id_column),
             F.col("n").alias("n_shingles"),
             F.col("component").alias("component_id"),
             "class_id",
             "n_class",
+            *counted,
         )
 
 
 def drop_near(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options: int) -> DataFrame:
     """The rows of `docs` with the smallest id of their component, with all their columns. Rows without an id go."""
-    groups = ShingleJoin(docs, id_column, text_column, **options).groups()
+    groups = ShingleJoin(docs, id_column, text_column, **options).groups(count_links=False)
     keep = groups.filter(F.col(id_column) == F.col("component_id")).select(id_column).distinct()
     return docs.join(keep, id_column, "left_semi")
 
@@ -356,6 +425,31 @@ def _star(members: DataFrame) -> DataFrame:
     )
 
 
+def overlaps(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """How many members each set of `one` shares with each of `two`; members are distinct within a set."""
+    out = np.zeros((len(one), len(two)), np.int64)
+    if not one or not two:
+        return out
+    both = np.intersect1d(np.concatenate(one), np.concatenate(two))
+    laid = []
+    for sets in (one, two):
+        values, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        column = np.searchsorted(both, values)
+        shared = column < len(both)
+        shared[shared] = both[column[shared]] == values[shared]
+        laid.append((row[shared], column[shared]))
+    for at in range(0, len(both), COLUMNS):
+        width = min(COLUMNS, len(both) - at)
+        parts = []
+        for sets, (row, column) in zip((one, two), laid, strict=True):
+            here = (column >= at) & (column < at + width)
+            part = np.zeros((len(sets), width), np.float32)
+            part[row[here], column[here] - at] = 1
+            parts.append(part)
+        out += (parts[0] @ parts[1].T).astype(np.int64)
+    return out
+
+
 def _digest(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 

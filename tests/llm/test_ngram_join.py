@@ -82,3 +82,27 @@ def test_drop_near_keeps_one_of_each_group(make, rows):
     kept = drop_near(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c in brute(rows).values()})
+
+
+@pytest.mark.parametrize("leaf, columns", [(ngram_join.LEAF, ngram_join.COLUMNS), (3, 7)])
+def test_n_links_counts_all_rows_that_reach_the_similarity(make, rows, leaf, columns, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LEAF", leaf)
+    monkeypatch.setattr(ngram_join, "COLUMNS", columns)
+    rows = rows + [(i + 1000, text) for i, text in rows[::7]]
+    sets = {i: shingles(t) for i, t in rows}
+    wanted = dict.fromkeys(sets, 0)
+    for a, b in itertools.combinations(sets, 2):
+        shared = len(sets[a] & sets[b])
+        if shared and 100 * shared >= 80 * (len(sets[a]) + len(sets[b]) - shared):
+            wanted[a] += 1
+            wanted[b] += 1
+    got = ShingleJoin(make(rows)).groups().collect()
+    assert {r.doc_id: r.n_links for r in got} == wanted
+    assert max(wanted.values()) > 30
+
+
+def test_n_links_of_ids_with_several_texts(make):
+    texts = ["a b c d e f g h i j k l", "a b c d e f g h i j k l m", "p q r s t u v w"]
+    rows = [(1, texts[0]), (2, texts[1]), (2, texts[2]), (3, texts[0]), (None, texts[2]), (4, None)]
+    got = sorted((r.doc_id or 0, r.n_shingles, r.n_links) for r in ShingleJoin(make(rows)).groups().collect())
+    assert got == [(0, 4, 1), (1, 8, 2), (2, 4, 1), (2, 9, 2), (3, 8, 2), (4, 0, 0)]
