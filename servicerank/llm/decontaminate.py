@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from servicerank.llm.exact_dedup import WHITE
 from servicerank.llm.work import materialize
 
-#: Hamming distance up to which fingerprints count as near. At a similarity of 0.8 a bit
-#: differs with probability 0.15, so one fingerprint in some thousands is further off.
-RADIUS = 20
+#: Hamming distance up to which fingerprints count as near. At a similarity of 0.8 a bit differs with
+#: probability 0.15 (up to 0.19 in sets of five shingles), whatever repeats; README gives the misses measured.
+RADIUS = 26
 #: Item shingles up to which they are broadcast; a larger benchmark is joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -55,9 +55,18 @@ def _lanes(hash_: Column) -> list[Column]:
     return out
 
 
+def _votes(shingles_: Column) -> Column:
+    """A hash of each shingle and the number of its occurrence, so that one that repeats does not outweigh the others."""
+    return F.transform(
+        # Sorted once, equal shingles stand together.
+        F.array(F.sort_array(shingles_)),
+        lambda w: F.transform(w, lambda x, i: F.xxhash64(x, i + 2 - F.array_position(w, x))),
+    )[0]
+
+
 def _fingerprints(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, `length`, `print`) of the shingles in column `shingle`, grouped by the keys."""
-    lanes = _lanes(F.col("shingle"))
+    """(keys, `length`, `print`) of the votes in column `vote`, grouped by the keys."""
+    lanes = _lanes(F.col("vote"))
     sums = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("length"), *(F.sum(lane).alias(f"_{j}") for j, lane in enumerate(lanes))
     )
@@ -141,10 +150,11 @@ def matches(
     )
     windows = held.select("doc", "item", "m", "s", F.explode(starts).alias("start"))
     content = windows.select(
-        "doc", "item", "m", "start", F.explode(F.slice("s", F.col("start") + 1, F.col("m"))).alias("shingle")
+        "doc", "item", "m", "start", F.explode(_votes(F.slice("s", F.col("start") + 1, F.col("m")))).alias("vote")
     )
     prints = materialize(_fingerprints(content, ["doc", "item", "m", "start"]), "window-prints")
-    item_prints = _fingerprints(parts, ["item"]).select("item", F.col("print").alias("item_print"))
+    votes = counted.select("item", "shingle", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("in_item"))).alias("nth"))
+    item_prints = _fingerprints(votes.select("item", F.xxhash64("shingle", "nth").alias("vote")), ["item"]).select("item", F.col("print").alias("item_print"))
 
     probes = prints.select("*", F.explode(_blocks(F.col("print"), radius)).alias("b")).select("*", "b.block", "b.bits").drop("b")
     index = item_prints.select("*", F.explode(_blocks(F.col("item_print"), radius)).alias("b")).select("*", "b.block", "b.bits").drop("b")

@@ -78,3 +78,15 @@ def test_main_path_runs_no_python(tables_of):
     docs, items, _, _ = tables_of
     plan = report(docs, items)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_runs_of_equal_words_do_not_hide_leaks(spark, make):
+    """Windows that share 178 of 200 shingles with the item, and repeat one of their own 18 times."""
+    rng = random.Random(7)
+    texts = [[f"v{rng.randrange(10**6)}" for _ in range(204)] for _ in range(12)]
+    items = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    rows = [(i, " ".join(["before", *t[:182], *["--"] * 22, "after"])) for i, t in enumerate(texts)]
+    listed = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: (r.contaminated, r.n_items, r.item_ids, r.similarity) for r in report(make(rows), listed).collect()}
+    assert got == brute(rows, items)
+    assert all(found for found, *_ in got.values())
