@@ -29,7 +29,8 @@ WINDOW, SCORED, WIDTH = 16, 12, 16
 CLUSTERS, OTHERS, COMMON = 56, 8, 1024
 #: Rounds of the fit, each over its own share of the training texts, and windows in a step.
 ROUNDS, BATCH = 4, 96
-#: Pairs of ids inside words, commonest first, that the model keeps counts of; shares of others come from single ids.
+#: Commonest pairs of ids inside words, whose counts are broadcast; the others' are joined by a shuffle. What shares
+#: get from single ids.
 PAIRS, BACK_OFF = 1 << 20, 10.0
 #: Commonest words, whose counts are broadcast; the others' are joined by a shuffle.
 FREQUENT = 1 << 18
@@ -42,30 +43,57 @@ REMEMBERED = 800_000
 class Shares:
     """log10 of an id's share of its cluster, given the id before it in the word, or that there is none."""
 
-    def __init__(self, cluster: np.ndarray, counts: np.ndarray, pairs: np.ndarray, times: np.ndarray) -> None:
-        """`pairs` are before * size + id in ascending order, where before is size at the start of a word."""
+    def __init__(
+        self, cluster: np.ndarray, counts: np.ndarray, pairs: np.ndarray, times: np.ndarray, below: np.ndarray | None = None
+    ) -> None:
+        """`pairs` are before * size + id in ascending order, where before is size at the start of a word.
+
+        They are all pairs, unless the sums of all pairs' counts before * total +
+        cluster are given as `below`; then `of` counts the others as none.
+        """
         self.size, self.cluster, self.total = len(cluster), cluster, int(cluster.max(initial=0)) + 1
         weight = counts + 0.5
         self.alone = weight / np.bincount(cluster, weight)[cluster]
         self.pairs, self.times = pairs, times
-        below = np.zeros((self.size + 1) * self.total)
-        np.add.at(below, pairs // self.size * self.total + cluster[pairs % self.size], times)
+        self.whole = below is None
+        if below is None:
+            below = np.zeros((self.size + 1) * self.total)
+            np.add.at(below, pairs // self.size * self.total + cluster[pairs % self.size], times)
         self.below = below.astype(np.float32)
 
-    def of(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Sums over words, each of `sizes` ids."""
+    def held(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pair of each id in words of `sizes` ids, and its count, 0 for a pair that is not held."""
         ids = ids.astype(np.int64)
         before = np.empty_like(ids)
         before[1:] = ids[:-1]
-        first = np.cumsum(sizes) - sizes
-        before[first] = self.size
+        before[np.cumsum(sizes) - sizes] = self.size
         wanted = before * self.size + ids
-        times = np.zeros(len(ids))
-        if len(self.pairs):
-            at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
-            times = np.where(self.pairs[at] == wanted, self.times[at], 0)
-        share = (times + BACK_OFF * self.alone[ids]) / (self.below[before * self.total + self.cluster[ids]] + BACK_OFF)
-        return np.add.reduceat(np.log10(share), first)
+        if not len(self.pairs):
+            return wanted, np.zeros(len(ids))
+        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        return wanted, np.where(self.pairs[at] == wanted, self.times[at], 0)
+
+    def of(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Sums over words, each of `sizes` ids."""
+        wanted, times = self.held(ids, sizes)
+        below = self.below[wanted // self.size * self.total + self.cluster[ids]]
+        share = (times + BACK_OFF * self.alone[ids]) / (below + BACK_OFF)
+        return np.add.reduceat(np.log10(share), np.cumsum(sizes) - sizes)
+
+    def missing(self, chunk: Chunk, known: Segments) -> tuple[np.ndarray, ...]:
+        """Pairs of the chunk's texts that are not held: text, pair, how often, and what the pair's id has by itself."""
+        sizes = known.count[chunk.places]
+        ids = known.ids[arrays.ragged(known.begin[chunk.places], sizes)]
+        wanted, times = self.held(ids, sizes)
+        none = times == 0
+        word = np.repeat(np.arange(len(sizes)), sizes)[none]
+        wanted, per_word = wanted[none], np.bincount(word, minlength=len(sizes))
+        begin = np.cumsum(per_word) - per_word
+        some = np.flatnonzero(per_word[chunk.inverse])
+        found, n = np.unique(chunk.owner[some] * (len(sizes) + 1) + chunk.inverse[some], return_counts=True)
+        text, word = found // (len(sizes) + 1), found % (len(sizes) + 1)
+        pair = wanted[arrays.ragged(begin[word], per_word[word])]
+        return np.repeat(text, per_word[word]), pair, np.repeat(n, per_word[word]), BACK_OFF * self.alone[pair % self.size]
 
 
 class Segments:
@@ -526,6 +554,22 @@ def pair_counts(words: DataFrame, path: str) -> DataFrame:
     return materialize(rows.groupBy("pair").agg(F.sum("c").alias("c")), "pair-counts")
 
 
+def sums_below(pairs: DataFrame, cluster: np.ndarray) -> np.ndarray:
+    """The pairs' counts by the id before and the cluster: as many numbers as the vocabulary and the clusters give."""
+    size, total = len(cluster), int(cluster.max(initial=0)) + 1
+
+    def at(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pair = np.asarray(batch.column(0), np.int64)
+            place = pair // size * total + cluster[pair % size]
+            yield pa.RecordBatch.from_arrays([pa.array(place), batch.column(1)], ["place", "c"])
+
+    sums = pairs.select("pair", "c").mapInArrow(at, "place long, c long").groupBy("place").agg(F.sum("c").alias("c")).toArrow()
+    out = np.zeros((size + 1) * total)
+    out[np.asarray(sums["place"], np.int64)] = np.asarray(sums["c"])
+    return out
+
+
 def commonest(counts: DataFrame, limit: int) -> DataFrame:
     """Rows with the largest `c`, at most `limit`: all above a bound that a histogram of at most some 1,000 bins gives."""
     grade = F.floor(F.log2("c") * 16)
@@ -567,7 +611,12 @@ def score(
     # As many rows as the vocabulary has ids, and as PAIRS says.
     for row in pairs.groupBy((F.col("pair") % known.size).alias("id")).agg(F.sum("c").alias("c")).collect():
         of_ids[row.id] = row.c
-    kept = commonest(pairs, PAIRS).toArrow().sort_by("pair")
+    # The end's pair is always held, since it is no word's; `rest` are the pairs that are not.
+    least = commonest(pairs, PAIRS).agg(F.min("c").alias("c")).first().c
+    hold = F.col("pair") == known.size * known.size + known.end
+    hold = hold if least is None else hold | (F.col("c") >= least)
+    kept, rest = pairs.filter(hold).toArrow().sort_by("pair"), pairs.filter(~hold)
+    whole = rest.isEmpty()
     frequent = commonest(counts, FREQUENT).toArrow()
     words, known_counts = np.asarray(frequent["word"], np.int64).view(np.uint64), np.asarray(frequent["c"], np.int64)
     order = np.argsort(words)
@@ -580,7 +629,8 @@ def score(
     common = common_ids(of_ids)
     cluster = clusters(corpus_following(texts.select("_text"), path, common), common, known.size)
     model = corpus_fit(texts, path, untrained(cluster, of_ids, None, known.end, np.random.default_rng(5)))
-    model.shares = Shares(cluster, of_ids, np.asarray(kept["pair"], np.int64), np.asarray(kept["c"], np.int64))
+    below = None if whole else sums_below(pairs, cluster)
+    model.shares = Shares(cluster, of_ids, np.asarray(kept["pair"], np.int64), np.asarray(kept["c"], np.int64), below)
     divisor = n + 0.5 * (v + 1)
     end = counts.filter(F.col("word") == int(END.view(np.int64)[0])).first()
     ends = end.c if end else 0
@@ -617,6 +667,14 @@ def score(
                     [pa.array(key), part.column(0), part.column(2), pa.array(none), pa.array(tokens), pa.array(seen), pa.array(base), pa.array(scores)],
                     NAMES,
                 )
+                if not model.shares.whole and len(chunk.hashes):
+                    # Pairs that aren't held go on to the shuffle, with their id's weight as base.
+                    text, pair, times, weight = model.shares.missing(chunk, known)
+                    blank = pa.nulls(len(pair), part.column(0).type), pa.nulls(len(pair), pa.bool_())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key[text]), *blank, pa.array(pair), pa.array(times), pa.nulls(len(pair), pa.int64()), pa.array(weight), pa.nulls(len(pair), pa.float64())],
+                        NAMES,
+                    )
                 # Words that aren't frequent go on to the shuffle, once for each text.
                 rare = np.flatnonzero(~hit[chunk.inverse])
                 pairs, times = np.unique(chunk.owner[rare] * (len(hit) + 1) + chunk.inverse[rare], return_counts=True)
@@ -633,19 +691,23 @@ def score(
     kind = docs.schema[id_column].dataType.simpleString()
     schema = f"key long, id {kind}, held_out boolean, word long, n long, known long, base double, score double"
     out = materialize(rows.select("_id", "_text", "_held_out").mapInArrow(run, schema), "text-scores")
-    rare = out.filter("score IS NULL").select("key", "word", "n").join(counts, "word", "left")
+    unheld = out.filter("score IS NULL AND base IS NOT NULL").select("key", F.col("word").alias("pair"), "n", "base").join(rest, "pair")
+    per_share = unheld.groupBy("key").agg(F.sum(F.col("n") * F.log10(1 + F.col("c") / F.col("base"))).alias("rare_share"))
+    rare = out.filter("score IS NULL AND base IS NULL").select("key", "word", "n").join(counts, "word", "left")
     per_text = rare.groupBy("key").agg(
         F.sum(F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(float(divisor)))).alias("rare_base"),
         F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("rare_known"),
     )
-    return out.filter("score IS NOT NULL").join(per_text, "key", "left").select(
+    scored = out.filter("score IS NOT NULL").join(per_text, "key", "left")
+    scored = scored.withColumn("rare_share", F.lit(0.0)) if whole else scored.join(per_share, "key", "left")
+    return scored.select(
         F.col("id").alias(id_column),
         "held_out",
         F.col("n").alias("n_tokens"),
         (F.col("known") + F.coalesce("rare_known", F.lit(0))).cast("bigint").alias("n_known"),
         F.lit(int(n)).cast("bigint").alias("train_tokens"),
         (F.col("base") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("rare_share", F.lit(0.0))).alias("score"),
     )
 
 

@@ -146,3 +146,12 @@ def test_score_fits_on_what_stands_late_in_texts(make, monkeypatch):
     rows = [(i, "filler words " * 800 + f"end{i}") for i in range(1300) if zlib.crc32(str(i).encode()) % 5 != 1]
     lm.score(make(rows), PATH)
     assert sorted((r._id, r._text) for r in fitted) == rows
+
+
+def test_scores_do_not_depend_on_how_many_pairs_are_broadcast(documents, monkeypatch):
+    scores = []
+    for pairs in (lm.PAIRS, 300, 0):
+        monkeypatch.setattr(lm, "PAIRS", pairs)
+        scores.append({r.doc_id: r.score for r in lm.score(documents, PATH, sample=50).collect()})
+    assert scores[1] == pytest.approx(scores[0], rel=1e-5)
+    assert scores[2] == pytest.approx(scores[0], rel=1e-5)
