@@ -11,7 +11,10 @@ from servicerank.llm import html_extract, lm, quality
 from servicerank.llm.bpe import encode_decode
 from servicerank.llm.decontaminate import report
 from servicerank.llm.exact_dedup import exact_groups
+from servicerank.llm.filter_audit import audit
+from servicerank.llm.mixing import mix
 from servicerank.llm.ngram_join import ShingleJoin
+from servicerank.llm.periodic_runs import periodic_runs
 from servicerank.llm.shipping import ship
 from servicerank.llm.substring_dedup import remove_repeated_words
 from servicerank.llm.suffix_dedup import remove_repeats
@@ -90,6 +93,51 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
 
 
+def op11_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents labelled good weigh 2, bad ones a half, those without label 1."""
+    labels = table(spark, sf_dir, "labels")
+    weight = F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5)
+    weights = labels.select("doc_id", weight.alias("weight"))
+    return mix(table(spark, sf_dir, "documents"), weights).drop("source")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Id and text; in a tenth of the texts the words from one on repeat themselves."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    cut = docs.select("doc_id", "text", hashed.alias("_h"), F.when(hashed % 10 == 0, words).alias("_words"))
+    g = F.floor(F.col("_h") / 10)
+    sized = cut.withColumn("_n", F.size("_words")).withColumn("_a", (g % F.greatest("_n", F.lit(1))).cast("int"))
+    sized = sized.withColumn("_p", (1 + F.floor((F.col("_n") - F.col("_a")) / (3 + g % 8))).cast("int"))
+    rest = F.col("_n") - F.col("_a")
+    period = F.array_repeat(F.slice("_words", F.col("_a") + 1, F.col("_p")), F.ceil(rest / F.col("_p")).cast("int"))
+    planted = F.concat(F.slice("_words", F.lit(1), F.col("_a")), F.slice(F.flatten(period), F.lit(1), rest))
+    text = F.when(F.col("_n") > 0, F.concat_ws(" ", planted)).otherwise(F.col("text"))
+    return sized.select("doc_id", text.alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    order = F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"]))
+    best = F.array_min(order)
+    start, length, period = best["start"], -best["col1"], best["period"]
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -101,6 +149,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_mix_sources": op11_mix_sources,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL = {
@@ -154,4 +205,83 @@ ORACLE_SQL = {
                coalesce(string_agg(item_id, ',' ORDER BY item_id), '') AS item_ids,
                coalesce(max(similarity), 0.0) AS similarity
         FROM documents LEFT JOIN found USING (doc_id) GROUP BY doc_id""",
+    "op11_mix_sources": r"""
+        WITH weights AS (
+            SELECT doc_id AS known, max(CASE quality WHEN 1 THEN 2.0 WHEN 0 THEN 0.5 END)::DOUBLE AS w
+            FROM labels GROUP BY ALL
+        ), sized AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                   ('0x' || md5('11:' || coalesce(doc_id::VARCHAR, 'null'))[1:13])::BIGINT AS drawn
+            FROM documents
+        ), keyed AS (
+            SELECT s.*, -ln((drawn + 0.5::DOUBLE) / 4503599627370496::DOUBLE) / coalesce(w, 1) AS k
+            FROM sized s LEFT JOIN weights ON known = doc_id
+        ), held AS (
+            SELECT source, sum(size)::BIGINT AS source_size,
+                   CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
+                       WHEN 0 THEN 5::DOUBLE WHEN 1 THEN 2::DOUBLE ELSE 1::DOUBLE END AS share
+            FROM keyed GROUP BY source
+        ), levels AS (
+            SELECT *, (1.5::DOUBLE * sum(source_size) OVER ()
+                       - 2 * coalesce(sum(source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                      / sum(share) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+            FROM held WINDOW o AS (ORDER BY source_size / share, source NULLS LAST)
+        ), aims AS (
+            SELECT source, source_size, least((2 * source_size)::DOUBLE, share * max(level) OVER ()) AS target FROM levels
+        ), planned AS (
+            SELECT *, coalesce(floor(target / nullif(source_size, 0)), 0)::BIGINT AS epochs FROM aims
+        ), reached AS (
+            SELECT k.doc_id, k.size, p.source_size, p.target, p.epochs, p.target - p.epochs * p.source_size AS budget,
+                   sum(k.size) OVER (PARTITION BY k.source ORDER BY k.k, k.doc_id, k.size
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS so_far
+            FROM keyed k JOIN planned p ON k.source IS NOT DISTINCT FROM p.source
+        ), copied AS (
+            SELECT *, CASE WHEN size = 0 THEN 0 ELSE epochs + CASE
+                       WHEN so_far <= budget THEN 1
+                       WHEN so_far - size < budget AND so_far - budget < budget - (so_far - size) THEN 1 ELSE 0 END
+                   END AS copies
+            FROM reached
+        )
+        SELECT doc_id, size, source_size, target, copies::BIGINT AS copies, (copies * size)::BIGINT AS taken FROM copied""",
+    "op12_filter_audit": r"""
+        WITH cut AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                   min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first
+            FROM documents
+        ), flags AS (
+            SELECT doc_id AS known, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY ALL
+        ), masks AS (
+            SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                   (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+                   + 4 * (100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text))::INT
+                   + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(doc_id > first, false)::INT AS mask
+            FROM cut LEFT JOIN flags ON known = doc_id
+        ), kinds AS (
+            SELECT part, good, toxic, mask, count(*) AS n FROM masks GROUP BY ALL
+        ), letters AS (
+            SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l
+        ), orders AS (
+            SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+            FROM letters a, letters b, letters c, letters d, letters e
+            WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5
+        ), steps AS (
+            SELECT filter_order, s::INT AS step, instr('ABCDE', filter_order[s]) - 1 AS letter,
+                   list_sum([1 << (instr('ABCDE', x) - 1) FOR x IN string_split(filter_order[:s - 1], '') IF x <> '']) AS earlier
+            FROM orders, range(1, 6) r(s)
+        ), told AS (
+            SELECT *, (mask >> letter) & 1 = 1 AS fails, (mask & coalesce(earlier, 0)::INT) <> 0 AS gone FROM kinds, steps
+        ), counted AS (
+            SELECT part, filter_order, step, letter,
+                   coalesce(sum(n) FILTER (NOT gone AND NOT fails), 0)::BIGINT AS kept,
+                   coalesce(sum(n) FILTER (fails AND NOT gone), 0)::BIGINT AS removed,
+                   coalesce(sum(n) FILTER (fails AND gone), 0)::BIGINT AS redundant,
+                   coalesce(sum(n) FILTER (mask = 1 << letter), 0)::BIGINT AS unique_fails,
+                   coalesce(sum(n) FILTER (fails AND NOT gone AND good), 0)::BIGINT AS good_lost,
+                   coalesce(sum(n) FILTER (fails AND NOT gone AND toxic), 0)::BIGINT AS toxic_lost
+            FROM told GROUP BY ALL
+        )
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+        FROM counted""",
 }
