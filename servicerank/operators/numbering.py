@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from servicerank.session import materialize
 
-# Copies of one row that a single task may emit; larger groups are spread.
-COPIES_PER_TASK = 65_536
+#: Rows that a task sorts and numbers.
+ROWS_PER_TASK = 1 << 18
 
 
 def ordered_row_ids(
@@ -16,28 +16,36 @@ def ordered_row_ids(
     order_by: list[str],
     id_column: str,
     partitions: int | None = None,
-    copies_per_task: int = COPIES_PER_TASK,
+    settle: bool = False,
 ) -> DataFrame:
     """Number the rows 1..N by `order_by`, then by the remaining columns.
 
-    The ids depend on the rows alone, not on files or partitions. Runs a job when
-    called: range partitions are sorted and numbered locally, written once, and shifted by the
-    row counts of the partitions before them (at most `partitions` counts, the
-    only thing broadcast). Equal rows get a copy number first: so a range
-    boundary can fall between them, however many there are.
+    The ids depend on the rows alone, not on files or partitions. Runs jobs when
+    called: the rows are dealt out by ranges whose bounds Spark samples from the
+    order columns, in the one shuffle there is; sorted and numbered within their
+    range, written once, and shifted by the row counts of the ranges before them
+    (one count for each range, the only thing broadcast). Equal rows are told
+    apart by where they stand in the input, so a range can end between them,
+    however many there are; which of them gets which id makes no difference.
+
+    `partitions` is by default the number of rows over ROWS_PER_TASK; a scan is
+    counted by its footers. Where a row stands must not change when a lost task
+    is run again. That holds for scans and narrow steps over them; give
+    `settle=True` for other inputs, which are then written as a work table first.
     """
-    spark = df.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if settle:
+        df = materialize(df, "numbered-rows")
+    partitions = partitions or max(1, -(-df.count() // ROWS_PER_TASK))
     rest = [c for c in df.columns if c not in order_by]
-    order = [*order_by, *rest, "_copy"]
+    order = [*order_by, *rest, "_at"]
 
     ranged = (
-        _numbered_copies(df, partitions, copies_per_task)
+        df.withColumn("_at", F.monotonically_increasing_id())
         .repartitionByRange(partitions, *order)
         .sortWithinPartitions(*order)
         # Partition number in the upper bits, position in the lower 33.
         .withColumn("_place", F.monotonically_increasing_id())
-        .drop("_copy")
+        .drop("_at")
     )
     placed = materialize(ranged, "row-ids")
     partition = F.shiftright("_place", 33)
@@ -51,25 +59,3 @@ def ordered_row_ids(
         .join(F.broadcast(offsets), "_partition")
         .select((F.col("_offset") + position + 1).alias(id_column), *df.columns)
     )
-
-
-def _numbered_copies(df: DataFrame, partitions: int, copies_per_task: int) -> DataFrame:
-    """The rows of `df`, equal ones told apart by `_copy` = 1, 2, ...
-
-    Counting first shrinks a hot group of copies on the map side; groups above
-    `copies_per_task` are expanded in chunks that are spread over the tasks (of a
-    fixed number: AQE would merge the chunks, which are small until expanded).
-    """
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    few = groups.filter(F.col("_n") <= copies_per_task)
-    many = groups.filter(F.col("_n") > copies_per_task)
-
-    chunks = many.withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / copies_per_task).cast("bigint")))
-    ).repartition(partitions, *df.columns, "_chunk")
-    first = F.col("_chunk") * copies_per_task + 1
-    last = F.least(F.col("_n"), first + (copies_per_task - 1))
-    return (
-        few.select(*df.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")).alias("_copy"))
-        .unionAll(chunks.select(*df.columns, F.explode(F.sequence(first, last)).alias("_copy")))
-    )
