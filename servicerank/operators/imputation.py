@@ -6,10 +6,12 @@ looked up:
 
 * keys that are NULL or in [0, dense_keys) have at most dense_keys + 1 means,
   whatever the data, so those are broadcast;
-* the remaining keys are joined by shuffle, and only for rows that miss a value,
-  with the rows of a key spread over up to `salts` partitions, which AQE splits
-  further if they are still large. A mean is sent once for each salt that its
-  rows have, so a key with few rows has few copies.
+* the remaining keys are joined by shuffle, and only for rows that miss a value.
+  These are counted per key first (partial sums before the shuffle). A key gets a
+  salt, and a copy of its mean, for every `salt_rows` of them, and its rows take
+  the salts in turn by where they stand, so that equal rows are spread as well.
+  Only the keys with several salts are broadcast to the rows: there is at most
+  one for every `salt_rows` rows.
 
 Both filters reach a Parquet scan, which skips the row groups the second part
 does not need - usually all of them.
@@ -22,7 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DENSE_KEYS = 65_536
-SALTS = 64
+#: Rows of one key that share a salt, and the most salts of a key.
+SALT_ROWS = 1 << 16
+SALTS = 1 << 16
 
 
 def group_means(df: DataFrame, value: str, by: str, scale: float = 1) -> DataFrame:
@@ -48,17 +52,41 @@ def add_near_means(
 
 
 def add_far_means(
-    df: DataFrame, means: DataFrame, key: str, by: str, dense_keys: int = DENSE_KEYS, salts: int = SALTS
+    df: DataFrame,
+    means: DataFrame,
+    key: str,
+    by: str,
+    dense_keys: int = DENSE_KEYS,
+    salts: int = SALTS,
+    salt_rows: int = SALT_ROWS,
 ) -> DataFrame:
-    """Add `group_mean` by a salted shuffle; `df` is the second part of split_rows."""
+    """Add `group_mean` by a salted shuffle; `df` is the second part of split_rows.
+
+    Where a row stands must not change when a lost task is run again, as is the
+    case for scans and narrow steps over them.
+    """
     far = means.filter(~_dense(means, by, dense_keys)).select(F.col(by).alias("_key"), "group_mean")
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-    used = salted.select(F.col(key).alias("_key"), F.col("_salt").alias("_mean_salt")).distinct()
-    copies = used.join(far, "_key")
+    copies = far.join(_hot_keys(df, key, salt_rows, salts), F.col("_key") == F.col("_hot"), "left").select(
+        "_key", "group_mean", F.explode(F.sequence(F.lit(0).cast("bigint"), _n_salts() - 1)).alias("_mean_salt")
+    )
     same = (F.col(key) == F.col("_key")) & (F.col("_salt") == F.col("_mean_salt"))
+    salted = spread_over_salts(df, key, salt_rows, salts)
     return salted.join(copies, same, "left").select(*df.columns, "group_mean")
 
 
+def spread_over_salts(df: DataFrame, key: str, salt_rows: int = SALT_ROWS, salts: int = SALTS) -> DataFrame:
+    """Add `_salt`: 0 for keys of up to `salt_rows` rows; the rows of others take as many salts as they fill, in turn."""
+    hot = F.broadcast(_hot_keys(df, key, salt_rows, salts))
+    placed = df.withColumn("_at", F.monotonically_increasing_id()).join(hot, F.col(key) == F.col("_hot"), "left")
+    return placed.withColumn("_salt", F.pmod("_at", _n_salts())).select(*df.columns, "_salt")
+
+
+def _hot_keys(df: DataFrame, key: str, salt_rows: int, salts: int) -> DataFrame:
+    """Keys with more than `salt_rows` rows, and their number of salts."""
+    counted = df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > salt_rows)
+    return counted.select("_hot", F.least(F.ceil(F.col("_n") / salt_rows), F.lit(salts)).cast("bigint").alias("_salts"))
+
+
 def impute_group_mean(
     df: DataFrame,
     value: str,
@@ -67,22 +95,26 @@ def impute_group_mean(
     scale: float = 60,
     dense_keys: int = DENSE_KEYS,
     salts: int = SALTS,
+    salt_rows: int = SALT_ROWS,
 ) -> DataFrame:
     """Add `output` = value/scale, or the mean of it over the rows with the same `by`.
 
     Filter the rows first: every row of `df` takes part in the means. Rows whose
-    group has no known value stay NULL; NULL is a group of its own. Salting
-    hashes the columns of `df`, so select those that are needed.
+    group has no known value stay NULL; NULL is a group of its own.
     """
     missing = F.col(value).isNull()
     means = group_means(df, value, by, scale)
     near, far = split_rows(df, by, missing, dense_keys)
     looked_up = add_near_means(near, means, by, by, missing, dense_keys).unionByName(
-        add_far_means(far, means, by, by, dense_keys, salts)
+        add_far_means(far, means, by, by, dense_keys, salts, salt_rows)
     )
     return looked_up.select(*df.columns, F.coalesce(F.col(value) / scale, "group_mean").alias(output))
 
 
+def _n_salts() -> Column:
+    return F.coalesce("_salts", F.lit(1).cast("bigint"))
+
+
 def _dense(df: DataFrame, key: str, dense_keys: int) -> Column:
     """Whether a key is in the bounded range; of keys that are not whole numbers only NULL is."""
     if not _is_whole(df, key):

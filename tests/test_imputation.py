@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from servicerank.operators.calendar import Calendar
-from servicerank.operators.imputation import impute_group_mean
+from servicerank.operators.imputation import add_far_means, group_means, impute_group_mean, spread_over_salts
 from servicerank.plans.report import imputed_wait, open_queue
 
 
@@ -75,3 +75,27 @@ def test_closed_rows_neither_count_nor_appear(spark):
     )
     assert open_queue(queue).count() == 2
     assert [r.expected_wait_time_imputed for r in imputed_wait(queue, Calendar()).collect()] == [1.0, 1.0]
+
+
+@pytest.mark.parametrize("salt_rows", [7, 100])
+def test_salted_means_equal_window_form(spark, salt_rows):
+    rng = random.Random(salt_rows)
+    keys = [None, -7, 3, 2**40, 2**41]
+    data = [(i % 50, 2**40 if i % 3 == 0 else rng.choice(keys), rng.choice([None, 60, 90])) for i in range(3000)]
+    df = frame(spark, data)
+    got = impute_group_mean(df, "wait", "load", "filled", dense_keys=0, salts=16, salt_rows=salt_rows)
+    assert rounded(got) == rounded(window_form(df))
+
+
+def test_equal_rows_reach_many_salts_and_small_keys_one_copy(spark, tmp_path):
+    hot = spark.range(200_000).select(F.lit(1).alias("id"), F.lit(10**9).alias("load"), F.lit(None).cast("long").alias("wait"))
+    rest = frame(spark, [(2, 10**9, 60), (3, 10**9 + 1, None), (4, 10**9 + 1, 120)])
+    hot.unionByName(rest).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    means = group_means(df, "wait", "load")
+    joined = add_far_means(df.filter("wait IS NULL"), means, "load", "load", salt_rows=2_000)
+    assert joined.groupBy("load", "group_mean").count().orderBy("load").collect() == [(10**9, 60.0, 200_000), (10**9 + 1, 120.0, 1)]
+    salts = spread_over_salts(df.filter("wait IS NULL"), "load", 2_000)
+    per_salt = {(r.load, r._salt): r["count"] for r in salts.groupBy("load", "_salt").count().collect()}
+    assert len(per_salt) == 101 and max(per_salt.values()) <= 2_100
+    assert per_salt[10**9 + 1, 0] == 1
