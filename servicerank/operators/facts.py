@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime, time, timedelta
+from typing import Protocol
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +17,15 @@ from servicerank.operators.staging import queue_spec, stage_typed
 from servicerank.schemas import ENTITY, queue_fact_schema, reviews_fact_schema
 
 
+class Windowed(Protocol):
+    """A lake that knows which of its days and times were checked, such as a BatchLake."""
+
+    def window(self, lo: date | datetime, hi: date | datetime) -> DataFrame:
+        """What snapshot_window gives."""
+
+
 def snapshot_window(
-    lake: DataFrame, lo: date | datetime, hi: date | datetime, vouched: bool = False
+    lake: DataFrame | Windowed, lo: date | datetime, hi: date | datetime, vouched: bool = False
 ) -> DataFrame:
     """Raw snapshots taken in [lo, hi).
 
@@ -25,9 +33,12 @@ def snapshot_window(
     whatever the lake's layout. Who knows that all times are well formed, and an
     `ingest_date` is their day, as to_lake_rows writes them, may vouch for it:
     then days that aren't needed are pruned, and the raw text is compared, which
-    reaches the Parquet scan. `rejected_times` tells whether that holds.
+    reaches the Parquet scan. `rejected_times` tells whether that holds. A lake
+    with a ledger needs nobody's word.
     """
     lo, hi = _midnight(lo), _midnight(hi)
+    if not isinstance(lake, DataFrame):
+        return lake.window(lo, hi)
     if vouched:
         if "ingest_date" in lake.columns:
             last = hi - timedelta(microseconds=1)
@@ -38,7 +49,7 @@ def snapshot_window(
 
 
 def queue_fact(
-    lake: DataFrame,
+    lake: DataFrame | Windowed,
     lo: date | datetime,
     hi: date | datetime,
     calendar: Calendar = DEFAULT_CALENDAR,
@@ -58,11 +69,16 @@ def queue_fact(
     return keyed.select(queue_fact_schema(entity).names)
 
 
-def queue_fact_of_day(lake: DataFrame, as_of: date, **options) -> DataFrame:
+def queue_fact_of_day(lake: DataFrame | Windowed, as_of: date, **options) -> DataFrame:
     """Queue rows of the day before `as_of`."""
     return queue_fact(lake, as_of - timedelta(days=1), as_of, **options)
 
 
+def open_known(queue: DataFrame, calendar: Calendar = DEFAULT_CALENDAR) -> DataFrame:
+    """Queue rows of open points (NULL counts as closed) within the calendar."""
+    return queue.filter(F.col("is_open").eqNullSafe(True) & F.col("time_id").between(1, calendar.minutes))
+
+
 def fact_date(calendar: Calendar = DEFAULT_CALENDAR, time_id: str = "time_id"):
     """Day of a time id: the partition column of a stored fact."""
     return add_minutes(calendar.origin, F.col(time_id) - 1).cast("date")

@@ -73,6 +73,28 @@ def metric_in_peak(
     return maxima.groupBy(entity).agg(F.ceil(mean).cast("bigint").alias(output))
 
 
+def fold_waits(df: DataFrame, keys: str | list[str], slot: str, load: str, wait: str) -> DataFrame:
+    """One row for each key, slot and load: `most`, `total`, `known` and `missing` of its waits.
+
+    All that rush_wait needs of the snapshots. Folds of disjoint rows merge into
+    the fold of their union (merge_folds), so they can be kept day by day.
+    """
+    keys = [keys] if isinstance(keys, str) else keys
+    return df.groupBy(*keys, slot, load).agg(
+        F.max(wait).alias("most"),
+        F.sum(wait).alias("total"),
+        F.count(wait).alias("known"),
+        F.count_if(F.col(wait).isNull()).alias("missing"),
+    )
+
+
+def merge_folds(folds: DataFrame, entity: str, slot: str, load: str) -> DataFrame:
+    """The fold of all rows behind several folds, given as one table."""
+    return folds.groupBy(entity, slot, load).agg(
+        F.max("most").alias("most"), *(F.sum(c).alias(c) for c in ("total", "known", "missing"))
+    )
+
+
 def rush_wait(
     df: DataFrame,
     entity: str,
@@ -90,23 +112,34 @@ def rush_wait(
     `bucket` are its day of week and hour, computed once per slot, not per row.
 
     Same result as impute_group_mean, peak_bucket and metric_in_peak. The rows
-    are folded first, to one for each entity, slot and load; means are added up
-    from the folded rows, and only those are joined with them. Each bucket
+    are folded first, to one for each entity, slot and load; the rest needs the
+    folded rows only.
+    """
+    return rush_wait_of_fold(fold_waits(df, entity, slot, load, wait), entity, slot, period, bucket, load, output, scale)
+
+
+def rush_wait_of_fold(
+    folded: DataFrame,
+    entity: str,
+    slot: str,
+    period: Column,
+    bucket: Column,
+    load: str,
+    output: str,
+    scale: float = 60,
+) -> DataFrame:
+    """rush_wait from the rows of fold_waits, or of a table that keeps them.
+
+    Means are added up from the folded rows, and joined with them. Each bucket
     carries the sum and count of its daily maxima, the peak's are picked with it,
     and an entity's mean is their total sum over their total count. `scale`
     divides last, so sums of whole waits are exact.
     """
-    folded = df.groupBy(entity, slot, load).agg(
-        F.max(wait).alias("_most"),
-        F.sum(wait).alias("_sum"),
-        F.count(wait).alias("_known"),
-        F.count_if(F.col(wait).isNull()).alias("_missing"),
-    )
-    means = folded.groupBy(load).agg((F.sum("_sum") / F.nullif(F.sum("_known"), F.lit(0))).alias("group_mean"))
+    means = folded.groupBy(load).agg((F.sum("total") / F.nullif(F.sum("known"), F.lit(0))).alias("group_mean"))
     # Equal plans up to here, so the fold's shuffle serves both; a hot load is split by adaptive execution.
     same = F.col("_key").eqNullSafe(F.col(load))
     filled = folded.join(means.withColumnRenamed(load, "_key"), same, "left").withColumn(
-        "_filled", F.greatest(F.col("_most").cast("double"), F.when(F.col("_missing") > 0, F.col("group_mean")))
+        "_filled", F.greatest(F.col("most").cast("double"), F.when(F.col("missing") > 0, F.col("group_mean")))
     )
 
     slots = filled.groupBy(entity, slot).agg(F.max(load).alias("_load"), F.max("_filled").alias("_wait"))

@@ -13,7 +13,7 @@ from servicerank.functions.text import spell
 from servicerank.operators.audit import audit_keys, duplicate_keys, orphan_keys, orphan_time_ids, rejected_times
 from servicerank.operators.calendar import DEFAULT_CALENDAR, Calendar, attach_calendar, time_dimension
 from servicerank.operators.decision import clean_labels, normalize_criteria
-from servicerank.operators.facts import queue_fact_of_day
+from servicerank.operators.facts import queue_fact, queue_fact_of_day
 from servicerank.operators.imputation import impute_group_mean
 from servicerank.operators.peaks import (
     daily_max, daily_max_in_peak, mean_daily_max, metric_in_peak, peak_bucket, ranked_buckets,
@@ -21,22 +21,24 @@ from servicerank.operators.peaks import (
 from servicerank.operators.staging import queue_spec, stage_typed
 from servicerank.plans import bindings as b
 from servicerank.plans.report import (
-    LOAD, PEAK, RUSH_WAIT, WAIT, imputed_wait, open_queue, ranked_report, register_views, review_ratings,
-    rush_hour_waits, service_point_matrix,
+    PEAK, RUSH_WAIT, imputed_wait, open_queue, ranked_report, register_views, review_ratings, rush_hour_waits,
+    rush_hour_waits_of_state, service_point_matrix,
 )
-from servicerank.schemas import ENTITY, MATRIX_CRITERIA, REPORT_CRITERIA, SNAPSHOT_COLUMNS
+from servicerank.schemas import ENTITY, LOAD, MATRIX_CRITERIA, REPORT_CRITERIA, SNAPSHOT_COLUMNS, WAIT
 from servicerank.session import materialize, new_work_path
-from servicerank.sources.lake import append_lake, count_table, ingest_snapshots, read_lake
+from servicerank.sources.lake import append_lake, ingest_snapshots, read_lake
+from servicerank.sources.ledger import BatchLake
 from servicerank.sources.snapshots import feed_schema, ingest_time, to_lake_rows
 from servicerank.sources.warehouse import (
     load_day, load_queue_fact, load_reviews_fact, load_time_dimension, read_queue_fact, read_reviews_fact,
-    read_time_dimension, replace_table,
+    read_rush_state, read_time_dimension, refresh_rush_state, replace_table,
 )
 from servicerank.streaming.ingest import stream_snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 BATCH_TIME = datetime(2024, 3, 4, 10, 0, 0)
+FAR_DAY = date(2030, 1, 1)
 
 
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -77,8 +79,44 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_lake(spark, lake).select(SNAPSHOT_COLUMNS)
 
 
+def _batches(spark: SparkSession, sf_dir: str, n: int = 3) -> BatchLake:
+    """The lake rows, appended in `n` batches of points."""
+    lake = BatchLake(spark, new_work_path(spark, "lake"))
+    rows = b.lake(spark, sf_dir)
+    for k in range(n):
+        lake.append(rows.filter(F.col("id").cast("bigint") % n == k), f"points-{k}")
+    return lake
+
+
 def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_table(b.lake(spark, sf_dir).select(SNAPSHOT_COLUMNS))
+    """What a lake holds after two loads, the second of them run twice."""
+    lake = _batches(spark, sf_dir, 2)
+    lake.append(b.lake(spark, sf_dir), "points-1")
+    return lake.summary()
+
+
+def batch_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _batches(spark, sf_dir).batches().drop("committed_at", "files", "bytes")
+
+
+def repeated_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of which one ran again, and one died before it was committed and ran again."""
+    lake = _batches(spark, sf_dir, 2)
+    rows = b.lake(spark, sf_dir)
+    rows.write.partitionBy("ingest_date").parquet(f"{lake.data}/batch=points-2.died")
+    lake.append(rows, "points-0")
+    return lake.read().select(SNAPSHOT_COLUMNS)
+
+
+def packed_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake whose days were packed, grew by one batch, and were packed again."""
+    lake = _batches(spark, sf_dir)
+    lake.pack()
+    again = b.lake(spark, sf_dir).filter(F.col("id").cast("bigint") % 3 == 0)
+    lake.append(again.withColumn("name", F.lit("again")), "again")
+    lake.pack()
+    lake.vacuum(timedelta(0))
+    return lake.read()
 
 
 def staged_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,6 +171,14 @@ def fact_queue_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_queue_fact(spark, fact_path).drop("fact_date")
 
 
+def fact_queue_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten days of a lake with a ledger, which vouches for two of its batches, not for the third."""
+    lake = _batches(spark, sf_dir, 2)
+    misplaced = b.lake(spark, sf_dir).filter(F.col("is_open") == "False").withColumn("ingest_date", F.lit(FAR_DAY))
+    lake.append(misplaced, "misplaced")
+    return queue_fact(lake, date(2024, 1, 10), date(2024, 1, 20))
+
+
 def fact_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.reviews(spark, sf_dir)
 
@@ -185,6 +231,27 @@ def rush_wait(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rush_hour_waits(b.queue(spark, sf_dir))
 
 
+def rush_wait_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the state kept beside a fact to which the last days were loaded one by one, one of them twice."""
+    lake = _batches(spark, sf_dir, 2)
+    span = _events_calendar(spark, sf_dir)
+    fact, state = new_work_path(spark, "queue"), new_work_path(spark, "state")
+    backfilled = span.end - timedelta(days=2)
+    load_queue_fact(lake, fact, span.origin, backfilled)
+    refresh_rush_state(spark, fact, state)
+    for days in (1, 1, 2):
+        load_day(lake, fact, backfilled.date() + timedelta(days=days), state=state)
+    return rush_hour_waits_of_state(read_rush_state(spark, state))
+
+
+def imputed_by_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing waits by a key of any size: the point and its open counters, a third of them one key."""
+    queue = b.queue(spark, sf_dir)
+    hot = F.when(F.col(ENTITY) % 3 == 0, 0).otherwise(F.col(ENTITY))
+    rows = queue.select(((hot + 1) * 1_000_003 + F.col("active_counters")).alias("key"), "time_id", WAIT)
+    return _rounded(impute_group_mean(rows, WAIT, "key", "wait", salt_rows=16), "wait")
+
+
 # Ratings and ranking -----------------------------------------------------------
 
 
@@ -296,6 +363,9 @@ QUERIES: dict[str, Query] = {
     "batch_ingest": batch_ingest,
     "stream_ingest": stream_ingest,
     "load_summary": load_summary,
+    "batch_summaries": batch_summaries,
+    "repeated_ingest": repeated_ingest,
+    "packed_lake": packed_lake,
     "staged_queue": staged_queue,
     "time_dimension": time_dimension_of_events,
     "queue_calendar": queue_calendar,
@@ -303,6 +373,7 @@ QUERIES: dict[str, Query] = {
     "fact_queue_backfill": fact_queue_backfill,
     "fact_queue_daily": fact_queue_daily,
     "fact_queue_stored": fact_queue_stored,
+    "fact_queue_pruned": fact_queue_pruned,
     "fact_reviews": fact_reviews,
     "imputed_wait": imputed_waits,
     "daily_hour_max": daily_hour_max,
@@ -312,6 +383,8 @@ QUERIES: dict[str, Query] = {
     "rush_wait_by_day": rush_wait_by_day,
     "rush_wait_by_steps": rush_wait_by_steps,
     "rush_wait": rush_wait,
+    "rush_wait_maintained": rush_wait_maintained,
+    "imputed_by_point": imputed_by_point,
     "weighted_rating": weighted_rating,
     "decision_matrix": decision_matrix,
     "decision_matrix_view": decision_matrix_view,

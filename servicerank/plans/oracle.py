@@ -151,6 +151,17 @@ ORACLE_SQL: dict[str, str] = {
     "batch_ingest": _LAKE_ROWS,
     "stream_ingest": _LAKE_ROWS,
     "load_summary": f"SELECT count(*) AS row_count, CAST({len(SNAPSHOT_COLUMNS)} AS BIGINT) AS column_count FROM events",
+    "batch_summaries": f"""
+WITH raw AS (WITH {_raw()}),
+taken AS (SELECT CAST(id AS BIGINT) % 3 AS k, strptime(time, '%y/%m/%d %H:%M:%S') AS t FROM raw)
+SELECT 'points-' || k AS batch, count(*) AS rows, CAST(0 AS BIGINT) AS malformed, CAST(0 AS BIGINT) AS misplaced,
+       CAST(min(t) AS VARCHAR) AS first_time, CAST(max(t) AS VARCHAR) AS last_time
+FROM taken GROUP BY k""",
+    "repeated_ingest": f"WITH {_raw()}",
+    "packed_lake": f"""
+WITH raw AS (WITH {_raw()}),
+more AS (SELECT * FROM raw UNION ALL SELECT * REPLACE ('again' AS name) FROM raw WHERE CAST(id AS BIGINT) % 3 = 0)
+SELECT *, CAST(strptime(time, '%y/%m/%d %H:%M:%S') AS DATE) AS ingest_date FROM more""",
     "staged_queue": _STAGED,
     "time_dimension": f"""
 WITH span AS (SELECT date_trunc('day', min(ts)) AS lo, date_trunc('day', max(ts)) + INTERVAL 1 DAY AS hi FROM events),
@@ -173,6 +184,10 @@ WITH {_OBS}
 SELECT {_FACT_COLUMNS} FROM fact
 WHERE minute >= TIMESTAMP '2024-01-15' AND minute < TIMESTAMP '2024-01-16'""",
     "fact_queue_stored": f"WITH {_OBS} SELECT {_FACT_COLUMNS} FROM fact",
+    "fact_queue_pruned": f"""
+WITH {_OBS},
+twice AS (SELECT * FROM fact UNION ALL SELECT * FROM fact WHERE is_open = FALSE)
+SELECT {_FACT_COLUMNS} FROM twice WHERE minute >= TIMESTAMP '2024-01-10' AND minute < TIMESTAMP '2024-01-20'""",
     "fact_reviews": """
 WITH raw AS (
   SELECT o_custkey, epoch(o_orderdate)::BIGINT + o_orderkey % 86400 AS second, o_orderkey,
@@ -207,6 +222,15 @@ SELECT cday, service_point_id, day_of_week, hour, round(top_wait, 6) AS max_wait
 FROM hourly SEMI JOIN (SELECT * FROM ranked WHERE place = 1) USING (service_point_id, day_of_week, hour)""",
     "rush_wait_by_steps": f"WITH {_WAITS} SELECT service_point_id, rush_wait AS avg_max_wait_time_rush_hour FROM waits",
     "rush_wait": f"WITH {_WAITS} SELECT service_point_id, rush_wait AS avg_max_wait_time_rush_hour FROM waits",
+    "rush_wait_maintained": f"WITH {_WAITS} SELECT service_point_id, rush_wait AS avg_max_wait_time_rush_hour FROM waits",
+    "imputed_by_point": f"""
+WITH {_OBS},
+keyed AS (
+  SELECT (CASE WHEN service_point_id % 3 = 0 THEN 0 ELSE service_point_id END + 1) * 1000003 + active_counters AS key,
+         time_id, expected_wait_time FROM fact)
+SELECT key, time_id, expected_wait_time,
+       round(coalesce(expected_wait_time, avg(expected_wait_time) OVER (PARTITION BY key)) / 60.0, 6) AS wait
+FROM keyed""",
     "weighted_rating": f"""
 WITH {_RATINGS}
 SELECT service_point_id, CAST(rating AS DOUBLE) AS weighted_average_review_score FROM ratings""",

@@ -36,6 +36,10 @@ DEFAULT_WEIGHTS = [0.45, 0.15, 0.15, 0.25]
 # Default name of the service-point key; every operator takes another one.
 ENTITY = "service_point_id"
 
+# Load and wait of a queue snapshot.
+LOAD = "customers_currently_waiting"
+WAIT = "expected_wait_time"
+
 
 def lake_schema() -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in SNAPSHOT_COLUMNS])
@@ -74,6 +78,11 @@ def queue_fact_schema(entity: str = ENTITY) -> T.StructType:
     return T.StructType([T.StructField(c, T.LongType()) for c in longs] + [T.StructField("is_open", T.BooleanType())])
 
 
+def rush_state_schema(entity: str = ENTITY) -> T.StructType:
+    longs = [entity, "slot", LOAD, "most", "total", "known", "missing"]
+    return T.StructType([T.StructField(c, T.LongType()) for c in longs])
+
+
 def reviews_fact_schema(entity: str = ENTITY) -> T.StructType:
     return T.StructType(
         [T.StructField(c, T.LongType()) for c in ("review_id", entity, "time_id")]

@@ -1,4 +1,8 @@
-"""The raw lake: append-only Parquet, partitioned by ingest day."""
+"""The raw lake: append-only Parquet, partitioned by ingest day.
+
+A folder either grows by plain appends, or by a stream, or by batches that a
+ledger counts once (`ledger.BatchLake`); readers take all three.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from servicerank.schemas import SNAPSHOT_COLUMNS, lake_schema
+from servicerank.sources import files
+from servicerank.sources.ledger import BatchLake, is_batch_lake
 from servicerank.sources.snapshots import ingest_time, read_snapshots, to_lake_rows
 
 
@@ -18,9 +24,11 @@ def stored_lake_schema() -> T.StructType:
 
 
 def append_lake(rows: DataFrame, lake: str) -> None:
-    """Append rows of to_lake_rows to a folder that no stream writes to."""
+    """Append rows of to_lake_rows to a folder that no stream writes to and that has no ledger."""
     if written_by_stream(rows.sparkSession, lake):
         raise ValueError(f"{lake} is written by a stream, whose log would hide appended files; use another folder")
+    if is_batch_lake(rows.sparkSession, lake):
+        raise ValueError(f"{lake} has a ledger, which would not name appended files; append a batch")
     rows.write.mode("append").partitionBy("ingest_date").parquet(lake)
 
 
@@ -30,36 +38,31 @@ def read_lake(spark: SparkSession, *lakes: str) -> DataFrame:
     Several folders, such as a streamed and an appended one, are read as one lake.
     """
     reader = spark.read.schema(stored_lake_schema())
-    return reduce(DataFrame.unionAll, [reader.parquet(lake) for lake in lakes])
+    parts = [BatchLake(spark, lake).read() if is_batch_lake(spark, lake) else reader.parquet(lake) for lake in lakes]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def open_lake(spark: SparkSession, *lakes: str) -> DataFrame | BatchLake:
+    """What the queue loads take: one lake with a ledger as it is, so that they prune by it, otherwise raw rows."""
+    if len(lakes) == 1 and is_batch_lake(spark, lakes[0]):
+        return BatchLake(spark, lakes[0])
+    return read_lake(spark, *lakes)
 
 
 def written_by_stream(spark: SparkSession, lake: str) -> bool:
     """Whether a folder has a stream's log of committed files; readers of it see those files only."""
-    path, files = _folder(spark, f"{lake}/_spark_metadata")
-    return files.exists(path)
+    return files.exists(spark, f"{lake}/_spark_metadata")
 
 
 def written_by_batch(spark: SparkSession, lake: str) -> bool:
     """Whether a folder has data files and no stream's log; the listing ends at the first one."""
-    path, files = _folder(spark, lake)
-    if written_by_stream(spark, lake) or not files.exists(path):
-        return False
-    entries = files.listFiles(path, True)
-    while entries.hasNext():
-        if not entries.next().getPath().getName().startswith(("_", ".")):
-            return True
-    return False
-
-
-def _folder(spark: SparkSession, path: str) -> tuple:
-    """A Hadoop path and its file system."""
-    found = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+    return not written_by_stream(spark, lake) and any(True for _ in files.stored(spark, lake))
 
 
 def load_summary(spark: SparkSession, *lakes: str) -> DataFrame:
-    """Row and column count of the whole lake."""
-    return count_table(read_lake(spark, *lakes).select(SNAPSHOT_COLUMNS))
+    """Row and column count of the whole lake; one with a ledger is not read for it."""
+    opened = open_lake(spark, *lakes)
+    return opened.summary() if isinstance(opened, BatchLake) else count_table(opened.select(SNAPSHOT_COLUMNS))
 
 
 def count_table(df: DataFrame) -> DataFrame:
@@ -76,12 +79,20 @@ def ingest_snapshots(
     batch_time: datetime | None = None,
     stamp: str = "batch",
     multi_line: bool = True,
+    batch: str | None = None,
 ) -> DataFrame:
     """Append the snapshot files under `src` to the lake; gives its load summary.
 
-    Appending the same files again appends their rows again; the streaming
-    variant remembers what it has read.
+    With a `batch` the lake keeps a ledger: a rerun under the same name adds
+    nothing, and the summary does not read the lake. `landed_batch` names the
+    files that are there. Without one, appending the same files again appends
+    their rows again; the streaming variant remembers what it has read.
     """
-    feed = read_snapshots(spark, src, schema, multi_line)
-    append_lake(to_lake_rows(feed, ingest_time(stamp, batch_time)), lake)
+    rows = to_lake_rows(read_snapshots(spark, src, schema, multi_line), ingest_time(stamp, batch_time))
+    if batch is None:
+        append_lake(rows, lake)
+    elif written_by_stream(spark, lake) or (not is_batch_lake(spark, lake) and written_by_batch(spark, lake)):
+        raise ValueError(f"{lake} holds files that no ledger names; use another folder")
+    else:
+        BatchLake(spark, lake).append(rows, batch)
     return load_summary(spark, lake)

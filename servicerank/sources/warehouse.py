@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from servicerank.operators.calendar import DEFAULT_CALENDAR, Calendar, time_dimension
-from servicerank.operators.facts import fact_date, queue_fact, queue_fact_of_day, reviews_fact
-from servicerank.schemas import ENTITY, queue_fact_schema, reviews_fact_schema, time_dimension_schema
+from servicerank.operators.facts import (
+    Windowed, fact_date, open_known, queue_fact, queue_fact_of_day, reviews_fact,
+)
+from servicerank.operators.peaks import fold_waits
+from servicerank.schemas import (
+    ENTITY, LOAD, WAIT, queue_fact_schema, reviews_fact_schema, rush_state_schema, time_dimension_schema,
+)
 from servicerank.session import discarding
 
 DAY_MODES = ("replace", "append")
@@ -31,7 +36,7 @@ def read_time_dimension(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_queue_fact(
-    lake: DataFrame,
+    lake: DataFrame | Windowed,
     path: str,
     lo: date | datetime,
     hi: date | datetime,
@@ -52,18 +57,20 @@ def load_queue_fact(
 
 
 def load_day(
-    lake: DataFrame,
+    lake: DataFrame | Windowed,
     path: str,
     as_of: date | None = None,
     mode: str = "replace",
     calendar: Calendar = DEFAULT_CALENDAR,
+    state: str | None = None,
     **options,
 ) -> None:
     """Load the snapshots of the day before `as_of` (default: today, UTC).
 
     'replace' writes that day's partition anew, so a rerun changes nothing;
     'append' adds the rows once more on every run. Rows are sorted by time
-    within files, for tight Parquet minima and maxima.
+    within files, for tight Parquet minima and maxima. A `state` kept at that
+    path is brought up to date for the day.
     """
     if mode not in DAY_MODES:
         raise ValueError(f"mode is one of {DAY_MODES}, not {mode!r}")
@@ -71,6 +78,9 @@ def load_day(
     day = as_of - timedelta(days=1)
     rows = queue_fact_of_day(lake, as_of, calendar=calendar, **options).sortWithinPartitions("time_id")
     rows.write.mode("overwrite" if mode == "replace" else "append").parquet(f"{path}/fact_date={day.isoformat()}")
+    if state is not None:
+        spark = rows.sparkSession
+        refresh_rush_state(spark, path, state, [day], calendar, options.get("entity", ENTITY))
 
 
 def read_queue_fact(spark: SparkSession, path: str, entity: str = ENTITY) -> DataFrame:
@@ -78,6 +88,44 @@ def read_queue_fact(spark: SparkSession, path: str, entity: str = ENTITY) -> Dat
     return spark.read.schema(queue_fact_schema(entity).add("fact_date", T.DateType())).parquet(path)
 
 
+def refresh_rush_state(
+    spark: SparkSession,
+    queue: str,
+    state: str,
+    days: list[date] | None = None,
+    calendar: Calendar = DEFAULT_CALENDAR,
+    entity: str = ENTITY,
+) -> None:
+    """Bring the rush-hour state of a stored queue fact up to date: for `days`, or as a whole.
+
+    The state holds what rush hours and their waits need of the fact: for each
+    point, hour and waiting count the largest wait, the sum and number of the
+    known ones, and the number of missing ones, over open snapshots. These merge,
+    and an hour lies within a day, so a day's part replaces that day's only, and
+    is made from that day's rows only. Running it again changes nothing, so a
+    load that died between fact and state is mended by a rerun.
+    """
+    fact = read_queue_fact(spark, queue, entity)
+    if days is None:
+        folded = _fold(fact, calendar, entity, "fact_date")
+        replace_table(folded.sortWithinPartitions("fact_date", entity, "slot"), state, ["fact_date"])
+        return
+    for day in days:
+        rows = fact.filter(F.col("fact_date") == F.lit(day))
+        part = f"{state}/fact_date={day.isoformat()}"
+        _fold(rows, calendar, entity).sortWithinPartitions(entity, "slot").write.mode("overwrite").parquet(part)
+
+
+def _fold(fact: DataFrame, calendar: Calendar, entity: str, *also: str) -> DataFrame:
+    known = open_known(fact, calendar).withColumn("slot", calendar.hour_number(F.col("time_id")))
+    return fold_waits(known, [*also, entity], "slot", LOAD, WAIT)
+
+
+def read_rush_state(spark: SparkSession, path: str, entity: str = ENTITY) -> DataFrame:
+    """Rows of the rush-hour state with their `fact_date`."""
+    return spark.read.schema(rush_state_schema(entity).add("fact_date", T.DateType())).parquet(path)
+
+
 def load_reviews_fact(reviews: DataFrame, path: str, calendar: Calendar = DEFAULT_CALENDAR, **options) -> None:
     """Rebuild the reviews fact."""
     with discarding(reviews.sparkSession):
