@@ -28,26 +28,73 @@ def safe_bool(text: Column) -> Column:
 
 
 def spell(value: Column, data_type: T.DataType, null_text: str | None = "None") -> Column:
-    """A value as the extractor spells it: True/False, None, ['a', 'b']."""
-    if isinstance(data_type, T.StringType):
-        text = value
-    elif isinstance(data_type, T.BooleanType):
-        text = F.when(value, F.lit("True")).when(~value, F.lit("False"))
-    elif isinstance(data_type, T.ArrayType):
-        quote = F.lit("'" if isinstance(data_type.elementType, T.StringType) else "")
-
-        def item(x: Column) -> Column:
-            quoted = F.concat(quote, spell(x, data_type.elementType, None), quote)
-            return F.coalesce(quoted, F.lit("None"))
-
-        text = F.concat(F.lit("["), F.array_join(F.transform(value, item), ", "), F.lit("]"))
-    elif isinstance(data_type, (T.DoubleType, T.FloatType)):
-        text = _plain(value.cast("double"))
-    else:
-        text = value.cast("string")
+    """A value as the extractor spells it: True/False, None, ['a', 'b'], {'k': 1}.
+
+    Text stays as it is, but inside lists, maps and structs it is quoted and
+    escaped as Python does it; structs are spelled like maps of their fields, a
+    missing field as None.
+    """
+    text = value if isinstance(data_type, T.StringType) else _literal(value, data_type)
     return text if null_text is None else F.coalesce(text, F.lit(null_text))
 
 
+def _literal(value: Column, data_type: T.DataType) -> Column:
+    """A value as Python spells it inside a list; NULL stays NULL."""
+
+    def item(x: Column, kind: T.DataType) -> Column:
+        return F.coalesce(_literal(x, kind), F.lit("None"))
+
+    if isinstance(data_type, T.StringType):
+        return _quoted(value)
+    if isinstance(data_type, T.BooleanType):
+        return F.when(value, F.lit("True")).when(~value, F.lit("False"))
+    if isinstance(data_type, T.ArrayType):
+        items = F.transform(value, lambda x: item(x, data_type.elementType))
+        return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
+    if isinstance(data_type, T.MapType):
+        pairs = F.transform(
+            F.map_entries(value),
+            lambda e: F.concat(item(e["key"], data_type.keyType), F.lit(": "), item(e["value"], data_type.valueType)),
+        )
+        return F.concat(F.lit("{"), F.array_join(pairs, ", "), F.lit("}"))
+    if isinstance(data_type, T.StructType):
+        fields = [F.concat(F.lit(repr(f.name) + ": "), item(value[f.name], f.dataType)) for f in data_type]
+        return F.when(value.isNotNull(), F.concat(F.lit("{"), F.concat_ws(", ", *fields), F.lit("}")))
+    if isinstance(data_type, (T.DoubleType, T.FloatType)):
+        return _plain(value.cast("double"))
+    return value.cast("string")
+
+
+#: Characters that Python writes as escapes: controls, formats, unassigned ones, separators but the space.
+_UNPRINTABLE = r"[\p{C}\p{Z}&&[^ ]]"
+
+
+def _quoted(text: Column) -> Column:
+    """Text between quotes: single ones, or double ones if it holds single ones only."""
+    double = text.contains("'") & ~text.contains('"')
+    body = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    body = F.when(double, body).otherwise(F.replace(body, F.lit("'"), F.lit("\\'")))
+    for char, escape in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        body = F.replace(body, F.lit(char), F.lit(escape))
+    body = F.when(
+        body.rlike(_UNPRINTABLE), F.array_join(F.transform(F.regexp_extract_all(body, F.lit("(?s)."), 0), _escaped), "")
+    ).otherwise(body)
+    quote = F.when(double, F.lit('"')).otherwise(F.lit("'"))
+    return F.concat(quote, body, quote)
+
+
+def _escaped(char: Column) -> Column:
+    """One character, as an escape if it can't be printed."""
+    digits = F.lower(F.hex(F.ascii(char)))
+    size = F.length(digits)
+    escape = (
+        F.when(size <= 2, F.concat(F.lit("\\x"), F.lpad(digits, 2, "0")))
+        .when(size <= 4, F.concat(F.lit("\\u"), F.lpad(digits, 4, "0")))
+        .otherwise(F.concat(F.lit("\\U"), F.lpad(digits, 8, "0")))
+    )
+    return F.when(char.rlike(_UNPRINTABLE), escape).otherwise(char)
+
+
 def _plain(number: Column) -> Column:
     """A double as Python spells it: without an exponent from 0.0001 up to below 1e16, otherwise with one like 1e-05."""
     text, size = number.cast("string"), F.abs(number)

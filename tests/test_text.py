@@ -68,3 +68,30 @@ def test_doubles_are_spelled_as_python_does(spark):
     values += [float("nan"), float("inf"), float("-inf"), 0.00012345678901234567]
     df = spark.createDataFrame([(v,) for v in values], "x double")
     assert [r[0] for r in df.select(spell(F.col("x"), T.DoubleType())).collect()] == [str(v) for v in values]
+
+
+ODD_TEXTS = [
+    "it's", 'say "x"', "both ' and \"", "line\nend\r\ttab", "back\\slash", "\\'", "", " ", "\x00\x1f\x7f\x85\xa0", "é ü ß \u200b\u2028\u3000",
+    "😀 \U000e0001", "],[ {}", "a\xadb", "plain",
+]
+
+
+def test_nested_values_are_spelled_as_python_does(spark):
+    lists = [[t] for t in ODD_TEXTS] + [ODD_TEXTS, [None, "x", None], [], None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(lists)], "i int, x array<string>")
+    assert [r.s for r in df.select("i", spell(F.col("x"), df.schema["x"].dataType).alias("s")).orderBy("i").collect()] == list(
+        map(str, lists)
+    )
+    kind = "i int, x struct<name:string, tags:array<struct<k:string,v:double>>, flags:map<string,array<boolean>>, n:bigint>"
+    values = [
+        {"name": "O'Neil", "tags": [{"k": "a\nb", "v": 1e-07}, {"k": None, "v": None}], "flags": {"it's": [True, None]}, "n": 5},
+        {"name": None, "tags": None, "flags": {}, "n": None},
+    ]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([*values, None])], kind)
+    got = [r.s for r in df.select("i", spell(F.col("x"), df.schema["x"].dataType).alias("s")).orderBy("i").collect()]
+    assert got == [str(v) for v in [*values, None]]
+
+
+def test_text_of_its_own_is_not_quoted(spark):
+    df = column(spark, ODD_TEXTS)
+    assert [r.s for r in df.select("i", spell(F.col("x"), T.StringType()).alias("s")).orderBy("i").collect()] == ODD_TEXTS
