@@ -51,6 +51,16 @@ def stored(spark: SparkSession, path: str, hidden: bool = False) -> Iterator[Sto
             yield Stored(name, status.getLen(), status.getModificationTime())
 
 
+def read_json(spark: SparkSession, path: str) -> dict:
+    """The content of a published file."""
+    found, files = locate(spark, path)
+    source = files.open(found)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8"))
+    finally:
+        source.close()
+
+
 def publish(spark: SparkSession, path: str, content: dict) -> bool:
     """Write a JSON file in one step, unless there is one: False if somebody was first.
 
