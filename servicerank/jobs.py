@@ -29,7 +29,7 @@ from servicerank.streaming.ingest import stream_snapshots  # noqa: E402
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     batch = landed_batch(spark, args.src) if args.batch == "landed" else args.batch
     summary = lake.ingest_snapshots(
-        spark, args.src, args.lake, stamp=args.stamp, multi_line=not args.lines, batch=batch
+        spark, args.src, args.lake, stamp=args.stamp, multi_line=not args.lines, batch=batch, split=args.split
     ).first()
     print(f"lake holds {summary.row_count} rows of {summary.column_count} columns")
 
@@ -48,13 +48,13 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def time_dimension(spark: SparkSession, args: argparse.Namespace) -> None:
-    warehouse.load_time_dimension(spark, args.table, _calendar(args))
+    warehouse.load_time_dimension(spark, args.table, _calendar(args), args.swap, args.name)
 
 
 def backfill(spark: SparkSession, args: argparse.Namespace) -> None:
     warehouse.load_queue_fact(
         lake.open_lake(spark, *args.lake.split(",")), args.table, args.lo, args.hi, _calendar(args), entity=args.entity,
-        rebalance=args.rebalance, vouched=args.vouched,
+        rebalance=args.rebalance, vouched=args.vouched, swap=args.swap, name=args.name,
     )
 
 
@@ -71,7 +71,7 @@ def state(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def reviews(spark: SparkSession, args: argparse.Namespace) -> None:
     raw = spark.read.schema(reviews_schema()).parquet(args.reviews)
-    warehouse.load_reviews_fact(raw, args.table, _calendar(args), entity=args.entity)
+    warehouse.load_reviews_fact(raw, args.table, _calendar(args), args.swap, args.name, entity=args.entity)
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -87,7 +87,7 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
             safe=args.safe,
             of_state=args.of_state,
         )
-        warehouse.replace_table(result, args.table)
+        warehouse.replace_table(result, args.table, None, args.swap, args.name)
 
 
 def _calendar(args: argparse.Namespace) -> Calendar:
@@ -100,6 +100,8 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("--origin", type=datetime.fromisoformat, default=DEFAULT_CALENDAR.origin, help="first minute")
     top.add_argument("--minutes", type=int, default=DEFAULT_CALENDAR.minutes, help="length of the calendar")
     top.add_argument("--weekend", type=int, nargs="+", default=DEFAULT_CALENDAR.weekend, help="days, 1 is Sunday")
+    top.add_argument("--swap", action="store_true", help="replace whole tables in one step, keeping the old version")
+    top.add_argument("--name", help="name of the replaced table in the session catalog; implies --swap")
     jobs = top.add_subparsers(required=True)
 
     def job(run, *paths: str) -> argparse.ArgumentParser:
@@ -113,6 +115,7 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--stamp", choices=["batch", "file"], default="batch")
         sub.add_argument("--lines", action="store_true", help="JSON lines instead of arrays")
         if sub.get_default("run") is ingest:
+            sub.add_argument("--split", action="store_true", help="arrays so large that several tasks shall read one")
             sub.add_argument("--batch", help="name under which this load counts once; 'landed': the files that are there")
     sub = job(pack, "lake")
     sub.add_argument("--megabytes", type=int, default=128, help="size of a packed file")

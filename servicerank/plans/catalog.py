@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from servicerank.functions.text import spell
 from servicerank.operators.audit import audit_keys, duplicate_keys, orphan_keys, orphan_time_ids, rejected_times
-from servicerank.operators.calendar import DEFAULT_CALENDAR, Calendar, attach_calendar, time_dimension
+from servicerank.operators.calendar import DEFAULT_CALENDAR, Calendar, attach_calendar, join_calendar, time_dimension
 from servicerank.operators.decision import clean_labels, normalize_criteria
 from servicerank.operators.facts import queue_fact, queue_fact_of_day
 from servicerank.operators.imputation import impute_group_mean
@@ -31,7 +32,7 @@ from servicerank.sources.ledger import BatchLake
 from servicerank.sources.snapshots import feed_schema, ingest_time, to_lake_rows
 from servicerank.sources.warehouse import (
     load_day, load_queue_fact, load_reviews_fact, load_time_dimension, read_queue_fact, read_reviews_fact,
-    read_rush_state, read_time_dimension, refresh_rush_state, replace_table,
+    read_rush_state, read_time_dimension, refresh_rush_state, replace_table, store_bucketed,
 )
 from servicerank.streaming.ingest import stream_snapshots
 
@@ -71,6 +72,20 @@ def batch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_lake(spark, lake).select(SNAPSHOT_COLUMNS)
 
 
+def array_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as one JSON array a day, each read by as many tasks as it has splits."""
+    landed = new_work_path(spark, "landed")
+    typed = b.feed(b.table(spark, sf_dir, "events"))
+    known = {f.name: f.dataType for f in typed.schema}
+    objects = typed.select(F.substring("time", 1, 8).alias("day"), F.to_json(F.struct(*typed.drop("time").columns)).alias("o"))
+    arrays = objects.groupBy("day").agg(F.concat(F.lit("["), F.array_join(F.collect_list("o"), ", "), F.lit("]")).alias("a"))
+    arrays.select("a").write.option("maxRecordsPerFile", 1).text(landed)
+    schema = T.StructType([T.StructField(f.name, known.get(f.name, f.dataType)) for f in feed_schema()])
+    lake = new_work_path(spark, "lake")
+    ingest_snapshots(spark, landed, lake, schema, BATCH_TIME, batch="arrays", split=True)
+    return read_lake(spark, lake).select(SNAPSHOT_COLUMNS)
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed, schema = _land_feed(spark, sf_dir)
     lake, checkpoint = new_work_path(spark, "lake"), new_work_path(spark, "stream")
@@ -149,6 +164,25 @@ def queue_time_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(ENTITY, "time_id", "full_date", "day_of_week", "hour", "weekday_flag")
 
 
+def _bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The queue fact and the time dimension of its days, both dealt into buckets by time id."""
+    days = _events_calendar(spark, sf_dir)
+    first = (days.origin - DEFAULT_CALENDAR.origin) // timedelta(minutes=1)
+    dim = time_dimension(spark).filter(F.col("time_id").between(first + 1, first + days.minutes))
+    made = [("queue", b.queue(spark, sf_dir)), ("time", dim)]
+    return tuple(
+        store_bucketed(df, f"{label}_{uuid.uuid4().hex}", new_work_path(spark, f"bucketed-{label}"), ["time_id"], 8)
+        for label, df in made
+    )
+
+
+def queue_time_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact's calendar by a join of buckets; neither side is shuffled."""
+    queue, time = _bucketed(spark, sf_dir)
+    joined = join_calendar(queue.select(ENTITY, "time_id", LOAD), time.hint("merge"))
+    return joined.select(queue_calendar(spark, sf_dir).columns)
+
+
 # Facts -------------------------------------------------------------------------
 
 
@@ -277,6 +311,15 @@ def decision_matrix_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """)
 
 
+def swapped_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matrix read by its name, after a first version of some points was replaced as a whole."""
+    matrix = service_point_matrix(*_facts(spark, sf_dir))
+    path, name = new_work_path(spark, "matrix"), f"matrix_{uuid.uuid4().hex}"
+    replace_table(matrix.filter(F.col(ENTITY) % 2 == 0), path, name=name)
+    replace_table(matrix, path, name=name)
+    return spark.table(name)
+
+
 def normalized_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     matrix = materialize(service_point_matrix(*_facts(spark, sf_dir)), "matrix")
     return _rounded(normalize_criteria(matrix), *["normalized_" + c for c in MATRIX_CRITERIA])
@@ -333,6 +376,13 @@ def key_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_keys(b.queue(spark, sf_dir), [ENTITY, "time_id"], foreign, {"time_id": DEFAULT_CALENDAR})
 
 
+def bucketed_key_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """key_audit of the fact in buckets by time id, whose keys stay where they are."""
+    queue, _ = _bucketed(spark, sf_dir)
+    foreign = {ENTITY: (b.service_points(spark, sf_dir), ENTITY)}
+    return audit_keys(queue, [ENTITY, "time_id"], foreign, {"time_id": DEFAULT_CALENDAR})
+
+
 def reviews_key_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews against customers who are known, and a calendar that ends in 1998."""
     customers = b.table(spark, sf_dir, "customer")
@@ -358,9 +408,23 @@ def spelled_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spelled_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists, maps and structs of texts with quotes, escapes and gaps as the extractor spells them."""
+    kind, k = F.col("event_type"), F.col("user_id") % 10
+    odd = [F.concat(F.lit("it's "), kind), F.lit('say "x"'), F.lit("both ' and \""), F.lit("line\nend\tback\\slash"), F.lit(None)]
+    values = {
+        "texts": F.array(*odd),
+        "pairs": F.create_map(kind, F.array(k > 4, F.lit(None)), F.lit("it's"), F.array(k == 0)),
+        "record": F.struct(kind.alias("kind"), F.when(k > 2, k).alias("k"), F.array(F.struct(odd[0].alias("a"))).alias("more")),
+    }
+    events = b.table(spark, sf_dir, "events").select("event_id", *(v.alias(n) for n, v in values.items()))
+    return events.select("event_id", *(spell(F.col(n), events.schema[n].dataType).alias(n) for n in values))
+
+
 QUERIES: dict[str, Query] = {
     "lake_snapshot_rows": lake_snapshot_rows,
     "batch_ingest": batch_ingest,
+    "array_ingest": array_ingest,
     "stream_ingest": stream_ingest,
     "load_summary": load_summary,
     "batch_summaries": batch_summaries,
@@ -370,6 +434,7 @@ QUERIES: dict[str, Query] = {
     "time_dimension": time_dimension_of_events,
     "queue_calendar": queue_calendar,
     "queue_time_join": queue_time_join,
+    "queue_time_bucketed": queue_time_bucketed,
     "fact_queue_backfill": fact_queue_backfill,
     "fact_queue_daily": fact_queue_daily,
     "fact_queue_stored": fact_queue_stored,
@@ -388,6 +453,7 @@ QUERIES: dict[str, Query] = {
     "weighted_rating": weighted_rating,
     "decision_matrix": decision_matrix,
     "decision_matrix_view": decision_matrix_view,
+    "swapped_matrix": swapped_matrix,
     "normalized_matrix": normalized_matrix,
     "ranked_report": report,
     "warehouse_report": warehouse_report,
@@ -396,8 +462,10 @@ QUERIES: dict[str, Query] = {
     "fk_orphans": fk_orphans,
     "time_fk_orphans": time_fk_orphans,
     "key_audit": key_audit,
+    "bucketed_key_audit": bucketed_key_audit,
     "reviews_key_audit": reviews_key_audit,
     "time_key_audit": time_key_audit,
     "rejected_times": rejected_snapshot_times,
     "spelled_numbers": spelled_numbers,
+    "spelled_values": spelled_values,
 }

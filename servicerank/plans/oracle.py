@@ -146,9 +146,25 @@ minutes AS (
 SELECT service_point_id, id AS time_id, customers_currently_waiting, expected_wait_time, active_counters, is_open
 FROM fact JOIN minutes ON minutes.m = fact.minute"""
 
+_KEY_AUDIT = f"""
+WITH {_OBS},
+twice AS (SELECT count(*) AS n FROM fact GROUP BY service_point_id, time_id HAVING count(*) > 1),
+lost AS (SELECT count(*) AS n FROM fact
+         WHERE service_point_id NOT IN (SELECT s_suppkey FROM supplier) GROUP BY service_point_id)
+SELECT 'duplicate primary key' AS check_name, count(*) AS bad_keys, CAST(coalesce(sum(n), 0) AS BIGINT) AS bad_rows FROM twice
+UNION ALL SELECT 'null primary key', 0, 0
+UNION ALL SELECT 'orphan service_point_id', count(*), CAST(coalesce(sum(n), 0) AS BIGINT) FROM lost
+UNION ALL SELECT 'orphan time_id', count(DISTINCT time_id), count(*) FROM fact WHERE time_id NOT BETWEEN 1 AND 10000000"""
+
+_DECISION_MATRIX = f"""
+WITH {_MATRIX}
+SELECT service_point_id, {", ".join(f"{x} AS {n}" for x, n in zip(["rush_wait", "open_hours", "stops", "rating"], MATRIX_CRITERIA))}
+FROM matrix"""
+
 ORACLE_SQL: dict[str, str] = {
     "lake_snapshot_rows": _LAKE_ROWS,
     "batch_ingest": _LAKE_ROWS,
+    "array_ingest": _LAKE_ROWS,
     "stream_ingest": _LAKE_ROWS,
     "load_summary": f"SELECT count(*) AS row_count, CAST({len(SNAPSHOT_COLUMNS)} AS BIGINT) AS column_count FROM events",
     "batch_summaries": f"""
@@ -171,6 +187,10 @@ FROM minutes""",
     "queue_calendar": f"""
 WITH {_OBS}
 SELECT service_point_id, time_id, customers_currently_waiting, minute AS full_date, {_DATE_PARTS.format('minute')}
+FROM fact""",
+    "queue_time_bucketed": f"""
+WITH {_OBS}
+SELECT service_point_id, time_id, customers_currently_waiting, minute AS full_date, {_DATE_PARTS.format('minute')}
 FROM fact""",
     "queue_time_join": f"""
 WITH {_OBS}
@@ -234,10 +254,8 @@ FROM keyed""",
     "weighted_rating": f"""
 WITH {_RATINGS}
 SELECT service_point_id, CAST(rating AS DOUBLE) AS weighted_average_review_score FROM ratings""",
-    "decision_matrix": f"""
-WITH {_MATRIX}
-SELECT service_point_id, {", ".join(f"{x} AS {n}" for x, n in zip(["rush_wait", "open_hours", "stops", "rating"], MATRIX_CRITERIA))}
-FROM matrix""",
+    "decision_matrix": _DECISION_MATRIX,
+    "swapped_matrix": _DECISION_MATRIX,
     "decision_matrix_view": f"""
 WITH {_MATRIX}
 SELECT service_point_id, name,
@@ -263,15 +281,8 @@ WHERE user_id NOT IN (SELECT s_suppkey FROM supplier) GROUP BY ALL""",
     "time_fk_orphans": f"""
 WITH {_OBS}
 SELECT time_id, count(*) AS n_rows FROM fact WHERE minute >= TIMESTAMP '2024-01-16' GROUP BY ALL""",
-    "key_audit": f"""
-WITH {_OBS},
-twice AS (SELECT count(*) AS n FROM fact GROUP BY service_point_id, time_id HAVING count(*) > 1),
-lost AS (SELECT count(*) AS n FROM fact
-         WHERE service_point_id NOT IN (SELECT s_suppkey FROM supplier) GROUP BY service_point_id)
-SELECT 'duplicate primary key' AS check_name, count(*) AS bad_keys, CAST(coalesce(sum(n), 0) AS BIGINT) AS bad_rows FROM twice
-UNION ALL SELECT 'null primary key', 0, 0
-UNION ALL SELECT 'orphan service_point_id', count(*), CAST(coalesce(sum(n), 0) AS BIGINT) FROM lost
-UNION ALL SELECT 'orphan time_id', count(DISTINCT time_id), count(*) FROM fact WHERE time_id NOT BETWEEN 1 AND 10000000""",
+    "key_audit": _KEY_AUDIT,
+    "bucketed_key_audit": _KEY_AUDIT,
     "reviews_key_audit": """
 WITH raw AS (
   SELECT o_custkey, o_orderkey, (epoch(o_orderdate)::BIGINT + o_orderkey % 86400 + 1) AS second FROM orders),
@@ -299,5 +310,13 @@ WHERE taken < TIMESTAMP '2017-01-01' OR taken >= TIMESTAMP '2036-01-06 10:40:00'
     "spelled_numbers": """
 SELECT event_id, CAST(0.0001::DOUBLE + value / 1e6::DOUBLE AS VARCHAR) AS small,
        CAST(value * 1000003.5::DOUBLE AS VARCHAR) AS large, CAST(floor(value) * 1e7::DOUBLE AS VARCHAR) AS whole
+FROM events""",
+    "spelled_values": r"""
+SELECT event_id,
+       '["it''s ' || event_type || '", ''say "x"'', ''both \'' and "'', ''line\nend\tback\\slash'', None]' AS texts,
+       '{''' || event_type || ''': [' || CASE WHEN user_id % 10 > 4 THEN 'True' ELSE 'False' END || ', None], "it''s": ['
+         || CASE WHEN user_id % 10 = 0 THEN 'True' ELSE 'False' END || ']}' AS pairs,
+       '{''kind'': ''' || event_type || ''', ''k'': ' || CASE WHEN user_id % 10 > 2 THEN CAST(user_id % 10 AS VARCHAR) ELSE 'None' END
+         || ', ''more'': [{''a'': "it''s ' || event_type || '"}]}' AS record
 FROM events""",
 }

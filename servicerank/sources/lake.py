@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from servicerank.schemas import SNAPSHOT_COLUMNS, lake_schema
+from servicerank.session import discarding
 from servicerank.sources import files
 from servicerank.sources.ledger import BatchLake, is_batch_lake
 from servicerank.sources.snapshots import ingest_time, read_snapshots, to_lake_rows
@@ -80,19 +81,26 @@ def ingest_snapshots(
     stamp: str = "batch",
     multi_line: bool = True,
     batch: str | None = None,
+    split: bool = False,
 ) -> DataFrame:
     """Append the snapshot files under `src` to the lake; gives its load summary.
 
     With a `batch` the lake keeps a ledger: a rerun under the same name adds
     nothing, and the summary does not read the lake. `landed_batch` names the
     files that are there. Without one, appending the same files again appends
-    their rows again; the streaming variant remembers what it has read.
+    their rows again; the streaming variant remembers what it has read. `split`
+    lets several tasks read one array; it can't go with stamps by file.
     """
-    rows = to_lake_rows(read_snapshots(spark, src, schema, multi_line), ingest_time(stamp, batch_time))
-    if batch is None:
-        append_lake(rows, lake)
-    elif written_by_stream(spark, lake) or (not is_batch_lake(spark, lake) and written_by_batch(spark, lake)):
+    if split and stamp == "file":
+        raise ValueError("arrays that are split have no file's time; stamp them as a batch")
+    is_new = not is_batch_lake(spark, lake)
+    if batch is not None and (written_by_stream(spark, lake) or (is_new and written_by_batch(spark, lake))):
         raise ValueError(f"{lake} holds files that no ledger names; use another folder")
-    else:
-        BatchLake(spark, lake).append(rows, batch)
+    with discarding(spark):
+        feed = read_snapshots(spark, src, schema, multi_line, split)
+        rows = to_lake_rows(feed, ingest_time(stamp, batch_time))
+        if batch is None:
+            append_lake(rows, lake)
+        else:
+            BatchLake(spark, lake).append(rows, batch)
     return load_summary(spark, lake)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from servicerank.functions.clock import format_snapshot_time, ntz, parse_snapshot_time, utc_now
 from servicerank.functions.text import spell
 from servicerank.schemas import SNAPSHOT_COLUMNS, lake_schema
+from servicerank.sources.json_arrays import read_arrays
 
 STAMPS = ("batch", "file")
 
@@ -26,16 +27,22 @@ def json_options(multi_line: bool) -> dict[str, str]:
 
 
 def read_snapshots(
-    spark: SparkSession, src: str, schema: T.StructType | None = None, multi_line: bool = True
+    spark: SparkSession,
+    src: str,
+    schema: T.StructType | None = None,
+    multi_line: bool = True,
+    split: bool = False,
 ) -> DataFrame:
     """Snapshot files, each a JSON array of objects (or JSON lines).
 
-    An array is read by one task, as one poll's worth should be; large files are
-    better landed as lines, which split.
+    An array is read by one task, as one poll's worth should be. Lines split,
+    and so do arrays with `split`, at the cost of a shuffle of their text.
 
     Text columns keep the JSON text of numbers, booleans and lists; declare
     other types in `schema` to have them spelled by to_lake_rows.
     """
+    if split and multi_line:
+        return read_arrays(spark, src, schema or feed_schema())
     return spark.read.schema(schema or feed_schema()).options(**json_options(multi_line)).json(src)
 
 
