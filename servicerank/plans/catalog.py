@@ -131,7 +131,7 @@ def packed_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake.append(again.withColumn("name", F.lit("again")), "again")
     lake.pack()
     lake.vacuum(timedelta(0))
-    return lake.read()
+    return lake.read().withColumn("ingest_date", F.col("ingest_date").cast("string"))
 
 
 def staged_queue(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -177,7 +177,7 @@ FROM taken GROUP BY k""",
     "packed_lake": f"""
 WITH raw AS (WITH {_raw()}),
 more AS (SELECT * FROM raw UNION ALL SELECT * REPLACE ('again' AS name) FROM raw WHERE CAST(id AS BIGINT) % 3 = 0)
-SELECT *, CAST(strptime(time, '%y/%m/%d %H:%M:%S') AS DATE) AS ingest_date FROM more""",
+SELECT *, strftime(strptime(time, '%y/%m/%d %H:%M:%S'), '%Y-%m-%d') AS ingest_date FROM more""",
     "staged_queue": _STAGED,
     "time_dimension": f"""
 WITH span AS (SELECT date_trunc('day', min(ts)) AS lo, date_trunc('day', max(ts)) + INTERVAL 1 DAY AS hi FROM events),
