@@ -22,8 +22,8 @@ from servicerank.operators.peaks import (
 from servicerank.operators.staging import queue_spec, stage_typed
 from servicerank.plans import bindings as b
 from servicerank.plans.report import (
-    PEAK, RUSH_WAIT, imputed_wait, open_queue, ranked_report, register_views, review_ratings, rush_hour_waits,
-    rush_hour_waits_of_state, service_point_matrix,
+    PEAK, RUSH_WAIT, imputed_wait, open_queue, ranked_report, ranked_report_of_views, register_views, review_ratings,
+    rush_hour_waits, rush_hour_waits_of_state, service_point_matrix,
 )
 from servicerank.schemas import ENTITY, LOAD, MATRIX_CRITERIA, REPORT_CRITERIA, SNAPSHOT_COLUMNS, WAIT
 from servicerank.session import materialize, new_work_path
@@ -205,6 +205,19 @@ def fact_queue_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_queue_fact(spark, fact_path).drop("fact_date")
 
 
+def fact_queue_yesterday(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events' times of day as yesterday's, ingested now and loaded by a day's run without a date."""
+    feed = b.feed(b.table(spark, sf_dir, "events"))
+    yesterday = F.date_format(F.date_sub(F.current_date(), 1), "yy/MM/dd")
+    rows = to_lake_rows(feed.withColumn("time", F.concat(yesterday, F.substring("time", 9, 9))), F.col("time"))
+    fact = new_work_path(spark, "queue")
+    load_day(rows, fact)
+    stamped = to_lake_rows(feed.drop("time").limit(1), ingest_time()).first()["ingest_date"]
+    loaded = spark.read.parquet(fact).withColumn("minute_of_day", ((F.col("time_id") - 1) % 1440).cast("int"))
+    today = F.datediff(F.lit(stamped), F.col("fact_date")) == 1
+    return loaded.withColumn("stamped_a_day_later", today).drop("time_id", "fact_date")
+
+
 def fact_queue_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten days of a lake with a ledger, which vouches for two of its batches, not for the third."""
     lake = _batches(spark, sf_dir, 2)
@@ -334,7 +347,7 @@ def report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def warehouse_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report over stored tables: feed, lake, facts and dimensions are written first."""
+    """The report from the views over stored tables: feed, lake, facts and dimensions are written first."""
     paths = {n: new_work_path(spark, n) for n in ("lake", "queue", "reviews", "points", "time")}
     append_lake(b.lake(spark, sf_dir), paths["lake"])
     span = _events_calendar(spark, sf_dir)
@@ -346,7 +359,7 @@ def warehouse_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     queue, reviews = read_queue_fact(spark, paths["queue"]), read_reviews_fact(spark, paths["reviews"])
     points = spark.read.schema(b.service_points(spark, sf_dir).schema).parquet(paths["points"])
     register_views(queue, reviews, points, read_time_dimension(spark, paths["time"]))
-    return _rounded_report(ranked_report(queue, reviews, points, label_pattern=b.LABEL_PATTERN))
+    return _rounded_report(ranked_report_of_views(spark, label_pattern=b.LABEL_PATTERN))
 
 
 def cleaned_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -438,6 +451,7 @@ QUERIES: dict[str, Query] = {
     "fact_queue_backfill": fact_queue_backfill,
     "fact_queue_daily": fact_queue_daily,
     "fact_queue_stored": fact_queue_stored,
+    "fact_queue_yesterday": fact_queue_yesterday,
     "fact_queue_pruned": fact_queue_pruned,
     "fact_reviews": fact_reviews,
     "imputed_wait": imputed_waits,

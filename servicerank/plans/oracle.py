@@ -204,6 +204,11 @@ WITH {_OBS}
 SELECT {_FACT_COLUMNS} FROM fact
 WHERE minute >= TIMESTAMP '2024-01-15' AND minute < TIMESTAMP '2024-01-16'""",
     "fact_queue_stored": f"WITH {_OBS} SELECT {_FACT_COLUMNS} FROM fact",
+    "fact_queue_yesterday": f"""
+WITH {_OBS}
+SELECT service_point_id, customers_currently_waiting, expected_wait_time, active_counters, is_open,
+       CAST(hour(minute) * 60 + minute(minute) AS INTEGER) AS minute_of_day, TRUE AS stamped_a_day_later
+FROM fact""",
     "fact_queue_pruned": f"""
 WITH {_OBS},
 twice AS (SELECT * FROM fact UNION ALL SELECT * FROM fact WHERE is_open = FALSE)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from servicerank.functions.clock import day_floor
@@ -109,6 +109,18 @@ def ranked_report(
     return weighted_sum_rank(matrix, points, entity, weights, label_pattern, safe)
 
 
+def ranked_report_of_views(
+    spark: SparkSession,
+    entity: str = ENTITY,
+    weights: dict[str, float] = REPORT_WEIGHTS,
+    label_pattern: str | None = None,
+    safe: bool = False,
+) -> DataFrame:
+    """ranked_report from the session's views `view_decision_matrix` and `dim_service_point`, whoever made them."""
+    matrix = materialize(spark.table("view_decision_matrix"), "matrix")
+    return weighted_sum_rank(matrix, spark.table("dim_service_point"), entity, weights, label_pattern, safe)
+
+
 def register_views(
     queue: DataFrame,
     reviews: DataFrame,
