@@ -6,6 +6,11 @@ points can be passed over when that bound, taken at the box's upper corner, is
 too small. Boxes are the leaves of a tree packed by size below each rare
 shingle, since texts that link share one of their rarest. What the bounds let
 through is verified on the shingles themselves.
+
+A point has about as many coordinates for each shingle whatever the size of the
+set, since counts that are large everywhere have large minima and rule nothing
+out. Groups of a coarse point are unions of those of a finer one, so points of
+different sizes are compared by adding up neighbouring coordinates.
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,12 +28,15 @@ from servicerank.llm import arrays
 from servicerank.llm.components import components
 from servicerank.llm.work import materialize
 
-#: Coordinates of a point, and groups whose counts order shingles from rare to common.
-GROUPS, RARITY_BITS = 128, 16
+#: Shingles for each coordinate of a point, at most, and coordinates at least and at most.
+PER_GROUP, FEWEST_GROUPS, MOST_GROUPS = 6, 16, 1 << 16
+#: Groups whose counts order shingles from rare to common.
+RARITY_BITS = 16
 #: Largest coordinate of a point; the bounds add what a set holds beyond it.
 MOST = 255
-#: Points in a leaf of the tree.
-LEAF = 64
+#: Points in a leaf of the tree, fewer if its sets are large; and pairs of points that are laid out at a time.
+LEAF, SMALL_LEAF, LEAF_SHINGLES = 64, 4, 1 << 15
+PAIRS = 1 << 20
 #: Shingle groups this many times as full as the mean may hold a hot shingle, which is looked up by partial aggregates.
 HOT, SALTS = 4, 64
 #: Texts below one shingle from which several of them, not one, are compared with all first; and how many.
@@ -125,8 +134,7 @@ class ShingleJoin:
                 texts = batch.num_rows
                 sizes = np.diff(begins)
                 of = np.repeat(np.arange(texts), sizes)
-                groups = (hashes >> np.uint64(20)).astype(np.int64) % GROUPS
-                points = np.bincount(of * GROUPS + groups, minlength=texts * GROUPS).reshape(texts, GROUPS)
+                points = _points(hashes, of, sizes)
                 digests = [_digest(hashes[a:b]) for a, b in zip(begins[:-1], begins[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -134,7 +142,7 @@ class ShingleJoin:
                         pa.array(sizes),
                         pa.array(digests, pa.binary()),
                         pa.array(np.frombuffer(b"".join(d[:8] for d in digests), np.int64)),
-                        pa.array([p.tobytes() for p in np.minimum(points, MOST).astype(np.uint8)], pa.binary()),
+                        points,
                     ],
                     ["doc", "n", "digest", "node", "point"],
                 )
@@ -236,9 +244,9 @@ class ShingleJoin:
                 if not batch.num_rows:
                     continue
                 a, b, a_n, b_n = (np.asarray(batch.column(i)) for i in range(4))
-                one, two = _matrix(batch.column(4).to_pylist()), _matrix(batch.column(5).to_pylist())
-                bound = _shared(one, two) + np.minimum(a_n - _total(one), b_n - _total(two))
-                fits = (bound >= _needed(a_n + b_n, percent)) & (a != b)
+                one, two = PointTable(batch.column(4), a_n), PointTable(batch.column(5), b_n)
+                rows = np.arange(len(a))
+                fits = (bounds(one, rows, two, rows) >= _needed(a_n + b_n, percent)) & (a != b)
                 a, b = np.maximum(a, b)[fits], np.minimum(a, b)[fits]
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
@@ -257,9 +265,10 @@ class ShingleJoin:
         at = at.join(apart.select("shingle"), "shingle")
         # Leaves hold sets of nearly one size, spread by hash where there are many.
         grade = F.floor(F.log("n") / F.log(F.lit(1.1))).cast("int")
+        held = F.least(F.lit(LEAF), F.greatest(F.lit(SMALL_LEAF), F.floor(F.lit(LEAF_SHINGLES) / F.col("n"))))
         leaves = (
             at.withColumn("grade", grade)
-            .withColumn("salt", F.pmod(F.xxhash64("doc"), F.ceil(F.col("k") / LEAF)))
+            .withColumn("salt", F.pmod(F.xxhash64("doc"), F.ceil(F.col("k") / held)))
             .groupBy("shingle", "grade", "salt")
             .agg(
                 F.min("n").alias("low"),
@@ -282,10 +291,10 @@ class ShingleJoin:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for row in batch.to_pylist():
-                    found = _leaf_pairs(row["points_1"], row["points_2"], percent)
-                    if len(found[0]):
-                        yield pa.RecordBatch.from_arrays([pa.array(f) for f in found], ["a", "b"])
+                for at in range(0, batch.num_rows, LEAF):
+                    part = batch.slice(at, LEAF)
+                    a, b = leaf_pairs(Leaves(part.column(0)), Leaves(part.column(1)), percent)
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
         return boxes.select("points_1", "points_2").mapInArrow(run, "a long, b long").distinct()
 
@@ -454,40 +463,101 @@ def _digest(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 
 
-def _matrix(points: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(points), np.uint8).reshape(-1, GROUPS)
-
-
-def _total(points: np.ndarray) -> np.ndarray:
-    return points.sum(-1, dtype=np.int64)
-
-
-def _shared(one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    """Most that two sets can share, by the minima of their coordinates."""
-    return np.minimum(one, two).sum(-1, dtype=np.int64)
-
-
-def _leaf_pairs(one: list[dict], two: list[dict], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of points of two leaves that no bound rules out: boxes first, then points against boxes, then points."""
-    leaves = []
-    for points in (one, two):
-        n, component, doc = (np.array([p[k] for p in points]) for k in ("n", "component", "doc"))
-        point = _matrix([p["point"] for p in points])
-        leaves.append((n, component, doc, point, n - _total(point)))
-    corners = [(leaf[3].max(0), leaf[4].max()) for leaf in leaves]
-    nothing = np.empty(0, np.int64), np.empty(0, np.int64)
-    for i in (0, 1):
-        n, _, _, point, rest = leaves[i]
-        corner, beyond = corners[1 - i]
-        near = _shared(point, corner) + np.minimum(rest, beyond) >= _needed(n + leaves[1 - i][0].min(), percent)
-        if not near.any():
-            return nothing
-        leaves[i] = tuple(values[near] for values in leaves[i])
-    (n1, c1, d1, p1, r1), (n2, c2, d2, p2, r2) = leaves
-    fits = np.zeros((len(n1), len(n2)), bool)
-    for i in range(len(n1)):
-        apart = np.flatnonzero(c1[i] != c2)
-        bound = _shared(p1[i], p2[apart]) + np.minimum(r1[i], r2[apart])
-        fits[i, apart] = bound >= _needed(n1[i] + n2[apart], percent)
-    i, j = np.nonzero(fits)
-    return np.maximum(d1[i], d2[j]), np.minimum(d1[i], d2[j])
+def _coordinates(sizes: np.ndarray) -> np.ndarray:
+    """Coordinates of the points of sets, by their sizes: a power of two."""
+    wanted = np.ceil(np.log2(np.maximum(sizes, 1) / PER_GROUP))
+    return 1 << np.clip(wanted, np.log2(FEWEST_GROUPS), np.log2(MOST_GROUPS)).astype(np.int64)
+
+
+def _points(hashes: np.ndarray, of: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Counts per group of each set's shingles, a byte each."""
+    wide = _coordinates(sizes)
+    begins = np.append(0, np.cumsum(wide))
+    # The upper of these bits tell the groups, so halving their number joins neighbours.
+    bits = np.log2(wide).astype(np.uint64)[of]
+    group = ((hashes << np.uint64(24)) >> (np.uint64(64) - bits)).astype(np.int64)
+    counts = np.bincount(begins[of] + group, minlength=begins[-1])
+    flat = np.minimum(counts, MOST).astype(np.uint8)
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(sizes), [None, pa.py_buffer(begins), pa.py_buffer(flat)]
+    ).cast(pa.binary())
+
+
+class PointTable:
+    """Points of one column as matrices, one for each number of coordinates, and the sizes of their sets."""
+
+    def __init__(self, points: pa.Array, sizes: np.ndarray) -> None:
+        data, begins = arrays.flat(points)
+        self.width = np.diff(begins)
+        self.row = np.empty(len(sizes), np.int64)
+        self.matrix = {}
+        total = np.zeros(len(sizes), np.int64)
+        for width in np.unique(self.width).tolist():
+            rows = np.flatnonzero(self.width == width)
+            self.matrix[width] = data[arrays.ragged(begins[rows], self.width[rows])].reshape(len(rows), width)
+            self.row[rows] = np.arange(len(rows))
+            total[rows] = self.matrix[width].sum(1, dtype=np.int64)
+        #: What the sets hold beyond the largest coordinates.
+        self.beyond = sizes - total
+
+    def take(self, rows: np.ndarray, width: int, coarse: int) -> np.ndarray:
+        """Points of `width` coordinates, as `coarse` ones."""
+        found = self.matrix[width][self.row[rows]]
+        return found if coarse == width else found.reshape(len(rows), coarse, -1).sum(2, dtype=np.uint16)
+
+
+def bounds(one: PointTable, i: np.ndarray, two: PointTable, j: np.ndarray) -> np.ndarray:
+    """The most that set i[k] of one table and j[k] of the other share, by the minima of their points' coordinates."""
+    # Coordinates that were cut are the same ones on both sides only if the points are alike.
+    beyond = one.beyond[i], two.beyond[j]
+    out = np.where(one.width[i] == two.width[j], np.minimum(*beyond), np.add(*beyond))
+    widths = one.width[i] << 32 | two.width[j]
+    for both in np.unique(widths).tolist():
+        w1, w2 = both >> 32, both & 0xFFFFFFFF
+        coarse = min(w1, w2)
+        rows, step = np.flatnonzero(widths == both), max(1, PAIRS // coarse)
+        for at in range(0, len(rows), step):
+            part = rows[at : at + step]
+            least = np.minimum(one.take(i[part], w1, coarse), two.take(j[part], w2, coarse))
+            out[part] += least.sum(1, dtype=np.int64)
+    return out
+
+
+class Leaves:
+    """A column of leaves: lists of points."""
+
+    def __init__(self, column: pa.ListArray) -> None:
+        points = column.flatten()
+        self.sizes = np.asarray(pc.list_value_length(column)).astype(np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.doc, self.n, self.component = (np.asarray(points.field(k)) for k in (0, 1, 2))
+        self.points = PointTable(points.field(3), self.n)
+
+
+def leaf_pairs(one: Leaves, two: Leaves, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of documents of the k-th leaves of each side, for all k, that the sizes and the points' bounds let through.
+
+    Texts that stand below several common shingles come once.
+    """
+    # Every point of one side with the leaf that faces it.
+    leaf = np.repeat(np.arange(len(one.sizes)), one.sizes)
+    facing = two.sizes[leaf]
+    found, nothing = [], np.empty(0, np.int64)
+    ends = np.cumsum(facing)
+    first = 0
+    while first < len(leaf):
+        base = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, base + PAIRS, "right")))
+        i = np.repeat(np.arange(first, last), facing[first:last])
+        j = arrays.ragged(two.begins[leaf[first:last]], facing[first:last])
+        first = last
+        small, large = np.minimum(one.n[i], two.n[j]), np.maximum(one.n[i], two.n[j])
+        fits = (one.component[i] != two.component[j]) & (small * 100 >= large * percent)
+        i, j = i[fits], j[fits]
+        pairs = np.stack([np.maximum(one.doc[i], two.doc[j]), np.minimum(one.doc[i], two.doc[j])])
+        _, new = np.unique(pairs, axis=1, return_index=True)
+        i, j = i[new], j[new]
+        near = bounds(one.points, i, two.points, j) >= _needed(one.n[i] + two.n[j], percent)
+        found.append(pairs[:, new[near]])
+    a, b = np.unique(np.concatenate(found, axis=1), axis=1) if found else (nothing, nothing)
+    return a, b

@@ -42,12 +42,11 @@ def _hashed(context: bytes) -> np.ndarray:
 
 def _extension(prefix: np.ndarray, a: np.ndarray, b: np.ndarray, limit: np.ndarray, forward: bool) -> np.ndarray:
     """How far the sequences at a and b agree, up to `limit`: after them, or before them."""
-    inverses = arrays._inverses
     low, high = np.zeros(len(a), np.int64), limit.copy()
     while len(rows := np.flatnonzero(low < high)):
         middle = (low[rows] + high[rows] + 1) // 2
         x, y = (a[rows], b[rows]) if forward else (a[rows] - middle, b[rows] - middle)
-        same = (prefix[x + middle] - prefix[x]) * inverses[x] == (prefix[y + middle] - prefix[y]) * inverses[y]
+        same = arrays.same_spans(prefix, x, y, middle)
         low[rows[same]] = middle[same]
         high[rows[~same]] = middle[~same] - 1
     return low

@@ -29,8 +29,7 @@ class Suffixes:
         self.prefix = arrays.prefix_hashes(arrays.symbols(data))
 
     def _same(self, a: np.ndarray, b: np.ndarray, size: np.ndarray | int) -> np.ndarray:
-        prefix, inverses = self.prefix, arrays._inverses
-        return (prefix[a + size] - prefix[a]) * inverses[a] == (prefix[b + size] - prefix[b]) * inverses[b]
+        return arrays.same_spans(self.prefix, a, b, size)
 
     def extension(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the common beginning of each pair of suffixes, up to the depth."""

@@ -2,10 +2,12 @@ import itertools
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from servicerank.llm import ngram_join
-from servicerank.llm.ngram_join import ShingleJoin, drop_near
+from servicerank.llm.ngram_join import PointTable, ShingleJoin, bounds, drop_near
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -106,3 +108,46 @@ def test_n_links_of_ids_with_several_texts(make):
     rows = [(1, texts[0]), (2, texts[1]), (2, texts[2]), (3, texts[0]), (None, texts[2]), (4, None)]
     got = sorted((r.doc_id or 0, r.n_shingles, r.n_links) for r in ShingleJoin(make(rows)).groups().collect())
     assert got == [(0, 4, 1), (1, 8, 2), (2, 4, 1), (2, 9, 2), (3, 8, 2), (4, 0, 0)]
+
+
+#: A Thue-Morse word and the one with its letters exchanged: polynomials modulo 2**64 can't tell them apart.
+MORSE = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+OTHER = MORSE.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_weak_hashes_confuse_are_told_apart(make):
+    spaced, other = " ".join(MORSE), " ".join(OTHER)
+    rows = [(1, MORSE), (2, OTHER), (3, MORSE.upper()), (4, "p q r s " + MORSE), (5, "p q r s " + OTHER), (6, spaced), (7, other)]
+    got = {r.doc_id: r.component_id for r in ShingleJoin(make(rows)).groups().collect()}
+    assert got == {i: c for i, (_, c) in brute(rows).items()}
+    assert got[2] == 2 and got[3] == 1 and got[5] == 5
+
+
+def test_bounds_hold_and_rule_out_unrelated_sets_of_every_size():
+    draw = np.random.default_rng(3)
+    for n in (3, 40, 500, 5_000, 60_000):
+        base = draw.integers(0, 2**64, n, dtype=np.uint64)
+        near = np.unique(np.concatenate([base[: n - n // 20], draw.integers(0, 2**64, n // 15 + 1, dtype=np.uint64)]))
+        sets = [np.unique(base), near, np.unique(draw.integers(0, 2**64, max(2, int(n * 0.85)), dtype=np.uint64))]
+        sizes = np.array([len(s) for s in sets])
+        table = PointTable(ngram_join._points(np.concatenate(sets), np.repeat(np.arange(3), sizes), sizes), sizes)
+        one, two = np.array([0, 0, 1]), np.array([1, 2, 2])
+        shared = np.array([len(np.intersect1d(sets[i], sets[j])) for i, j in zip(one, two, strict=True)])
+        most = bounds(table, one, table, two)
+        assert (most >= shared).all() and (most <= np.minimum(sizes[one], sizes[two])).all()
+        if n >= 500:
+            assert most[1] < ngram_join._needed(sizes[0] + sizes[2], 80)
+
+
+def test_points_of_different_width_are_compared(monkeypatch):
+    sizes = np.array([90, 110])
+    hashes = np.random.default_rng(1).integers(0, 2**64, 110, dtype=np.uint64)
+    both = np.concatenate([hashes[:90], hashes])
+    points = ngram_join._points(both, np.repeat([0, 1], sizes), sizes)
+    assert [len(p) for p in points.to_pylist()] == [16, 32]
+    table = PointTable(pa.array(points), sizes)
+    assert bounds(table, np.array([0, 1]), table, np.array([1, 0])).tolist() == [90, 90]
+    for most in (1, 5, 6):
+        monkeypatch.setattr(ngram_join, "MOST", most)
+        table = PointTable(ngram_join._points(both, np.repeat([0, 1], sizes), sizes), sizes)
+        assert bounds(table, np.array([0]), table, np.array([1]))[0] >= 90
