@@ -42,9 +42,10 @@ def exact_groups(
 
     Null texts are empty texts, and a group of their own with all texts of
     white space only. Repeated rows count as rows: each is returned, and each
-    repeat of the row that stays is `kept`. Other columns are not looked at,
-    whatever their names. An empty table gives an empty result. Runs two jobs
-    when called.
+    repeat of the row that stays is `kept`. A row without an id never stays while
+    another one of its group has one, and is not `kept`; a group without any id
+    has a null `keep_id`. Other columns are not looked at, whatever their names.
+    An empty table gives an empty result. Runs two jobs when called.
     """
     spark = docs.sparkSession
     original = F.coalesce(F.col(text_column), F.lit(""))
@@ -72,7 +73,7 @@ def exact_groups(
         F.col("_id").alias(id_column),
         F.col("_keep").alias("keep_id"),
         F.col("_size").alias("group_size"),
-        (F.col("_id") == F.col("_keep")).alias("kept"),
+        F.coalesce(F.col("_id") == F.col("_keep"), F.lit(False)).alias("kept"),
         F.col("_digest").alias("text_sha256"),
     )
 
@@ -97,6 +98,22 @@ def _winners(rows: DataFrame, salts: int) -> DataFrame:
 
 
 def drop_exact(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", salts: int = 16) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns; of repeated rows one. Rows without an id go."""
-    keep = exact_groups(docs, id_column, text_column, salts).filter("kept").select(id_column).distinct()
-    return docs.join(keep, id_column, "left_semi").dropDuplicates([id_column])
+    """The rows of `docs` that stay, with all their columns; of rows that repeat an id with equal texts one.
+
+    An id with several different texts stands for each of them. Rows without an id go.
+    """
+    keep = exact_groups(docs, id_column, text_column, salts).filter("kept").select(
+        F.col(id_column).alias("_kept_id"), F.col("text_sha256").alias("_kept_text")
+    )
+    original = F.coalesce(F.col(text_column), F.lit(""))
+    named = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col(id_column).alias("_id"), original.alias("_text")).select(
+        "_row", "_id", F.sha2(squeezed(F.col("_text")), 256).alias("_sha"), F.length("_text").alias("_length")
+    )
+    # The longest of an id's equal texts; any row of those that are as long.
+    longest = named.groupBy("_id", "_sha").agg(F.max("_length").alias("_most"))
+    stay = keep.distinct().join(
+        longest.withColumnsRenamed({"_id": "_kept_id", "_sha": "_kept_text"}), ["_kept_id", "_kept_text"]
+    )
+    # The length is no join key: id and text deal the rows out as dropDuplicates needs them.
+    same = (F.col("_id") == F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_text")) & (F.col("_length") >= F.col("_most"))
+    return named.join(stay, same, "left_semi").dropDuplicates(["_id", "_sha"]).select("_row.*")

@@ -50,6 +50,18 @@ def test_drop_keeps_all_columns(make):
     assert {r.doc_id for r in kept.collect()} == {k for i, k, *_ in brute(ROWS)}
 
 
+def test_an_id_with_several_texts_stands_for_each(make):
+    kept = drop_exact(make([(1, "aaa"), (2, "aaa"), (2, "bb"), (2, " b b"), (3, "c"), (3, "c"), (None, "d")]))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, "aaa"), (2, " b b"), (3, "c")]
+
+
+def test_rows_without_an_id_are_never_kept(make):
+    got = exact_groups(make([(None, "a"), (None, "a "), (2, "a"), (None, "z")])).collect()
+    assert sorted((r.doc_id or 0, r.keep_id or 0, r.group_size, r.kept) for r in got) == [
+        (0, 0, 1, False), (0, 2, 3, False), (0, 2, 3, False), (2, 2, 3, True)
+    ]
+
+
 def test_main_path_runs_no_python(make):
     plan = exact_groups(make(ROWS))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
