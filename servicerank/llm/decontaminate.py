@@ -5,7 +5,8 @@ word shingles; windows within a Hamming radius of the item's are found by block
 equality (with one block more than the radius, two fingerprints within it agree
 in a block), and verified by the exact similarity of their shingle multisets.
 Windows are made only where they can reach the similarity: in documents that
-hold enough of the item's shingles, around those.
+hold enough of the item's shingles, at shingles with enough others behind them.
+Items with fewer words than a shingle are found by their words.
 """
 
 from __future__ import annotations
@@ -28,19 +29,31 @@ BROADCAST_ROWS = 500_000
 
 def shingles(text: Column, size: int) -> Column:
     """Hashes of the text's runs of `size` lower-case words; all its words if there are fewer, none without words."""
-    words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), WHITE), "")
     return F.transform(
         # Binding the words once keeps them from being split again for each shingle.
-        F.array(words),
-        lambda w: F.when(
-            F.size(w) >= size,
-            F.transform(F.sequence(F.lit(1), F.size(w) - (size - 1)), lambda i: F.xxhash64(*(F.element_at(w, i + k) for k in range(size)))),
-        )
-        .when(F.size(w) > 0, F.array(F.xxhash64(w)))
-        .otherwise(F.array().cast("array<bigint>")),
+        F.array(_words(text)),
+        lambda w: F.when((F.size(w) > 0) & (F.size(w) < size), F.array(F.xxhash64(w))).otherwise(_word_runs(w, size)),
     )[0]
 
 
+def _word_runs(words: Column, length: int) -> Column:
+    """Hashes of the runs of `length` of the words."""
+    return F.when(
+        F.size(words) >= length,
+        F.transform(
+            F.sequence(F.lit(1), F.size(words) - (length - 1)), lambda i: F.xxhash64(*(F.element_at(words, i + k) for k in range(length)))
+        ),
+    ).otherwise(F.array().cast("array<bigint>"))
+
+
+def _runs_of(length: int) -> Callable[[Column], Column]:
+    return lambda words: _word_runs(words, length)
+
+
+def _words(text: Column) -> Column:
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), WHITE), "")
+
+
 def _lanes(hash_: Column) -> list[Column]:
     """The hash's 64 bits as 16 numbers with four 16-bit lanes, so that sums count the ones of each bit."""
     out = []
@@ -55,13 +68,11 @@ def _lanes(hash_: Column) -> list[Column]:
     return out
 
 
-def _votes(shingles_: Column) -> Column:
-    """A hash of each shingle and the number of its occurrence, so that one that repeats does not outweigh the others."""
-    return F.transform(
-        # Sorted once, equal shingles stand together.
-        F.array(F.sort_array(shingles_)),
-        lambda w: F.transform(w, lambda x, i: F.xxhash64(x, i + 2 - F.array_position(w, x))),
-    )[0]
+def _votes(counted: DataFrame, keys: list[str], times: str) -> DataFrame:
+    """(keys, `vote`): a hash of each shingle and the number of its occurrence, so that one that repeats does not
+    outweigh the others."""
+    nth = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(times).cast("bigint"))).alias("nth")
+    return counted.select(*keys, "shingle", nth).select(*keys, F.xxhash64("shingle", "nth").alias("vote"))
 
 
 def _fingerprints(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -109,16 +120,22 @@ def matches(
 
     A window has as many words as the item, or is the whole document if that is
     shorter. Its similarity is the weighted Jaccard similarity of the multisets
-    of shingles (sum of the smaller counts over the sum of the larger ones).
-    Items or documents without words match nothing; rows that repeat an id or an
-    item are taken together with it; rows without an id or item are dropped.
-    Items may have 32,767 words. Runs jobs when called.
+    of shingles (sum of the smaller counts over the sum of the larger ones). An
+    item of fewer than `size` words has no shingle but itself, so it is found
+    where a window's words are the same. Items or documents without words match
+    nothing. Of rows that repeat an item each one's text is searched for, and the
+    best similarity counts; of rows that repeat an id each one's text is
+    searched. Rows without an id or item are dropped. Items may have 32,767
+    words. Runs jobs when called.
     """
-    rows = docs.select(F.col(id_column).alias("doc"), F.col(text_column).alias("text")).filter("doc IS NOT NULL")
-    listed = items.select(F.col(item_column).alias("item"), shingles(F.col(item_text_column), size).alias("s")).filter(
-        "item IS NOT NULL AND size(s) > 0"
-    )
-    parts = materialize(listed.dropDuplicates(["item"]).select("item", F.size("s").alias("m"), F.explode("s").alias("shingle")), "item-shingles")
+    rows = docs.select(
+        F.struct(F.col(id_column).alias("id"), F.xxhash64(text_column).alias("text")).alias("doc"), F.col(text_column).alias("text")
+    ).filter("doc.id IS NOT NULL")
+    given = items.select(F.col(item_column).alias("item"), F.col(item_text_column).alias("text")).filter("item IS NOT NULL")
+    given = given.withColumn("words", F.size(_words(F.col("text"))))
+    listed = given.filter(F.col("words") >= size).select("item", shingles(F.col("text"), size).alias("s"))
+    listed = listed.distinct().select(F.struct("item", F.xxhash64("s").alias("text")).alias("item"), "s")
+    parts = materialize(listed.select("item", F.size("s").alias("m"), F.explode("s").alias("shingle")), "item-shingles")
     counted = parts.groupBy("item", "m", "shingle").agg(F.count(F.lit(1)).alias("in_item"))
     small = parts.count() <= BROADCAST_ROWS
     near: Callable[[DataFrame], DataFrame] = F.broadcast if small else (lambda df: df)
@@ -128,54 +145,47 @@ def matches(
     hits = found.join(near(counted.select("item", "m", "shingle")), "shingle")
     regions = (
         hits.groupBy("doc", "item", "m")
-        .agg(F.count(F.lit(1)).alias("hits"), F.sort_array(F.collect_list("at")).alias("places"))
-        .filter(F.col("hits") * 100 >= F.col("m") * percent)
+        .agg(F.sort_array(F.collect_set("at")).alias("places"))
+        .filter(F.size("places") * 100 >= F.col("m") * percent)
     )
     per_doc = materialize(regions.groupBy("doc").agg(F.collect_list(F.struct("item", "m", "places")).alias("regions")), "item-regions")
     held = rows.join(per_doc, "doc").dropDuplicates(["doc"]).select("doc", "regions", shingles(F.col("text"), size).alias("s"))
     held = materialize(held.select("doc", "s", F.explode("regions").alias("r")).select("doc", "s", "r.*"), "item-documents")
 
-    # All windows that hold a hit: their starts lie up to m - 1 before it.
+    # The best window begins with a shingle of the item's, or is the last one: moved up to its first such shingle it
+    # loses none and may gain some. To be similar enough it must hold `need` of them.
     last = F.greatest(F.size("s") - F.col("m"), F.lit(0))
-    starts = F.array_distinct(
-        F.flatten(
-            F.transform(
-                "places",
-                lambda p: F.when(
-                    F.greatest(p - F.col("m") + 1, F.lit(0)) <= F.least(p, last),
-                    F.sequence(F.greatest(p - F.col("m") + 1, F.lit(0)), F.least(p, last)),
-                ).otherwise(F.array(last)),
-            )
-        )
+    need = F.ceil((F.least("m", F.size("s")) + F.col("m")) * F.lit(percent) / F.lit(100 + percent)).cast("int")
+    dense = F.filter(
+        "places", lambda p, i: (p <= last) & F.coalesce(F.get("places", i + need - 1) < p + F.col("m"), F.lit(False))
     )
+    at_end = F.when(F.size(F.filter("places", lambda p: p >= last)) >= need, F.array(last)).otherwise(F.array().cast("array<int>"))
+    starts = F.array_union(dense, at_end)
     windows = held.select("doc", "item", "m", "s", F.explode(starts).alias("start"))
-    content = windows.select(
-        "doc", "item", "m", "start", F.explode(_votes(F.slice("s", F.col("start") + 1, F.col("m")))).alias("vote")
+    window = ["doc", "item", "m", "start"]
+    in_window = (
+        windows.select(*window, F.explode(F.slice("s", F.col("start") + 1, F.col("m"))).alias("shingle"))
+        .groupBy(*window, "shingle")
+        .agg(F.count(F.lit(1)).alias("in_window"))
     )
-    prints = materialize(_fingerprints(content, ["doc", "item", "m", "start"]), "window-prints")
-    votes = counted.select("item", "shingle", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("in_item"))).alias("nth"))
-    item_prints = _fingerprints(votes.select("item", F.xxhash64("shingle", "nth").alias("vote")), ["item"]).select("item", F.col("print").alias("item_print"))
+    in_window = materialize(in_window, "window-shingles")
+    prints = materialize(_fingerprints(_votes(in_window, window, "in_window"), window), "window-prints")
+    item_prints = _fingerprints(_votes(counted, ["item"], "in_item"), ["item"]).select("item", F.col("print").alias("item_print"))
 
     probes = prints.select("*", F.explode(_blocks(F.col("print"), radius)).alias("b")).select("*", "b.block", "b.bits").drop("b")
     index = item_prints.select("*", F.explode(_blocks(F.col("item_print"), radius)).alias("b")).select("*", "b.block", "b.bits").drop("b")
     candidates = (
         probes.join(near(index), ["item", "block", "bits"])
         .filter(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
-        .select("doc", "item", "m", "start", "length")
+        .select(*window)
         .distinct()
     )
 
     # The exact similarity of what is left.
-    per_start = candidates.groupBy("doc", "item").agg(F.collect_list("start").alias("starts"))
-    cut = held.join(per_start, ["doc", "item"]).select("doc", "item", "m", "s", F.explode("starts").alias("start"))
-    in_window = (
-        cut.select("doc", "item", "m", "start", F.explode(F.slice("s", F.col("start") + 1, F.col("m"))).alias("shingle"))
-        .groupBy("doc", "item", "m", "start", "shingle")
-        .agg(F.count(F.lit(1)).alias("in_window"))
-    )
     shared = (
-        in_window.join(near(counted.drop("m")), ["item", "shingle"], "left")
-        .groupBy("doc", "item", "m", "start")
+        in_window.join(candidates, window)
+        .join(near(counted.drop("m")), ["item", "shingle"], "left")
+        .groupBy(*window)
         .agg(
             F.sum(F.least("in_window", F.coalesce("in_item", F.lit(0)))).alias("shared"),
             F.sum("in_window").alias("length"),
@@ -183,11 +193,27 @@ def matches(
         .withColumn("both", F.col("length") + F.col("m") - F.col("shared"))
         .filter(F.col("shared") * 100 >= F.col("both") * percent)
     )
-    return shared.groupBy("doc", "item").agg(F.max(F.col("shared") / F.col("both")).alias("similarity")).select(
-        F.col("doc").alias(id_column), F.col("item").alias(item_column), "similarity"
+    best = shared.select("doc.id", "item.item", (F.col("shared") / F.col("both")).alias("similarity"))
+    short = _short(rows, given.filter(F.col("words") < size))
+    return (
+        (best if short is None else best.unionAll(short))
+        .groupBy("id", "item")
+        .agg(F.max("similarity").alias("similarity"))
+        .select(F.col("id").alias(id_column), F.col("item").alias(item_column), "similarity")
     )
 
 
+def _short(rows: DataFrame, items: DataFrame) -> DataFrame | None:
+    """(id, item, `similarity`) of items of a few words, in the documents that hold these words in a row."""
+    found = []
+    for words in sorted(r.words for r in items.filter("words > 0").select("words").distinct().collect()):
+        runs = F.transform(F.array(_words(F.col("text"))), _runs_of(words))[0]
+        wanted = items.filter(F.col("words") == words).select("item", F.explode(runs).alias("run")).distinct()
+        held = rows.select("doc.id", F.explode(runs).alias("run")).join(wanted, "run")
+        found.append(held.select("id", "item", F.lit(1.0).alias("similarity")).distinct())
+    return reduce(DataFrame.unionAll, found) if found else None
+
+
 def report(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", **options: object) -> DataFrame:
     """One row per row of `docs`: the id, `contaminated`, `n_items`, `item_ids` (ascending, by commas), `similarity`.
 

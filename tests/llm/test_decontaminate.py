@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -8,25 +9,27 @@ from servicerank.llm import decontaminate
 from servicerank.llm.decontaminate import drop_contaminated, report
 
 
-def shingles(text):
+def shingles(text, size=5):
     words = [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").lower()) if w]
-    if len(words) < 5:
+    if len(words) < size:
         return [tuple(words)] if words else []
-    return [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    return [tuple(words[i : i + size]) for i in range(len(words) - size + 1)]
 
 
 def brute(rows, items):
     out = {}
     for i, text in rows:
-        doc, found = shingles(text), {}
+        found = {}
         for item, item_text in items:
             s = shingles(item_text)
+            # An item with fewer words than a shingle is one of its own size.
+            doc = shingles(text, min(5, len(s[0]))) if s else []
             best = 0
             for start in range(max(len(doc) - len(s), 0) + 1) if s else ():
                 window, wanted = Counter(doc[start : start + len(s)]), Counter(s)
                 best = max(best, (window & wanted).total() / max(1, (window | wanted).total()))
             if best >= 0.8:
-                found[item] = best
+                found[item] = max(best, found.get(item, 0))
         out[i] = bool(found), len(found), ",".join(map(str, sorted(found))), max(found.values(), default=0.0)
     return out
 
@@ -38,7 +41,10 @@ def tables_of(spark, make):
     said = lambda n: [rng.choice(vocabulary) for _ in range(n)]
     texts = [said(n) for n in (12, 15, 20, 40, 59)]
     items = list(enumerate([" ".join(t) for t in texts] + [None, "", "too few words", "na na na na na na na na"], start=1))
-    rows = [(100, None), (101, ""), (102, "Too FEW words"), (103, "na " * 50), (104, "v1 " * 40_000), (105, "\n".join(texts[3]))]
+    items += [(3, " ".join(said(18))), (50, "one more"), (50, "na"), (50, "One more")]
+    texts.append(items[-4][1].split())
+    rows = [(200, "a b too FEW\nwords here c d"), (201, "one  more"), (202, "too few"), (203, "more one naa"), (204, "o one more na")]
+    rows += [(100, None), (101, ""), (102, "Too FEW words"), (103, "na " * 50), (104, "v1 " * 40_000), (105, "\n".join(texts[3]))]
     for i in range(80):
         leak = rng.choice(texts)[:]
         for _ in range(rng.choice([0, 0, 1, 1, 2])):
@@ -90,3 +96,28 @@ def test_runs_of_equal_words_do_not_hide_leaks(spark, make):
     got = {r.doc_id: (r.contaminated, r.n_items, r.item_ids, r.similarity) for r in report(make(rows), listed).collect()}
     assert got == brute(rows, items)
     assert all(found for found, *_ in got.values())
+
+
+def test_long_items_in_long_documents_take_seconds(spark, make):
+    rng = random.Random(9)
+    item = [f"v{rng.randrange(4000)}" for _ in range(1000)]
+    text = [f"u{rng.randrange(9000)}" for _ in range(20_000)]
+    for _ in range(120):
+        at, piece = rng.randrange(len(text)), rng.randrange(900)
+        text[at:at] = item[piece : piece + 100]
+    leak = [*item[:400], "x", *item[400:]]
+    listed = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    began = time.perf_counter()
+    rows = [(1, " ".join(text + leak + text)), (2, " ".join(text * 2)), (3, " ".join(item[:70] * 30))]
+    got = report(make(rows), listed).collect()
+    assert {r.doc_id: r.contaminated for r in got} == {1: True, 2: False, 3: False}
+    assert max(r.similarity for r in got) > 0.95
+    assert time.perf_counter() - began < 60
+
+
+def test_items_that_repeat_without_end(make, spark):
+    rng = random.Random(4)
+    item = [f"v{rng.randrange(50)}" for _ in range(60)]
+    rows, items = [(1, " ".join(item * 30)), (2, " ".join(item[5:] * 2))], [(1, " ".join(item))]
+    got = report(make(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r.doc_id: (r.contaminated, r.n_items, r.item_ids, r.similarity) for r in got} == brute(rows, items)
