@@ -13,6 +13,8 @@ import math
 import random
 import re
 import zlib
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -29,7 +31,9 @@ SAMPLE = 200
 #: Labelled pages the model is fitted on.
 LABELLED = 500
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|[^<]+|<", re.S)
+#: Tags up to this length are looked at as they stand, if they hold pairs of double quotes at most.
+SHORT_TAG = 256
+OPENING = re.compile(r"<(?:(!--)|([!?])|/?[a-zA-Z])")
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 LABEL = re.compile(r"\bdata-label=\"([01])\"")
@@ -53,6 +57,8 @@ CLOSES = {
 }
 #: Parts of a page whose descendants are told so.
 REGIONS = set("article main nav footer header aside form section table ul ol blockquote figure button label".split())
+#: What a node is told at most of the elements around it, the outer ones first; pages have some dozens.
+TOLD = 512
 KIND = {"text": 0, "inline": 1, "block": 2, "region": 3, "page": 4}
 KINDS = len(KIND)
 
@@ -97,14 +103,84 @@ def _described(tag: str, name: str) -> tuple[list[int], frozenset]:
     return out, frozenset(told)
 
 
+class Tokens:
+    """Cuts a page into text and tags, in time that grows with its length whatever the markup.
+
+    A tag ends at the first `>` outside of quotes; without one, or with a quote
+    that is never closed, its `<` is text.
+    """
+
+    def __init__(self, source: str) -> None:
+        self.source = source
+        self.marks: list[int] = []
+        self.of: dict[str, list[int]] = {}
+        #: Where tags end whose scan has come to a mark outside of quotes, by the mark's number; -1 if nowhere.
+        self.ends: dict[int, int] = {}
+
+    def _look(self) -> None:
+        """Find the marks, once for a page that needs them."""
+        if not self.of:
+            self.marks = [m.start() for m in re.finditer("[>\"']", self.source)]
+            self.of = {c: [i for i in self.marks if self.source[i] == c] for c in ">\"'"}
+
+    def _after(self, char: str, at: int) -> int:
+        """The first place from `at` on that holds a mark, or -1."""
+        places = self.of[char]
+        i = bisect_left(places, at)
+        return places[i] if i < len(places) else -1
+
+    def _tag_end(self, at: int) -> int:
+        mark, passed, end = bisect_left(self.marks, at), [], -1
+        while mark < len(self.marks):
+            if mark in self.ends:
+                end = self.ends[mark]
+                break
+            passed.append(mark)
+            place = self.marks[mark]
+            char = self.source[place]
+            if char == ">":
+                end = place + 1
+                break
+            close = self._after(char, place + 1)
+            if close < 0:
+                break
+            mark = bisect_left(self.marks, close + 1)
+        for mark in passed:
+            self.ends[mark] = end
+        return end
+
+    def next(self, at: int) -> int:
+        """Where the token at `at` ends."""
+        source = self.source
+        if source[at] != "<":
+            end = source.find("<", at)
+            return end if end >= 0 else len(source)
+        found = OPENING.match(source, at)
+        if found is None:
+            return at + 1
+        if found[1]:
+            end = source.find("-->", at + 4)
+            return end + 3 if end >= 0 else len(source)
+        end = source.find(">", at, at + SHORT_TAG)
+        if end > 0 and (found[2] or (source.find("'", at, end) < 0 and source.count('"', at, end) % 2 == 0)):
+            return end + 1
+        self._look()
+        end = self._after(">", found.end()) + 1 if found[2] else self._tag_end(found.end())
+        return end if end > 0 else at + 1
+
+
 def parse(source: str) -> Page:
     """The tree of a page; tolerates unclosed, misnested and unknown markup."""
     page = Page()
     known: dict[str, tuple[list[int], frozenset]] = {}
+    raw_ends: dict[str, list[int]] = {}
     stack: list[tuple[str, int]] = []
     regions: list[frozenset] = [frozenset()]
     labels = [0]
     block, unseen = 0, 0
+    # Where the open elements of a name stand in the stack, and those that are blocks.
+    opened: dict[str, list[int]] = defaultdict(list)
+    blocks: list[int] = []
 
     def add(kind: str, features: list[int], text: str = "") -> None:
         page.parent.append(stack[-1][1] if stack else -1)
@@ -120,20 +196,31 @@ def parse(source: str) -> Page:
     def pop() -> None:
         nonlocal block, unseen
         name, _ = stack.pop()
+        opened[name].pop()
+        if name in BLOCKS:
+            blocks.pop()
         regions.pop()
         labels.pop()
         block += name in BLOCKS
         unseen -= name in UNSEEN
 
+    def pop_to(size: int) -> None:
+        while len(stack) > size:
+            pop()
+
+    def last(names: set[str]) -> int:
+        """The innermost open element of any of these names."""
+        return max((opened[n][-1] for n in names if opened[n]), default=-1)
+
     add("page", [_feature("root")])
     stack.append(("", 0))
     regions.append(frozenset())
     labels.append(0)
-    at, size = 0, len(source)
+    at, size, tokens = 0, len(source), Tokens(source)
     while at < size:
-        found = TOKEN.match(source, at)
-        token = found.group()
-        at = found.end()
+        end = tokens.next(at)
+        token = source[at:end]
+        at = end
         if token[0] != "<" or token == "<":
             if unseen:
                 continue
@@ -143,7 +230,7 @@ def parse(source: str) -> Page:
             if seen:
                 page.length[-1] = seen
                 page.sentences[-1] = text.count(".") + text.count("!") + text.count("?")
-                if any(name == "a" for name, _ in stack):
+                if opened["a"]:
                     page.linked[-1] = seen
             continue
         tag = TAG.match(token)
@@ -151,31 +238,19 @@ def parse(source: str) -> Page:
             continue
         name = tag[2].lower()
         if tag[1]:
-            if any(name == open_ for open_, _ in stack[1:]):
-                while stack[-1][0] != name:
-                    pop()
-                pop()
+            if opened[name]:
+                pop_to(opened[name][-1])
             elif name in BLOCKS:
                 block += 1
             continue
         if name in BLOCKS:
             block += 1
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == "p":
-                    while len(stack) > i:
-                        pop()
-                    break
-                if stack[i][0] in BLOCKS:
-                    break
+            if blocks and stack[blocks[-1]][0] == "p":
+                pop_to(blocks[-1])
         if name in CLOSES:
             closed, within = CLOSES[name]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in closed:
-                    while len(stack) > i:
-                        pop()
-                    break
-                if stack[i][0] in within:
-                    break
+            if (nearest := last(closed)) > last(within):
+                pop_to(nearest)
         if name in VOID:
             if name == "br" and not unseen:
                 add("text", [], " ")
@@ -185,15 +260,21 @@ def parse(source: str) -> Page:
         kind = "page" if name in ("html", "body") else "region" if name in REGIONS else "block" if name in BLOCKS else "inline"
         mark = LABEL.search(token)
         add(kind, known[token][0])
+        opened[name].append(len(stack))
+        if name in BLOCKS:
+            blocks.append(len(stack))
         stack.append((name, len(page.parent) - 1))
-        regions.append(regions[-1] | known[token][1])
+        told = known[token][1]
+        regions.append(regions[-1] if len(regions[-1]) > TOLD or told <= regions[-1] else regions[-1] | told)
         labels.append(int(mark[1]) if mark else labels[-1])
         unseen += name in UNSEEN
         if token.endswith("/>") and name not in BLOCKS:
             pop()
         elif name in RAW:
-            close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, at)
-            at = close.start() if close else size
+            if name not in raw_ends:
+                raw_ends[name] = [m.start() for m in re.finditer(rf"</{re.escape(name)}\s*>", source, re.I)]
+            close = bisect_left(raw_ends[name], at)
+            at = raw_ends[name][close] if close < len(raw_ends[name]) else size
     return page
 
 
@@ -433,18 +514,18 @@ def main_text(page: Page, content: np.ndarray) -> str:
 def train(
     pages: DataFrame, id_column: str = "page_id", html_column: str = "html", sample: int = SAMPLE, labelled: int = LABELLED
 ) -> TreeModel:
-    """Fit on `labelled` pages in many layouts, filled with sentences from at most `sample` given pages."""
+    """Fit on `labelled` pages in many layouts, filled with the sentences of at most `sample` given pages, whole."""
     chosen = pages.select(F.col(id_column).alias("_id"), F.col(html_column).alias("_html")).filter("_html IS NOT NULL")
     # The ids first, so that only the sample's pages are sorted and sent.
     ids = chosen.select("_id").distinct().orderBy(F.xxhash64("_id"), "_id").limit(sample)
-    rows = chosen.join(F.broadcast(ids), "_id").select("_id", F.substring("_html", 1, 20_000).alias("_html"))
+    rows = chosen.join(F.broadcast(ids), "_id").select("_id", "_html")
     found = sorted(rows.dropDuplicates(["_id"]).collect(), key=lambda r: zlib.crc32(str(r._id).encode()))
     sentences = []
     for row in found:
         page = parse(row._html)
         for text, size in zip(page.text, page.length, strict=True):
             if size > 20:
-                sentences += [html.escape(s.strip() + ".") for s in text.split(".")[:8] if s.strip()]
+                sentences += [html.escape(s.strip() + ".") for s in text.split(".") if s.strip()]
     return fit(labelled_pages(sentences or ["No words are given."], labelled))
 
 
