@@ -155,6 +155,60 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL = {
+    "op1_ngram_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                           ELSE list_sort(list_distinct([array_to_string(w[p:p + 4], ' ') FOR p IN range(1, len(w) - 3)])) END AS s
+            FROM words
+        ), classes AS (
+            SELECT doc_id, len(s) AS n, CASE WHEN len(s) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY s) END AS class_id,
+                   CASE WHEN len(s) = 0 THEN 1 ELSE count(*) OVER (PARTITION BY s) END AS n_class, s
+            FROM sets
+        ), shingles AS (
+            SELECT class_id, n, n_class, unnest(s) AS x FROM classes WHERE doc_id = class_id
+        ), links AS (
+            SELECT a.class_id AS a, b.class_id AS b, any_value(b.n_class) AS weight
+            FROM shingles a JOIN shingles b ON a.x = b.x AND a.class_id != b.class_id
+            GROUP BY a.class_id, b.class_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+        ), reach AS (
+            SELECT a AS node, a AS other FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other
+        ), components AS (
+            SELECT node, min(other) AS component FROM reach GROUP BY node
+        ), near AS (
+            SELECT a AS node, sum(weight) AS n_near FROM links GROUP BY a
+        )
+        SELECT doc_id, n::BIGINT AS n_shingles, coalesce(component, class_id) AS component_id, class_id,
+               n_class::BIGINT AS n_class, (n_class - 1 + coalesce(n_near, 0))::BIGINT AS n_links
+        FROM classes LEFT JOIN components c ON c.node = class_id LEFT JOIN near m ON m.node = class_id""",
+    "op2_suffix_dedup": r"""
+        WITH bytes AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+        ), starts AS (
+            SELECT doc_id, p, md5(substr(h, 2 * p + 1, 200)) AS s
+            FROM (SELECT doc_id, h, unnest(range(len(h) // 2 - 99)) AS p FROM bytes)
+        ), again AS (
+            SELECT doc_id, p FROM starts QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, p) > 1
+        ), places AS (
+            SELECT doc_id, i, substr(h, 2 * i + 1, 2) AS byte
+            FROM (SELECT doc_id, h, unnest(range(len(h) // 2)) AS i FROM bytes)
+        ), marked AS (
+            SELECT b.doc_id, b.i, b.byte,
+                   coalesce(max(a.p) OVER (PARTITION BY b.doc_id ORDER BY b.i ROWS BETWEEN 99 PRECEDING AND CURRENT ROW), -1) >= 0 AS gone
+            FROM places b LEFT JOIN again a ON a.doc_id = b.doc_id AND a.p = b.i
+        ), edged AS (
+            SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS first FROM marked
+        ), kept AS (
+            SELECT doc_id, count(*) AS n_bytes, count(*) FILTER (gone) AS n_removed, count(*) FILTER (first) AS n_spans,
+                   coalesce(string_agg(byte, '' ORDER BY i) FILTER (NOT gone), '') AS h
+            FROM edged GROUP BY doc_id
+        )
+        SELECT b.doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(k.h, ''))) AS kept_sha256
+        FROM bytes b LEFT JOIN kept k USING (doc_id)""",
     "op3_exact_dedup": r"""
         WITH squeezed AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,
@@ -181,7 +235,8 @@ ORACLE_SQL = {
             SELECT kind, id, n, p, array_to_string(w[p + 1:p + 5], ' ') AS s
             FROM (SELECT *, unnest(range(n)) AS p FROM counted)
         ), items AS (
-            SELECT id AS item_id, n AS m, s, count(*) AS in_item FROM shingles WHERE kind = 'i' GROUP BY ALL
+            SELECT id AS item_id, n AS m, s, count(*) AS in_item FROM shingles JOIN counted USING (kind, id, n)
+            WHERE kind = 'i' AND len(w) >= 5 GROUP BY ALL
         ), hits AS (
             SELECT d.id AS doc_id, d.n, d.p, i.item_id, i.m
             FROM shingles d JOIN items i USING (s) WHERE d.kind = 'd'
@@ -197,14 +252,43 @@ ORACLE_SQL = {
             SELECT h.doc_id, h.item_id, h.m, h.start, sum(h.in_window) AS n,
                    sum(least(h.in_window, coalesce(i.in_item, 0))) AS shared
             FROM held h LEFT JOIN items i ON i.item_id = h.item_id AND i.s = h.s GROUP BY ALL
+        ), runs AS (
+            SELECT id, k, array_to_string(w[p + 1:p + k], ' ') AS s
+            FROM (SELECT id, w, k, unnest(range(len(w) - k + 1)) AS p
+                  FROM words, (SELECT DISTINCT len(w) AS k FROM words WHERE kind = 'i' AND len(w) BETWEEN 1 AND 4)
+                  WHERE kind = 'd')
         ), found AS (
             SELECT doc_id, item_id, max(shared / (n + m - shared)) AS similarity
             FROM compared WHERE 100 * shared >= 80 * (n + m - shared) GROUP BY ALL
+            UNION
+            SELECT r.id, i.id, 1.0::DOUBLE
+            FROM runs r JOIN words i ON i.kind = 'i' AND len(i.w) = r.k AND array_to_string(i.w, ' ') = r.s
         )
         SELECT doc_id, count(item_id) > 0 AS contaminated, count(item_id) AS n_items,
                coalesce(string_agg(item_id, ',' ORDER BY item_id), '') AS item_ids,
                coalesce(max(similarity), 0.0) AS similarity
         FROM documents LEFT JOIN found USING (doc_id) GROUP BY doc_id""",
+    "op9_substring_dedup": r"""
+        WITH words AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), windows AS (
+            SELECT doc_id, p, md5(array_to_string(w[p + 1:p + 50], ' ')) AS s
+            FROM (SELECT doc_id, w, unnest(range(len(w) - 49)) AS p FROM words)
+        ), again AS (
+            SELECT doc_id, p FROM windows QUALIFY min(doc_id) OVER (PARTITION BY s) < doc_id
+        ), places AS (
+            SELECT doc_id, i, w[i + 1] AS word FROM (SELECT doc_id, w, unnest(range(len(w))) AS i FROM words)
+        ), marked AS (
+            SELECT b.doc_id, b.i, b.word,
+                   coalesce(max(a.p) OVER (PARTITION BY b.doc_id ORDER BY b.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), -1) >= 0 AS gone
+            FROM places b LEFT JOIN again a ON a.doc_id = b.doc_id AND a.p = b.i
+        ), kept AS (
+            SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+                   coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '') AS text
+            FROM marked GROUP BY doc_id
+        )
+        SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+        FROM words w LEFT JOIN kept k USING (doc_id)""",
     "op11_mix_sources": r"""
         WITH weights AS (
             SELECT doc_id AS known, max(CASE quality WHEN 1 THEN 2.0 WHEN 0 THEN 0.5 END)::DOUBLE AS w

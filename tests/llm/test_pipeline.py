@@ -19,7 +19,7 @@ def canonical(records, columns):
 
 def test_queries_are_registered():
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
-    assert len([q for q in QUERIES if q.startswith("op")]) == 10
+    assert len([q for q in QUERIES if q.startswith("op")]) == 13
 
 
 @pytest.mark.parametrize("name", ORACLE_SQL)
