@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 
 from servicerank.llm import arrays
 from servicerank.llm.components import components
-from servicerank.llm.work import materialize
+from servicerank.llm.work import materialize, settle
 
 #: Shingles for each coordinate of a point, at most, and coordinates at least and at most.
-PER_GROUP, FEWEST_GROUPS, MOST_GROUPS = 6, 16, 1 << 16
+PER_GROUP, FEWEST_GROUPS, MOST_GROUPS = 8, 16, 1 << 16
 #: Groups whose counts order shingles from rare to common.
 RARITY_BITS = 16
 #: Largest coordinate of a point; the bounds add what a set holds beyond it.
@@ -40,7 +40,7 @@ PAIRS = 1 << 20
 #: Shingle groups this many times as full as the mean may hold a hot shingle, which is looked up by partial aggregates.
 HOT, SALTS = 4, 64
 #: Texts below one shingle from which several of them, not one, are compared with all first; and how many.
-CROWD, PIVOTS = 16, 2
+CROWD, PIVOTS = 16, 3
 #: Shingles whose columns are laid out at a time when the overlaps of two blocks of sets are counted.
 COLUMNS = 1 << 13
 
@@ -184,8 +184,15 @@ class ShingleJoin:
         return self._connecting(points)[0]
 
     def _connecting(self, points: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """`links`, and (doc, text) of all documents in them and some others."""
-        members = materialize(self._members(self.signatures(self.rarity())), "shingle-members")
+        """`links`, and (doc, text) of all documents in them."""
+        spark = self.docs.sparkSession
+        links = settle(spark, "shingle-links", lambda: self._found(points))
+        linked = links.select(F.col("a").alias("doc")).unionAll(links.select(F.col("b").alias("doc"))).distinct()
+        return links, materialize(self.docs.join(linked, "doc"), "shingle-texts", compression="zstd")
+
+    def _found(self, points: DataFrame) -> DataFrame:
+        """`links`, by work tables that the caller removes."""
+        members = settle(self.docs.sparkSession, "shingle-members", lambda: self._members(self.signatures(self.rarity())))
         # One point for each set; the document with the smallest id stands for its copies.
         classes = materialize(
             points.filter("n > 0")
@@ -206,7 +213,7 @@ class ShingleJoin:
         joined = components(first.select("a", "b"))
         second = self._tree(crowded, classes, joined)
         second = second.join(star.select("a", "b"), ["a", "b"], "left_anti")
-        return first.unionAll(materialize(self._verified(second, texts), "shingle-links")), texts
+        return first.unionAll(self._verified(second, texts))
 
     @staticmethod
     def _members(rare: DataFrame) -> DataFrame:
@@ -419,10 +426,10 @@ def drop_near(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
 
 def _star(members: DataFrame) -> DataFrame:
     """Pairs (a, b) that compare every node with one below the same shingle, or with several in a crowd."""
-    # The smallest node is the same below most shingles of a group, the others differ.
+    # Each order has the same first node below most shingles of a group, so a node has few pairs.
     pivots = members.groupBy("shingle").agg(
         F.min("node").alias("_0"),
-        *(F.min_by("node", F.xxhash64("node", "shingle", F.lit(j))).alias(f"_{j}") for j in range(1, PIVOTS)),
+        *(F.min_by("node", F.xxhash64("node", F.lit(j))).alias(f"_{j}") for j in range(1, PIVOTS)),
     )
     chosen = F.array(*(f"_{j}" for j in range(PIVOTS)))
     return (

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 
 from servicerank import session
 
@@ -16,3 +18,13 @@ def materialize(df: DataFrame, label: str, **options: str) -> DataFrame:
     stored = session.materialize(df, label, **options)
     df.sparkSession._jvm.System.gc()
     return stored
+
+
+def settle(spark: SparkSession, label: str, make: Callable[[], DataFrame], **options: str) -> DataFrame:
+    """`materialize` of what `make` gives, after which the work tables made for it are removed."""
+    path = session.new_work_path(spark, label)
+    with session.discarding(spark):
+        made = make()
+        made.write.options(**options).parquet(path)
+    spark._jvm.System.gc()
+    return spark.read.schema(made.schema).parquet(path)
