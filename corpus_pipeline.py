@@ -18,7 +18,7 @@ from servicerank.llm.exact_dedup import drop_exact
 from servicerank.llm.ngram_join import drop_near
 from servicerank.llm.queries import table, tokenizer_path
 from servicerank.llm.shipping import ship
-from servicerank.session import materialize
+from servicerank.session import discard, discarding, new_work_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,8 +62,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table `documents`, each one's result stored before the next."""
+    """All stages over the table `documents`, each one's result stored before the next.
+
+    A stage's work tables go once its result is stored, and a result once the
+    next one is; the last stage reads the one that stays.
+    """
     docs = table(spark, sf_dir, "documents")
+    stored = None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        path = new_work_path(spark, name)
+        with discarding(spark):
+            if stored is not None:
+                discard(stored)
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs, stored = spark.read.schema(docs.schema).parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -54,9 +54,14 @@ _discarded: list[list[str]] = []
 def new_work_path(spark: SparkSession, label: str) -> str:
     """A fresh path for a work table under the shared folder."""
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    discard(path)
+    return path
+
+
+def discard(path: str) -> None:
+    """Let the innermost `discarding` block remove a path as well, made before it or outside of it."""
     if _discarded:
         _discarded[-1].append(path)
-    return path
 
 
 @contextmanager
