@@ -29,7 +29,7 @@ from servicerank.llm.components import components
 from servicerank.llm.work import materialize, settle
 
 #: Shingles for each coordinate of a point, at most, and coordinates at least and at most.
-PER_GROUP, FEWEST_GROUPS, MOST_GROUPS = 8, 16, 1 << 16
+PER_GROUP, FEWEST_GROUPS, MOST_GROUPS = 6, 16, 1 << 16
 #: Groups whose counts order shingles from rare to common.
 RARITY_BITS = 16
 #: Largest coordinate of a point; the bounds add what a set holds beyond it.
@@ -39,8 +39,8 @@ LEAF, SMALL_LEAF, LEAF_SHINGLES = 64, 4, 1 << 15
 PAIRS = 1 << 20
 #: Shingle groups this many times as full as the mean may hold a hot shingle, which is looked up by partial aggregates.
 HOT, SALTS = 4, 64
-#: Texts below one shingle from which several of them, not one, are compared with all first; and how many.
-CROWD, PIVOTS = 16, 3
+#: Texts below one shingle that are a crowd, and texts with which each one of a crowd is compared first.
+CROWD, PIVOTS = 16, 2
 #: Shingles whose columns are laid out at a time when the overlaps of two blocks of sets are counted.
 COLUMNS = 1 << 13
 
@@ -425,16 +425,21 @@ def drop_near(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
 
 
 def _star(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) that compare every node with one below the same shingle, or with several in a crowd."""
-    # Each order has the same first node below most shingles of a group, so a node has few pairs.
-    pivots = members.groupBy("shingle").agg(
-        F.min("node").alias("_0"),
-        *(F.min_by("node", F.xxhash64("node", F.lit(j))).alias(f"_{j}") for j in range(1, PIVOTS)),
+    """Pairs (a, b) that compare every node with one below the same shingle.
+
+    In crowds with several, the first ones in PIVOTS orders of those that it
+    stands with below any shingle: they are the same for most of a group.
+    """
+    orders = [F.col("node"), *(F.xxhash64("node", F.lit(j)) for j in range(1, PIVOTS))]
+    firsts = [F.min_by("node", order).alias(f"_{j}") for j, order in enumerate(orders)]
+    below = members.join(members.groupBy("shingle").agg(*firsts), "shingle")
+    few = below.filter(F.col("k") < CROWD).select(F.col("node").alias("a"), F.col("_0").alias("b"))
+    ranks = [F.col("_0"), *(F.xxhash64(f"_{j}", F.lit(j)) for j in range(1, PIVOTS))]
+    crowds = below.filter(F.col("k") >= CROWD).groupBy("node").agg(
+        F.array(*(F.min_by(f"_{j}", rank) for j, rank in enumerate(ranks))).alias("_firsts")
     )
-    chosen = F.array(*(f"_{j}" for j in range(PIVOTS)))
     return (
-        members.join(pivots, "shingle")
-        .select(F.col("node").alias("a"), F.explode(F.when(F.col("k") < CROWD, F.slice(chosen, 1, 1)).otherwise(chosen)).alias("b"))
+        few.unionAll(crowds.select(F.col("node").alias("a"), F.explode("_firsts").alias("b")))
         .filter("a != b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
