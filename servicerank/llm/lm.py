@@ -10,12 +10,12 @@ many texts go through the layer together.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,9 +29,13 @@ WINDOW, SCORED, WIDTH = 16, 12, 16
 CLUSTERS, OTHERS, COMMON = 56, 8, 1024
 #: Rounds of the fit, each over its own share of the training texts, and windows in a step.
 ROUNDS, BATCH = 4, 96
+#: Ids of a shard, which one task steps through in a round, and the steps in which its moves are told.
+SHARD, FIXED_POINT = 1 << 20, 2.0**20
+#: Ids below which a corpus is gone through more than once, and how often at most.
+STEADY, PASSES = 1 << 22, 8
 #: Commonest pairs of ids inside words, whose counts are broadcast; the others' are joined by a shuffle. What shares
 #: get from single ids.
-PAIRS, BACK_OFF = 1 << 20, 10.0
+PAIRS, BACK_OFF = 1 << 20, 2.0
 #: Commonest words, whose counts are broadcast; the others' are joined by a shuffle.
 FREQUENT = 1 << 18
 #: Stands for the end of a text among the hashes of words.
@@ -52,7 +56,7 @@ class Shares:
         cluster are given as `below`; then `of` counts the others as none.
         """
         self.size, self.cluster, self.total = len(cluster), cluster, int(cluster.max(initial=0)) + 1
-        weight = counts + 0.5
+        self.back_off, weight = BACK_OFF, counts + 0.5
         self.alone = weight / np.bincount(cluster, weight)[cluster]
         self.pairs, self.times = pairs, times
         self.whole = below is None
@@ -61,54 +65,69 @@ class Shares:
             np.add.at(below, pairs // self.size * self.total + cluster[pairs % self.size], times)
         self.below = below.astype(np.float32)
 
-    def held(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The pair of each id in words of `sizes` ids, and its count, 0 for a pair that is not held."""
+    def held(self, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pair of each id, `first` telling which begin a word, and its count, 0 for a pair that is not held."""
         ids = ids.astype(np.int64)
         before = np.empty_like(ids)
         before[1:] = ids[:-1]
-        before[np.cumsum(sizes) - sizes] = self.size
+        before[first] = self.size
         wanted = before * self.size + ids
         if not len(self.pairs):
             return wanted, np.zeros(len(ids))
         at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
         return wanted, np.where(self.pairs[at] == wanted, self.times[at], 0)
 
+    def logs(self, wanted: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """log10 of the shares of pairs that were counted so often."""
+        ids = wanted % self.size
+        below = self.below[wanted // self.size * self.total + self.cluster[ids]]
+        return np.log10((times + self.back_off * self.alone[ids]) / (below + self.back_off))
+
     def of(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Sums over words, each of `sizes` ids."""
-        wanted, times = self.held(ids, sizes)
-        below = self.below[wanted // self.size * self.total + self.cluster[ids]]
-        share = (times + BACK_OFF * self.alone[ids]) / (below + BACK_OFF)
-        return np.add.reduceat(np.log10(share), np.cumsum(sizes) - sizes)
-
-    def missing(self, chunk: Chunk, known: Segments) -> tuple[np.ndarray, ...]:
-        """Pairs of the chunk's texts that are not held: text, pair, how often, and what the pair's id has by itself."""
-        sizes = known.count[chunk.places]
-        ids = known.ids[arrays.ragged(known.begin[chunk.places], sizes)]
-        wanted, times = self.held(ids, sizes)
-        none = times == 0
-        word = np.repeat(np.arange(len(sizes)), sizes)[none]
-        wanted, per_word = wanted[none], np.bincount(word, minlength=len(sizes))
-        begin = np.cumsum(per_word) - per_word
-        some = np.flatnonzero(per_word[chunk.inverse])
-        found, n = np.unique(chunk.owner[some] * (len(sizes) + 1) + chunk.inverse[some], return_counts=True)
-        text, word = found // (len(sizes) + 1), found % (len(sizes) + 1)
-        pair = wanted[arrays.ragged(begin[word], per_word[word])]
-        return np.repeat(text, per_word[word]), pair, np.repeat(n, per_word[word]), BACK_OFF * self.alone[pair % self.size]
+        begins = np.cumsum(sizes) - sizes
+        first = np.zeros(len(ids), bool)
+        first[begins] = True
+        return np.add.reduceat(self.logs(*self.held(ids, first)), begins)
+
+    def of_texts(self, ids: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+        """Sums over texts of `sizes` ids each, and their pairs that are not held: text, pair, how often, and what the
+        pair's id has by itself."""
+        ids = ids.astype(np.int64)
+        before = np.where(first, self.size, np.append(self.size, ids[:-1]))
+        distinct, inverse = np.unique(before * self.size + ids, return_inverse=True)
+        if len(self.pairs):
+            at = np.minimum(np.searchsorted(self.pairs, distinct), len(self.pairs) - 1)
+            times = np.where(self.pairs[at] == distinct, self.times[at], 0)
+        else:
+            times = np.zeros(len(distinct))
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        sums = np.bincount(text, self.logs(distinct, times)[inverse], len(sizes))
+        none = np.empty(0, np.int64)
+        if self.whole:
+            return sums, (none, none, none, np.empty(0))
+        lost = np.flatnonzero((times == 0)[inverse])
+        found, n = np.unique(text[lost] * len(distinct) + inverse[lost], return_counts=True)
+        pair = distinct[found % len(distinct)]
+        return sums, (found // len(distinct), pair, n, self.back_off * self.alone[pair % self.size])
 
 
 class Segments:
     """Subword ids of words, by the words' hashes: the longest tokens first, from the left."""
 
-    def __init__(self, bpe: ByteBpe, shares: Shares | None = None) -> None:
-        self.bpe, self.shares, self.end = bpe, shares, max(bpe.special.values(), default=len(bpe.bytes_of))
+    def __init__(self, bpe: ByteBpe) -> None:
+        self.bpe, self.end = bpe, max(bpe.special.values(), default=len(bpe.bytes_of))
         self.size = max(len(bpe.bytes_of), self.end + 1)
+        #: Ids with which a word begins, as no other id of a word holds a space, and the end.
+        self.opens = np.zeros(self.size, bool)
+        self.opens[[i for i, token in enumerate(bpe.bytes_of) if token[:1] == b" "]] = True
+        self.opens[self.end] = True
         self.forget()
 
     def forget(self) -> None:
         self.places: dict[int, int] = {}
         self.ids, self.used = np.zeros(1 << 12, np.int32), 0
         self.begin, self.count = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
-        self.share = np.zeros(1 << 12)
 
     def of(self, hashes: np.ndarray, first: np.ndarray, data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Places of distinct words: word i has the ids from begin[place], count[place] of them."""
@@ -123,7 +142,7 @@ class Segments:
                 found.append(self.bpe.propose(b" " + data[starts[at] : ends[at]].lower()))
             sizes = np.fromiter(map(len, found), np.int64, len(found))
             have, total = len(self.places), int(sizes.sum())
-            for name, need in (("ids", self.used + total), *((n, have + len(new)) for n in ("begin", "count", "share"))):
+            for name, need in (("ids", self.used + total), *((n, have + len(new)) for n in ("begin", "count"))):
                 old = getattr(self, name)
                 if need > len(old):
                     grown = np.zeros(max(need, 2 * len(old)), old.dtype)
@@ -132,23 +151,20 @@ class Segments:
             self.ids[self.used : self.used + total] = [x for ids in found for x in ids]
             self.begin[have : have + len(new)] = self.used + np.cumsum(sizes) - sizes
             self.count[have : have + len(new)] = sizes
-            if self.shares:
-                self.share[have : have + len(new)] = self.shares.of(self.ids[self.used : self.used + total], sizes)
             self.used += total
             self.places.update((listed[i], have + j) for j, i in enumerate(new))
         return np.fromiter(map(self.places.__getitem__, listed), np.int64, len(listed))
 
 
-_segments: dict[tuple[str, str], Segments] = {}
+_segments: dict[str, Segments] = {}
 
 
-def segments(path: str, model: AttentionModel | None = None) -> Segments:
-    """One memory of words for each worker, vocabulary and model."""
-    key = path, model.name if model else ""
-    if key not in _segments:
+def segments(path: str) -> Segments:
+    """One memory of words for each worker and vocabulary."""
+    if path not in _segments:
         _segments.clear()
-        _segments[key] = Segments(load(path), model.shares if model else None)
-    return _segments[key]
+        _segments[path] = Segments(load(path))
+    return _segments[path]
 
 
 @dataclass
@@ -173,6 +189,32 @@ def chunks(batch: pa.RecordBatch, column: int, known: Segments) -> Iterator[tupl
         yield batch.slice(first, last - first), Chunk(distinct, inverse, owner, places, last - first)
 
 
+def stored(ids: np.ndarray, begins: np.ndarray, size: int) -> pa.Array:
+    """Streams as one binary value for each text, of two bytes an id if they fit."""
+    kind = np.uint16 if size <= 1 << 16 else np.uint32
+    width = np.dtype(kind).itemsize
+    offsets = np.append(begins, len(ids)) * width
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype(kind))]
+    ).cast(pa.binary())
+
+
+def read_streams(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What `streams` gives, from a column of `stored`."""
+    data, offsets = arrays.flat(column)
+    kind = np.uint16 if size <= 1 << 16 else np.uint32
+    ids = np.frombuffer(data.tobytes(), kind).astype(np.int64)
+    begins = offsets // np.dtype(kind).itemsize
+    return ids, np.diff(begins), begins[:-1]
+
+
+def parts_of(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch that hold about arrays.CHUNK bytes of a column."""
+    _, offsets = arrays.flat(batch.column(column))
+    for first, last in arrays.chunks(offsets):
+        yield batch.slice(first, last - first)
+
+
 def streams(chunk: Chunk, known: Segments) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All texts' ids, each text ended by the end id, how many each has, and where each begins."""
     per_word = known.count[chunk.places][chunk.inverse]
@@ -223,18 +265,25 @@ class AttentionModel:
 
     def forward(self, inputs: np.ndarray, exists: np.ndarray) -> dict[str, np.ndarray]:
         w = self.weights
-        x = w["embed"][inputs] + w["place"]
-        scored = x[:, WINDOW - SCORED :]
-        query, key, value = scored @ w["query"], x @ w["key"], x @ w["value"]
+        n, wide = len(inputs), lambda a: a.reshape(n, -1, WIDTH)
+        x = w["embed"][inputs]
+        x += w["place"]
+        scored = np.ascontiguousarray(x[:, WINDOW - SCORED :])
+        # Flat matrices: one large product each instead of one for each window.
+        flat_x, flat_scored = x.reshape(-1, WIDTH), scored.reshape(-1, WIDTH)
+        query, key, value = wide(flat_scored @ w["query"]), wide(flat_x @ w["key"]), wide(flat_x @ w["value"])
         logits = query @ key.transpose(0, 2, 1)
         np.clip(logits, -30, 30, out=logits)
         np.exp(logits, out=logits)
-        logits *= CAUSAL
-        logits *= exists[:, None, :]
+        logits *= CAUSAL * exists[:, None, :]
         logits /= logits.sum(2, keepdims=True) + np.float32(1e-30)
         seen = logits @ value
-        hidden = np.tanh(scored @ w["keep"] + seen @ w["mix"] + w["bias"])
-        out = hidden @ w["out"] + w["out_bias"]
+        hidden = flat_scored @ w["keep"]
+        hidden += seen.reshape(-1, WIDTH) @ w["mix"]
+        hidden += w["bias"]
+        np.tanh(hidden, out=hidden)
+        out = hidden @ w["out"]
+        out += w["out_bias"]
         return dict(x=x, scored=scored, query=query, key=key, value=value, attention=logits, seen=seen, hidden=hidden, out=out)
 
     def score(self, ids: np.ndarray, sizes: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -242,25 +291,19 @@ class AttentionModel:
         text, number = self.numbered(sizes)
         total = np.zeros(len(ids), np.float32)
         clusters_ = self.cluster[ids]
-        for first in range(0, len(text), 512):
-            part = slice(first, first + 512)
+        for first in range(0, len(text), 256):
+            part = slice(first, first + 256)
             inputs, exists, at = self.cut(ids, sizes, begins, text[part], number[part])
             out = self.forward(inputs, exists)["out"]
             np.clip(out, -60, 60, out=out)
-            here, places = exists[:, WINDOW - SCORED :], at[:, WINDOW - SCORED :]
-            chosen = np.take_along_axis(out, clusters_[places][:, :, None], 2)[:, :, 0]
+            here, places = exists[:, WINDOW - SCORED :].ravel(), at[:, WINDOW - SCORED :].ravel()
+            chosen = out[np.arange(len(out)), clusters_[places]]
             np.exp(out, out=out)
-            found = chosen - np.log(out.sum(2))
+            found = chosen - np.log(out.sum(1))
             total[places[here]] = found[here]
         sums = np.add.reduceat(total.astype(np.float64), begins) if len(begins) else np.zeros(0)
         return sums / np.log(10)
 
-    def score_texts(self, chunk: Chunk, known: Segments) -> np.ndarray:
-        """log10 of each text's probability."""
-        end = self.shares.of(np.array([known.end]), np.array([1]))
-        within = np.bincount(chunk.owner, known.share[chunk.places][chunk.inverse], chunk.texts)
-        return self.score(*streams(chunk, known)) + within + end
-
 
 #: Scored place i of a window sees its places up to WINDOW - SCORED + i.
 CAUSAL = np.where(
@@ -281,15 +324,20 @@ def following(ids: np.ndarray, common: np.ndarray, size: int) -> np.ndarray:
     return np.bincount(rank[ids[:-1]] * n + rank[ids[1:]], minlength=n * n).reshape(n, n)
 
 
-def corpus_following(texts: DataFrame, path: str, common: np.ndarray) -> np.ndarray:
-    """`following` over all ids of the texts, whose first ids follow an end. Tasks add up, then groups of a row each."""
+def corpus_following(texts: DataFrame, size: int, common: np.ndarray) -> np.ndarray:
+    """`following` over all ids of the texts (column `ids`), whose first ids follow an end.
+
+    Tasks add up, then groups of a row each.
+    """
     n = len(common) + 1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, total = segments(path), np.zeros((n, n), np.int64)
+        total = np.zeros((n, n), np.int64)
         for batch in batches:
-            for _, chunk in chunks(batch, 0, known):
-                total += following(np.append(known.end, streams(chunk, known)[0]), common, known.size)
+            for part in parts_of(batch, 0):
+                ids, _, _ = read_streams(part.column(0), size)
+                # Every text ends with the end.
+                total += following(np.append(ids[-1:], ids), common, size)
         rows = np.flatnonzero(total.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array([total[i].tobytes() for i in rows], pa.binary())], ["rank", "counts"])
 
@@ -298,7 +346,7 @@ def corpus_following(texts: DataFrame, path: str, common: np.ndarray) -> np.ndar
         return pa.table({"rank": table["rank"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
     out, schema = np.zeros((n, n), np.int64), "rank long, counts binary"
-    for row in texts.mapInArrow(count, schema).groupBy("rank").applyInArrow(add, schema).collect():
+    for row in texts.select("ids").mapInArrow(count, schema).groupBy("rank").applyInArrow(add, schema).collect():
         out[row["rank"]] = np.frombuffer(row["counts"], np.int64)
     return out
 
@@ -355,20 +403,25 @@ class Adam:
         inputs, exists, at = model.cut(ids, sizes, begins, text, number)
         here = exists[:, WINDOW - SCORED :]
         targets = model.cluster[ids[at[:, WINDOW - SCORED :]]]
-        # Gradients of the embeddings are made for the ids of the windows only.
-        touched, within, times = np.unique(inputs, return_inverse=True, return_counts=True)
-        part = replace(model, weights=weights | {"embed": weights["embed"][touched]})
-        gradients = _gradients(part, within.reshape(inputs.shape), exists, targets, here)
+        gradients = _gradients(model, inputs, exists, targets, here)
+        # Gradients of the embeddings are added up for the ids of the windows only.
+        flat = inputs.ravel()
+        order = np.argsort(flat, kind="stable")
+        first = np.flatnonzero(np.append(True, np.diff(flat[order]) != 0))
+        touched = flat[order[first]]
+        gradients["embed"] = np.add.reduceat(gradients.pop("inputs")[order], first, axis=0)
         self.step += 1
         self.windows += len(text)
-        self.seen[touched] += times
+        self.seen[touched] += np.diff(np.append(first, len(flat)))
         fast, slow = np.float32(1 - 0.9**self.step), np.float32(1 - 0.99**self.step)
         for name, g in gradients.items():
             m, v = self.moments[name]
             rows = touched if name == "embed" else slice(None)
-            m[rows] += np.float32(0.1) * (g - m[rows])
-            v[rows] += np.float32(0.01) * (g * g - v[rows])
-            weights[name][rows] -= np.float32(rate) * (m[rows] / fast) / (np.sqrt(v[rows] / slow) + np.float32(1e-8))
+            m_now, v_now = m[rows], v[rows]
+            m_now = m_now + np.float32(0.1) * (g - m_now)
+            v_now = v_now + np.float32(0.01) * (g * g - v_now)
+            m[rows], v[rows] = m_now, v_now
+            weights[name][rows] -= np.float32(rate) * (m_now / fast) / (np.sqrt(v_now / slow) + np.float32(1e-8))
 
 
 def fit(
@@ -398,13 +451,16 @@ def fit(
     return model
 
 
-def corpus_fit(texts: DataFrame, path: str, model: AttentionModel, rounds: int = ROUNDS) -> AttentionModel:
-    """The model fitted on all of the texts, each read whole in one of the rounds.
+def corpus_fit(texts: DataFrame, model: AttentionModel, total: int, rounds: int = ROUNDS) -> AttentionModel:
+    """The model fitted on all of the texts (_id, ids), `total` ids, each read whole in one of the rounds.
 
-    In a round every partition steps through its texts from the same weights;
-    then each row of weights moves by the partitions' mean, weighted by the
-    windows they saw, or for an embedding by how often they saw the id. So what
-    comes back to the driver has the size of the weights, whatever the corpus.
+    The texts of a round are dealt into shards of about SHARD ids by the hash of
+    what they hold, and each shard steps through its texts, in the order of
+    another hash, from the same weights; then each row of weights moves by the
+    shards' mean, weighted by the windows they saw, or for an embedding by how
+    often they saw the id. So the weights follow from the texts, not from how
+    the table is cut into partitions, and what comes back to the driver has the
+    size of the weights, whatever the corpus.
     """
     names = list(model.weights)
     size = len(model.weights["embed"])
@@ -412,42 +468,52 @@ def corpus_fit(texts: DataFrame, path: str, model: AttentionModel, rounds: int =
     ends = np.cumsum([model.weights[k].size // WIDTH for k in names])
     columns = [f"_{j}" for j in range(WIDTH)]
     sc = texts.sparkSession.sparkContext
+    shards = max(1, -(-total // (rounds * SHARD)))
+    content = [F.col("_id").cast("string"), F.col("ids")]
+    dealt = texts.select(
+        F.pmod(F.xxhash64(*content), F.lit(rounds)).alias("_round"),
+        F.pmod(F.xxhash64(*content, F.lit(1)), F.lit(shards)).alias("_shard"),
+        F.xxhash64(*content, F.lit(2)).alias("_order"),
+        "ids",
+    )
 
     def flat(weights: dict[str, np.ndarray]) -> np.ndarray:
         return np.concatenate([weights[k].reshape(-1, WIDTH) for k in names])
 
-    for number in range(rounds):
-        shared, rate = sc.broadcast(model), 4e-3 * (1 - 0.95 * (number + 0.5) / rounds)
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, rate=rate) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
-            known, start = segments(path), shared.value
+    def stepping(shared: Broadcast, rate: float) -> Callable[[pa.Table], pa.Table]:
+        def run(table: pa.Table) -> pa.Table:
+            start = shared.value
             adam = Adam(replace(start, weights={k: v.copy() for k, v in start.weights.items()}))
             rng = np.random.default_rng(5)
-            for batch in batches:
-                for _, chunk in chunks(batch, 0, known):
-                    ids, sizes, begins = streams(chunk, known)
+            ordered = table.select(["_order", "ids"]).sort_by([("_order", "ascending"), ("ids", "ascending")])
+            for batch in ordered.select(["ids"]).combine_chunks().to_batches():
+                for part in parts_of(batch, 0):
+                    ids, sizes, begins = read_streams(part.column(0), size)
                     text, window = start.numbered(sizes)
                     order = rng.permutation(len(text))
                     for first in range(0, len(order), BATCH):
                         rows = order[first : first + BATCH]
                         adam.on(ids, sizes, begins, text[rows], window[rows], rate)
-            if not adam.windows:
-                return
             weight = np.append(adam.seen, np.full(ends[-1] - size, adam.windows)).astype(np.float64)
             rows = np.flatnonzero(weight)
-            weight = weight[rows]
-            moved = (flat(adam.model.weights)[rows] - flat(start.weights)[rows]) * weight[:, None]
-            for at in range(0, len(rows), 10_000):
-                some = slice(at, at + 10_000)
-                arrays_ = [pa.array(rows[some]), pa.array(weight[some]), *(pa.array(np.ascontiguousarray(c)) for c in moved[some].T)]
-                yield pa.RecordBatch.from_arrays(arrays_, ["row", "weight", *columns])
-
-        part = texts.filter(F.pmod(F.xxhash64(*texts.columns), F.lit(rounds)) == number).select("_text")
-        moves = part.mapInArrow(run, f"row long, weight double, {', '.join(f'{c} double' for c in columns)}")
-        total = moves.groupBy("row").agg(F.sum("weight").alias("weight"), *(F.sum(c).alias(c) for c in columns)).toArrow()
+            moved = (flat(adam.model.weights)[rows] - flat(start.weights)[rows]) * weight[rows][:, None]
+            # Whole numbers add up to the same sum in any order.
+            moved = np.rint(moved * FIXED_POINT)
+            return pa.table({"row": rows, "weight": weight[rows], **{c: np.ascontiguousarray(m) for c, m in zip(columns, moved.T, strict=True)}})
+
+        return run
+
+    # A small corpus is gone through several times, so that the layer makes some thousand steps.
+    steps = rounds * int(np.clip(STEADY // max(1, total), 1, PASSES))
+    for number in range(steps):
+        shared, rate = sc.broadcast(model), 4e-3 * (1 - 0.95 * (number + 0.5) / steps)
+        moves = dealt.filter(F.col("_round") == number % rounds).groupBy("_shard").applyInArrow(
+            stepping(shared, rate), f"row long, weight double, {', '.join(f'{c} double' for c in columns)}"
+        )
+        sums = moves.groupBy("row").agg(F.sum("weight").alias("weight"), *(F.sum(c).alias(c) for c in columns)).toArrow()
         weights = flat(model.weights)
-        mean = np.stack([np.asarray(total[c], np.float64) for c in columns], 1) / np.asarray(total["weight"], np.float64)[:, None]
-        weights[np.asarray(total["row"], np.int64)] += mean.astype(np.float32)
+        mean = np.stack([np.asarray(sums[c], np.float64) for c in columns], 1) / (FIXED_POINT * np.asarray(sums["weight"], np.float64)[:, None])
+        weights[np.asarray(sums["row"], np.int64)] += mean.astype(np.float32)
         parts = np.split(weights, ends[:-1])
         model = replace(model, weights={k: p.reshape(model.weights[k].shape) for k, p in zip(names, parts, strict=True)})
         shared.unpersist()
@@ -457,29 +523,30 @@ def corpus_fit(texts: DataFrame, path: str, model: AttentionModel, rounds: int =
 def _gradients(
     model: AttentionModel, inputs: np.ndarray, exists: np.ndarray, targets: np.ndarray, here: np.ndarray
 ) -> dict[str, np.ndarray]:
-    """Gradients of the mean negative log probability of the targets' clusters."""
+    """Gradients of the mean negative log probability of the targets' clusters; `inputs` are those of the places' vectors."""
     w, f = model.weights, model.forward(inputs, exists)
-    out = f["out"]
-    error = np.exp(out - out.max(2, keepdims=True))
-    error /= error.sum(2, keepdims=True)
-    np.put_along_axis(error, targets[:, :, None], np.take_along_axis(error, targets[:, :, None], 2) - 1, 2)
-    error *= here[:, :, None] / max(1, here.sum())
-    flat = lambda a: a.reshape(-1, a.shape[-1])
-    hidden = (error @ w["out"].T) * (1 - f["hidden"] ** 2)
-    seen = hidden @ w["mix"].T
-    attention = seen @ f["value"].transpose(0, 2, 1)
-    logits = f["attention"] * (attention - (f["attention"] * attention).sum(2, keepdims=True))
-    query = logits @ f["key"]
-    key = logits.transpose(0, 2, 1) @ f["query"]
-    value = f["attention"].transpose(0, 2, 1) @ seen
-    x = key @ w["key"].T + value @ w["value"].T
-    x[:, WINDOW - SCORED :] += hidden @ w["keep"].T + query @ w["query"].T
-    embed = np.zeros_like(w["embed"])
-    np.add.at(embed, inputs.ravel(), flat(x))
+    n, wide = len(inputs), lambda a: a.reshape(n, -1, WIDTH)
+    x, scored, seen = (f[k].reshape(-1, WIDTH) for k in ("x", "scored", "seen"))
+    error = f["out"]
+    error -= error.max(1, keepdims=True)
+    np.exp(error, out=error)
+    error /= error.sum(1, keepdims=True)
+    error[np.arange(len(error)), targets.ravel()] -= 1
+    error *= here.ravel()[:, None] / np.float32(max(1, here.sum()))
+    hidden = error @ w["out"].T
+    hidden *= 1 - f["hidden"] ** 2
+    to_seen = wide(hidden @ w["mix"].T)
+    attention = to_seen @ f["value"].transpose(0, 2, 1)
+    attention -= (f["attention"] * attention).sum(2, keepdims=True)
+    attention *= f["attention"]
+    query = (attention @ f["key"]).reshape(-1, WIDTH)
+    key = (attention.transpose(0, 2, 1) @ f["query"]).reshape(-1, WIDTH)
+    value = (f["attention"].transpose(0, 2, 1) @ to_seen).reshape(-1, WIDTH)
+    moved = wide(key @ w["key"].T + value @ w["value"].T)
+    moved[:, WINDOW - SCORED :] += wide(hidden @ w["keep"].T + query @ w["query"].T)
     return {
-        "embed": embed, "place": x.sum(0), "query": flat(f["scored"]).T @ flat(query), "key": flat(f["x"]).T @ flat(key),
-        "value": flat(f["x"]).T @ flat(value), "keep": flat(f["scored"]).T @ flat(hidden), "mix": flat(f["seen"]).T @ flat(hidden),
-        "bias": flat(hidden).sum(0), "out": flat(f["hidden"]).T @ flat(error), "out_bias": flat(error).sum(0),
+        "inputs": moved.reshape(-1, WIDTH), "place": moved.sum(0), "query": scored.T @ query, "key": x.T @ key, "value": x.T @ value,
+        "keep": scored.T @ hidden, "mix": seen.T @ hidden, "bias": hidden.sum(0), "out": f["hidden"].T @ error, "out_bias": error.sum(0),
     }
 
 
@@ -592,8 +659,9 @@ def score(
     log10((c + 0.5) / (N + 0.5 (V + 1))) with counts over all training texts;
     `score` is the attention model's log10 probability of the text. Words are
     counted by 64-bit hashes. The model is fitted on all training texts; with
-    `sample`, on so many, those with the smallest hashes of their ids. How
-    partitions cut the table has a part in its weights.
+    `sample`, on so many, those with the smallest hashes of their ids. How the
+    table is cut into partitions makes no difference. Every text's subword ids
+    are made once and stored, for counting, fitting and scoring.
 
     Null texts are empty and have one token, their end. Repeated rows are scored
     each. Rows without an id are training texts. Other columns are not looked
@@ -622,23 +690,14 @@ def score(
     order = np.argsort(words)
     words, known_counts = words[order], known_counts[order]
 
-    texts = training.select("_id", "_text")
-    if sample is not None:
-        ids = training.select("_id").distinct().orderBy(F.xxhash64("_id"), "_id").limit(sample)
-        texts = texts.join(F.broadcast(ids), "_id").dropDuplicates(["_id"])
-    common = common_ids(of_ids)
-    cluster = clusters(corpus_following(texts.select("_text"), path, common), common, known.size)
-    model = corpus_fit(texts, path, untrained(cluster, of_ids, None, known.end, np.random.default_rng(5)))
-    below = None if whole else sums_below(pairs, cluster)
-    model.shares = Shares(cluster, of_ids, np.asarray(kept["pair"], np.int64), np.asarray(kept["c"], np.int64), below)
     divisor = n + 0.5 * (v + 1)
     end = counts.filter(F.col("word") == int(END.view(np.int64)[0])).first()
     ends = end.c if end else 0
-    shared = docs.sparkSession.sparkContext.broadcast((model, words, known_counts))
+    shared = docs.sparkSession.sparkContext.broadcast((words, known_counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, words, known_counts = shared.value
-        known = segments(path, model)
+        words, known_counts = shared.value
+        known = segments(path)
         context = TaskContext.get()
         number = (context.partitionId() if context else 0) << 33
         logs = np.log10((known_counts + 0.5) / divisor)
@@ -659,22 +718,17 @@ def score(
                 base += np.log10((ends + 0.5) / divisor)
                 seen += int(ends > 0)
                 tokens = np.bincount(chunk.owner, minlength=size) + 1
-                scores = model.score_texts(chunk, known)
+                ids, _, begins = streams(chunk, known)
                 key = number + np.arange(size)
                 number += size
                 none = np.zeros(size, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), part.column(0), part.column(2), pa.array(none), pa.array(tokens), pa.array(seen), pa.array(base), pa.array(scores)],
+                    [
+                        pa.array(key), part.column(0), part.column(2), pa.array(none), pa.array(tokens), pa.array(seen), pa.array(base),
+                        stored(ids, begins, known.size),
+                    ],
                     NAMES,
-                )
-                if not model.shares.whole and len(chunk.hashes):
-                    # Pairs that aren't held go on to the shuffle, with their id's weight as base.
-                    text, pair, times, weight = model.shares.missing(chunk, known)
-                    blank = pa.nulls(len(pair), part.column(0).type), pa.nulls(len(pair), pa.bool_())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key[text]), *blank, pa.array(pair), pa.array(times), pa.nulls(len(pair), pa.int64()), pa.array(weight), pa.nulls(len(pair), pa.float64())],
-                        NAMES,
-                    )
+                )
                 # Words that aren't frequent go on to the shuffle, once for each text.
                 rare = np.flatnonzero(~hit[chunk.inverse])
                 pairs, times = np.unique(chunk.owner[rare] * (len(hit) + 1) + chunk.inverse[rare], return_counts=True)
@@ -683,22 +737,56 @@ def score(
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(key[owner]), empty, pa.nulls(len(pairs), pa.bool_()), pa.array(word.view(np.int64)), pa.array(times),
-                        pa.nulls(len(pairs), pa.int64()), pa.nulls(len(pairs), pa.float64()), pa.nulls(len(pairs), pa.float64()),
+                        pa.nulls(len(pairs), pa.int64()), pa.nulls(len(pairs), pa.float64()), pa.nulls(len(pairs), pa.binary()),
                     ],
                     NAMES,
                 )
 
     kind = docs.schema[id_column].dataType.simpleString()
-    schema = f"key long, id {kind}, held_out boolean, word long, n long, known long, base double, score double"
-    out = materialize(rows.select("_id", "_text", "_held_out").mapInArrow(run, schema), "text-scores")
-    unheld = out.filter("score IS NULL AND base IS NOT NULL").select("key", F.col("word").alias("pair"), "n", "base").join(rest, "pair")
-    per_share = unheld.groupBy("key").agg(F.sum(F.col("n") * F.log10(1 + F.col("c") / F.col("base"))).alias("rare_share"))
-    rare = out.filter("score IS NULL AND base IS NULL").select("key", "word", "n").join(counts, "word", "left")
+    schema = f"key long, id {kind}, held_out boolean, word long, n long, known long, base double, ids binary"
+    out = materialize(rows.select("_id", "_text", "_held_out").mapInArrow(run, schema), "text-ids")
+
+    # The layer, from the stored ids.
+    streamed = out.filter("ids IS NOT NULL")
+    learned = streamed.filter("NOT held_out").select(F.col("id").alias("_id"), "ids")
+    if sample is not None:
+        chosen = learned.select("_id").distinct().orderBy(F.xxhash64("_id"), "_id").limit(sample)
+        learned = learned.join(F.broadcast(chosen), "_id").dropDuplicates(["_id"])
+    common = common_ids(of_ids)
+    cluster = clusters(corpus_following(learned, known.size, common), common, known.size)
+    model = corpus_fit(learned, untrained(cluster, of_ids, None, known.end, np.random.default_rng(5)), int(of_ids.sum()))
+    below = None if whole else sums_below(pairs, cluster)
+    model.shares = Shares(cluster, of_ids, np.asarray(kept["pair"], np.int64), np.asarray(kept["c"], np.int64), below)
+    fitted, size, opens = docs.sparkSession.sparkContext.broadcast(model), known.size, known.opens
+
+    def score_streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = fitted.value
+        for batch in batches:
+            for part in parts_of(batch, 1):
+                ids, sizes, begins = read_streams(part.column(1), size)
+                share, (text, pair, times, weight) = model.shares.of_texts(ids, opens[ids], sizes)
+                key, none = np.asarray(part.column(0)), pa.nulls
+                score_ = model.score(ids, sizes, begins) + share
+                n = len(sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key), pa.array(score_), none(n, pa.int64()), none(n, pa.int64()), none(n, pa.float64())], SCORED_NAMES
+                )
+                # Pairs that aren't held go on to the shuffle, with their id's weight.
+                n = len(pair)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[text]), none(n, pa.float64()), pa.array(pair), pa.array(times), pa.array(weight)], SCORED_NAMES
+                )
+
+    schema = "key long, score double, pair long, n long, weight double"
+    scores = materialize(streamed.select("key", "ids").mapInArrow(score_streams, schema), "text-scores")
+    unheld = scores.filter("pair IS NOT NULL").join(rest, "pair")
+    per_share = unheld.groupBy("key").agg(F.sum(F.col("n") * F.log10(1 + F.col("c") / F.col("weight"))).alias("rare_share"))
+    rare = out.filter("ids IS NULL").select("key", "word", "n").join(counts, "word", "left")
     per_text = rare.groupBy("key").agg(
         F.sum(F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(float(divisor)))).alias("rare_base"),
         F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("rare_known"),
     )
-    scored = out.filter("score IS NOT NULL").join(per_text, "key", "left")
+    scored = streamed.drop("ids").join(scores.filter("score IS NOT NULL").select("key", "score"), "key").join(per_text, "key", "left")
     scored = scored.withColumn("rare_share", F.lit(0.0)) if whole else scored.join(per_share, "key", "left")
     return scored.select(
         F.col("id").alias(id_column),
@@ -711,4 +799,5 @@ def score(
     )
 
 
-NAMES = ["key", "id", "held_out", "word", "n", "known", "base", "score"]
+NAMES = ["key", "id", "held_out", "word", "n", "known", "base", "ids"]
+SCORED_NAMES = ["key", "score", "pair", "n", "weight"]
