@@ -39,8 +39,9 @@ LEAF, SMALL_LEAF, LEAF_SHINGLES = 64, 4, 1 << 15
 PAIRS = 1 << 20
 #: Shingle groups this many times as full as the mean may hold a hot shingle, which is looked up by partial aggregates.
 HOT, SALTS = 4, 64
-#: Texts below one shingle that are a crowd, and texts with which each one of a crowd is compared first.
-CROWD, PIVOTS = 16, 2
+#: Texts below one shingle that are a crowd, and how many texts but the smallest each one of a crowd is compared with
+#: first.
+CROWD, PIVOTS = 16, 4
 #: Shingles whose columns are laid out at a time when the overlaps of two blocks of sets are counted.
 COLUMNS = 1 << 13
 
@@ -241,10 +242,9 @@ class ShingleJoin:
         def of(side: str, *columns: str) -> DataFrame:
             return classes.select(F.col("node").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in columns))
 
-        sized = pairs.join(of("a", "doc", "n"), "a").join(of("b", "doc", "n"), "b").filter(
+        sized = pairs.join(of("a", "doc", "n", "point"), "a").join(of("b", "doc", "n", "point"), "b").filter(
             (F.col("a_n") * 100 >= F.col("b_n") * percent) & (F.col("b_n") * 100 >= F.col("a_n") * percent)
         )
-        sized = sized.join(of("a", "point"), "a").join(of("b", "point"), "b")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -425,21 +425,20 @@ def drop_near(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
 
 
 def _star(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) that compare every node with one below the same shingle.
+    """Pairs (a, b) that compare every node with one below the same shingle, or with several in a crowd.
 
-    In crowds with several, the first ones in PIVOTS orders of those that it
-    stands with below any shingle: they are the same for most of a group.
+    In a crowd these are the smallest node of all that it stands with, which is
+    the same for most of a group, and PIVOTS of those that its shingles name.
     """
-    orders = [F.col("node"), *(F.xxhash64("node", F.lit(j)) for j in range(1, PIVOTS))]
-    firsts = [F.min_by("node", order).alias(f"_{j}") for j, order in enumerate(orders)]
-    below = members.join(members.groupBy("shingle").agg(*firsts), "shingle")
-    few = below.filter(F.col("k") < CROWD).select(F.col("node").alias("a"), F.col("_0").alias("b"))
-    ranks = [F.col("_0"), *(F.xxhash64(f"_{j}", F.lit(j)) for j in range(1, PIVOTS))]
+    named = F.min_by("node", F.xxhash64("node", "shingle")).alias("_named")
+    below = members.join(members.groupBy("shingle").agg(F.min("node").alias("_low"), named), "shingle")
+    few = below.filter(F.col("k") < CROWD).select(F.col("node").alias("a"), F.col("_low").alias("b"))
     crowds = below.filter(F.col("k") >= CROWD).groupBy("node").agg(
-        F.array(*(F.min_by(f"_{j}", rank) for j, rank in enumerate(ranks))).alias("_firsts")
+        F.min("_low").alias("_low"), F.slice(F.sort_array(F.collect_set("_named")), 1, PIVOTS).alias("_named")
     )
+    partners = F.explode(F.concat(F.array("_low"), "_named")).alias("b")
     return (
-        few.unionAll(crowds.select(F.col("node").alias("a"), F.explode("_firsts").alias("b")))
+        few.unionAll(crowds.select(F.col("node").alias("a"), partners))
         .filter("a != b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()

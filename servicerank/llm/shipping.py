@@ -12,8 +12,8 @@ from pyspark.sql import SparkSession
 import servicerank
 
 
-#: Rows of a batch that goes to a Python worker; whole texts make the default of 10,000 rows large.
-ROWS_PER_BATCH = 1_000
+#: Rows and bytes of a batch that goes to a Python worker; whole texts make the defaults large.
+ROWS_PER_BATCH, BYTES_PER_BATCH = 1_000, 16 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -24,6 +24,7 @@ def ship(spark: SparkSession) -> None:
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(setting)) <= ROWS_PER_BATCH:
         spark.conf.set(setting, str(ROWS_PER_BATCH))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
     context = spark.sparkContext
     if getattr(context, "_servicerank_shipped", False):
         return
