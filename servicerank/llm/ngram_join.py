@@ -32,16 +32,17 @@ from servicerank.llm.work import materialize, settle
 PER_GROUP, FEWEST_GROUPS, MOST_GROUPS = 6, 16, 1 << 16
 #: Groups whose counts order shingles from rare to common.
 RARITY_BITS = 16
+#: Coordinates of a point in a leaf at most; pairs that these let through are bounded by whole points.
+LEAF_GROUPS = 256
 #: Largest coordinate of a point; the bounds add what a set holds beyond it.
 MOST = 255
-#: Points in a leaf of the tree, fewer if its sets are large; and pairs of points that are laid out at a time.
+#: Points in a leaf of the tree, fewer if its sets are large; pairs of points that are laid out at a time, and leaves.
 LEAF, SMALL_LEAF, LEAF_SHINGLES = 64, 4, 1 << 15
-PAIRS = 1 << 20
+PAIRS, LEAVES = 1 << 20, 256
 #: Shingle groups this many times as full as the mean may hold a hot shingle, which is looked up by partial aggregates.
 HOT, SALTS = 4, 64
-#: Texts below one shingle that are a crowd, and how many texts but the smallest each one of a crowd is compared with
-#: first.
-CROWD, PIVOTS = 16, 4
+#: Texts below one shingle from which several of them, not one, are compared with all first; and how many.
+CROWD, PIVOTS = 16, 2
 #: Shingles whose columns are laid out at a time when the overlaps of two blocks of sets are counted.
 COLUMNS = 1 << 13
 
@@ -127,7 +128,8 @@ class ShingleJoin:
         return out.ravel()
 
     def points(self) -> DataFrame:
-        """(doc, n, digest, node, point): set size, digest of the set, its short form, and the counts per group."""
+        """(doc, n, digest, node, point, coarse): set size, digest of the set, its short form, the counts per group, and
+        those per group of LEAF_GROUPS at most, where they are fewer."""
         size = self.size
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +137,7 @@ class ShingleJoin:
                 texts = batch.num_rows
                 sizes = np.diff(begins)
                 of = np.repeat(np.arange(texts), sizes)
-                points = _points(hashes, of, sizes)
+                points, coarse = _points(hashes, of, sizes)
                 digests = [_digest(hashes[a:b]) for a, b in zip(begins[:-1], begins[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -144,11 +146,12 @@ class ShingleJoin:
                         pa.array(digests, pa.binary()),
                         pa.array(np.frombuffer(b"".join(d[:8] for d in digests), np.int64)),
                         points,
+                        coarse,
                     ],
-                    ["doc", "n", "digest", "node", "point"],
+                    ["doc", "n", "digest", "node", "point", "coarse"],
                 )
 
-        return self.docs.mapInArrow(run, "doc long, n long, digest binary, node long, point binary")
+        return self.docs.mapInArrow(run, "doc long, n long, digest binary, node long, point binary, coarse binary")
 
     def signatures(self, rarity: np.ndarray) -> DataFrame:
         """(shingle, node, salt): the rarest shingles of each set, so many that linked sets share one.
@@ -198,11 +201,11 @@ class ShingleJoin:
         classes = materialize(
             points.filter("n > 0")
             .groupBy("digest", "node")
-            .agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("point").alias("point"))
+            .agg(F.min("doc").alias("doc"), *(F.first(c).alias(c) for c in ("n", "point", "coarse")))
             .drop("digest"),
             "shingle-classes",
         )
-        star = materialize(self._bounded(_star(members), classes), "shingle-star")
+        star = materialize(self._bounded(_star(members), classes, "node"), "shingle-star")
 
         crowded = members.filter("k > 2")
         wanted = star.select(F.col("a").alias("doc")).unionAll(star.select(F.col("b").alias("doc")))
@@ -214,6 +217,7 @@ class ShingleJoin:
         joined = components(first.select("a", "b"))
         second = self._tree(crowded, classes, joined)
         second = second.join(star.select("a", "b"), ["a", "b"], "left_anti")
+        second = materialize(self._bounded(second, classes, "doc"), "shingle-pairs")
         return first.unionAll(self._verified(second, texts))
 
     @staticmethod
@@ -235,16 +239,20 @@ class ShingleJoin:
         counted = hot.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
         return kept.filter("NOT hot").select("shingle", "node", "k").unionAll(hot.join(counted, "shingle"))
 
-    def _bounded(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        """Of pairs of nodes, the documents of those whose sizes and then points allow the similarity."""
+    def _bounded(self, pairs: DataFrame, classes: DataFrame, key: str) -> DataFrame:
+        """Of pairs of nodes or documents, the documents of those whose sizes and then points allow the similarity."""
         percent = self.percent
 
-        def of(side: str, *columns: str) -> DataFrame:
-            return classes.select(F.col("node").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in columns))
+        def of(side: str, to: str, *columns: str) -> DataFrame:
+            return classes.select(F.col(key).alias(to), *(F.col(c).alias(f"{side}_{c}") for c in columns))
 
-        sized = pairs.join(of("a", "doc", "n", "point"), "a").join(of("b", "doc", "n", "point"), "b").filter(
+        names = ["class", "n"]
+        classes = classes.withColumn("class", F.col("doc"))
+        sized = pairs.join(of("a", "a", *names), "a").join(of("b", "b", *names), "b").filter(
             (F.col("a_n") * 100 >= F.col("b_n") * percent) & (F.col("b_n") * 100 >= F.col("a_n") * percent)
         )
+        sized = sized.withColumnsRenamed({"a": "left", "b": "right"})
+        sized = sized.join(of("a", "left", "point"), "left").join(of("b", "right", "point"), "right")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -257,7 +265,8 @@ class ShingleJoin:
                 a, b = np.maximum(a, b)[fits], np.minimum(a, b)[fits]
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-        return sized.select("a_doc", "b_doc", "a_n", "b_n", "a_point", "b_point").mapInArrow(run, "a long, b long").distinct()
+        columns = ["a_class", "b_class", "a_n", "b_n", "a_point", "b_point"]
+        return sized.select(columns).mapInArrow(run, "a long, b long").distinct()
 
     def _tree(self, crowded: DataFrame, classes: DataFrame, joined: DataFrame) -> DataFrame:
         """Pairs below one shingle that aren't connected yet and that the points' bounds let through."""
@@ -282,7 +291,7 @@ class ShingleJoin:
                 F.max("n").alias("high"),
                 F.min("component").alias("c_low"),
                 F.max("component").alias("c_high"),
-                F.collect_list(F.struct("doc", "n", "component", "point")).alias("points"),
+                F.collect_list(F.struct("doc", "n", "component", "coarse")).alias("points"),
             )
             .withColumn("leaf", F.struct("grade", "salt"))
         )
@@ -298,8 +307,8 @@ class ShingleJoin:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for at in range(0, batch.num_rows, LEAF):
-                    part = batch.slice(at, LEAF)
+                for at in range(0, batch.num_rows, LEAVES):
+                    part = batch.slice(at, LEAVES)
                     a, b = leaf_pairs(Leaves(part.column(0)), Leaves(part.column(1)), percent)
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
@@ -308,8 +317,9 @@ class ShingleJoin:
     def _verified(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         """The pairs that reach the similarity, with the number of shingles shared."""
         size, percent = self.size, self.percent
-        rows = pairs.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("a_text")), "a").join(
-            texts.select(F.col("doc").alias("b"), F.col("text").alias("b_text")), "b"
+        pairs = pairs.withColumnsRenamed({"a": "one", "b": "two"})
+        rows = pairs.join(texts.select(F.col("doc").alias("one"), F.col("text").alias("a_text")), "one").join(
+            texts.select(F.col("doc").alias("two"), F.col("text").alias("b_text")), "two"
         )
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,7 +338,7 @@ class ShingleJoin:
                         ["a", "b", "shared"],
                     )
 
-        return rows.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long, shared long")
+        return rows.select("one", "two", "a_text", "b_text").mapInArrow(run, "a long, b long, shared long")
 
     def _near(self, classes: DataFrame, linked: DataFrame, texts: DataFrame) -> DataFrame:
         """(digest, n_near): how many rows of other classes each class links with.
@@ -425,20 +435,16 @@ def drop_near(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
 
 
 def _star(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) that compare every node with one below the same shingle, or with several in a crowd.
-
-    In a crowd these are the smallest node of all that it stands with, which is
-    the same for most of a group, and PIVOTS of those that its shingles name.
-    """
-    named = F.min_by("node", F.xxhash64("node", "shingle")).alias("_named")
-    below = members.join(members.groupBy("shingle").agg(F.min("node").alias("_low"), named), "shingle")
-    few = below.filter(F.col("k") < CROWD).select(F.col("node").alias("a"), F.col("_low").alias("b"))
-    crowds = below.filter(F.col("k") >= CROWD).groupBy("node").agg(
-        F.min("_low").alias("_low"), F.slice(F.sort_array(F.collect_set("_named")), 1, PIVOTS).alias("_named")
+    """Pairs (a, b) that compare every node with one below the same shingle, or with several in a crowd."""
+    # The smallest node is the same below most shingles of a group, the others differ.
+    pivots = members.groupBy("shingle").agg(
+        F.min("node").alias("_0"),
+        *(F.min_by("node", F.xxhash64("node", "shingle", F.lit(j))).alias(f"_{j}") for j in range(1, PIVOTS)),
     )
-    partners = F.explode(F.concat(F.array("_low"), "_named")).alias("b")
+    chosen = F.array(*(f"_{j}" for j in range(PIVOTS)))
     return (
-        few.unionAll(crowds.select(F.col("node").alias("a"), partners))
+        members.join(pivots, "shingle")
+        .select(F.col("node").alias("a"), F.explode(F.when(F.col("k") < CROWD, F.slice(chosen, 1, 1)).otherwise(chosen)).alias("b"))
         .filter("a != b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
@@ -480,18 +486,22 @@ def _coordinates(sizes: np.ndarray) -> np.ndarray:
     return 1 << np.clip(wanted, np.log2(FEWEST_GROUPS), np.log2(MOST_GROUPS)).astype(np.int64)
 
 
-def _points(hashes: np.ndarray, of: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    """Counts per group of each set's shingles, a byte each."""
+def _points(hashes: np.ndarray, of: np.ndarray, sizes: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Counts per group of each set's shingles, a byte each, in all its groups and in LEAF_GROUPS at most."""
+
+    def counted(wide: np.ndarray) -> pa.Array:
+        begins = np.append(0, np.cumsum(wide))
+        # The upper of these bits tell the groups, so halving their number joins neighbours.
+        bits = np.log2(wide).astype(np.uint64)[of]
+        group = ((hashes << np.uint64(24)) >> (np.uint64(64) - bits)).astype(np.int64)
+        counts = np.bincount(begins[of] + group, minlength=begins[-1])
+        flat = np.minimum(counts, MOST).astype(np.uint8)
+        return pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(sizes), [None, pa.py_buffer(begins), pa.py_buffer(flat)]
+        ).cast(pa.binary())
+
     wide = _coordinates(sizes)
-    begins = np.append(0, np.cumsum(wide))
-    # The upper of these bits tell the groups, so halving their number joins neighbours.
-    bits = np.log2(wide).astype(np.uint64)[of]
-    group = ((hashes << np.uint64(24)) >> (np.uint64(64) - bits)).astype(np.int64)
-    counts = np.bincount(begins[of] + group, minlength=begins[-1])
-    flat = np.minimum(counts, MOST).astype(np.uint8)
-    return pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(sizes), [None, pa.py_buffer(begins), pa.py_buffer(flat)]
-    ).cast(pa.binary())
+    return counted(wide), counted(np.minimum(wide, LEAF_GROUPS))
 
 
 class PointTable:

@@ -130,7 +130,7 @@ def test_bounds_hold_and_rule_out_unrelated_sets_of_every_size():
         near = np.unique(np.concatenate([base[: n - n // 20], draw.integers(0, 2**64, n // 15 + 1, dtype=np.uint64)]))
         sets = [np.unique(base), near, np.unique(draw.integers(0, 2**64, max(2, int(n * 0.85)), dtype=np.uint64))]
         sizes = np.array([len(s) for s in sets])
-        table = PointTable(ngram_join._points(np.concatenate(sets), np.repeat(np.arange(3), sizes), sizes), sizes)
+        table = PointTable(ngram_join._points(np.concatenate(sets), np.repeat(np.arange(3), sizes), sizes)[0], sizes)
         one, two = np.array([0, 0, 1]), np.array([1, 2, 2])
         shared = np.array([len(np.intersect1d(sets[i], sets[j])) for i, j in zip(one, two, strict=True)])
         most = bounds(table, one, table, two)
@@ -143,11 +143,11 @@ def test_points_of_different_width_are_compared(monkeypatch):
     sizes = np.array([90, 110])
     hashes = np.random.default_rng(1).integers(0, 2**64, 110, dtype=np.uint64)
     both = np.concatenate([hashes[:90], hashes])
-    points = ngram_join._points(both, np.repeat([0, 1], sizes), sizes)
+    points, _ = ngram_join._points(both, np.repeat([0, 1], sizes), sizes)
     assert [len(p) for p in points.to_pylist()] == [16, 32]
     table = PointTable(pa.array(points), sizes)
     assert bounds(table, np.array([0, 1]), table, np.array([1, 0])).tolist() == [90, 90]
     for most in (1, 5, 6):
         monkeypatch.setattr(ngram_join, "MOST", most)
-        table = PointTable(ngram_join._points(both, np.repeat([0, 1], sizes), sizes), sizes)
+        table = PointTable(ngram_join._points(both, np.repeat([0, 1], sizes), sizes)[0], sizes)
         assert bounds(table, np.array([0]), table, np.array([1]))[0] >= 90
