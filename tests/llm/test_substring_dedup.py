@@ -60,3 +60,17 @@ def test_repeated_ids_null_ids_and_empty_table(make):
     got = sorted((r.doc_id or 0, r.n_removed) for r in remove_repeated_words(make([(1, text), (1, text), (None, text)])).collect())
     assert got == [(0, 0), (1, 0), (1, 0)]
     assert remove_repeated_words(make([])).collect() == []
+
+
+def test_sequences_that_weak_hashes_confuse_are_told_apart(make):
+    """Thue-Morse sequences of words, and of letters in a word, with their complements."""
+    morse = [bin(i).count("1") % 2 for i in range(2048)]
+    pair = ("".join("ab"[m] for m in morse), "".join("ba"[m] for m in morse))
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(pair[0] if i == 30 else w for i, w in enumerate(words)), " ".join(pair[1] if i == 30 else w for i, w in enumerate(words))]
+    for order in ((0, 1), (1, 0)):
+        texts.append("start " * 60 + " ".join(("x", "y")[order[m]] for m in morse) + " end" * 60)
+    rows = list(enumerate(texts))
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in remove_repeated_words(make(rows)).collect()}
+    assert got == brute(rows, 50)
+    assert got[1][1] == 0

@@ -79,3 +79,13 @@ def test_extension_survives_equal_hashes(monkeypatch):
     monkeypatch.setattr(arrays, "prefix_hashes", lambda s: np.zeros(len(s) + 1, np.uint64))
     data = np.frombuffer(b"abcdabceabcd", np.uint8)
     assert Suffixes(data, 4).extension(np.array([0, 0]), np.array([4, 8])).tolist() == [3, 4]
+
+
+def test_texts_that_weak_hashes_confuse_are_told_apart(make):
+    """Thue-Morse sequences of bytes and their complements between equal passages."""
+    morse = [bin(i).count("1") % 2 for i in range(4096)]
+    rng = random.Random(3)
+    around = ["".join(rng.choice("cdefgh") for _ in range(150)) for _ in range(2)]
+    rows = [(k, around[0] + "".join("ab"[m ^ k] for m in morse) + around[1]) for k in (0, 1)]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in remove_repeats(make(rows)).collect()}
+    assert got == brute(rows, 100)
