@@ -29,11 +29,11 @@ from servicerank.llm.components import components
 from servicerank.llm.work import materialize, settle
 
 #: Shingles for each coordinate of a point, at most, and coordinates at least and at most.
-PER_GROUP, FEWEST_GROUPS, MOST_GROUPS = 6, 16, 1 << 16
+PER_GROUP, FEWEST_GROUPS, MOST_GROUPS = 6, 128, 1 << 16
 #: Groups whose counts order shingles from rare to common.
 RARITY_BITS = 16
 #: Coordinates of a point in a leaf at most; pairs that these let through are bounded by whole points.
-LEAF_GROUPS = 256
+LEAF_GROUPS = 1024
 #: Largest coordinate of a point; the bounds add what a set holds beyond it.
 MOST = 255
 #: Points in a leaf of the tree, fewer if its sets are large; pairs of points that are laid out at a time, and leaves.

@@ -140,14 +140,14 @@ def test_bounds_hold_and_rule_out_unrelated_sets_of_every_size():
 
 
 def test_points_of_different_width_are_compared(monkeypatch):
-    sizes = np.array([90, 110])
-    hashes = np.random.default_rng(1).integers(0, 2**64, 110, dtype=np.uint64)
-    both = np.concatenate([hashes[:90], hashes])
+    sizes = np.array([760, 780])
+    hashes = np.random.default_rng(1).integers(0, 2**64, 780, dtype=np.uint64)
+    both = np.concatenate([hashes[:760], hashes])
     points, _ = ngram_join._points(both, np.repeat([0, 1], sizes), sizes)
-    assert [len(p) for p in points.to_pylist()] == [16, 32]
+    assert [len(p) for p in points.to_pylist()] == [128, 256]
     table = PointTable(pa.array(points), sizes)
-    assert bounds(table, np.array([0, 1]), table, np.array([1, 0])).tolist() == [90, 90]
-    for most in (1, 5, 6):
+    assert bounds(table, np.array([0, 1]), table, np.array([1, 0])).tolist() == [760, 760]
+    for most in (1, 5, 9):
         monkeypatch.setattr(ngram_join, "MOST", most)
         table = PointTable(ngram_join._points(both, np.repeat([0, 1], sizes), sizes)[0], sizes)
-        assert bounds(table, np.array([0]), table, np.array([1]))[0] >= 90
+        assert bounds(table, np.array([0]), table, np.array([1]))[0] >= 760
