@@ -23,7 +23,8 @@ from servicerank.llm.work import materialize
 #: Hamming distance up to which fingerprints count as near. At a similarity of 0.8 a bit differs with
 #: probability 0.15 (up to 0.19 in sets of five shingles), whatever repeats; README gives the misses measured.
 RADIUS = 26
-#: Item shingles up to which they are broadcast; a larger benchmark is joined by a shuffle.
+#: Item shingles up to which they are broadcast; a larger benchmark is joined by a shuffle. So are the documents' texts,
+#: once more of them hold enough of an item.
 BROADCAST_ROWS = 500_000
 
 
@@ -149,7 +150,12 @@ def matches(
         .filter(F.size("places") * 100 >= F.col("m") * percent)
     )
     per_doc = materialize(regions.groupBy("doc").agg(F.collect_list(F.struct("item", "m", "places")).alias("regions")), "item-regions")
-    held = rows.join(per_doc, "doc").dropDuplicates(["doc"]).select("doc", "regions", shingles(F.col("text"), size).alias("s"))
+    # Texts that hold nothing of an item are left out before any are shuffled, and few are left.
+    held = rows
+    if per_doc.count() <= BROADCAST_ROWS:
+        key = F.xxhash64("doc").alias("_key")
+        held = rows.select("*", key).join(F.broadcast(per_doc.select(key)), "_key", "left_semi").drop("_key")
+    held = held.join(per_doc, "doc").dropDuplicates(["doc"]).select("doc", "regions", shingles(F.col("text"), size).alias("s"))
     held = materialize(held.select("doc", "s", F.explode("regions").alias("r")).select("doc", "s", "r.*"), "item-documents")
 
     # The best window begins with a shingle of the item's, or is the last one: moved up to its first such shingle it

@@ -121,3 +121,23 @@ def test_items_that_repeat_without_end(make, spark):
     rows, items = [(1, " ".join(item * 30)), (2, " ".join(item[5:] * 2))], [(1, " ".join(item))]
     got = report(make(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {r.doc_id: (r.contaminated, r.n_items, r.item_ids, r.similarity) for r in got} == brute(rows, items)
+
+
+def test_texts_that_hold_nothing_are_not_shuffled(spark, tables_of, monkeypatch):
+    """Also where Spark doesn't broadcast by itself."""
+    docs, items, rows, listed = tables_of
+    plans, store = {}, decontaminate.materialize
+
+    def kept(df, label, **options):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return store(df, label, **options)
+
+    monkeypatch.setattr(decontaminate, "materialize", kept)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = report(docs, items).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {r.doc_id: (r.contaminated, r.n_items, r.item_ids, r.similarity) for r in found} == brute(rows, listed)
+    assert re.search(r"Join LeftSemi, .*rightHint=\(strategy=broadcast\)", plans["item-documents"])
