@@ -37,8 +37,8 @@ from servicerank.operators.facts import snapshot_window
 from servicerank.schemas import SNAPSHOT_COLUMNS, lake_schema
 from servicerank.sources import files
 
-#: Bytes of a packed file, about.
-FILE_BYTES = 128 << 20
+#: Bytes of a packed file, about, and its rows: a task sorts them in memory, where they take many times their bytes in the file.
+FILE_BYTES, FILE_ROWS = 128 << 20, 1 << 20
 _NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 ENTRY = (
     "kind string, batch string, folder string, committed_at string, rows bigint, malformed bigint, misplaced bigint, "
@@ -49,12 +49,13 @@ ENTRY = (
 
 @dataclass(frozen=True)
 class Part:
-    """The live files of one folder and day."""
+    """The live files of one folder and day; `rows` are estimated, as those of the folder by the share of its bytes."""
 
     folder: str
     day: str
     files: int
     bytes: int
+    rows: int
     verified: bool
 
 
@@ -87,6 +88,7 @@ class BatchLake:
     def pack(self, file_bytes: int = FILE_BYTES, days: list[date] | None = None) -> int:
         """Merge small files, day by day, into files of about `file_bytes`; gives the number of files replaced.
 
+        Files of narrow rows are smaller, with about FILE_ROWS rows, which is what a task holds at a time.
         A day is packed if at least half of its files could be saved. Rows are dealt out by ranges of (day, time), so a file
         holds a short span of times, and a busy day several files. Batches that
         are not verified stay as they are, lest they spoil the others. Raises
@@ -103,13 +105,14 @@ class BatchLake:
         if not small:
             return 0
         rows = self._read(small)
-        n = _n_files(sum(p.bytes for p in small), file_bytes)
+        held = rows.count()
+        n = _n_files(sum(p.bytes for p in small), held, file_bytes)
         # Equal times are told apart by the rows' hash, so that a range can end between them.
         order = ["ingest_date", "time", F.xxhash64(*SNAPSHOT_COLUMNS)]
         dealt = rows.repartitionByRange(n, *order).sortWithinPartitions("ingest_date", "time")
         folder = f"pack-{number:06d}.{uuid.uuid4().hex[:12]}"
         counts = self._write(dealt, folder)
-        if (held := rows.count()) != counts["rows"]:
+        if held != counts["rows"]:
             files.remove(self.spark, f"{self.data}/batch={folder}")
             raise RuntimeError(f"{held} rows to pack, {counts['rows']} written")
         replaces = [{"folder": p.folder, "day": p.day} for p in small]
@@ -217,11 +220,13 @@ class BatchLake:
         """What readers read, in a steady order."""
         entries = self.entries()
         gone = entries.select(F.explode("replaces").alias("_r")).select("_r.folder", "_r.day")
+        size = F.aggregate("days", F.lit(0).cast("bigint"), lambda a, d: a + d["bytes"])
         held = entries.select(
-            "folder", ((F.col("malformed") == 0) & (F.col("misplaced") == 0)).alias("verified"), F.explode("days").alias("_d")
-        ).select("folder", "verified", "_d.day", "_d.files", "_d.bytes")
+            "folder", ((F.col("malformed") == 0) & (F.col("misplaced") == 0)).alias("verified"),
+            (F.col("rows") / F.greatest(size, F.lit(1))).alias("per_byte"), F.explode("days").alias("_d"),
+        ).select("folder", "verified", "_d.day", "_d.files", "_d.bytes", F.ceil(F.col("per_byte") * F.col("_d.bytes")).alias("rows"))
         live = held.join(gone, ["folder", "day"], "left_anti").orderBy("day", "folder").collect()
-        return [Part(r.folder, r.day, r.files, r.bytes, r.verified and r.day != _NO_DAY) for r in live]
+        return [Part(r.folder, r.day, r.files, r.bytes, r.rows, r.verified and r.day != _NO_DAY) for r in live]
 
     def _by_day(self) -> dict[str, list[Part]]:
         days: dict[str, list[Part]] = {}
@@ -258,10 +263,13 @@ def _place(path: str) -> tuple[str, str]:
 
 
 def _worth_packing(parts: list[Part], file_bytes: int) -> bool:
-    """Whether at least half of a day's files, and one, could be saved."""
+    """Whether at least half of a day's files, and one, could be saved.
+
+    Files with half the rows they may have are left: where ranges of rows don't end with days, a day's are cut in two.
+    """
     now = sum(p.files for p in parts)
-    return now > 1 and now >= 2 * _n_files(sum(p.bytes for p in parts), file_bytes)
+    return now > 1 and now >= 2 * _n_files(sum(p.bytes for p in parts), 2 * sum(p.rows for p in parts), file_bytes)
 
 
-def _n_files(size: int, file_bytes: int) -> int:
-    return max(1, -(-size // file_bytes))
+def _n_files(size: int, rows: int, file_bytes: int) -> int:
+    return max(1, -(-size // file_bytes), -(-rows // FILE_ROWS))

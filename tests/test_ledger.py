@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from servicerank.operators.calendar import Calendar
 from servicerank.operators.facts import queue_fact
 from servicerank.schemas import SNAPSHOT_COLUMNS
-from servicerank.sources import files
+from servicerank.sources import files, ledger
 from servicerank.sources.lake import append_lake, ingest_snapshots, load_summary, open_lake, read_lake
 from servicerank.sources.ledger import BatchLake, ConflictError, landed_batch
 from servicerank.sources.snapshots import to_lake_rows
@@ -118,6 +118,18 @@ def test_a_busy_day_gets_several_files(spark, lake):
     assert lake.read().count() == 200
 
 
+def test_a_packed_file_holds_a_bounded_number_of_rows(spark, lake, monkeypatch):
+    monkeypatch.setattr(ledger, "FILE_ROWS", 40)
+    for n in range(4):
+        lake.append(snapshots(spark, [4, 5], points=50).repartition(6), f"run-{n}")
+    before = rows(lake.read())
+    assert lake.pack() > 0 and rows(lake.read()) == before
+    # The same four rows are in one file.
+    held = lake.read().groupBy(F.input_file_name()).count().agg(F.max("count"), F.count("*")).first()
+    assert held[0] <= 60 and 10 <= held[1] <= 12
+    assert lake.pack() == 0
+
+
 def test_two_packings_do_not_both_count(spark, lake, monkeypatch):
     for n in range(3):
         lake.append(snapshots(spark, [4]), f"run-{n}")
