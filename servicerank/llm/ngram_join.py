@@ -41,8 +41,8 @@ LEAF, SMALL_LEAF, LEAF_SHINGLES = 64, 4, 1 << 15
 PAIRS, LEAVES = 1 << 20, 256
 #: Shingle groups this many times as full as the mean may hold a hot shingle, which is looked up by partial aggregates.
 HOT, SALTS = 4, 64
-#: Texts below one shingle from which several of them, not one, are compared with all first; and how many.
-CROWD, PIVOTS = 16, 2
+#: Texts below one shingle from which two of them, not one, are compared with all first.
+CROWD = 3
 #: Shingles whose columns are laid out at a time when the overlaps of two blocks of sets are counted.
 COLUMNS = 1 << 13
 
@@ -435,16 +435,15 @@ def drop_near(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
 
 
 def _star(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) that compare every node with one below the same shingle, or with several in a crowd."""
-    # The smallest node is the same below most shingles of a group, the others differ.
-    pivots = members.groupBy("shingle").agg(
-        F.min("node").alias("_0"),
-        *(F.min_by("node", F.xxhash64("node", "shingle", F.lit(j))).alias(f"_{j}") for j in range(1, PIVOTS)),
-    )
-    chosen = F.array(*(f"_{j}" for j in range(PIVOTS)))
+    """Pairs (a, b) that compare every node with one below the same shingle, or with two in a crowd."""
+    # Near copies of one text may link with it and not with each other. It shares the most with all of them, as they
+    # share what they kept of it. The smallest node is the same below most shingles of a group, too.
+    reach = members.withColumn("reach", F.sum("k").over(Window.partitionBy("node")))
+    pivots = reach.groupBy("shingle").agg(F.max_by("node", F.struct("reach", "node")).alias("hub"), F.min("node").alias("low"))
+    hub, low = F.col("hub"), F.col("low")
     return (
         members.join(pivots, "shingle")
-        .select(F.col("node").alias("a"), F.explode(F.when(F.col("k") < CROWD, F.slice(chosen, 1, 1)).otherwise(chosen)).alias("b"))
+        .select(F.col("node").alias("a"), F.explode(F.when(F.col("k") < CROWD, F.array(hub)).otherwise(F.array(hub, low))).alias("b"))
         .filter("a != b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()

@@ -72,6 +72,15 @@ def test_hot_shingles_and_small_leaves(make, rows, monkeypatch):
     assert got == brute(rows)
 
 
+def test_the_text_that_all_share_most_with_is_compared_first(spark):
+    """Node 500 stands below 30 shingles, all others below one; node 1 below one that only two share."""
+    rows = [(s, n, 21) for s in range(30) for n in (500, *range(1000 + 20 * s, 1020 + 20 * s))]
+    rows += [(99, 1, 2), (99, 500, 2)]
+    got = {tuple(r) for r in ngram_join._star(spark.createDataFrame(rows, "shingle long, node long, k long")).collect()}
+    # With it, and with the smallest of each group, which it is here.
+    assert got == {(n, 500) for n in range(1000, 1600)} | {(500, 1)}
+
+
 def test_repeated_rows_null_ids_and_empty_table(make):
     rows = [(3, "a b c d e f"), (3, "a b c d e f"), (1, "A B c d e f"), (None, "a b c d e f"), (4, None)]
     got = sorted((r.doc_id or 0, r.component_id) for r in ShingleJoin(make(rows)).groups().collect())
