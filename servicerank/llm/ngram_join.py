@@ -4,8 +4,11 @@ A text's shingles are hashed into groups; the counts per group make the text a
 point. Two sets share at most the sum of the coordinates' minima, so a box of
 points can be passed over when that bound, taken at the box's upper corner, is
 too small. Boxes are the leaves of a tree packed by size below each rare
-shingle, since texts that link share one of their rarest. What the bounds let
-through is verified on the shingles themselves.
+shingle, since texts that link share one of their rarest. In a leaf a text has
+a bit for each of many more groups: whether it holds an odd number of the
+group's shingles. Where the bits of two texts differ, only one of them holds
+some shingle. What the bounds let through is verified on the shingles
+themselves.
 
 A point has about as many coordinates for each shingle whatever the size of the
 set, since counts that are large everywhere have large minima and rule nothing
@@ -32,8 +35,9 @@ from servicerank.llm.work import materialize, settle
 PER_GROUP, FEWEST_GROUPS, MOST_GROUPS = 6, 128, 1 << 16
 #: Groups whose counts order shingles from rare to common.
 RARITY_BITS = 16
-#: Coordinates of a point in a leaf at most; pairs that these let through are bounded by whole points.
-LEAF_GROUPS = 1024
+#: Bits in a leaf for each shingle at least, and for a text at least and at most. Chance hides about D * D / (2 * bits)
+#: pairs of the D shingles that only one text holds, so only texts a few hundredths short of linking are let through.
+BITS, FEWEST_BITS, MOST_BITS = 1, 1 << 9, 1 << 15
 #: Largest coordinate of a point; the bounds add what a set holds beyond it.
 MOST = 255
 #: Points in a leaf of the tree, fewer if its sets are large; pairs of points that are laid out at a time, and leaves.
@@ -128,8 +132,8 @@ class ShingleJoin:
         return out.ravel()
 
     def points(self) -> DataFrame:
-        """(doc, n, digest, node, point, coarse): set size, digest of the set, its short form, the counts per group, and
-        those per group of LEAF_GROUPS at most, where they are fewer."""
+        """(doc, n, digest, node, point, odd): set size, digest of the set, its short form, the counts per group, and
+        the bits that tell odd groups."""
         size = self.size
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +141,7 @@ class ShingleJoin:
                 texts = batch.num_rows
                 sizes = np.diff(begins)
                 of = np.repeat(np.arange(texts), sizes)
-                points, coarse = _points(hashes, of, sizes)
+                points, odd = _points(hashes, of, sizes)
                 digests = [_digest(hashes[a:b]) for a, b in zip(begins[:-1], begins[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -146,12 +150,12 @@ class ShingleJoin:
                         pa.array(digests, pa.binary()),
                         pa.array(np.frombuffer(b"".join(d[:8] for d in digests), np.int64)),
                         points,
-                        coarse,
+                        odd,
                     ],
-                    ["doc", "n", "digest", "node", "point", "coarse"],
+                    ["doc", "n", "digest", "node", "point", "odd"],
                 )
 
-        return self.docs.mapInArrow(run, "doc long, n long, digest binary, node long, point binary, coarse binary")
+        return self.docs.mapInArrow(run, "doc long, n long, digest binary, node long, point binary, odd binary")
 
     def signatures(self, rarity: np.ndarray) -> DataFrame:
         """(shingle, node, salt): the rarest shingles of each set, so many that linked sets share one.
@@ -201,7 +205,7 @@ class ShingleJoin:
         classes = materialize(
             points.filter("n > 0")
             .groupBy("digest", "node")
-            .agg(F.min("doc").alias("doc"), *(F.first(c).alias(c) for c in ("n", "point", "coarse")))
+            .agg(F.min("doc").alias("doc"), *(F.first(c).alias(c) for c in ("n", "point", "odd")))
             .drop("digest"),
             "shingle-classes",
         )
@@ -269,7 +273,7 @@ class ShingleJoin:
         return sized.select(columns).mapInArrow(run, "a long, b long").distinct()
 
     def _tree(self, crowded: DataFrame, classes: DataFrame, joined: DataFrame) -> DataFrame:
-        """Pairs below one shingle that aren't connected yet and that the points' bounds let through."""
+        """Pairs below one shingle that aren't connected yet and that the bits of the leaves let through."""
         percent = self.percent
         at = (
             crowded.select("shingle", "node", "k")
@@ -291,11 +295,12 @@ class ShingleJoin:
                 F.max("n").alias("high"),
                 F.min("component").alias("c_low"),
                 F.max("component").alias("c_high"),
-                F.collect_list(F.struct("doc", "n", "component", "coarse")).alias("points"),
+                F.collect_list(F.struct("doc", "n", "component", "odd")).alias("points"),
             )
             .withColumn("leaf", F.struct("grade", "salt"))
         )
-        leaves = materialize(leaves, "shingle-leaves")
+        # The bits of a text stand in many leaves, which packs well if those of a component lie together.
+        leaves = materialize(leaves.sortWithinPartitions("c_low", "c_high"), "shingle-leaves", compression="zstd")
         one = leaves.select("shingle", *(F.col(c).alias(f"{c}_1") for c in ("low", "high", "c_low", "c_high", "leaf", "points")))
         two = leaves.select("shingle", *(F.col(c).alias(f"{c}_2") for c in ("low", "high", "c_low", "c_high", "leaf", "points")))
         boxes = one.join(two, "shingle").filter(
@@ -485,22 +490,34 @@ def _coordinates(sizes: np.ndarray) -> np.ndarray:
     return 1 << np.clip(wanted, np.log2(FEWEST_GROUPS), np.log2(MOST_GROUPS)).astype(np.int64)
 
 
+def _parities(sizes: np.ndarray) -> np.ndarray:
+    """Bits that tell odd groups of the sets, by their sizes: a power of two."""
+    wanted = np.ceil(np.log2(np.maximum(sizes, 1) * BITS))
+    return 1 << np.clip(wanted, np.log2(FEWEST_BITS), np.log2(MOST_BITS)).astype(np.int64)
+
+
 def _points(hashes: np.ndarray, of: np.ndarray, sizes: np.ndarray) -> tuple[pa.Array, pa.Array]:
-    """Counts per group of each set's shingles, a byte each, in all its groups and in LEAF_GROUPS at most."""
-
-    def counted(wide: np.ndarray) -> pa.Array:
-        begins = np.append(0, np.cumsum(wide))
-        # The upper of these bits tell the groups, so halving their number joins neighbours.
-        bits = np.log2(wide).astype(np.uint64)[of]
-        group = ((hashes << np.uint64(24)) >> (np.uint64(64) - bits)).astype(np.int64)
-        counts = np.bincount(begins[of] + group, minlength=begins[-1])
-        flat = np.minimum(counts, MOST).astype(np.uint8)
+    """Counts per group of each set's shingles, a byte each, and which of more groups hold an odd number, a bit each."""
+
+    def column(flat: np.ndarray, begins: np.ndarray) -> pa.Array:
         return pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(sizes), [None, pa.py_buffer(begins), pa.py_buffer(flat)]
         ).cast(pa.binary())
 
     wide = _coordinates(sizes)
-    return counted(wide), counted(np.minimum(wide, LEAF_GROUPS))
+    begins = np.append(0, np.cumsum(wide))
+    # The upper of these bits tell the groups, so halving their number joins neighbours.
+    bits = np.log2(wide).astype(np.uint64)[of]
+    group = ((hashes << np.uint64(24)) >> (np.uint64(64) - bits)).astype(np.int64)
+    counts = np.bincount(begins[of] + group, minlength=begins[-1])
+    points = column(np.minimum(counts, MOST).astype(np.uint8), begins)
+
+    # The lowest bits tell these groups, so halving their number lays the second half on the first.
+    wide = _parities(sizes)
+    begins = np.append(0, np.cumsum(wide))
+    group = hashes.astype(np.int64) & (wide[of] - 1)
+    odd = np.bincount(begins[of] + group, minlength=begins[-1]) & 1
+    return points, column(np.packbits(odd.astype(bool), bitorder="little"), begins // 8)
 
 
 class PointTable:
@@ -543,6 +560,39 @@ def bounds(one: PointTable, i: np.ndarray, two: PointTable, j: np.ndarray) -> np
     return out
 
 
+class ParityTable:
+    """Bits of one column as matrices of 64 bits a word, one for each number of words."""
+
+    def __init__(self, odd: pa.Array) -> None:
+        data, begins = arrays.flat(odd)
+        wide = np.diff(begins)
+        self.width, self.row, self.matrix = wide // 8, np.empty(len(wide), np.int64), {}
+        for width in np.unique(self.width).tolist():
+            rows = np.flatnonzero(self.width == width)
+            self.matrix[width] = data[arrays.ragged(begins[rows], wide[rows])].view(np.uint64).reshape(len(rows), width)
+            self.row[rows] = np.arange(len(rows))
+
+    def take(self, rows: np.ndarray, width: int, coarse: int) -> np.ndarray:
+        """Bits of `width` words, as those of `coarse` words."""
+        found = self.matrix[width][self.row[rows]]
+        return found if coarse == width else np.bitwise_xor.reduce(found.reshape(len(rows), -1, coarse), axis=1)
+
+
+def apart(one: ParityTable, i: np.ndarray, two: ParityTable, j: np.ndarray) -> np.ndarray:
+    """The least members that only one of the sets i[k] of one table and j[k] of the other holds."""
+    out = np.zeros(len(i), np.int64)
+    widths = one.width[i] << 32 | two.width[j]
+    for both in np.unique(widths).tolist():
+        w1, w2 = both >> 32, both & 0xFFFFFFFF
+        coarse = min(w1, w2)
+        rows, step = np.flatnonzero(widths == both), max(1, PAIRS // max(w1, w2))
+        for at in range(0, len(rows), step):
+            part = rows[at : at + step]
+            differ = one.take(i[part], w1, coarse) ^ two.take(j[part], w2, coarse)
+            out[part] = np.bitwise_count(differ).sum(1, dtype=np.int64)
+    return out
+
+
 class Leaves:
     """A column of leaves: lists of points."""
 
@@ -551,11 +601,11 @@ class Leaves:
         self.sizes = np.asarray(pc.list_value_length(column)).astype(np.int64)
         self.begins = np.cumsum(self.sizes) - self.sizes
         self.doc, self.n, self.component = (np.asarray(points.field(k)) for k in (0, 1, 2))
-        self.points = PointTable(points.field(3), self.n)
+        self.odd = ParityTable(points.field(3))
 
 
 def leaf_pairs(one: Leaves, two: Leaves, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of documents of the k-th leaves of each side, for all k, that the sizes and the points' bounds let through.
+    """Pairs of documents of the k-th leaves of each side, for all k, that the sizes and the bits let through.
 
     Texts that stand below several common shingles come once.
     """
@@ -577,7 +627,8 @@ def leaf_pairs(one: Leaves, two: Leaves, percent: int) -> tuple[np.ndarray, np.n
         pairs = np.stack([np.maximum(one.doc[i], two.doc[j]), np.minimum(one.doc[i], two.doc[j])])
         _, new = np.unique(pairs, axis=1, return_index=True)
         i, j = i[new], j[new]
-        near = bounds(one.points, i, two.points, j) >= _needed(one.n[i] + two.n[j], percent)
+        both = one.n[i] + two.n[j]
+        near = both - apart(one.odd, i, two.odd, j) >= 2 * _needed(both, percent)
         found.append(pairs[:, new[near]])
     a, b = np.unique(np.concatenate(found, axis=1), axis=1) if found else (nothing, nothing)
     return a, b

@@ -160,3 +160,45 @@ def test_points_of_different_width_are_compared(monkeypatch):
         monkeypatch.setattr(ngram_join, "MOST", most)
         table = PointTable(ngram_join._points(both, np.repeat([0, 1], sizes), sizes)[0], sizes)
         assert bounds(table, np.array([0]), table, np.array([1]))[0] >= 760
+
+
+def test_leaves_rule_out_texts_that_nearly_link():
+    """Versions of one text: links must stay, and few of the many pairs a little short of linking may."""
+    draw = np.random.default_rng(5)
+    base = draw.integers(0, 2**64, 340, dtype=np.uint64)
+    sets = []
+    for kept in [0.88] * 60 + [0.96] * 20:
+        fresh = draw.integers(0, 2**64, len(base), dtype=np.uint64)
+        sets.append(np.unique(np.where(draw.random(len(base)) < kept, base, fresh)))
+    n = np.array([len(s) for s in sets])
+    held = ngram_join._points(np.concatenate(sets), np.repeat(np.arange(len(sets)), n), n)[1]
+    rows = [{"doc": i, "n": int(n[i]), "component": i, "held": h} for i, h in enumerate(held.to_pylist())]
+    kind = pa.list_(pa.struct([("doc", pa.int64()), ("n", pa.int64()), ("component", pa.int64()), ("held", pa.binary())]))
+    leaf = ngram_join.Leaves(pa.array([rows], kind))
+    got = set(zip(*(x.tolist() for x in ngram_join.leaf_pairs(leaf, leaf, 80)), strict=True))
+    near, linked = 0, set()
+    for b, a in itertools.combinations(range(len(sets)), 2):
+        shared = len(np.intersect1d(sets[a], sets[b], True))
+        if 100 * shared >= 80 * (n[a] + n[b] - shared):
+            linked.add((a, b))
+        near += 100 * shared >= 70 * (n[a] + n[b] - shared)
+    assert len(linked) > 150 and linked <= got
+    assert near > 900 and len(got - linked) < near / 5
+
+
+def test_bits_that_differ_are_members_of_one_set():
+    draw = np.random.default_rng(6)
+    sets = [np.empty(0, np.uint64)]
+    for size in (1, 7, 250, 500, 530, 4_000, 40_000, 60_000):
+        sets.append(np.unique(draw.integers(0, 2**64, size, dtype=np.uint64)))
+        sets.append(np.append(sets[-1][size // 9 :], draw.integers(0, 2**64, size // 5, dtype=np.uint64)))
+    n = np.array([len(s) for s in sets])
+    table = ngram_join.ParityTable(ngram_join._points(np.concatenate(sets), np.repeat(np.arange(len(sets)), n), n)[1])
+    assert len(set(table.width.tolist())) > 3
+    one, two = (np.array(x) for x in zip(*itertools.product(range(len(sets)), repeat=2), strict=True))
+    least = ngram_join.apart(table, one, table, two)
+    differ = np.array([len(np.setxor1d(sets[i], sets[j])) for i, j in zip(one, two, strict=True)])
+    assert (least <= differ).all() and (least[one == two] == 0).all()
+    # Of each set and its version most differences show.
+    version = (one % 2 == 1) & (two == one + 1) & (n[one] < 10_000)
+    assert (least[version] >= 0.6 * differ[version]).all()
