@@ -196,3 +196,40 @@ def test_scores_do_not_depend_on_how_many_pairs_are_broadcast(documents, monkeyp
         scores.append({r.doc_id: r.score for r in lm.score(documents, PATH, sample=50).collect()})
     assert scores[1] == pytest.approx(scores[0], rel=1e-5)
     assert scores[2] == pytest.approx(scores[0], rel=1e-5)
+
+
+def test_scores_equal_those_of_the_layer_place_by_place():
+    """Also where out's weights are so large that they are clipped, and for texts shorter than a window's context."""
+    model, ids, sizes = _model()
+    for factor in (1, 40):
+        model.weights["out"] = model.weights["out"] * np.float32(factor)
+        w = {k: v.astype(np.float64) for k, v in model.weights.items()}
+        key, value = np.split(w["key_value"], 2, 1)
+        keep, mix = np.split(w["keep_mix"], 2)
+        begins, want = np.cumsum(sizes) - sizes, []
+        for begin, size in zip(begins, sizes, strict=True):
+            text, total = ids[begin : begin + size], 0.0
+            for i in range(size):
+                start = i // lm.SCORED * lm.SCORED - lm.LEAD
+                seen = range(max(0, start), i + 1)
+                x = {j: w["embed"][text[j - 1] if j else model.start] + w["place"][j - start] for j in seen}
+                force = np.exp([np.clip(x[i] @ w["query"] @ (x[j] @ key), -30, 30) for j in seen])
+                heard = sum(f * (x[j] @ value) for f, j in zip(force / force.sum(), seen, strict=True))
+                out = np.clip(np.tanh(x[i] @ keep + heard @ mix + w["bias"]) @ w["out"] + w["out_bias"], -60, 60)
+                total += out[model.cluster[text[i]]] - np.log(np.exp(out).sum())
+            want.append(total / np.log(10))
+        assert model.score(ids, sizes, begins) == pytest.approx(np.array(want), rel=1e-4)
+
+
+def test_windows_are_laid_out_once_for_all_steps_of_a_part(monkeypatch):
+    """Laying out each step's windows again took 4 % of the fit."""
+    laid, steps = [], []
+    windows, on = lm.AttentionModel.windows, lm.Adam.on
+    monkeypatch.setattr(lm.AttentionModel, "windows", lambda self, *a: laid.append(1) or windows(self, *a))
+    monkeypatch.setattr(lm.Adam, "on", lambda self, *a: steps.append(1) or on(self, *a))
+    rng = np.random.default_rng(2)
+    sizes = rng.integers(1, 60, 400)
+    ids = rng.integers(0, 50, sizes.sum())
+    pairs = np.unique(np.append(50 * 50 + ids, ids[:-1] * 50 + ids[1:]))
+    lm.fit(ids, sizes, np.bincount(ids, minlength=50), pairs, np.ones(len(pairs)), 49, epochs=3)
+    assert len(laid) == 1 and len(steps) == 3 * -(-int((-(-sizes // lm.SCORED)).sum()) // lm.BATCH)
